@@ -12,6 +12,8 @@ so re-running one month leaves the others in place.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postlens.schemas import SOURCE_KEYS, SUMMARY_SCHEMA, TAG_ANALYSIS_COLUMNS
 from postlens.session import new_scratch_dir
@@ -51,10 +53,19 @@ def write_tag_analysis(tags: DataFrame, path: str, *, dynamic: bool = False) ->
 
 
 def read_summary(spark: SparkSession, path: str) -> DataFrame:
-    data_fields = [f for f in SUMMARY_SCHEMA.fields if f.name not in SOURCE_KEYS]
-    from pyspark.sql import types as T
-
-    df = spark.read.schema(T.StructType(data_fields)).json(path)
+    """Summary back from JSON. JSON object keys are text, so the histogram
+    is read with string keys and its keys cast back to int."""
+    fields = []
+    for f in SUMMARY_SCHEMA.fields:
+        if f.name in SOURCE_KEYS:
+            continue
+        if f.name == "histogram":
+            f = T.StructField(f.name, T.MapType(T.StringType(), T.LongType()), True)
+        fields.append(T.StructField(f.name, f.dataType, True))
+    df = spark.read.schema(T.StructType(fields)).json(path)
+    df = df.withColumn(
+        "histogram", F.transform_keys("histogram", lambda k, _: k.cast("int"))
+    )
     return df.select(*[f.name for f in SUMMARY_SCHEMA.fields])
 
 
