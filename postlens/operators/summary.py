@@ -3,8 +3,8 @@
 Each measure is a grouped aggregate over the source-month keys, so all months
 are summarised by one plan. The four inputs (post measures, user measures,
 active tags, day histogram) are each at most one row per month (31 for the
-histogram before it is folded into a map), and are combined by outer joins on
-the month keys; those joins touch only these tiny results.
+histogram before it is folded into a map), and are stacked and grouped once
+by the month keys; that last step touches only these tiny results.
 
 Distinct counts run as Spark's two-phase distinct aggregation: rows are first
 combined per (month, value) map-side, so a very active owner or a very common
@@ -109,6 +109,23 @@ def _empty_histogram():
     return F.create_map().cast("map<int,bigint>")
 
 
+def _combine_by_month(parts: list[DataFrame]) -> DataFrame:
+    """Put per-month results side by side without joins.
+
+    Each part has the month keys plus its own columns. The parts are stacked
+    (columns missing from a part are null) and grouped once by month; every
+    column is non-null in exactly one part, so ``first(ignorenulls)`` picks
+    that value. One small shuffle instead of a chain of outer joins.
+    """
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    value_cols = [c for c in stacked.columns if c not in SOURCE_KEYS]
+    return stacked.groupBy(*SOURCE_KEYS).agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in value_cols]
+    )
+
+
 def compute_summary(
     posts: DataFrame, users: DataFrame, *, with_histogram: bool = True
 ) -> DataFrame:
@@ -116,9 +133,7 @@ def compute_summary(
     parts = [post_measures(posts), user_measures(users), active_tags(posts)]
     if with_histogram:
         parts.append(day_histogram(posts))
-    combined = parts[0]
-    for part in parts[1:]:
-        combined = combined.join(part, SOURCE_KEYS, "full_outer")
+    combined = _combine_by_month(parts)
     cols = [
         *SOURCE_KEYS,
         F.coalesce("number_of_posts", F.lit(0)).cast("long").alias("number_of_posts"),
