@@ -24,14 +24,25 @@ def _writer(df: DataFrame, dynamic: bool):
     return w.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
 
 
+def _cluster(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Hash-cluster rows by the output partition columns before a write.
+
+    Every output folder then gets its rows from one task (one file per
+    folder), while the folders are spread over all write tasks. The count is
+    given explicitly so AQE does not coalesce the tiny results into a single
+    task: the write cost here is per file, not per byte.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *cols)
+
+
 def write_summary(summary: DataFrame, path: str, *, dynamic: bool = False) -> None:
     """One JSON object per month; null values are written, not dropped.
 
-    The summary has one row per month, so clustering by month costs nothing
-    and gives one file per month folder.
+    One row per month, one file per month folder.
     """
     (
-        _writer(summary.repartition(*SOURCE_KEYS), dynamic)
+        _writer(_cluster(summary, SOURCE_KEYS), dynamic)
         .partitionBy(*SOURCE_KEYS)
         .option("ignoreNullFields", False)
         .json(path)
@@ -41,12 +52,12 @@ def write_summary(summary: DataFrame, path: str, *, dynamic: bool = False) -> No
 def write_tag_analysis(tags: DataFrame, path: str, *, dynamic: bool = False) -> None:
     """Parquet partitioned by source month and by the posts' year and month.
 
-    Rows per source month are bounded by (distinct tags x dated months) of
-    that folder, so clustering by source month before the write keeps the
-    file count at about one per partition folder without a large task.
+    Rows per output folder are bounded by the number of distinct tags, so
+    clustering by the four partition columns gives one file per folder
+    without creating a large task, whatever the input size.
     """
     (
-        _writer(tags.repartition(*SOURCE_KEYS), dynamic)
+        _writer(_cluster(tags, [*SOURCE_KEYS, "year", "month"]), dynamic)
         .partitionBy(*SOURCE_KEYS, "year", "month")
         .parquet(path)
     )
