@@ -71,10 +71,13 @@ def write_month_csv(df: DataFrame, root: str) -> None:
 
     One write job for all months (partitioned output, one folder per month),
     readable again by ``read_month_csv(spark, f"{root}/*/*/*.csv", schema)``.
-    Rows are clustered by month first so each month folder gets few files.
+    Rows are clustered by month first so each month folder gets one file;
+    the explicit partition count keeps AQE from folding small inputs into a
+    single writing task.
     """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        df.repartition("src_year", "src_month")
+        df.repartition(n, "src_year", "src_month")
         .write.mode("overwrite")
         .partitionBy("src_year", "src_month")
         .option("header", True)
