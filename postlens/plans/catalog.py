@@ -192,6 +192,20 @@ def q_tag_analysis_by_month(spark, d):
     return compute_tag_analysis(_posts(spark, d), _users(spark, d), join_on_month=True)
 
 
+def q_tag_analysis_events(spark, d):
+    """Flagship over a second input: events as posts (no scores)."""
+    apply_job_conf(spark)
+    return compute_tag_analysis(
+        posts_from_events(spark, d), _users(spark, d), join_on_month=False
+    )
+
+
+def q_summary_events(spark, d):
+    users = filter_snapshot_users(_users(spark, d), SNAPSHOT)
+    apply_job_conf(spark)
+    return compute_summary(posts_from_events(spark, d), users, with_histogram=False)
+
+
 def q_summary(spark, d):
     users = filter_snapshot_users(_users(spark, d), SNAPSHOT)
     return compute_summary(_posts(spark, d), users, with_histogram=False)
@@ -284,7 +298,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_tag_analysis": q_tag_analysis,
     "q_tag_analysis_inner": q_tag_analysis_inner,
     "q_tag_analysis_by_month": q_tag_analysis_by_month,
+    "q_tag_analysis_events": q_tag_analysis_events,
     "q_summary": q_summary,
+    "q_summary_events": q_summary_events,
     "q_parquet_sink": q_parquet_sink,
     "q_json_sink": q_json_sink,
     "q_job_tag_analysis": q_job_tag_analysis,
@@ -340,9 +356,14 @@ WHERE c_custkey % 10 <> 0
 
 EVENTS_POSTS_SQL = """
 SELECT
+  CAST(NULL AS VARCHAR) AS title,
+  CAST(NULL AS INTEGER) AS answer_count,
+  CAST(NULL AS INTEGER) AS comment_count,
   CAST(ts AS TIMESTAMP) AS creation_date,
   CAST(user_id AS BIGINT) AS owner_user_id,
+  CAST(NULL AS INTEGER) AS score,
   event_type AS tags,
+  CAST(NULL AS INTEGER) AS view_count,
   CAST(year(ts) AS INTEGER) AS src_year,
   CAST(month(ts) AS INTEGER) AS src_month
 FROM events
@@ -354,8 +375,8 @@ _SNAPSHOT_WHERE = (
 )
 
 
-def _with(users_snapshot: bool = False, **extra: str) -> str:
-    ctes = {"posts": POSTS_SQL, "users": _users_sql(users_snapshot)}
+def _with(users_snapshot: bool = False, posts_sql: str = POSTS_SQL, **extra: str) -> str:
+    ctes = {"posts": posts_sql, "users": _users_sql(users_snapshot)}
     ctes.update(extra)
     return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in ctes.items()) + "\n"
 
@@ -402,9 +423,16 @@ SELECT {_K}, name AS tag_hero, n AS hero_posts FROM (
 _KEY_EQ = " AND ".join(f"st.{k} = h.{k}" for k in TAG_KEYS)
 
 
-def _tag_analysis_sql(how: str = "left", on_month: bool = False) -> str:
+def _tag_analysis_sql(
+    how: str = "left", on_month: bool = False, posts_sql: str = POSTS_SQL
+) -> str:
     return _with(
-        pt=_TAG_ROWS, j=_joined(how, on_month), st=_STATS, nm=_NAMES, h=_HERO
+        posts_sql=posts_sql,
+        pt=_TAG_ROWS,
+        j=_joined(how, on_month),
+        st=_STATS,
+        nm=_NAMES,
+        h=_HERO,
     ) + (
         "SELECT st.src_year, st.src_month, st.tag, st.posts, st.avg_reputation, "
         "st.avg_score, h.tag_hero, st.month, st.year "
@@ -412,7 +440,7 @@ def _tag_analysis_sql(how: str = "left", on_month: bool = False) -> str:
     )
 
 
-def _summary_sql(histogram: str = "") -> str:
+def _summary_sql(histogram: str = "", posts_sql: str = POSTS_SQL) -> str:
     pm = (
         "SELECT src_year, src_month, count(*) AS number_of_posts, "
         "avg(comment_count) AS average_comments_per_post, "
@@ -446,7 +474,7 @@ def _summary_sql(histogram: str = "") -> str:
             ", coalesce(hd.histogram_days, 0) AS histogram_days"
             ", coalesce(hd.histogram_posts, 0) AS histogram_posts"
         )
-    return _with(pm=pm, um=um, tg=tg, hd=hd, k=keys) + f"""
+    return _with(posts_sql=posts_sql, pm=pm, um=um, tg=tg, hd=hd, k=keys) + f"""
 SELECT k.src_year, k.src_month,
        coalesce(pm.number_of_posts, 0) AS number_of_posts,
        pm.average_comments_per_post,
@@ -536,7 +564,9 @@ ORACLE_SQL: dict[str, str] = {
     "q_tag_analysis": _tag_analysis_sql("left", False),
     "q_tag_analysis_inner": _tag_analysis_sql("inner", False),
     "q_tag_analysis_by_month": _tag_analysis_sql("left", True),
+    "q_tag_analysis_events": _tag_analysis_sql("left", False, EVENTS_POSTS_SQL),
     "q_summary": _summary_sql(),
+    "q_summary_events": _summary_sql(posts_sql=EVENTS_POSTS_SQL),
     "q_parquet_sink": _tag_analysis_sql("left", False),
     "q_json_sink": _summary_sql("days_posts"),
     "q_job_tag_analysis": _tag_analysis_sql("left", True),
