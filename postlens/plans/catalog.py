@@ -350,7 +350,7 @@ SELECT
   CAST(NULL AS INTEGER) AS down_votes,
   {src}
 FROM customer
-WHERE c_custkey % 10 <> 0
+WHERE c_acctbal >= 0
 """
 
 

@@ -45,18 +45,19 @@ def posts_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def users_from_customer(
     spark: SparkSession, sf_dir: str, *, snapshot: bool = False
 ) -> DataFrame:
-    """Users: one per customer, except every tenth.
+    """Users: one per customer in good standing (non-negative balance).
 
-    Data-shape rule: the users file leaves out customers whose key is a
-    multiple of ten, so some posts have an owner with no user row, as posts
-    of a month do when their author's row is in another month's file. This is
-    what makes left and inner joins differ; it is not a sample, and every
-    order (post) is still processed.
+    Data-shape rule: customers with a negative balance play deleted
+    accounts. Their posts keep the owner id but have no user row, as posts
+    of a month do when their author's row is in another month's file. This
+    is what makes left and inner joins differ; it is not a sample, and every
+    order (post) is still processed. Reputation (the floored balance) is
+    therefore never negative.
 
     ``snapshot=True`` puts every user into one folder, 1995/01, which then
     acts as the all-users snapshot file the snapshot filter applies to.
     """
-    c = load_table(spark, sf_dir, "customer").where(F.col("c_custkey") % 10 != 0)
+    c = load_table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
     key = F.col("c_custkey")
     created = F.make_timestamp(
         (F.lit(1995) + key % 3).cast("int"),
