@@ -9,37 +9,77 @@ data-shape rule for users, below); the same expressions are written in SQL in
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postlens.schemas import POSTS_SCHEMA, USERS_SCHEMA
 
+# Schemas of the test tables used here, as generated. Reading
+# with a given schema skips schema inference (a footer-reading job per read).
+TABLE_SCHEMAS = {
+    "orders": T.StructType(
+        [
+            T.StructField("o_orderkey", T.LongType()),
+            T.StructField("o_custkey", T.LongType()),
+            T.StructField("o_orderstatus", T.StringType()),
+            T.StructField("o_totalprice", T.DoubleType()),
+            T.StructField("o_orderdate", T.TimestampNTZType()),
+            T.StructField("o_orderpriority", T.StringType()),
+        ]
+    ),
+    "customer": T.StructType(
+        [
+            T.StructField("c_custkey", T.LongType()),
+            T.StructField("c_name", T.StringType()),
+            T.StructField("c_nationkey", T.IntegerType()),
+            T.StructField("c_acctbal", T.DoubleType()),
+            T.StructField("c_mktsegment", T.StringType()),
+        ]
+    ),
+    "events": T.StructType(
+        [
+            T.StructField("event_id", T.LongType()),
+            T.StructField("ts", T.TimestampNTZType()),
+            T.StructField("user_id", T.LongType()),
+            T.StructField("event_type", T.StringType()),
+            T.StructField("value", T.DoubleType()),
+            T.StructField("props", T.StringType()),
+        ]
+    ),
+}
+
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def _nulls(schema: T.StructType, *fields: str) -> dict[str, str]:
+    return {f: f"CAST(NULL AS {schema[f].dataType.simpleString()})" for f in fields}
 
 
-def _null(field: str, schema) -> F.Column:
-    return F.lit(None).cast(schema[field].dataType).alias(field)
+def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """One projection from SQL expressions: one plan node, one analysis."""
+    return df.selectExpr(*[f"{expr} AS {name}" for name, expr in columns.items()])
 
 
 def posts_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts: one per order, folder month = month of the order date."""
-    o = load_table(spark, sf_dir, "orders")
-    created = F.col("o_orderdate").cast("timestamp")
-    return o.select(
-        _null("title", POSTS_SCHEMA),
-        _null("answer_count", POSTS_SCHEMA),
-        F.when(F.col("o_orderkey") % 5 == 0, F.lit(None))
-        .otherwise((F.col("o_orderkey") % 7).cast("int"))
-        .alias("comment_count"),
-        created.alias("creation_date"),
-        F.col("o_custkey").cast("long").alias("owner_user_id"),
-        F.floor("o_totalprice").cast("int").alias("score"),
-        F.concat_ws("|", "o_orderpriority", "o_orderstatus").alias("tags"),
-        _null("view_count", POSTS_SCHEMA),
-        F.year(created).alias("src_year"),
-        F.month(created).alias("src_month"),
-    )
+    created = "CAST(o_orderdate AS TIMESTAMP)"
+    cols = {
+        **_nulls(POSTS_SCHEMA, "title", "answer_count"),
+        "comment_count": "CASE WHEN o_orderkey % 5 = 0 THEN NULL "
+        "ELSE CAST(o_orderkey % 7 AS INT) END",
+        "creation_date": created,
+        "owner_user_id": "CAST(o_custkey AS BIGINT)",
+        "score": "CAST(FLOOR(o_totalprice) AS INT)",
+        "tags": "concat_ws('|', o_orderpriority, o_orderstatus)",
+        **_nulls(POSTS_SCHEMA, "view_count"),
+        "src_year": f"year({created})",
+        "src_month": f"month({created})",
+    }
+    return _project(load_table(spark, sf_dir, "orders"), cols)
 
 
 def users_from_customer(
@@ -57,33 +97,21 @@ def users_from_customer(
     ``snapshot=True`` puts every user into one folder, 1995/01, which then
     acts as the all-users snapshot file the snapshot filter applies to.
     """
-    c = load_table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
-    key = F.col("c_custkey")
-    created = F.make_timestamp(
-        (F.lit(1995) + key % 3).cast("int"),
-        (F.lit(1) + key % 12).cast("int"),
-        F.lit(1),
-        F.lit(0),
-        F.lit(0),
-        F.lit(0),
-    )
-    if snapshot:
-        src_year, src_month = F.lit(1995), F.lit(1)
-    else:
-        src_year, src_month = F.year(created), F.month(created)
-    return c.select(
-        key.cast("int").alias("id"),
-        F.when(key % 11 == 0, F.lit(None)).otherwise(F.col("c_name")).alias(
-            "display_name"
-        ),
-        created.alias("creation_date"),
-        F.floor("c_acctbal").cast("int").alias("reputation"),
-        _null("location", USERS_SCHEMA),
-        _null("up_votes", USERS_SCHEMA),
-        _null("down_votes", USERS_SCHEMA),
-        src_year.cast("int").alias("src_year"),
-        src_month.cast("int").alias("src_month"),
+    created = (
+        "make_timestamp(CAST(1995 + c_custkey % 3 AS INT), "
+        "CAST(1 + c_custkey % 12 AS INT), 1, 0, 0, 0)"
     )
+    cols = {
+        "id": "CAST(c_custkey AS INT)",
+        "display_name": "CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_name END",
+        "creation_date": created,
+        "reputation": "CAST(FLOOR(c_acctbal) AS INT)",
+        **_nulls(USERS_SCHEMA, "location", "up_votes", "down_votes"),
+        "src_year": "1995" if snapshot else f"year({created})",
+        "src_month": "1" if snapshot else f"month({created})",
+    }
+    customers = load_table(spark, sf_dir, "customer").where("c_acctbal >= 0")
+    return _project(customers, cols)
 
 
 def posts_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,17 +120,15 @@ def posts_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``user_id`` is the owner, ``ts`` the creation time, ``event_type`` the
     single tag; the folder month is the month of ``ts``.
     """
-    e = load_table(spark, sf_dir, "events")
-    created = F.col("ts").cast("timestamp")
-    return e.select(
-        _null("title", POSTS_SCHEMA),
-        _null("answer_count", POSTS_SCHEMA),
-        _null("comment_count", POSTS_SCHEMA),
-        created.alias("creation_date"),
-        F.col("user_id").cast("long").alias("owner_user_id"),
-        _null("score", POSTS_SCHEMA),
-        F.col("event_type").alias("tags"),
-        _null("view_count", POSTS_SCHEMA),
-        F.year(created).alias("src_year"),
-        F.month(created).alias("src_month"),
-    )
+    created = "CAST(ts AS TIMESTAMP)"
+    cols = {
+        **_nulls(POSTS_SCHEMA, "title", "answer_count", "comment_count"),
+        "creation_date": created,
+        "owner_user_id": "CAST(user_id AS BIGINT)",
+        **_nulls(POSTS_SCHEMA, "score"),
+        "tags": "event_type",
+        **_nulls(POSTS_SCHEMA, "view_count"),
+        "src_year": f"year({created})",
+        "src_month": f"month({created})",
+    }
+    return _project(load_table(spark, sf_dir, "events"), cols)
