@@ -14,15 +14,20 @@ month come from the post's creation date. Per group:
 
 Plan (three aggregations and one join, every input read once):
 
-1. explode tags and aggregate per (keys, owner): row count, score sum and
-   count. Partial aggregation runs before the shuffle, so an owner or tag
-   holding a large share of all posts is folded map-side to one row per
-   task, and the shuffle carries at most one row per (keys, owner) and task;
+1. aggregate posts per (source month, year, month, tags string, owner):
+   post count, score sum and count. The tags string is a function of the
+   post, so this needs no explode: each post crosses the first shuffle and
+   the join once, not once per tag. Partial aggregation runs before the
+   shuffle, so an owner holding a large share of all posts is folded
+   map-side to one row per (tag set, month) and task;
 2. join those rows to users on owner (and source month). The join input is
-   already shrunk to distinct (owner, tag, month) rows, so no owner is hot;
-3. aggregate per (keys, matched, name): hero candidates and partial sums;
-4. aggregate per keys: sums into averages, ``max(struct(rows, name))`` into
-   the hero. Both levels again combine map-side.
+   already shrunk to distinct (owner, tag set, month) rows, so no owner key
+   is hot;
+3. explode the tags string and aggregate per (keys, tag, matched, name):
+   hero candidates and partial sums, combined map-side, so a tag used by a
+   large share of all posts is spread over names before its shuffle;
+4. aggregate per (keys, tag): sums into averages, ``max(struct(rows, name))``
+   into the hero, again combined map-side.
 
 Averages are a sum of integers divided by a count, exactly as a direct mean
 over the joined rows would be, so results do not depend on the plan.
@@ -44,17 +49,18 @@ def explode_tags(posts: DataFrame) -> DataFrame:
     return posts.withColumn("tag", F.explode(tag_array("tags")))
 
 
-def owner_tag_rows(posts: DataFrame) -> DataFrame:
-    """Level 1: per (TAG_KEYS, owner) the rows, score sum and score count."""
-    exploded = dated_posts(posts).select(
+def owner_tagset_rows(posts: DataFrame) -> DataFrame:
+    """Level 1: per (source month, year, month, tags, owner) the post count,
+    score sum and score count. Posts without date or tags have no tag row
+    and are left out here."""
+    tagged = dated_posts(posts).where(F.col("tags").isNotNull())
+    return tagged.groupBy(
         *SOURCE_KEYS,
         year_of().alias("year"),
         month_of().alias("month"),
-        F.explode(tag_array("tags")).alias("tag"),
+        "tags",
         "owner_user_id",
-        "score",
-    )
-    return exploded.groupBy(*TAG_KEYS, "owner_user_id").agg(
+    ).agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum("score").alias("score_sum"),
         F.count("score").alias("score_n"),
@@ -77,14 +83,24 @@ def attach_users(
 
 
 def name_tag_rows(joined: DataFrame) -> DataFrame:
-    """Level 2: per (TAG_KEYS, matched, name) the partial sums."""
+    """Level 2: explode the tags, then per (TAG_KEYS, matched, name) the
+    partial sums. A tag repeated inside one post counts each time."""
     matched = F.col("id").isNotNull()
-    rows = F.col("rows")
-    return joined.groupBy(
-        *TAG_KEYS,
+    per_tag = joined.select(
+        *SOURCE_KEYS,
+        "year",
+        "month",
+        F.explode(tag_array("tags")).alias("tag"),
+        "owner_user_id",
+        "rows",
+        "score_sum",
+        "score_n",
+        "reputation",
         matched.alias("matched"),
         F.when(matched, fill_name()).alias("name"),
-    ).agg(
+    )
+    rows = F.col("rows")
+    return per_tag.groupBy(*TAG_KEYS, "matched", "name").agg(
         F.sum(F.when(F.col("owner_user_id").isNotNull(), rows)).alias("posts"),
         F.sum(rows).alias("name_rows"),
         F.sum(rows * F.col("reputation")).alias("rep_sum"),
@@ -98,7 +114,7 @@ def _name_rows(
     posts: DataFrame, users: DataFrame, how: str, join_on_month: bool
 ) -> DataFrame:
     return name_tag_rows(
-        attach_users(owner_tag_rows(posts), users, how, join_on_month)
+        attach_users(owner_tagset_rows(posts), users, how, join_on_month)
     )
 
 

@@ -25,15 +25,18 @@ def _writer(df: DataFrame, dynamic: bool):
 
 
 def _cluster(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Hash-cluster rows by the output partition columns before a write.
+    """Range-cluster rows by the output partition columns before a write.
 
     Every output folder then gets its rows from one task (one file per
-    folder), while the folders are spread over all write tasks. The count is
-    given explicitly so AQE does not coalesce the tiny results into a single
-    task: the write cost here is per file, not per byte.
+    folder), while the folders are spread over all write tasks in runs of
+    neighbouring months. The write cost here is per file, not per byte, so
+    the task count must not shrink with the data: an explicit count keeps AQE
+    from coalescing the partitions, and range (not hash) partitioning keeps
+    Spark from dropping the step as redundant after an aggregation that is
+    already hash-partitioned on the same keys.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *cols)
+    return df.repartitionByRange(n, *cols)
 
 
 def write_summary(summary: DataFrame, path: str, *, dynamic: bool = False) -> None:
