@@ -6,6 +6,8 @@ codegen and are pushed into scans where Spark can do so.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,6 +21,21 @@ TAG_SEPARATOR_PATTERN = r"\|"
 FOLDER_KEYS_PATTERN = r"/(?:[^/=]*=)?([^/]+)/(?:[^/=]*=)?([^/]+)/[^/]+$"
 
 
+def folder_keys_pattern(leaf: str | tuple[str, ...] | None = None) -> str:
+    """Pattern for the month folder above ``leaf`` (e.g. ``posts.csv``).
+
+    With a leaf name (or several) the entry may be the file itself or a
+    folder of part files: .../2016/01/posts.csv and
+    .../2016/01/posts.csv/part-1.csv both give (2016, 1). Without one, the
+    two directories above the file count.
+    """
+    if leaf is None:
+        return FOLDER_KEYS_PATTERN
+    names = (leaf,) if isinstance(leaf, str) else tuple(leaf)
+    entry = "(?:" + "|".join(re.escape(n) for n in names) + ")"
+    return r"/(?:[^/=]*=)?([^/]+)/(?:[^/=]*=)?([^/]+)/" + entry + r"(?:/[^/]+)?$"
+
+
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -58,11 +75,17 @@ def safe_ratio(numerator: str | Column, denominator: str | Column) -> Column:
     )
 
 
-def folder_key(part: int, path: str | Column | None = None) -> Column:
+def folder_key(
+    part: int,
+    path: str | Column | None = None,
+    leaf: str | tuple[str, ...] | None = None,
+) -> Column:
     """Year (part=1) or month (part=2) of the month folder a row came from.
 
     Reads the file path from the hidden ``_metadata`` column by default.
+    ``leaf`` names the entry inside the month folder (see
+    ``folder_keys_pattern``).
     """
     p = _col(path) if path is not None else F.col("_metadata.file_path")
-    raw = F.regexp_extract(p, FOLDER_KEYS_PATTERN, part)
+    raw = F.regexp_extract(p, folder_keys_pattern(leaf), part)
     return F.when(raw == "", F.lit(None)).otherwise(raw).try_cast("int")

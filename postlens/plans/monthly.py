@@ -62,10 +62,18 @@ def run_monthly_job(
     apply_job_conf(spark)
     root = inputs.rstrip("/")
     posts = read_month_csv(
-        spark, posts_glob or f"{root}/*/*/posts.csv", POSTS_SCHEMA, multiline=multiline
+        spark,
+        posts_glob or f"{root}/*/*/posts.csv",
+        POSTS_SCHEMA,
+        multiline=multiline,
+        leaf=None if posts_glob else "posts.csv",
     )
     users = read_month_csv(
-        spark, users_glob or f"{root}/*/*/users.csv", USERS_SCHEMA, multiline=multiline
+        spark,
+        users_glob or f"{root}/*/*/users.csv",
+        USERS_SCHEMA,
+        multiline=multiline,
+        leaf=None if users_glob else "users.csv",
     )
     subset = list(months) if months is not None else None
     if subset is not None:

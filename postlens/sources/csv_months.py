@@ -22,6 +22,7 @@ def read_month_csv(
     schema: T.StructType,
     *,
     multiline: bool = True,
+    leaf: str | None = None,
 ) -> DataFrame:
     """Read every file matching ``path_glob`` with a fixed schema.
 
@@ -31,6 +32,9 @@ def read_month_csv(
     one task. Files known to have no embedded line breaks should be read with
     ``multiline=False`` so Spark splits them by ``maxPartitionBytes``.
     Unparseable values become null (permissive mode).
+
+    ``leaf`` is the entry name inside each month folder (``posts.csv``); it
+    may then be a single file or a folder of part files.
     """
     reader = (
         spark.read.schema(schema)
@@ -45,8 +49,8 @@ def read_month_csv(
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             raise FileNotFoundError(f"No data found at {path_glob}") from exc
         raise
-    return df.withColumn("src_year", folder_key(1)).withColumn(
-        "src_month", folder_key(2)
+    return df.withColumn("src_year", folder_key(1, leaf=leaf)).withColumn(
+        "src_month", folder_key(2, leaf=leaf)
     )
 
 
@@ -54,7 +58,11 @@ def read_posts(
     spark: SparkSession, inputs: str, *, multiline: bool = True
 ) -> DataFrame:
     return read_month_csv(
-        spark, f"{inputs.rstrip('/')}/*/*/posts.csv", POSTS_SCHEMA, multiline=multiline
+        spark,
+        f"{inputs.rstrip('/')}/*/*/posts.csv",
+        POSTS_SCHEMA,
+        multiline=multiline,
+        leaf="posts.csv",
     )
 
 
@@ -62,7 +70,11 @@ def read_users(
     spark: SparkSession, inputs: str, *, multiline: bool = True
 ) -> DataFrame:
     return read_month_csv(
-        spark, f"{inputs.rstrip('/')}/*/*/users.csv", USERS_SCHEMA, multiline=multiline
+        spark,
+        f"{inputs.rstrip('/')}/*/*/users.csv",
+        USERS_SCHEMA,
+        multiline=multiline,
+        leaf="users.csv",
     )
 
 

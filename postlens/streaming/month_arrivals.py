@@ -46,17 +46,22 @@ def month_arrivals(
     spark: SparkSession,
     inputs: str,
     *,
-    file_glob: str = "{posts,users}.csv",
+    entries: tuple[str, ...] = ("posts.csv", "users.csv"),
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Streaming DataFrame of (src_year, src_month, path) per new input file."""
+    """Streaming DataFrame of (src_year, src_month, path) per new input file.
+
+    An entry may be a file or a folder of part files; a new part file names
+    the month folder it sits in.
+    """
     reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    files = reader.load(f"{inputs.rstrip('/')}/*/*/{file_glob}")
+    names = ",".join(entries)
+    files = reader.load(f"{inputs.rstrip('/')}/*/*/{{{names}}}")
     return files.select(
-        folder_key(1, "path").alias("src_year"),
-        folder_key(2, "path").alias("src_month"),
+        folder_key(1, "path", leaf=entries).alias("src_year"),
+        folder_key(2, "path", leaf=entries).alias("src_month"),
         "path",
     )
 

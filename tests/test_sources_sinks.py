@@ -170,3 +170,26 @@ def test_single_line_csv_option(spark, scratch):
     )
     posts = read_posts(spark, scratch, multiline=False)
     assert posts.count() == 1
+
+
+def test_month_entry_as_folder_of_part_files(spark, scratch):
+    # a big month delivered as several files inside posts.csv/
+    _write(
+        f"{scratch}/2016/05/posts.csv/part-1.csv",
+        POSTS_HEADER,
+        [("p1", 0, 1, "2016-05-01 00:00:00", 1, 1, "a", 1)],
+    )
+    _write(
+        f"{scratch}/2016/05/posts.csv/part-2.csv",
+        POSTS_HEADER,
+        [("p2", 0, 1, "2016-05-02 00:00:00", 2, 1, "b", 1)],
+    )
+    _write(
+        f"{scratch}/2016/06/posts.csv",
+        POSTS_HEADER,
+        [("p3", 0, 1, "2016-06-02 00:00:00", 2, 1, "b", 1)],
+    )
+    got = sorted(
+        (r["title"], r["src_year"], r["src_month"]) for r in read_posts(spark, scratch).collect()
+    )
+    assert got == [("p1", 2016, 5), ("p2", 2016, 5), ("p3", 2016, 6)]
