@@ -22,9 +22,9 @@ def filter_snapshot_users(
     """In a snapshot folder keep only users created in that folder's month.
 
     Rows of other folders pass unchanged. A user without creation date in a
-    snapshot folder is dropped (its month is unknown). The predicate is a
-    plain column filter, so on a staged Parquet table the folder keys are
-    pushed to the scan.
+    snapshot folder is dropped (its month is unknown). A row-level filter
+    (map-side, no shuffle); it mixes folder keys and creation dates, so it
+    is not a partition filter.
     """
     months = list(snapshot_months)
     if not months:

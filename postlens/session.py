@@ -62,8 +62,9 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder for staged tables and checkpoints.
 
     Read from ``spark.checkpoint.dir`` (the folder a cluster names for this
-    purpose). Only when it is unset, as in a bare local test session, a
-    folder of our own is made and registered.
+    purpose). Only when it is unset in a local-mode session, as in tests, a
+    folder of our own is made and registered; on a cluster a machine-local
+    folder would not be visible to the executors, so that is an error.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
@@ -73,6 +74,11 @@ def scratch_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current.rstrip("/")
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a shared folder for "
+                "staged tables (e.g. on HDFS or an object store)"
+            )
         root = tempfile.mkdtemp(prefix="postlens-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
