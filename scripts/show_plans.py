@@ -29,7 +29,8 @@ NOTES = {
         "customer scan 3 of 5 with `c_acctbal >= 0` pushed to Parquet."
     ),
     "q_summary": (
-        "Summary. Four grouped aggregates on the month keys, combined by a "
+        "Summary. Grouped aggregates on the month keys (three here, four with "
+        "the histogram in the job), combined by a "
         "Union and one aggregate with no Exchange above the Union (all "
         "inputs are already hash-partitioned on the month keys). Distinct "
         "counts aggregate per (month, value) before shuffling by month."
