@@ -2,7 +2,7 @@
 
 One plan covers every month folder under ``inputs``; there is no loop over
 months on the driver. Two write actions in total (plus two staging writes
-when ``stage_inputs``).
+when ``stage_inputs``). Only the input columns the analyses read are staged.
 """
 
 from __future__ import annotations
@@ -18,7 +18,13 @@ from postlens.operators.preprocess import DEFAULT_SNAPSHOT_MONTHS, filter_snapsh
 from postlens.operators.summary import compute_summary
 from postlens.operators.tags import compute_tag_analysis
 from postlens.plans.sinks import stage_table, write_summary, write_tag_analysis
-from postlens.schemas import POSTS_SCHEMA, USERS_SCHEMA
+from postlens.schemas import (
+    POSTS_SCHEMA,
+    POSTS_USED,
+    SOURCE_KEYS,
+    USERS_SCHEMA,
+    USERS_USED,
+)
 from postlens.session import apply_job_conf
 from postlens.sources.csv_months import read_month_csv
 
@@ -80,6 +86,8 @@ def run_monthly_job(
         if not subset:
             raise ValueError("months must name at least one (year, month)")
         posts, users = _only_months(posts, subset), _only_months(users, subset)
+    posts = posts.select(*POSTS_USED, *SOURCE_KEYS)
+    users = users.select(*USERS_USED, *SOURCE_KEYS)
     if stage_inputs:
         posts = stage_table(spark, posts, "posts")
         users = stage_table(spark, users, "users")

@@ -38,6 +38,12 @@ USERS_SCHEMA = T.StructType(
 )
 # --- end fixed values ----------------------------------------------------------
 
+# Input columns the summary and the tag analysis read; the job stages only
+# these (plus the folder keys), so e.g. post titles are parsed once and
+# never written again.
+POSTS_USED = ["comment_count", "creation_date", "owner_user_id", "score", "tags"]
+USERS_USED = ["id", "display_name", "creation_date", "reputation"]
+
 # Keys naming the month folder a row was read from. They are carried next to
 # the date keys (year, month) derived from creation_date, because a post can
 # be dated outside its folder's month.
