@@ -104,5 +104,6 @@ def stage_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    staged = spark.read.parquet(path)
+    # The schema is known: reading with it skips the footer-reading job.
+    staged = spark.read.schema(df.schema).parquet(path)
     return staged.select(*df.columns)
