@@ -4,7 +4,7 @@ Prints one JSON line:
 {"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
 Each query is executed in full with the ``noop`` sink (every row computed,
-nothing collected to the driver); the best of $BENCH_RUNS (default 3) runs is
+nothing collected to the driver); the best of $BENCH_RUNS (default 5) runs is
 reported, the job's best of 3. ``job`` is the whole monthly job over CSV
 month folders (read, stage, summary JSON, tag analysis Parquet); its CSV
 inputs are written once beforehand and not timed.
@@ -44,7 +44,7 @@ HEADLINE = [
 
 
 # Best of N runs per query (steady state after JIT and codegen warm-up).
-QUERY_RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+QUERY_RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 JOB_RUNS = 3
 
 
