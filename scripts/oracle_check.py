@@ -3,7 +3,8 @@
 Usage: python scripts/oracle_check.py [sf_dir] [query ...]
 
 Compares column names, row counts and the multiset of rows (columns sorted
-by name, floats rounded to 9 significant digits). Prints one line per query
+by name, floats rounded to 9 significant digits; EXACT=1 compares floats
+bit for bit). Prints one line per query
 and exits non-zero on any mismatch.
 """
 
@@ -28,11 +29,14 @@ TABLES = (
 ).split()
 
 
+EXACT = bool(os.environ.get("EXACT"))
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.9g}")
+        return v if EXACT else float(f"{v:.9g}")
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None).isoformat()
     if isinstance(v, (list, tuple)):
