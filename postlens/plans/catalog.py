@@ -271,6 +271,27 @@ def q_job_summary(spark, d):
     )
 
 
+def q_stream_tag_analysis(spark, d):
+    """Incremental runner: CSV month folders picked up by the file-name
+    stream (all present files, then stop); tag analysis read back."""
+    from postlens.streaming import start_month_stream
+
+    root, _, _ = _job_inputs(spark, d)
+    out = new_scratch_dir(spark, "stream-outputs")
+    # Spark-written month folders hold part files directly.
+    query = start_month_stream(
+        spark,
+        root,
+        out,
+        snapshot_months=SNAPSHOT,
+        watch_glob=f"{root}/*/*/*/*.csv",
+        posts_glob=f"{root}/posts/*/*/*.csv",
+        users_glob=f"{root}/users/*/*/*.csv",
+    )
+    query.awaitTermination()
+    return read_tag_analysis(spark, f"{out}/tag_analysis")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_scan_posts": q_scan_posts,
     "q_scan_users": q_scan_users,
@@ -304,6 +325,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_json_sink": q_json_sink,
     "q_job_tag_analysis": q_job_tag_analysis,
     "q_job_summary": q_job_summary,
+    "q_stream_tag_analysis": q_stream_tag_analysis,
 }
 
 # --------------------------------------------------------------------------
@@ -570,6 +592,7 @@ ORACLE_SQL: dict[str, str] = {
     "q_json_sink": _summary_sql("days_posts"),
     "q_job_tag_analysis": _tag_analysis_sql("left", True),
     "q_job_summary": _summary_sql("days"),
+    "q_stream_tag_analysis": _tag_analysis_sql("left", True),
 }
 
 

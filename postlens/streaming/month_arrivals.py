@@ -47,21 +47,28 @@ def month_arrivals(
     inputs: str,
     *,
     entries: tuple[str, ...] = ("posts.csv", "users.csv"),
+    watch_glob: str | None = None,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Streaming DataFrame of (src_year, src_month, path) per new input file.
 
-    An entry may be a file or a folder of part files; a new part file names
-    the month folder it sits in.
+    Watches ``<inputs>/<year>/<month>/<entry>`` for the named entries; an
+    entry may be a file or a folder of part files (a new part file names the
+    month folder it sits in). ``watch_glob`` replaces that layout by any
+    glob whose files sit directly in their month folder (e.g. Spark-written
+    ``.../src_year=2016/src_month=1/part-*.csv``).
     """
     reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    names = ",".join(entries)
-    files = reader.load(f"{inputs.rstrip('/')}/*/*/{{{names}}}")
+    if watch_glob:
+        files, leaf = reader.load(watch_glob), None
+    else:
+        names = ",".join(entries)
+        files, leaf = reader.load(f"{inputs.rstrip('/')}/*/*/{{{names}}}"), entries
     return files.select(
-        folder_key(1, "path", leaf=entries).alias("src_year"),
-        folder_key(2, "path", leaf=entries).alias("src_month"),
+        folder_key(1, "path", leaf=leaf).alias("src_year"),
+        folder_key(2, "path", leaf=leaf).alias("src_month"),
         "path",
     )
 
@@ -98,6 +105,7 @@ def start_month_stream(
     available_now: bool = True,
     processing_time: str = "1 minute",
     max_files_per_trigger: int | None = None,
+    watch_glob: str | None = None,
     **job_options,
 ) -> StreamingQuery:
     """Start the incremental job; returns the running query.
@@ -108,11 +116,17 @@ def start_month_stream(
     storage as the outputs; names starting with ``_`` are ignored by
     readers of the result folders). ``job_options`` go to
     ``run_monthly_job`` (``how``, ``join_on_month``, ``snapshot_months``,
-    ``multiline``, ``stage_inputs``).
+    ``multiline``, ``stage_inputs``, ``posts_glob``, ``users_glob``);
+    ``watch_glob`` goes to ``month_arrivals``.
     """
     ckpt = checkpoint or f"{outputs.rstrip('/')}/_checkpoint"
     writer = (
-        month_arrivals(spark, inputs, max_files_per_trigger=max_files_per_trigger)
+        month_arrivals(
+            spark,
+            inputs,
+            watch_glob=watch_glob,
+            max_files_per_trigger=max_files_per_trigger,
+        )
         .writeStream.foreachBatch(
             monthly_batch_handler(spark, inputs, outputs, **job_options)
         )
