@@ -19,6 +19,10 @@ from postlens.schemas import SOURCE_KEYS, SUMMARY_SCHEMA, TAG_ANALYSIS_COLUMNS
 from postlens.session import new_scratch_dir
 
 
+# Rows per staged Parquet file (a few hundred MB for the staged columns).
+STAGE_MAX_RECORDS_PER_FILE = 10_000_000
+
+
 def _writer(df: DataFrame, dynamic: bool):
     w = df.write.mode("overwrite")
     return w.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
@@ -100,7 +104,11 @@ def stage_table(
     writing adds no shuffle.
     """
     path = new_scratch_dir(spark, label)
-    writer = df.write.mode("overwrite")
+    # A month parsed by one task (a multi-line CSV file) must not become one
+    # huge file: cap the rows per staged file.
+    writer = df.write.mode("overwrite").option(
+        "maxRecordsPerFile", STAGE_MAX_RECORDS_PER_FILE
+    )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
