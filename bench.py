@@ -24,7 +24,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from postlens.plans.catalog import QUERIES, _job_inputs  # noqa: E402
+from postlens.plans.catalog import QUERIES, write_job_inputs  # noqa: E402
 from postlens.plans.monthly import run_monthly_job  # noqa: E402
 from postlens.session import build_session, new_scratch_dir  # noqa: E402
 
@@ -81,7 +81,7 @@ def main() -> None:
             best = min(best, time.perf_counter() - t0)
         times[name] = round(best, 3)
 
-    root, posts_glob, users_glob = _job_inputs(spark, sf_dir)
+    root, posts_glob, users_glob = write_job_inputs(spark, sf_dir)
     best = float("inf")
     for _ in range(JOB_RUNS):
         out = new_scratch_dir(spark, "bench-job")

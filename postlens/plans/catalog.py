@@ -235,7 +235,7 @@ def q_json_sink(spark, d):
     )
 
 
-def _job_inputs(spark, d) -> tuple[str, str, str]:
+def write_job_inputs(spark, d) -> tuple[str, str, str]:
     """Adapters written as month folders of CSV: posts and users."""
     root = new_scratch_dir(spark, "job-inputs")
     write_month_csv(_posts(spark, d), f"{root}/posts")
@@ -246,7 +246,7 @@ def _job_inputs(spark, d) -> tuple[str, str, str]:
 def _run_job(spark, d):
     """The whole job once over the adapters written as CSV month folders.
     (Re-runs are checked by the sink queries and the test suite.)"""
-    root, posts_glob, users_glob = _job_inputs(spark, d)
+    root, posts_glob, users_glob = write_job_inputs(spark, d)
     return run_monthly_job(
         spark,
         root,
@@ -276,7 +276,7 @@ def q_stream_tag_analysis(spark, d):
     stream (all present files, then stop); tag analysis read back."""
     from postlens.streaming import start_month_stream
 
-    root, _, _ = _job_inputs(spark, d)
+    root, _, _ = write_job_inputs(spark, d)
     out = new_scratch_dir(spark, "stream-outputs")
     # Spark-written month folders hold part files directly.
     query = start_month_stream(
