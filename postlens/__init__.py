@@ -13,6 +13,6 @@ parameter and is never created at import time.
 
 from postlens.operators.summary import compute_summary
 from postlens.operators.tags import compute_tag_analysis
-from postlens.plans.monthly import run_monthly_job
+from postlens.plans.monthly import run_monthly_job, run_on_frames
 
-__all__ = ["compute_summary", "compute_tag_analysis", "run_monthly_job"]
+__all__ = ["compute_summary", "compute_tag_analysis", "run_monthly_job", "run_on_frames"]

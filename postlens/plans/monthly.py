@@ -91,15 +91,42 @@ def run_monthly_job(
     if stage_inputs:
         posts = stage_table(spark, posts, "posts")
         users = stage_table(spark, users, "users")
-    users = filter_snapshot_users(users, snapshot_months)
+    return run_on_frames(
+        posts,
+        users,
+        outputs,
+        how=how,
+        join_on_month=join_on_month,
+        snapshot_months=snapshot_months,
+        partial=subset is not None,
+    )
+
+
+def run_on_frames(
+    posts: DataFrame,
+    users: DataFrame,
+    outputs: str,
+    *,
+    how: str = "left",
+    join_on_month: bool = True,
+    snapshot_months: Iterable[tuple[int, int]] = DEFAULT_SNAPSHOT_MONTHS,
+    partial: bool = False,
+) -> JobOutputs:
+    """The job's core on DataFrames already loaded from any source.
 
+    ``posts`` and ``users`` need the input columns the analyses read
+    (``schemas.POSTS_USED``, ``schemas.USERS_USED``) plus ``src_year`` and
+    ``src_month``. ``partial=True`` replaces only the written month
+    partitions (dynamic overwrite) instead of the whole result.
+    """
+    apply_job_conf(posts.sparkSession)
+    users = filter_snapshot_users(users, snapshot_months)
     out = outputs.rstrip("/")
     result = JobOutputs(f"{out}/summary", f"{out}/tag_analysis")
-    dynamic = subset is not None
-    write_summary(compute_summary(posts, users), result.summary, dynamic=dynamic)
+    write_summary(compute_summary(posts, users), result.summary, dynamic=partial)
     write_tag_analysis(
         compute_tag_analysis(posts, users, how=how, join_on_month=join_on_month),
         result.tag_analysis,
-        dynamic=dynamic,
+        dynamic=partial,
     )
     return result
