@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections import Counter, defaultdict
 
 from hypothesis import HealthCheck, given, settings
@@ -31,21 +30,22 @@ user_st = st.tuples(
 )
 
 
-def _model_tags(posts, users):
+def _model_tags(posts, users, how="left", join_on_month=True):
     by_key = defaultdict(list)
     for (y, m), uid, name, rep in users:
-        by_key[(y, m, uid)].append((name, rep))
+        by_key[(y, m, uid) if join_on_month else uid].append((name, rep))
     groups = defaultdict(list)
     for (y, m), day, owner, score, _, tags in posts:
         if day is None or tags is None:
             continue
-        matches = by_key.get((y, m, owner), []) if owner is not None else []
+        key_u = (y, m, owner) if join_on_month else owner
+        matches = by_key.get(key_u, []) if owner is not None else []
         for tag in tags:
             key = (y, m, y, m, tag)
             if matches:
                 for name, rep in matches:
                     groups[key].append((owner, score, True, name, rep))
-            else:
+            elif how == "left":
                 groups[key].append((owner, score, False, None, None))
     out = {}
     for key, rows in groups.items():
@@ -71,10 +71,16 @@ def _to_frames(spark, posts, users):
     return make_posts(spark, prow), make_users(spark, urow)
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(post_st, min_size=1, max_size=25), st.lists(user_st, max_size=8))
-def test_tag_analysis_matches_model(spark, posts, users):
+@settings(max_examples=30, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(post_st, min_size=1, max_size=25),
+    st.lists(user_st, max_size=8),
+    st.sampled_from(["left", "inner"]),
+    st.booleans(),
+)
+def test_tag_analysis_matches_model(spark, posts, users, how, join_on_month):
     pdf, udf = _to_frames(spark, posts, users)
+    result = compute_tag_analysis(pdf, udf, how=how, join_on_month=join_on_month)
     got = {
         (r["src_year"], r["src_month"], r["year"], r["month"], r["tag"]): (
             r["posts"],
@@ -82,9 +88,9 @@ def test_tag_analysis_matches_model(spark, posts, users):
             r["avg_score"],
             r["tag_hero"],
         )
-        for r in compute_tag_analysis(pdf, udf).collect()
+        for r in result.collect()
     }
-    want = _model_tags(posts, users)
+    want = _model_tags(posts, users, how, join_on_month)
     assert got.keys() == want.keys()
     for k, w in want.items():
         g = got[k]
@@ -109,4 +115,3 @@ def test_histogram_sums_to_dated_posts(spark, posts, users):
         tags = {t for p in mine if p[5] is not None for t in p[5]}
         assert r["total_active_tags"] == len(tags)
         assert r["number_of_new_users"] == sum(1 for u in users if u[0] == ym)
-        _ = dt  # keep import for readability of dates above
