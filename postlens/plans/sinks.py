@@ -37,7 +37,9 @@ def _cluster(df: DataFrame, cols: list[str]) -> DataFrame:
     the task count must not shrink with the data: an explicit count keeps AQE
     from coalescing the partitions, and range (not hash) partitioning keeps
     Spark from dropping the step as redundant after an aggregation that is
-    already hash-partitioned on the same keys.
+    already hash-partitioned on the same keys. Range partitioning also caps
+    the task count at the number of distinct output folders (the sampled
+    bounds), so a large ``spark.sql.shuffle.partitions`` adds no empty tasks.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartitionByRange(n, *cols)

@@ -92,3 +92,24 @@ def test_skewed_keys_are_exact(spark):
     assert s["number_of_posts"] == 900
     assert s["average_posts_per_user"] == pytest.approx(900 / 301)
     assert s["total_active_tags"] == 3
+
+
+def test_write_clustering_is_bounded_by_output_folders(spark):
+    from postlens.plans.sinks import _cluster
+
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "64")
+    try:
+        posts = make_posts(
+            spark,
+            [
+                ("2016-01-01 00:00:00", 1, 1, 1, "a", (2016, 1)),
+                ("2016-02-01 00:00:00", 1, 1, 1, "a", (2016, 2)),
+            ],
+        )
+        users = make_users(spark, [(1, "a", 1)])
+        summary = compute_summary(posts, users)
+        assert _cluster(summary, ["src_year", "src_month"]).rdd.getNumPartitions() <= 2
+    finally:
+        spark.conf.set(key, old)
