@@ -10,8 +10,9 @@ re-plans a sort-merge join into a broadcast join when the measured size is
 under ``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise both sides
 are hash-shuffled on the keys. A posts partition swollen by one very active
 owner is split by AQE's skew-join handling (the left side of a left outer
-join can be split). The analyses in ``tags`` avoid that case altogether by
-aggregating posts per owner before joining.
+join can be split); posts without owner, which never match, are spread by a
+hash of the post instead of sharing one null key. The analyses in ``tags``
+avoid hot owners altogether by aggregating posts per owner before joining.
 """
 
 from __future__ import annotations
@@ -43,6 +44,22 @@ def join_condition(left: DataFrame, right: DataFrame, join_on_month: bool):
     return cond
 
 
+# Null owners never match a user. In a left join they would all hash to one
+# partition; instead each gets a key below every 32-bit user id, spread by a
+# hash of the post itself (deterministic, so task retries see the same key).
+NULL_OWNER_SPREAD = 1 << 20
+NULL_OWNER_BASE = -(1 << 40)
+
+
+def _spread_null_owners(posts: DataFrame) -> DataFrame:
+    owner = F.col("owner_user_id")
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in posts.columns]), F.lit(NULL_OWNER_SPREAD))
+    return posts.withColumn(
+        "_owner_key",
+        F.when(owner.isNull(), F.lit(NULL_OWNER_BASE) - spread).otherwise(owner),
+    )
+
+
 def join_posts_users(
     posts: DataFrame,
     users: DataFrame,
@@ -52,12 +69,21 @@ def join_posts_users(
     """Every post column plus ``id``, ``reputation``, ``display_name``.
 
     ``how="left"`` keeps posts whose owner has no user row (user columns
-    null); ``how="inner"`` drops them. Null owners never match.
+    null); ``how="inner"`` drops them. Null owners never match; in a left
+    join they are spread over all partitions rather than sent to one.
     """
     if how not in JOIN_TYPES:
         raise ValueError(f"how must be one of {JOIN_TYPES}, got {how!r}")
     right = users_side(users, join_on_month)
-    joined = posts.join(right, join_condition(posts, right, join_on_month), how)
+    if how == "inner":
+        joined = posts.join(right, join_condition(posts, right, join_on_month), how)
+    else:
+        left = _spread_null_owners(posts)
+        cond = left["_owner_key"] == right["id"].cast("long")
+        if join_on_month:
+            for k in SOURCE_KEYS:
+                cond = cond & (left[k] == right[f"_u_{k}"])
+        joined = left.join(right, cond, how).drop("_owner_key")
     if join_on_month:
         joined = joined.drop(*[f"_u_{k}" for k in SOURCE_KEYS])
     return joined

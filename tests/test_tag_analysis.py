@@ -206,3 +206,25 @@ def test_join_keeps_unmatched_only_for_left(feb):
     assert left.count() == 5
     assert inner.count() == 3
     assert "id" in left.columns and "reputation" in left.columns
+
+
+def test_left_join_with_many_null_owners(spark):
+    rows = [("2016-02-01 00:00:00", None, i, 0, "t") for i in range(200)] + [
+        ("2016-02-01 00:00:00", 1, 1, 0, "t")
+    ]
+    posts = make_posts(spark, rows)
+    users = make_users(spark, [(1, "ann", 7)])
+    for on_month in (True, False):
+        joined = join_posts_users(posts, users, how="left", join_on_month=on_month)
+        assert "_owner_key" not in joined.columns
+        got = joined.collect()
+        assert len(got) == 201
+        assert sum(1 for r in got if r["id"] is not None) == 1
+        assert all(r["owner_user_id"] is None for r in got if r["id"] is None)
+    # the null owners are spread over many join keys, none a valid user id
+    from postlens.operators.joins import _spread_null_owners
+
+    keys = [r["_owner_key"] for r in _spread_null_owners(posts).collect()]
+    null_keys = [k for k in keys if k != 1]
+    assert len(set(null_keys)) > 150
+    assert all(k < -(2**31) for k in null_keys)
