@@ -63,7 +63,7 @@ def scaled_inputs(spark, sf_dir: str, copies: int):
 
 
 def stage_stats(group: str):
-    jobs, stage_job, stage_name, tasks = {}, {}, {}, {}
+    jobs, stage_job, tasks = {}, {}, {}
     for f in glob.glob(f"{LOG_DIR}/*/events*") + glob.glob(f"{LOG_DIR}/*"):
         if os.path.isdir(f):
             continue

@@ -209,3 +209,26 @@ def test_run_on_frames_matches_csv_job(spark, scratch):
         if "histogram" in a.columns:
             a, b = a.drop("histogram"), b.drop("histogram")
         assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_month_without_users_and_month_with_header_only(spark, scratch):
+    inputs = f"{scratch}/in"
+    _write(
+        f"{inputs}/2016/03/posts.csv",
+        POSTS_HEADER,
+        [("p", 0, 2, "2016-03-05 00:00:00", 5, 1, "a", 1)],
+    )  # no users.csv in 2016/03
+    _write(f"{inputs}/2016/04/posts.csv", POSTS_HEADER, [])  # header only
+    _write(
+        f"{inputs}/2016/04/users.csv",
+        USERS_HEADER,
+        [(5, "eve", "2016-04-01 00:00:00", 50, "", 0, 0)],
+    )
+    res = run_monthly_job(spark, inputs, f"{scratch}/out")
+    s = {r["src_month"]: r.asDict() for r in read_summary(spark, res.summary).collect()}
+    assert s[3]["number_of_posts"] == 1 and s[3]["number_of_new_users"] == 0
+    assert s[3]["average_reputation_per_user"] is None
+    assert s[4]["number_of_posts"] == 0 and s[4]["number_of_new_users"] == 1
+    assert s[4]["histogram"] == {} and s[4]["average_posts_per_user"] is None
+    (t,) = read_tag_analysis(spark, res.tag_analysis).collect()
+    assert (t["src_month"], t["tag"], t["posts"], t["tag_hero"]) == (3, "a", 1, None)
