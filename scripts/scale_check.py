@@ -11,7 +11,9 @@ inputs are written once as Parquet under the shared scratch folder.
 Prints per analysis the wall time of a second (warm) run and, per stage, task count, max and
 median task time (from Spark's event log in a fresh scratch folder): a hot
 key processed by one task would show as max >> median in some stage.
-This is a measurement script, not a registered query.
+NO_BROADCAST=1 disables broadcast joins (the shape used when the users
+table is too large to broadcast). This is a measurement script, not a
+registered query.
 """
 
 from __future__ import annotations
@@ -90,6 +92,10 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     copies = int(sys.argv[2]) if len(sys.argv) > 2 else 20
     spark = build_session()
+    if os.environ.get("NO_BROADCAST"):
+        # the large-data shape: users too big to broadcast, sort-merge join
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     posts, users = scaled_inputs(spark, sf_dir, copies)
     t0 = time.perf_counter()
     posts = stage_table(spark, posts, "scale-posts")
