@@ -49,6 +49,9 @@ def build_parser() -> argparse.ArgumentParser:
                    help="CSV fields have no line breaks: split files for parallel reads")
     p.add_argument("--months", type=_year_month, action="append", metavar="YYYY-MM",
                    help="rebuild only these months (repeatable)")
+    p.add_argument("--join-first", action="store_true",
+                   help="tag analysis: join every post instead of pre-aggregating "
+                        "per owner (faster when no single owner is hot)")
     p.add_argument("--no-staging", action="store_true",
                    help="do not stage the parsed CSV as Parquet first")
     p.add_argument("--stream", action="store_true",
@@ -71,6 +74,7 @@ def job_options(args: argparse.Namespace) -> dict:
         "snapshot_months": snapshot,
         "multiline": not args.single_line,
         "stage_inputs": not args.no_staging,
+        "pre_aggregate": not args.join_first,
     }
 
 

@@ -60,30 +60,44 @@ def _spread_null_owners(posts: DataFrame) -> DataFrame:
     )
 
 
-def join_posts_users(
-    posts: DataFrame,
+def join_users(
+    left: DataFrame,
     users: DataFrame,
     how: str = "left",
     join_on_month: bool = True,
 ) -> DataFrame:
-    """Every post column plus ``id``, ``reputation``, ``display_name``.
+    """Join any frame with ``owner_user_id`` (and the month keys) to users.
 
-    ``how="left"`` keeps posts whose owner has no user row (user columns
-    null); ``how="inner"`` drops them. Null owners never match; in a left
-    join they are spread over all partitions rather than sent to one.
+    Adds ``id``, ``reputation``, ``display_name``. Null owners never match;
+    in a left join they are spread over all partitions rather than sent to
+    one.
     """
     if how not in JOIN_TYPES:
         raise ValueError(f"how must be one of {JOIN_TYPES}, got {how!r}")
     right = users_side(users, join_on_month)
     if how == "inner":
-        joined = posts.join(right, join_condition(posts, right, join_on_month), how)
+        joined = left.join(right, join_condition(left, right, join_on_month), how)
     else:
-        left = _spread_null_owners(posts)
-        cond = left["_owner_key"] == right["id"].cast("long")
+        keyed = _spread_null_owners(left)
+        cond = keyed["_owner_key"] == right["id"].cast("long")
         if join_on_month:
             for k in SOURCE_KEYS:
-                cond = cond & (left[k] == right[f"_u_{k}"])
-        joined = left.join(right, cond, how).drop("_owner_key")
+                cond = cond & (keyed[k] == right[f"_u_{k}"])
+        joined = keyed.join(right, cond, how).drop("_owner_key")
     if join_on_month:
         joined = joined.drop(*[f"_u_{k}" for k in SOURCE_KEYS])
     return joined
+
+
+def join_posts_users(
+    posts: DataFrame,
+    users: DataFrame,
+    how: str = "left",
+    join_on_month: bool = True,
+) -> DataFrame:
+    """Every post column plus ``id``, ``reputation``, ``display_name``.
+
+    ``how="left"`` keeps posts whose owner has no user row (user columns
+    null); ``how="inner"`` drops them.
+    """
+    return join_users(posts, users, how, join_on_month)

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlens.functions.columns import fill_name, month_of, safe_ratio, tag_array, year_of
-from postlens.operators.joins import JOIN_TYPES, join_condition, users_side
+from postlens.operators.joins import join_users
 from postlens.operators.preprocess import dated_posts
 from postlens.schemas import SOURCE_KEYS, TAG_ANALYSIS_COLUMNS, TAG_KEYS
 
@@ -67,6 +67,23 @@ def owner_tagset_rows(posts: DataFrame) -> DataFrame:
     )
 
 
+def post_tagset_rows(posts: DataFrame) -> DataFrame:
+    """Level 1 without aggregation: one row per dated, tagged post with unit
+    counts, in the columns of ``owner_tagset_rows``."""
+    tagged = dated_posts(posts).where(F.col("tags").isNotNull())
+    score = F.col("score")
+    return tagged.select(
+        *SOURCE_KEYS,
+        year_of().alias("year"),
+        month_of().alias("month"),
+        "tags",
+        "owner_user_id",
+        F.lit(1).cast("long").alias("rows"),
+        score.cast("long").alias("score_sum"),
+        F.when(score.isNotNull(), 1).otherwise(0).cast("long").alias("score_n"),
+    )
+
+
 def attach_users(
     owner_rows: DataFrame,
     users: DataFrame,
@@ -74,12 +91,7 @@ def attach_users(
     join_on_month: bool = True,
 ) -> DataFrame:
     """Level-1 rows joined to the owner's user row."""
-    if how not in JOIN_TYPES:
-        raise ValueError(f"how must be one of {JOIN_TYPES}, got {how!r}")
-    right = users_side(users, join_on_month)
-    return owner_rows.join(
-        right, join_condition(owner_rows, right, join_on_month), how
-    )
+    return join_users(owner_rows, users, how, join_on_month)
 
 
 def name_tag_rows(joined: DataFrame) -> DataFrame:
@@ -111,11 +123,14 @@ def name_tag_rows(joined: DataFrame) -> DataFrame:
 
 
 def _name_rows(
-    posts: DataFrame, users: DataFrame, how: str, join_on_month: bool
+    posts: DataFrame,
+    users: DataFrame,
+    how: str,
+    join_on_month: bool,
+    pre_aggregate: bool = True,
 ) -> DataFrame:
-    return name_tag_rows(
-        attach_users(owner_tagset_rows(posts), users, how, join_on_month)
-    )
+    level1 = owner_tagset_rows(posts) if pre_aggregate else post_tagset_rows(posts)
+    return name_tag_rows(attach_users(level1, users, how, join_on_month))
 
 
 def _stat_columns() -> list:
@@ -136,9 +151,10 @@ def tag_stats(
     users: DataFrame,
     how: str = "left",
     join_on_month: bool = True,
+    pre_aggregate: bool = True,
 ) -> DataFrame:
     """Per tag group: posts, avg_reputation, avg_score (no hero)."""
-    return _name_rows(posts, users, how, join_on_month).groupBy(*TAG_KEYS).agg(
+    return _name_rows(posts, users, how, join_on_month, pre_aggregate).groupBy(*TAG_KEYS).agg(
         *_stat_columns()
     )
 
@@ -148,10 +164,11 @@ def user_tag_counts(
     users: DataFrame,
     how: str = "left",
     join_on_month: bool = True,
+    pre_aggregate: bool = True,
 ) -> DataFrame:
     """Per tag group and display name of a matched user: rows (``n_posts``)."""
     return (
-        _name_rows(posts, users, how, join_on_month)
+        _name_rows(posts, users, how, join_on_month, pre_aggregate)
         .where(F.col("matched"))
         .select(
             *TAG_KEYS,
@@ -166,12 +183,13 @@ def tag_heroes(
     users: DataFrame,
     how: str = "left",
     join_on_month: bool = True,
+    pre_aggregate: bool = True,
 ) -> DataFrame:
     """Per tag group: the hero and the hero's row count (``hero_posts``)."""
     candidate = F.when(F.col("matched"), F.struct("name_rows", "name"))
     best = F.max(candidate)
     return (
-        _name_rows(posts, users, how, join_on_month)
+        _name_rows(posts, users, how, join_on_month, pre_aggregate)
         .groupBy(*TAG_KEYS)
         .agg(best.alias("_best"))
         .select(
@@ -187,10 +205,16 @@ def compute_tag_analysis(
     users: DataFrame,
     how: str = "left",
     join_on_month: bool = True,
+    pre_aggregate: bool = True,
 ) -> DataFrame:
-    """The tag analysis table (see module doc), all months at once."""
+    """The tag analysis table (see module doc), all months at once.
+
+    ``pre_aggregate=False`` skips level 1 and joins every post: one shuffle
+    less, for data known to have no hot owner (a hot owner's rows then cross
+    the network raw, split only by AQE's skew-join handling).
+    """
     return (
-        _name_rows(posts, users, how, join_on_month)
+        _name_rows(posts, users, how, join_on_month, pre_aggregate)
         .groupBy(*TAG_KEYS)
         .agg(*_stat_columns(), _hero_column())
         .select(*TAG_ANALYSIS_COLUMNS)

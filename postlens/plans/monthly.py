@@ -56,6 +56,7 @@ def run_monthly_job(
     stage_inputs: bool = True,
     posts_glob: str | None = None,
     users_glob: str | None = None,
+    pre_aggregate: bool = True,
 ) -> JobOutputs:
     """Summary and tag analysis for every month folder under ``inputs``.
 
@@ -99,6 +100,7 @@ def run_monthly_job(
         join_on_month=join_on_month,
         snapshot_months=snapshot_months,
         partial=subset is not None,
+        pre_aggregate=pre_aggregate,
     )
 
 
@@ -111,6 +113,7 @@ def run_on_frames(
     join_on_month: bool = True,
     snapshot_months: Iterable[tuple[int, int]] = DEFAULT_SNAPSHOT_MONTHS,
     partial: bool = False,
+    pre_aggregate: bool = True,
 ) -> JobOutputs:
     """The job's core on DataFrames already loaded from any source.
 
@@ -118,6 +121,7 @@ def run_on_frames(
     (``schemas.POSTS_USED``, ``schemas.USERS_USED``) plus ``src_year`` and
     ``src_month``. ``partial=True`` replaces only the written month
     partitions (dynamic overwrite) instead of the whole result.
+    ``pre_aggregate`` is passed to ``compute_tag_analysis``.
     """
     apply_job_conf(posts.sparkSession)
     users = filter_snapshot_users(users, snapshot_months)
@@ -125,7 +129,13 @@ def run_on_frames(
     result = JobOutputs(f"{out}/summary", f"{out}/tag_analysis")
     write_summary(compute_summary(posts, users), result.summary, dynamic=partial)
     write_tag_analysis(
-        compute_tag_analysis(posts, users, how=how, join_on_month=join_on_month),
+        compute_tag_analysis(
+            posts,
+            users,
+            how=how,
+            join_on_month=join_on_month,
+            pre_aggregate=pre_aggregate,
+        ),
         result.tag_analysis,
         dynamic=partial,
     )

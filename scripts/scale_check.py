@@ -11,6 +11,7 @@ inputs are written once as Parquet under the shared scratch folder.
 Prints per analysis the wall time of a second (warm) run and, per stage, task count, max and
 median task time (from Spark's event log in a fresh scratch folder): a hot
 key processed by one task would show as max >> median in some stage.
+ONE_USERS_TABLE=1 joins on owner only (one hot join key).
 NO_BROADCAST=1 disables broadcast joins (the shape used when the users
 table is too large to broadcast). This is a measurement script, not a
 registered query.
@@ -106,8 +107,20 @@ def main() -> None:
         f"inputs: {n_posts} posts ({hot} by one owner), {n_users} users, "
         f"written in {time.perf_counter() - t0:.1f}s"
     )
+    # ONE_USERS_TABLE=1 joins on owner only: the hot owner is then ONE join
+    # key holding a third of all rows (by default the month keys split it).
+    on_month = not os.environ.get("ONE_USERS_TABLE")
     for name, build in (
-        ("tag_analysis", lambda: compute_tag_analysis(posts, users)),
+        (
+            "tag_analysis",
+            lambda: compute_tag_analysis(posts, users, join_on_month=on_month),
+        ),
+        (
+            "tag_analysis_join_first",
+            lambda: compute_tag_analysis(
+                posts, users, join_on_month=on_month, pre_aggregate=False
+            ),
+        ),
         ("summary", lambda: compute_summary(posts, users)),
     ):
         build().write.format("noop").mode("overwrite").save()  # warm-up

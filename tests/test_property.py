@@ -77,10 +77,13 @@ def _to_frames(spark, posts, users):
     st.lists(user_st, max_size=8),
     st.sampled_from(["left", "inner"]),
     st.booleans(),
+    st.booleans(),
 )
-def test_tag_analysis_matches_model(spark, posts, users, how, join_on_month):
+def test_tag_analysis_matches_model(spark, posts, users, how, join_on_month, pre_aggregate):
     pdf, udf = _to_frames(spark, posts, users)
-    result = compute_tag_analysis(pdf, udf, how=how, join_on_month=join_on_month)
+    result = compute_tag_analysis(
+        pdf, udf, how=how, join_on_month=join_on_month, pre_aggregate=pre_aggregate
+    )
     got = {
         (r["src_year"], r["src_month"], r["year"], r["month"], r["tag"]): (
             r["posts"],
