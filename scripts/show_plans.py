@@ -36,8 +36,10 @@ NOTES = {
         "counts aggregate per (month, value) before shuffling by month."
     ),
     "q_join_left": (
-        "Row-level left join (operator J1). Sort-merge join on owner; AQE "
-        "splits a skewed partition of the left side at run time."
+        "Row-level left join (operator J1). Sort-merge join on `_owner_key`: "
+        "the owner id, or for posts without owner a key below every user id "
+        "spread by a hash of the post, so they never pile into one reducer; "
+        "AQE splits a skewed partition of the left side at run time."
     ),
     "q_histogram": (
         "Day histogram, long form: partial count per (month, day) before the "
