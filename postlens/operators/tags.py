@@ -19,7 +19,8 @@ Plan (three aggregations and one join, every input read once):
    post, so this needs no explode: each post crosses the first shuffle and
    the join once, not once per tag. Partial aggregation runs before the
    shuffle, so an owner holding a large share of all posts is folded
-   map-side to one row per (tag set, month) and task;
+   map-side to one row per (tag set, month) and task
+   (``pre_aggregate=False`` skips this step: one row per post is joined);
 2. join those rows to users on owner (and source month). The join input is
    already shrunk to distinct (owner, tag set, month) rows, so no owner key
    is hot;
