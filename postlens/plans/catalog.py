@@ -192,6 +192,13 @@ def q_tag_analysis_by_month(spark, d):
     return compute_tag_analysis(_posts(spark, d), _users(spark, d), join_on_month=True)
 
 
+def q_tag_analysis_join_first(spark, d):
+    """Flagship without the per-owner pre-aggregation (every post joined)."""
+    return compute_tag_analysis(
+        _posts(spark, d), _users(spark, d), join_on_month=False, pre_aggregate=False
+    )
+
+
 def q_tag_analysis_events(spark, d):
     """Flagship over a second input: events as posts (no scores)."""
     apply_job_conf(spark)
@@ -318,6 +325,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_tag_analysis": q_tag_analysis,
     "q_tag_analysis_inner": q_tag_analysis_inner,
     "q_tag_analysis_by_month": q_tag_analysis_by_month,
+    "q_tag_analysis_join_first": q_tag_analysis_join_first,
     "q_tag_analysis_events": q_tag_analysis_events,
     "q_summary": q_summary,
     "q_summary_events": q_summary_events,
@@ -585,6 +593,7 @@ ORACLE_SQL: dict[str, str] = {
     "q_tag_analysis": _tag_analysis_sql("left", False),
     "q_tag_analysis_inner": _tag_analysis_sql("inner", False),
     "q_tag_analysis_by_month": _tag_analysis_sql("left", True),
+    "q_tag_analysis_join_first": _tag_analysis_sql("left", False),
     "q_tag_analysis_events": _tag_analysis_sql("left", False, EVENTS_POSTS_SQL),
     "q_summary": _summary_sql(),
     "q_summary_events": _summary_sql(posts_sql=EVENTS_POSTS_SQL),
