@@ -12,7 +12,8 @@ Prints per analysis the wall time of a second (warm) run and, per stage, task co
 median task time (from Spark's event log in a fresh scratch folder): a hot
 key processed by one task would show as max >> median in some stage.
 ONE_USERS_TABLE=1 joins on owner only (one hot join key).
-NO_BROADCAST=1 disables broadcast joins (the shape used when the users
+SHUFFLE_PARTITIONS=n and SKEW_THRESHOLD=16MB set the shuffle width and
+AQE's skew-split threshold. NO_BROADCAST=1 disables broadcast joins (the shape used when the users
 table is too large to broadcast). This is a measurement script, not a
 registered query.
 """
@@ -92,11 +93,17 @@ def stage_stats(group: str):
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     copies = int(sys.argv[2]) if len(sys.argv) > 2 else 20
-    spark = build_session()
+    parts = os.environ.get("SHUFFLE_PARTITIONS")
+    spark = build_session(shuffle_partitions=int(parts) if parts else None)
     if os.environ.get("NO_BROADCAST"):
         # the large-data shape: users too big to broadcast, sort-merge join
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    if os.environ.get("SKEW_THRESHOLD"):
+        spark.conf.set(
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+            os.environ["SKEW_THRESHOLD"],
+        )
     posts, users = scaled_inputs(spark, sf_dir, copies)
     t0 = time.perf_counter()
     posts = stage_table(spark, posts, "scale-posts")
