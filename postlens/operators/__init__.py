@@ -1,6 +1,6 @@
 """Relational operators of the monthly job (DataFrame in, DataFrame out)."""
 
-from postlens.operators.joins import join_posts_users
+from postlens.operators.joins import join_posts_users, join_users
 from postlens.operators.preprocess import dated_posts, filter_snapshot_users
 from postlens.operators.summary import (
     active_tags,
@@ -16,6 +16,9 @@ from postlens.operators.summary import (
 from postlens.operators.tags import (
     compute_tag_analysis,
     explode_tags,
+    name_tag_rows,
+    owner_tagset_rows,
+    post_tagset_rows,
     tag_heroes,
     tag_stats,
     user_tag_counts,
@@ -32,6 +35,10 @@ __all__ = [
     "explode_tags",
     "filter_snapshot_users",
     "join_posts_users",
+    "join_users",
+    "name_tag_rows",
+    "owner_tagset_rows",
+    "post_tagset_rows",
     "post_counts",
     "post_measures",
     "posts_per_user",
