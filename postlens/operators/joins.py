@@ -53,7 +53,7 @@ NULL_OWNER_BASE = -(1 << 40)
 
 def _spread_null_owners(posts: DataFrame) -> DataFrame:
     owner = F.col("owner_user_id")
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in posts.columns]), F.lit(NULL_OWNER_SPREAD))
+    spread = F.pmod(F.xxhash64(*[posts[c] for c in posts.columns]), F.lit(NULL_OWNER_SPREAD))
     return posts.withColumn(
         "_owner_key",
         F.when(owner.isNull(), F.lit(NULL_OWNER_BASE) - spread).otherwise(owner),
