@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,16 +25,10 @@ def filter_snapshot_users(
     (map-side, no shuffle); it mixes folder keys and creation dates, so it
     is not a partition filter.
     """
-    months = list(snapshot_months)
+    months = sorted({y * 100 + m for y, m in snapshot_months})
     if not months:
         return users
-    is_snapshot = reduce(
-        lambda a, b: a | b,
-        [
-            (F.col("src_year") == F.lit(y)) & (F.col("src_month") == F.lit(m))
-            for y, m in months
-        ],
-    )
+    is_snapshot = (F.col("src_year") * 100 + F.col("src_month")).isin(months)
     created_in_folder_month = (year_of() == F.col("src_year")) & (
         month_of() == F.col("src_month")
     )

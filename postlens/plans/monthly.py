@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,12 +34,18 @@ class JobOutputs:
     tag_analysis: str
 
 
+def month_key(year=None, month=None):
+    """One integer per (year, month): yyyymm."""
+    return (year if year is not None else F.col("src_year")) * 100 + (
+        month if month is not None else F.col("src_month")
+    )
+
+
 def _only_months(df: DataFrame, months: Iterable[tuple[int, int]]) -> DataFrame:
-    conds = [
-        (F.col("src_year") == F.lit(y)) & (F.col("src_month") == F.lit(m))
-        for y, m in months
-    ]
-    return df.where(reduce(lambda a, b: a | b, conds))
+    """Rows of the named month folders: one set lookup per row (Spark's
+    InSet), so the predicate stays small however many months are named."""
+    keys = sorted({y * 100 + m for y, m in months})
+    return df.where(month_key().isin(keys))
 
 
 def run_monthly_job(

@@ -113,3 +113,14 @@ def test_write_clustering_is_bounded_by_output_folders(spark):
         assert _cluster(summary, ["src_year", "src_month"]).rdd.getNumPartitions() <= 2
     finally:
         spark.conf.set(key, old)
+
+
+def test_many_month_selection_is_one_set_lookup(spark):
+    from postlens.plans.monthly import _only_months
+
+    posts = make_posts(spark, [("2016-01-01 00:00:00", 1, 1, 1, "a", (2016, 1))])
+    months = [(2000 + i // 12, 1 + i % 12) for i in range(100)] + [(2016, 1)]
+    plan = _plan(_only_months(posts, months))
+    assert "INSET" in plan.upper()
+    assert plan.count("src_year") < 10  # no per-month OR terms
+    assert _only_months(posts, months).count() == 1
