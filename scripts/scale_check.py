@@ -12,8 +12,10 @@ Prints per analysis the wall time of a second (warm) run and, per stage, task co
 median task time (from Spark's event log in a fresh scratch folder): a hot
 key processed by one task would show as max >> median in some stage.
 ONE_USERS_TABLE=1 joins on owner only (one hot join key).
-SHUFFLE_PARTITIONS=n and SKEW_THRESHOLD=16MB set the shuffle width and
-AQE's skew-split threshold. NO_BROADCAST=1 disables broadcast joins (the shape used when the users
+SHUFFLE_PARTITIONS=n, SKEW_THRESHOLD=16MB, ADVISORY_SIZE=4MB and
+MAX_PARTITION_BYTES=2MB set the shuffle width, AQE's skew-split threshold
+and target size, and the scan split size (to mimic at small scale the
+partition counts of a large cluster). NO_BROADCAST=1 disables broadcast joins (the shape used when the users
 table is too large to broadcast). This is a measurement script, not a
 registered query.
 """
@@ -99,6 +101,10 @@ def main() -> None:
         # the large-data shape: users too big to broadcast, sort-merge join
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    if os.environ.get("ADVISORY_SIZE"):  # AQE's target partition size
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", os.environ["ADVISORY_SIZE"])
+    if os.environ.get("MAX_PARTITION_BYTES"):  # more, smaller scan tasks
+        spark.conf.set("spark.sql.files.maxPartitionBytes", os.environ["MAX_PARTITION_BYTES"])
     if os.environ.get("SKEW_THRESHOLD"):
         spark.conf.set(
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
