@@ -35,8 +35,12 @@ def build_parser() -> argparse.ArgumentParser:
         prog="postlens",
         description="Monthly summary (JSON) and tag analysis (Parquet) of posts and users.",
     )
-    p.add_argument("inputs", help="folder with <year>/<month>/posts.csv and users.csv")
-    p.add_argument("outputs", help="folder for summary/ and tag_analysis/")
+    p.add_argument("inputs", nargs="?",
+                   help="folder with <year>/<month>/posts.csv and users.csv")
+    p.add_argument("outputs", nargs="?", help="folder for summary/ and tag_analysis/")
+    p.add_argument("--config", metavar="YAML",
+                   help="read INPUTS_FOLDER and OUTPUTS_FOLDER from a YAML file "
+                        "(other keys are ignored)")
     p.add_argument("--how", choices=["left", "inner"], default="left",
                    help="join of posts to users in the tag analysis (default left)")
     p.add_argument("--one-users-table", action="store_true",
@@ -63,6 +67,25 @@ def build_parser() -> argparse.ArgumentParser:
     return p
 
 
+# Key names of the YAML configuration file.
+CONFIG_INPUTS_KEY = "INPUTS_FOLDER"
+CONFIG_OUTPUTS_KEY = "OUTPUTS_FOLDER"
+
+
+def read_config(path: str) -> tuple[str, str]:
+    """Inputs and outputs folders from a YAML configuration file."""
+    try:
+        import yaml
+    except ImportError as exc:  # pragma: no cover - gated optional dependency
+        raise SystemExit("--config needs PyYAML") from exc
+    with open(path) as fh:
+        conf = yaml.safe_load(fh) or {}
+    try:
+        return str(conf[CONFIG_INPUTS_KEY]), str(conf[CONFIG_OUTPUTS_KEY])
+    except KeyError as exc:
+        raise SystemExit(f"{path}: missing key {exc.args[0]}") from None
+
+
 def job_options(args: argparse.Namespace) -> dict:
     if args.no_snapshot:
         snapshot = ()
@@ -79,7 +102,14 @@ def job_options(args: argparse.Namespace) -> dict:
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
-    args = build_parser().parse_args(argv)
+    parser = build_parser()
+    args = parser.parse_args(argv)
+    if args.config:
+        conf_in, conf_out = read_config(args.config)
+        args.inputs = args.inputs or conf_in
+        args.outputs = args.outputs or conf_out
+    if not args.inputs or not args.outputs:
+        parser.error("give INPUTS and OUTPUTS, or --config")
     spark = spark or SparkSession.builder.appName("postlens").getOrCreate()
     options = job_options(args)
     if args.stream:

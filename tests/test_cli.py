@@ -47,3 +47,18 @@ def test_unparseable_values_become_null(spark, scratch):
     assert row["creation_date"] is None
     assert row["owner_user_id"] is None
     assert row["comment_count"] == 1 and row["tags"] == "a"
+
+
+def test_config_file(spark, scratch):
+    _inputs(f"{scratch}/in")
+    conf = f"{scratch}/config.yaml"
+    with open(conf, "w") as fh:
+        fh.write(
+            f'INPUTS_FOLDER: "{scratch}/in"\n'
+            f'OUTPUTS_FOLDER: "{scratch}/out"\n'
+            'PIPELINE_CHOICE: "pyspark"\n'
+        )
+    assert main(["--config", conf], spark=spark) == 0
+    assert read_summary(spark, f"{scratch}/out/summary").count() == 2
+    with pytest.raises(SystemExit):
+        main([], spark=spark)
