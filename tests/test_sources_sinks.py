@@ -232,3 +232,33 @@ def test_month_without_users_and_month_with_header_only(spark, scratch):
     assert s[4]["histogram"] == {} and s[4]["average_posts_per_user"] is None
     (t,) = read_tag_analysis(spark, res.tag_analysis).collect()
     assert (t["src_month"], t["tag"], t["posts"], t["tag_hero"]) == (3, "a", 1, None)
+
+
+def test_summary_json_lines_keep_nulls(spark, scratch):
+    import glob
+    import json as _json
+
+    inputs = f"{scratch}/in"
+    _write(
+        f"{inputs}/2016/07/posts.csv",
+        POSTS_HEADER,
+        [("t", 0, "", "2016-07-02 00:00:00", "", 1, "a", 1)],  # no owner, no comments
+    )
+    _write(f"{inputs}/2016/07/users.csv", USERS_HEADER, [])
+    res = run_monthly_job(spark, inputs, f"{scratch}/out")
+    files = glob.glob(f"{res.summary}/src_year=2016/src_month=7/*.json")
+    assert len(files) == 1
+    (line,) = [l for l in open(files[0]) if l.strip()]
+    obj = _json.loads(line)
+    assert set(obj) == {
+        "number_of_posts",
+        "average_comments_per_post",
+        "number_of_new_users",
+        "total_active_tags",
+        "average_posts_per_user",
+        "average_reputation_per_user",
+        "histogram",
+    }
+    assert obj["number_of_posts"] == 1 and obj["histogram"] == {"2": 1}
+    assert obj["average_comments_per_post"] is None
+    assert obj["average_posts_per_user"] is None

@@ -51,3 +51,40 @@ def test_stream_matches_batch(spark, scratch):
         if "histogram" in s.columns:
             s, b = s.drop("histogram"), b.drop("histogram")
         assert _rows(s) == _rows(b)
+
+
+def test_late_part_file_rebuilds_its_month(spark, scratch):
+    inputs, out = f"{scratch}/in", f"{scratch}/out"
+    _write(
+        f"{inputs}/2016/01/posts.csv/part-1.csv",
+        POSTS_HEADER,
+        [("a", 0, 1, "2016-01-03 00:00:00", 1, 5, "x", 1)],
+    )
+    _write(
+        f"{inputs}/2016/01/users.csv",
+        USERS_HEADER,
+        [(1, "ann", "2016-01-01 00:00:00", 10, "", 0, 0)],
+    )
+    _month(
+        inputs,
+        2,
+        [("b", 0, 2, "2016-02-03 00:00:00", 1, 3, "x", 1)],
+        [(1, "feb-ann", "2016-02-01 00:00:00", 20, "", 0, 0)],
+    )
+    start_month_stream(spark, inputs, out).awaitTermination()
+    before = {r["src_month"]: r["number_of_posts"] for r in read_summary(spark, f"{out}/summary").collect()}
+    assert before == {1: 1, 2: 1}
+
+    # a late part file for January only
+    _write(
+        f"{inputs}/2016/01/posts.csv/part-2.csv",
+        POSTS_HEADER,
+        [("c", 0, 1, "2016-01-04 00:00:00", 1, 7, "x|y", 1)],
+    )
+    q = start_month_stream(spark, inputs, out)
+    q.awaitTermination()
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 1  # the new file only
+    after = {r["src_month"]: r["number_of_posts"] for r in read_summary(spark, f"{out}/summary").collect()}
+    assert after == {1: 2, 2: 1}
+    tags = {(r["src_month"], r["tag"]): r["posts"] for r in read_tag_analysis(spark, f"{out}/tag_analysis").collect()}
+    assert tags == {(1, "x"): 2, (1, "y"): 1, (2, "x"): 1}
