@@ -65,28 +65,46 @@ def join_users(
     users: DataFrame,
     how: str = "left",
     join_on_month: bool = True,
+    salt_buckets: int = 1,
 ) -> DataFrame:
     """Join any frame with ``owner_user_id`` (and the month keys) to users.
 
     Adds ``id``, ``reputation``, ``display_name``. Null owners never match;
     in a left join they are spread over all partitions rather than sent to
-    one.
+    one. ``salt_buckets=S > 1`` splits every owner's rows S ways (by a hash
+    of the row) and copies each user row S times, so even one owner holding
+    a large share of the rows is joined by S tasks, whatever AQE's skew
+    thresholds; it costs S times the users side in the shuffle.
     """
     if how not in JOIN_TYPES:
         raise ValueError(f"how must be one of {JOIN_TYPES}, got {how!r}")
+    if salt_buckets < 1:
+        raise ValueError("salt_buckets must be at least 1")
     right = users_side(users, join_on_month)
-    if how == "inner":
-        joined = left.join(right, join_condition(left, right, join_on_month), how)
-    else:
-        keyed = _spread_null_owners(left)
-        cond = keyed["_owner_key"] == right["id"].cast("long")
-        if join_on_month:
-            for k in SOURCE_KEYS:
-                cond = cond & (keyed[k] == right[f"_u_{k}"])
-        joined = keyed.join(right, cond, how).drop("_owner_key")
+    keyed = _spread_null_owners(left) if how == "left" else left
+    key = keyed["_owner_key"] if how == "left" else keyed["owner_user_id"]
+    if salt_buckets > 1:
+        keyed = keyed.withColumn(
+            "_salt",
+            F.pmod(F.xxhash64(*[left[c] for c in left.columns]), F.lit(salt_buckets)),
+        )
+        right = right.withColumn(
+            "_u_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
+        )
+        key = keyed["_owner_key"] if how == "left" else keyed["owner_user_id"]
+    cond = key == right["id"].cast("long")
     if join_on_month:
-        joined = joined.drop(*[f"_u_{k}" for k in SOURCE_KEYS])
-    return joined
+        for k in SOURCE_KEYS:
+            cond = cond & (keyed[k] == right[f"_u_{k}"])
+    if salt_buckets > 1:
+        cond = cond & (keyed["_salt"] == right["_u_salt"])
+    joined = keyed.join(right, cond, how)
+    drop = [f"_u_{k}" for k in SOURCE_KEYS] if join_on_month else []
+    if how == "left":
+        drop.append("_owner_key")
+    if salt_buckets > 1:
+        drop += ["_salt", "_u_salt"]
+    return joined.drop(*drop)
 
 
 def join_posts_users(
@@ -94,10 +112,11 @@ def join_posts_users(
     users: DataFrame,
     how: str = "left",
     join_on_month: bool = True,
+    salt_buckets: int = 1,
 ) -> DataFrame:
     """Every post column plus ``id``, ``reputation``, ``display_name``.
 
     ``how="left"`` keeps posts whose owner has no user row (user columns
-    null); ``how="inner"`` drops them.
+    null); ``how="inner"`` drops them. ``salt_buckets`` as in ``join_users``.
     """
-    return join_users(posts, users, how, join_on_month)
+    return join_users(posts, users, how, join_on_month, salt_buckets)

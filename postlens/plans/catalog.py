@@ -125,6 +125,13 @@ def q_join_inner(spark, d):
     ).select(*_JOIN_COLS)
 
 
+def q_join_left_salted(spark, d):
+    """Left join with every owner split 8 ways (users copied 8 times)."""
+    return join_posts_users(
+        _posts(spark, d), _users(spark, d), how="left", join_on_month=False, salt_buckets=8
+    ).select(*_JOIN_COLS)
+
+
 def q_join_by_month(spark, d):
     return join_posts_users(
         _posts(spark, d), _users(spark, d), how="left", join_on_month=True
@@ -310,6 +317,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_fill_names": q_fill_names,
     "q_join_left": q_join_left,
     "q_join_inner": q_join_inner,
+    "q_join_left_salted": q_join_left_salted,
     "q_join_by_month": q_join_by_month,
     "q_post_counts": q_post_counts,
     "q_avg_comments": q_avg_comments,
@@ -545,6 +553,8 @@ ORACLE_SQL: dict[str, str] = {
     + f"SELECT {_JOIN_SELECT} FROM posts p LEFT JOIN users u ON p.owner_user_id = u.id",
     "q_join_inner": _with()
     + f"SELECT {_JOIN_SELECT} FROM posts p JOIN users u ON p.owner_user_id = u.id",
+    "q_join_left_salted": _with()
+    + f"SELECT {_JOIN_SELECT} FROM posts p LEFT JOIN users u ON p.owner_user_id = u.id",
     "q_join_by_month": _with()
     + f"SELECT p.src_year, p.src_month, {_JOIN_SELECT} FROM posts p LEFT JOIN users u "
     "ON p.owner_user_id = u.id AND p.src_year = u.src_year AND p.src_month = u.src_month",

@@ -124,3 +124,9 @@ def test_many_month_selection_is_one_set_lookup(spark):
     assert "INSET" in plan.upper()
     assert plan.count("src_year") < 10  # no per-month OR terms
     assert _only_months(posts, months).count() == 1
+
+
+def test_salted_join_uses_salt_as_join_key(spark, no_static_broadcast):
+    plan = _plan(QUERIES["q_join_left_salted"](spark, SF))
+    join_line = [l for l in plan.splitlines() if "SortMergeJoin" in l][0]
+    assert "_salt" in join_line and "_owner_key" in join_line

@@ -228,3 +228,22 @@ def test_left_join_with_many_null_owners(spark):
     null_keys = [k for k in keys if k != 1]
     assert len(set(null_keys)) > 150
     assert all(k < -(2**31) for k in null_keys)
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("on_month", [True, False])
+def test_salted_join_equals_plain_join(spark, how, on_month):
+    rows = (
+        [("2016-02-01 00:00:00", 1, i, 0, "t") for i in range(60)]  # hot owner
+        + [("2016-02-02 00:00:00", None, 1, 0, "t")] * 5
+        + [("2016-02-03 00:00:00", 2, 3, 1, "u"), ("2016-02-03 00:00:00", 99, 4, 1, "u")]
+    )
+    posts = make_posts(spark, rows)
+    users = make_users(spark, [(1, "ann", 10), (2, None, 20), (2, "dup", 30)])
+    plain = join_posts_users(posts, users, how=how, join_on_month=on_month)
+    salted = join_posts_users(posts, users, how=how, join_on_month=on_month, salt_buckets=7)
+    assert salted.columns == plain.columns
+    key = lambda r: repr(tuple(r))
+    assert sorted(map(key, salted.collect())) == sorted(map(key, plain.collect()))
+    with pytest.raises(ValueError):
+        join_posts_users(posts, users, salt_buckets=0)
