@@ -41,6 +41,12 @@ NOTES = {
         "spread by a hash of the post, so they never pile into one reducer; "
         "AQE splits a skewed partition of the left side at run time."
     ),
+    "q_join_left_salted": (
+        "The same join with `salt_buckets=8`: the join keys gain `_salt` (a "
+        "hash of the post, 0-7) against `_u_salt` (each user row copied 8 "
+        "times by `explode(sequence(0, 7))`), so any one owner is joined by 8 "
+        "tasks without relying on AQE."
+    ),
     "q_histogram": (
         "Day histogram, long form: partial count per (month, day) before the "
         "shuffle; the scan reads one column."
