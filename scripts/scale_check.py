@@ -15,7 +15,8 @@ ONE_USERS_TABLE=1 joins on owner only (one hot join key).
 SHUFFLE_PARTITIONS=n, SKEW_THRESHOLD=16MB, ADVISORY_SIZE=4MB and
 MAX_PARTITION_BYTES=2MB set the shuffle width, AQE's skew-split threshold
 and target size, and the scan split size (to mimic at small scale the
-partition counts of a large cluster). NO_BROADCAST=1 disables broadcast joins (the shape used when the users
+partition counts of a large cluster). JOINS=1 times the row-level join, plain and with salt_buckets=16.
+NO_BROADCAST=1 disables broadcast joins (the shape used when the users
 table is too large to broadcast). This is a measurement script, not a
 registered query.
 """
@@ -40,7 +41,11 @@ os.environ["PYSPARK_SUBMIT_ARGS"] = (
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from postlens.operators import compute_summary, compute_tag_analysis  # noqa: E402
+from postlens.operators import (  # noqa: E402
+    compute_summary,
+    compute_tag_analysis,
+    join_posts_users,
+)
 from postlens.plans.sinks import stage_table  # noqa: E402
 from postlens.session import build_session  # noqa: E402
 from postlens.sources.adapters import posts_from_orders, users_from_customer  # noqa: E402
@@ -123,7 +128,7 @@ def main() -> None:
     # ONE_USERS_TABLE=1 joins on owner only: the hot owner is then ONE join
     # key holding a third of all rows (by default the month keys split it).
     on_month = not os.environ.get("ONE_USERS_TABLE")
-    for name, build in (
+    analyses = [
         (
             "tag_analysis",
             lambda: compute_tag_analysis(posts, users, join_on_month=on_month),
@@ -135,7 +140,18 @@ def main() -> None:
             ),
         ),
         ("summary", lambda: compute_summary(posts, users)),
-    ):
+    ]
+    if os.environ.get("JOINS"):  # the row-level join, plain and salted
+        analyses = [
+            ("join_plain", lambda: join_posts_users(posts, users, join_on_month=on_month)),
+            (
+                "join_salted_16",
+                lambda: join_posts_users(
+                    posts, users, join_on_month=on_month, salt_buckets=16
+                ),
+            ),
+        ]
+    for name, build in analyses:
         build().write.format("noop").mode("overwrite").save()  # warm-up
         spark.sparkContext.setJobGroup(name, name)
         t0 = time.perf_counter()
