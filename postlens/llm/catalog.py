@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from postlens.llm import op6_quality_rules as op6
+from postlens.llm import op10_warc as op10
 from postlens.llm.op7_suffix_dedup import op7_suffix_dedup
 
 QUERIES = {
+    "op6_quality_rules": op6.op6_quality_rules,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op10_warc": op10.op10_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_quality_rules": op6.ORACLE_SQL,
+    "op10_warc": op10.ORACLE_SQL,
+}
