@@ -22,13 +22,17 @@ Only few positions are sorted across tasks:
    A bucket with one segment pointer needs no further depth: all but its
    first segment are repeats. In a bucket with several, the first of each
    pointer is open: some windows may be repeats and others not.
-3. The windows of open segments are refined to full depth and sorted by
-   (128-bit window pointer, doc, start); all but the first are repeats.
+3. Open segments are split into groups of ``GROUP`` windows, aligned to the
+   anchor. All windows of a group share a core of n_match - GROUP + 1 bytes,
+   whose pointer is the group's bucket; step 2 is used again on (core, group
+   pointer). Groups whose core occurs once hold no repeat.
+4. The single windows of groups that are still open are sorted by (128-bit
+   window pointer, doc, start); all but the first are repeats.
 
 Each task sorts its own batch first and sends on one row per bucket (and
 window pointer), so a passage that a third of all rows share sends as many
 rows as there are batches. Texts are dealt out by doc_id once (one exchange,
-used by step 3 and by the removal).
+used by steps 3 and 4 and by the removal).
 
 Nulls and edge cases: a null or empty text has no bytes and its row stays; a
 null doc_id sorts before all others; rows that share a doc_id are one
@@ -51,6 +55,8 @@ from postlens.llm.common import U64, mix, read_table, signed
 
 MATCH_BYTES = 100
 ANCHOR_DEPTH = 32
+# Windows in a group of step 3.
+GROUP = 8
 # Window starts worked on at a time (arrays stay in cache).
 BLOCK = 1 << 18
 NULL_KEY = -(1 << 63)
@@ -175,86 +181,127 @@ def _repeat_rows(doc, start, n) -> pa.RecordBatch:
     return _emit(_spread(doc, start), np.zeros(len(doc), U64), doc, _pack(start, n, REPEAT))
 
 
+def _sorted_out(h, s, doc, start, n) -> Iterator[pa.RecordBatch]:
+    """One batch's strings sorted by (h, s, doc, start), ready to be sent on."""
+    o = np.argsort(h, kind="stable")
+    hs = h[o]
+    same = np.empty(len(o), bool)
+    same[0] = False
+    same[1:] = hs[1:] == hs[:-1]
+    multi = same.copy()
+    multi[:-1] |= same[1:]
+    alone = o[~multi]
+    yield _emit(h[alone], s[alone], doc[alone], _pack(start[alone], n[alone], REP))
+    m = o[multi]
+    if not len(m):
+        return
+    m = m[np.lexsort((start[m], doc[m], s[m], h[m]))]
+    hm, sm, dm, tm, nm = h[m], s[m], doc[m], start[m], n[m]
+    new_h = np.append(True, hm[1:] != hm[:-1])
+    new_s = new_h | np.append(True, sm[1:] != sm[:-1])
+    lead = np.flatnonzero(new_s)[np.cumsum(new_s) - 1]
+    again = ~new_s & ~((dm == dm[lead]) & (tm == tm[lead]))
+    yield _repeat_rows(dm[again], tm[again], nm[again])
+    # one row per bucket goes on; a bucket of several pointers is open
+    group = np.cumsum(new_h) - 1
+    is_open = np.bincount(group, weights=new_s)[group] > 1
+    for pick, kind in ((new_h & ~is_open, REP), (new_h & is_open, REP_OPEN)):
+        yield _emit(hm[pick], sm[pick], dm[pick], _pack(tm[pick], nm[pick], kind))
+    rest = new_s & ~new_h & is_open
+    yield _emit(
+        _spread(dm[rest], tm[rest]),
+        np.zeros(int(rest.sum()), U64),
+        dm[rest],
+        _pack(tm[rest], nm[rest], OPEN),
+    )
+
+
 def segment_rows(n_match: int):
     """Task function: segments sorted within the batch, see step 2."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = np.asarray(batch.column("k").to_numpy(zero_copy_only=False), np.int64)
-            b, offsets = _buffers(batch.column("text"))
-            h, s, row, start, n = segments(b, offsets, n_match)
-            if not len(h):
-                continue
-            doc = keys[row]
-            o = np.argsort(h, kind="stable")
-            hs = h[o]
-            same = np.empty(len(o), bool)
-            same[0] = False
-            same[1:] = hs[1:] == hs[:-1]
-            multi = same.copy()
-            multi[:-1] |= same[1:]
-            alone = o[~multi]
-            yield _emit(h[alone], s[alone], doc[alone], _pack(start[alone], n[alone], REP))
-            m = o[multi]
-            if not len(m):
-                continue
-            m = m[np.lexsort((start[m], doc[m], s[m], h[m]))]
-            hm, sm, dm, tm, nm = h[m], s[m], doc[m], start[m], n[m]
-            new_h = np.append(True, hm[1:] != hm[:-1])
-            new_s = new_h | np.append(True, sm[1:] != sm[:-1])
-            group = np.cumsum(new_s) - 1
-            lead = np.flatnonzero(new_s)[group]
-            itself = (dm == dm[lead]) & (tm == tm[lead])
-            again = ~new_s & ~itself
-            yield _repeat_rows(dm[again], tm[again], nm[again])
-            # one row per bucket goes on; a bucket of several pointers is open
-            hg = np.cumsum(new_h) - 1
-            pointers_in = np.bincount(hg, weights=new_s).astype(np.int64)
-            is_open = pointers_in[hg] > 1
-            for pick, kind in (
-                (new_h & ~is_open, REP),
-                (new_h & is_open, REP_OPEN),
-            ):
-                yield _emit(hm[pick], sm[pick], dm[pick], _pack(tm[pick], nm[pick], kind))
-            rest = new_s & ~new_h & is_open
-            yield _emit(
-                _spread(dm[rest], tm[rest]),
-                np.zeros(int(rest.sum()), U64),
-                dm[rest],
-                _pack(tm[rest], nm[rest], OPEN),
-            )
+            h, s, row, start, n = segments(*_buffers(batch.column("text")), n_match)
+            if len(h):
+                yield from _sorted_out(h, s, keys[row], start, n)
+
+    return run
+
+
+def _open_ranges(batch: pa.RecordBatch, n_match: int):
+    """(keys, bytes, row offsets, row, first byte, windows) of the open ranges
+    of one batch, in text order."""
+    keys = np.asarray(batch.column("k").to_numpy(zero_copy_only=False), np.int64)
+    b, offsets = _buffers(batch.column("text"))
+    ranges = batch.column("ranges")
+    parts = ranges.offsets.to_numpy()
+    flat = ranges.values.to_numpy(zero_copy_only=False).view(U64)[parts[0] : parts[-1]]
+    row = np.repeat(np.arange(len(parts) - 1), np.diff(parts))
+    start = (flat >> U64(33)).astype(np.int64)
+    n = ((flat >> U64(2)) & U64(0x7FFFFFFF)).astype(np.int64)
+    fits = start + n + n_match - 1 <= np.diff(offsets)[row]
+    row, start, n = row[fits], start[fits], n[fits]
+    o = np.lexsort((start, row))
+    row, start, n = row[o], start[o], n[o]
+    return keys, b, offsets, row, start + offsets[row], n
+
+
+def _pieces(at: np.ndarray, n: np.ndarray, n_match: int):
+    """(from, to, first byte, end byte): ranges whose bytes lie in one block."""
+    i = 0
+    while i < len(at):
+        j = int(np.searchsorted(at, at[i] + BLOCK, "left"))
+        yield i, j, int(at[i]), int((at[i:j] + n[i:j]).max()) + n_match - 1
+        i = j
+
+
+def block_rows(n_match: int):
+    """Task function: open segments in aligned groups of windows, see step 3."""
+    span = n_match - ANCHOR_DEPTH + 1
+    core = n_match - GROUP + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, b, offsets, row, at, n = _open_ranges(batch, n_match)
+            found = []
+            for i, j, lo, hi in _pieces(at, n, n_match):
+                _, p32, full = pointers(b[lo:hi], n_match)
+                first, last = at[i:j] - lo, at[i:j] - lo + n[i:j] - 1
+                near = p32[first[:, None] + np.arange(span)] >> U64(32)
+                anchor = first + near.argmin(axis=1)
+                # group g holds the windows that start g*GROUP .. bytes before
+                # the anchor, up to GROUP of them
+                g_lo, g_hi = (anchor - last) // GROUP, (anchor - first) // GROUP
+                count = g_hi - g_lo + 1
+                which = np.repeat(np.arange(j - i), count)
+                g = np.arange(len(which)) - np.repeat(np.cumsum(count) - count - g_lo, count)
+                base = anchor[which] - g * GROUP
+                w_lo = np.maximum(base - GROUP + 1, first[which])
+                w_hi = np.minimum(base, last[which])
+                steps = [*range(0, core - ANCHOR_DEPTH, ANCHOR_DEPTH), core - ANCHOR_DEPTH]
+                h = p32[base]
+                for x in steps[1:]:
+                    h = mix(h, p32[base + x])
+                s = mix(mix(full[w_lo], full[w_hi]), (w_hi - w_lo).astype(U64))
+                r = row[i:j][which]
+                found.append((h, s, keys[r], w_lo + lo - offsets[r], w_hi - w_lo + 1))
+            if found:
+                yield from _sorted_out(*(np.concatenate(x) for x in zip(*found)))
 
     return run
 
 
 def window_rows(n_match: int):
-    """Task function: full-depth pointers of the open windows, see step 3."""
+    """Task function: full-depth pointers of single windows, see step 4."""
     steps = [*range(0, n_match - 8, 8), n_match - 8]
     odd = [U64((0x9E3779B97F4A7C15 * (2 * j + 1)) & (2**64 - 1)) for j in range(len(steps))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = np.asarray(batch.column("k").to_numpy(zero_copy_only=False), np.int64)
-            b, offsets = _buffers(batch.column("text"))
-            ranges = batch.column("ranges")
-            parts = ranges.offsets.to_numpy()
-            flat = ranges.values.to_numpy(zero_copy_only=False).view(U64)
-            row = np.repeat(np.arange(len(parts) - 1), np.diff(parts))
-            flat = flat[parts[0] : parts[-1]]
-            start = (flat >> U64(33)).astype(np.int64)
-            n = ((flat >> U64(2)) & U64(0x7FFFFFFF)).astype(np.int64)
+            keys, b, offsets, row, at, n = _open_ranges(batch, n_match)
             found = []
-            o = np.lexsort((start, row))
-            row, start, n = row[o], start[o], n[o]
-            at = start + offsets[row]
-            size = np.diff(offsets)[row]
-            fits = start + n + n_match - 1 <= size
-            row, at, n = row[fits], at[fits], n[fits]
-            i = 0
-            while i < len(row):
-                # ranges whose bytes lie within one block
-                j = int(np.searchsorted(at, at[i] + BLOCK, "left"))
-                lo, hi = int(at[i]), int((at[i:j] + n[i:j]).max()) + n_match - 1
+            for i, j, lo, hi in _pieces(at, n, n_match):
                 p8, _, full = pointers(b[lo:hi], n_match)
                 total = n[i:j]
                 base = np.cumsum(total) - total
@@ -264,7 +311,6 @@ def window_rows(n_match: int):
                     second += (p8[idx + step] ^ (p8[idx + step] >> U64(29))) * c
                 r = np.repeat(row[i:j], total)
                 found.append((full[idx], second, keys[r], idx + lo - offsets[r]))
-                i = j
             if not found:
                 continue
             w1, w2, doc, pos = (np.concatenate(x) for x in zip(*found))
@@ -325,23 +371,15 @@ def _removal(n_match: int):
     return run
 
 
-def repeat_marks(docs: DataFrame, n_match: int = MATCH_BYTES) -> tuple[DataFrame, DataFrame]:
-    """(keyed documents, marks): marks are rows (k, pk) of repeated windows."""
-    if n_match < 2 * ANCHOR_DEPTH:
-        raise ValueError(f"n_match must be at least {2 * ANCHOR_DEPTH}")
-    keyed = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_KEY)).alias("k"),
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("text").cast("string").alias("text"),
-    )
-    schema = "h long, s long, k long, pk long"
-    rows = keyed.select("k", "text").mapInArrow(segment_rows(n_match), schema)
+def verdicts(rows: DataFrame) -> DataFrame:
+    """(k, pk, verdict): 1 repeats, 2 open, 0 neither."""
     kind = F.col("pk").bitwiseAND(3)
     rep = kind.isin(REP, REP_OPEN)
     bucket = Window.partitionBy("h").orderBy("s", "k", "pk")
     whole = bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     start_of = lambda c: F.shiftrightunsigned(c, 33)
-    marked = rows.select(
+    pointer = F.when(rep, F.col("s"))
+    return rows.select(
         "k",
         "pk",
         kind.alias("kind"),
@@ -353,11 +391,7 @@ def repeat_marks(docs: DataFrame, n_match: int = MATCH_BYTES) -> tuple[DataFrame
             )
         ).alias("again"),
         (
-            F.coalesce(
-                F.min(F.when(rep, F.col("s"))).over(whole)
-                != F.max(F.when(rep, F.col("s"))).over(whole),
-                F.lit(False),
-            )
+            F.coalesce(F.min(pointer).over(whole) != F.max(pointer).over(whole), F.lit(False))
             | (F.max(F.when(kind == REP_OPEN, 1).otherwise(0)).over(whole) == 1)
         ).alias("several"),
     ).select(
@@ -371,17 +405,32 @@ def repeat_marks(docs: DataFrame, n_match: int = MATCH_BYTES) -> tuple[DataFrame
         .otherwise(0)
         .alias("verdict"),
     )
-    repeats = marked.where("verdict = 1").select("k", "pk")
-    open_ranges = (
-        marked.where("verdict = 2").groupBy("k").agg(F.collect_list("pk").alias("ranges"))
+
+
+def repeat_marks(docs: DataFrame, n_match: int = MATCH_BYTES) -> tuple[DataFrame, DataFrame]:
+    """(keyed documents, marks): marks are rows (k, pk) of repeated windows."""
+    if n_match < 2 * ANCHOR_DEPTH:
+        raise ValueError(f"n_match must be at least {2 * ANCHOR_DEPTH}")
+    keyed = docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_KEY)).alias("k"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("text").cast("string").alias("text"),
     )
-    opened = keyed.join(open_ranges, "k").select("k", "doc_id", "text", "ranges")
-    windows = opened.mapInArrow(window_rows(n_match), schema)
+    schema = "h long, s long, k long, pk long"
+
+    def opened(marked: DataFrame) -> DataFrame:
+        """Documents with their open ranges; the exchange of texts is shared."""
+        ranges = marked.where("verdict = 2").groupBy("k").agg(F.collect_list("pk").alias("ranges"))
+        return keyed.join(ranges, "k").select("k", "doc_id", "text", "ranges")
+
+    by_segment = verdicts(keyed.select("k", "text").mapInArrow(segment_rows(n_match), schema))
+    by_group = verdicts(opened(by_segment).mapInArrow(block_rows(n_match), schema))
+    windows = opened(by_group).mapInArrow(window_rows(n_match), schema)
     same = Window.partitionBy("h", "s").orderBy("k", "pk")
     again = windows.select(
         "k",
         "pk",
-        kind.alias("kind"),
+        F.col("pk").bitwiseAND(3).alias("kind"),
         F.lag("k").over(same).alias("pk_doc"),
         F.lag("pk").over(same).alias("pk_prev"),
     ).where(
@@ -391,7 +440,10 @@ def repeat_marks(docs: DataFrame, n_match: int = MATCH_BYTES) -> tuple[DataFrame
             & ~((F.col("pk_doc") == F.col("k")) & (F.col("pk_prev") == F.col("pk")))
         )
     )
-    return keyed, repeats.unionByName(again.select("k", "pk"))
+    marks = again.select("k", "pk")
+    for marked in (by_segment, by_group):
+        marks = marks.unionByName(marked.where("verdict = 1").select("k", "pk"))
+    return keyed, marks
 
 
 def remove_repeats(docs: DataFrame, n_match: int = MATCH_BYTES) -> DataFrame:
