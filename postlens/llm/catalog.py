@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+from postlens.llm import op3_mixing as op3
 from postlens.llm import op6_quality_rules as op6
 from postlens.llm import op10_warc as op10
+from postlens.llm.op2_language_ppm import op2_language_ppm
 from postlens.llm.op7_suffix_dedup import op7_suffix_dedup
+from postlens.llm.op9_decontaminate import op9_decontaminate
 
 QUERIES = {
+    "op2_language_ppm": op2_language_ppm,
+    "op3_mixing": op3.op3_mixing,
     "op6_quality_rules": op6.op6_quality_rules,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10.op10_warc,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_mixing": op3.ORACLE_SQL,
     "op6_quality_rules": op6.ORACLE_SQL,
     "op10_warc": op10.ORACLE_SQL,
 }
