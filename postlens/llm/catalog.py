@@ -7,6 +7,7 @@ from postlens.llm import op6_quality_rules as op6
 from postlens.llm import op10_warc as op10
 from postlens.llm.op2_language_ppm import op2_language_ppm
 from postlens.llm.op7_suffix_dedup import op7_suffix_dedup
+from postlens.llm.op8_toxicity_crf import op8_toxicity_crf
 from postlens.llm.op9_decontaminate import op9_decontaminate
 
 QUERIES = {
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_mixing": op3.op3_mixing,
     "op6_quality_rules": op6.op6_quality_rules,
     "op7_suffix_dedup": op7_suffix_dedup,
+    "op8_toxicity_crf": op8_toxicity_crf,
     "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10.op10_warc,
 }
