@@ -6,6 +6,7 @@ from postlens.llm import op3_mixing as op3
 from postlens.llm import op6_quality_rules as op6
 from postlens.llm import op10_warc as op10
 from postlens.llm.op2_language_ppm import op2_language_ppm
+from postlens.llm.op4_probminhash import op4_probminhash
 from postlens.llm.op7_suffix_dedup import op7_suffix_dedup
 from postlens.llm.op8_toxicity_crf import op8_toxicity_crf
 from postlens.llm.op9_decontaminate import op9_decontaminate
@@ -13,6 +14,7 @@ from postlens.llm.op9_decontaminate import op9_decontaminate
 QUERIES = {
     "op2_language_ppm": op2_language_ppm,
     "op3_mixing": op3.op3_mixing,
+    "op4_probminhash": op4_probminhash,
     "op6_quality_rules": op6.op6_quality_rules,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_toxicity_crf": op8_toxicity_crf,

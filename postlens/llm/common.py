@@ -113,6 +113,8 @@ _C3 = U64(0xD6E8FEB86659FD93)
 
 def mix(a: np.ndarray, b: np.ndarray | np.uint64) -> np.ndarray:
     """64-bit mix of two columns of 64-bit values; not symmetric."""
+    if not isinstance(b, np.ndarray):
+        b = np.array([b], U64)
     x = a * _C1
     x ^= x >> U64(31)
     x += b * _C2

@@ -18,6 +18,11 @@ bounded sample of labelled rows:
 4. A document's score: a logistic function of the expected number of toxic
    tokens and the largest marginal, fitted on the sample's document labels.
 
+Evidence is cross-fitted: while the field and the logistic function are
+trained, a document of one half of the sample is seen with the evidence of
+the other half, so that units found by chance earn no weight. Scoring uses the
+evidence of the whole sample.
+
 Scoring runs forward and backward over all tokens of every whole text, in
 exact arithmetic on odds, for all documents of a batch at once. It gives the
 marginals, from them the document score, and the offsets of tokens that are
@@ -39,6 +44,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,7 +77,7 @@ class Params:
 PRODUCTION = Params()
 BLOCK_BYTES = 4 << 20
 # log odds at which the bins of evidence begin
-BINS = np.array([0.5, 2.0, 3.0, 4.0, 5.5])
+BINS = np.array([0.5, 2.0, 3.0, 4.0])
 N_BINS = len(BINS) + 1
 N_OBS = N_BINS * N_BINS
 _EDGE = re.compile(r"^\W+|\W+$")
@@ -115,13 +121,14 @@ class WordUnits:
 
 
 def count_units(prefixes: tuple[int, ...]):
-    """Task function: (toxic, text) to (unit, toxic docs, clean docs)."""
+    """Task function: (half, toxic, text) to (unit, half, toxic and clean docs)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordUnits(prefixes)
         for batch in batches:
             for rows in text_slices(batch, "text", BLOCK_BYTES):
                 toxic = np.array(rows.column("toxic").to_pylist(), np.int64)
+                half = np.array(rows.column("half").to_pylist(), np.int64)
                 words, counts = split_docs(binary_values(rows.column("text")))
                 ids = known.ids(words)
                 doc = np.repeat(np.arange(len(counts)), counts)
@@ -133,15 +140,16 @@ def count_units(prefixes: tuple[int, ...]):
                     uniq, at = np.unique(unit, return_inverse=True)
                     once = np.unique(doc * max(1, len(uniq)) + at)
                     d, u = once // max(1, len(uniq)), once % max(1, len(uniq))
-                    a = np.bincount(u, weights=toxic[d], minlength=len(uniq))
-                    n = np.bincount(u, minlength=len(uniq))
                     real = uniq != 0
-                    found.append((uniq[real], a[real], (n - a)[real]))
-                u, a, b = (np.concatenate(x) for x in zip(*found))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(u.view(np.int64)), pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64))],
-                    names=["unit", "a", "b"],
-                )
+                    cells = [uniq[real].view(np.int64)]
+                    for side in (0, 1):
+                        for tag_of in (1, 0):
+                            w = (half[d] == side) & (toxic[d] == tag_of)
+                            n = np.bincount(u, weights=w, minlength=len(uniq))
+                            cells.append(n[real].astype(np.int64))
+                    found.append(cells)
+                cells = [pa.array(np.concatenate(x)) for x in zip(*found)]
+                yield pa.RecordBatch.from_arrays(cells, names=["unit", "a0", "b0", "a1", "b1"])
 
     return run
 
@@ -283,14 +291,25 @@ def train_field(obs: np.ndarray, labels: np.ndarray, mask: np.ndarray, steps: in
     return Field(w, trans)
 
 
+def _by_half(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    for side in (0, 1):
+        part = batch.filter(pc.equal(batch.column("half"), side))
+        if part.num_rows:
+            yield side, part
+
+
 def stretches(hashes: np.ndarray, odds: np.ndarray, params: Params):
-    """Task function: (toxic, text) to labelled stretches of observations."""
+    """Task function: (half, toxic, text) to labelled stretches.
+
+    ``odds``: one row per half; a document's evidence is the other half's.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        evidence = Evidence(hashes, odds, params.prefixes)
+        both = [Evidence(hashes, odds[1 - side], params.prefixes) for side in (0, 1)]
         rng = np.random.default_rng(7)
-        for batch in batches:
-            for rows in text_slices(batch, "text", BLOCK_BYTES):
+        for side, part in (x for batch in batches for x in _by_half(batch)):
+            evidence = both[side]
+            for rows in text_slices(part, "text", BLOCK_BYTES):
                 toxic = np.array(rows.column("toxic").to_pylist(), np.int64)
                 texts = binary_values(rows.column("text"))
                 words, counts = split_docs(texts)
@@ -322,6 +341,7 @@ def stretches(hashes: np.ndarray, odds: np.ndarray, params: Params):
 class Model:
     hashes: np.ndarray
     odds: np.ndarray
+    half_odds: np.ndarray
     field: Field
     calibration: np.ndarray
     params: Params
@@ -337,26 +357,40 @@ def features(p: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(n), np.log(expected + 1e-3), top], axis=1)
 
 
-def tag(model: Model, with_spans: bool):
-    """Task function: texts to features, or to scores and offsets."""
+def _marginals(model: Model, evidence: Evidence, batch: pa.RecordBatch):
+    obs, counts = [np.zeros(0, np.int8)], [np.zeros(0, np.int64)]
+    for rows in text_slices(batch, "text", BLOCK_BYTES):
+        words, n = split_docs(binary_values(rows.column("text")))
+        obs.append(evidence.symbols(words)[0])
+        counts.append(n)
+    counts = np.concatenate(counts)
+    return model.field.marginals(np.concatenate(obs), counts), counts
+
+
+def sample_features(model: Model):
+    """Task function: (half, toxic, text) to features for the calibration."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = model.params.prefixes
+        both = [Evidence(model.hashes, model.half_odds[1 - side], p) for side in (0, 1)]
+        for side, part in (x for batch in batches for x in _by_half(batch)):
+            x = features(*_marginals(model, both[side], part))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("toxic"), pa.array(x[:, 1]), pa.array(x[:, 2])],
+                names=["toxic", "expected", "top"],
+            )
+
+    return run
+
+
+def tag(model: Model):
+    """Task function: (doc_id, held_out, text) to scores and offsets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         evidence = Evidence(model.hashes, model.odds, model.params.prefixes)
         for batch in batches:
-            obs, counts = [np.zeros(0, np.int8)], [np.zeros(0, np.int64)]
-            for rows in text_slices(batch, "text", BLOCK_BYTES):
-                words, n = split_docs(binary_values(rows.column("text")))
-                obs.append(evidence.symbols(words)[0])
-                counts.append(n)
-            obs, counts = np.concatenate(obs), np.concatenate(counts)
-            p = model.field.marginals(obs, counts)
+            p, counts = _marginals(model, evidence, batch)
             x = features(p, counts)
-            if not with_spans:
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("toxic"), pa.array(x[:, 1]), pa.array(x[:, 2])],
-                    names=["toxic", "expected", "top"],
-                )
-                continue
             score = 1 / (1 + np.exp(-np.clip(x @ model.calibration, -500, 500)))
             spans = _offsets(batch.column("text"), p, counts)
             yield pa.RecordBatch.from_arrays(
@@ -420,30 +454,42 @@ def train(
     sample = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         .join(F.broadcast(marks), F.col("doc_id") == F.col("id"))
-        .select("toxic", "text")
+        .select((F.xxhash64("id") % 2 == 0).cast("int").alias("half"), "toxic", "text")
     )
     totals = marks.groupBy("toxic").count().collect()
     size = {r["toxic"]: r["count"] for r in totals}
     if not size.get(1) or not size.get(0):
         return None
-    a, b = F.col("a") + 0.5, F.col("b") + 2.0
-    odds = F.log((a / (size[1] + 1)) / (b / (size[0] + 4)))
+
+
+    def odds(a: Column, b: Column, times: int) -> Column:
+        """Log odds ratio with pseudo-counts; a half's documents count twice."""
+        return F.log(((a * times + 0.5) / (size[1] + 1)) / ((b * times + 2.0) / (size[0] + 4)))
+
     lexicon = (
-        sample.mapInArrow(count_units(params.prefixes), "unit long, a long, b long")
+        sample.mapInArrow(
+            count_units(params.prefixes), "unit long, a0 long, b0 long, a1 long, b1 long"
+        )
         .groupBy("unit")
-        .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-        .where(F.col("a") >= min(params.min_docs, size[1]))
-        .select("unit", odds.alias("odds"))
-        .where(F.col("odds") >= params.min_odds)
+        .agg(*[F.sum(c).alias(c) for c in ("a0", "b0", "a1", "b1")])
+        .where(F.col("a0") + F.col("a1") >= min(params.min_docs, size[1]))
+        .select(
+            "unit",
+            odds(F.col("a0") + F.col("a1"), F.col("b0") + F.col("b1"), 1).alias("odds"),
+            odds(F.col("a0"), F.col("b0"), 2).alias("odds0"),
+            odds(F.col("a1"), F.col("b1"), 2).alias("odds1"),
+        )
+        .where(F.greatest("odds", "odds0", "odds1") >= params.min_odds)
         .orderBy(F.desc("odds"), "unit")
         .limit(params.lexicon)
         .toPandas()
     )
     hashes = lexicon["unit"].to_numpy(np.int64).view(U64)
     value = lexicon["odds"].to_numpy(np.float64)
+    halves = lexicon[["odds0", "odds1"]].to_numpy(np.float64).T
     rows = (
         sample.mapInArrow(
-            stretches(hashes, value, params), "key long, obs array<int>, label array<int>"
+            stretches(hashes, halves, params), "key long, obs array<int>, label array<int>"
         )
         .orderBy("key")
         .limit(params.max_stretches)
@@ -453,8 +499,11 @@ def train(
     label, mask = np.zeros_like(obs), np.zeros(obs.shape, bool)
     for i, r in enumerate(rows):
         obs[i, : len(r.obs)], label[i, : len(r.obs)], mask[i, : len(r.obs)] = r.obs, r.label, True
-    model = Model(hashes, value, train_field(obs, label, mask, params.steps), np.zeros(3), params)
-    seen = sample.mapInArrow(tag(model, False), "toxic int, expected double, top double").toPandas()
+    field = train_field(obs, label, mask, params.steps)
+    model = Model(hashes, value, halves, field, np.zeros(3), params)
+    seen = sample.mapInArrow(
+        sample_features(model), "toxic int, expected double, top double"
+    ).toPandas()
     x = np.stack([np.ones(len(seen)), seen["expected"], seen["top"]], axis=1)
     model.calibration = _calibrate(x, seen["toxic"].to_numpy(np.float64))
     return model
@@ -478,7 +527,7 @@ def score(docs: DataFrame, model: Model | None, held_out: Column) -> DataFrame:
             F.lit(0).alias("predicted"),
             F.array().cast("array<array<int>>").alias("spans"),
         )
-    return rows.mapInArrow(tag(model, True), _RESULT)
+    return rows.mapInArrow(tag(model), _RESULT)
 
 
 def op8_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
