@@ -66,6 +66,8 @@ class Rules:
 
 PRODUCTION = Rules()
 BLOCK_BYTES = 4 << 20
+# Contaminated ids (8 bytes each) up to which their table is broadcast.
+BROADCAST_IDS = 500_000
 
 # Units that are taken as such after a number.
 UNITS = (
@@ -348,7 +350,10 @@ def drop_leaks(
 ) -> DataFrame:
     """The rows of ``docs`` without contaminated documents."""
     bad = find_leaks(spark, docs, benchmark, rules).select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("bad_id")), "left_anti")
+    bad = checkpointed(spark, bad)
+    if bad.count() <= BROADCAST_IDS:
+        bad = F.broadcast(bad)
+    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(F.col("bad_id")), "left_anti")
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
