@@ -49,13 +49,20 @@ def build_parser() -> argparse.ArgumentParser:
                    help="a folder holding all users created so far (repeatable; "
                         "default 2016-01)")
     p.add_argument("--no-snapshot", action="store_true", help="no snapshot folder")
-    p.add_argument("--single-line", action="store_true",
-                   help="CSV fields have no line breaks: split files for parallel reads")
+    p.add_argument("--multi-line", action="store_true",
+                   help="CSV fields may hold line breaks (files are then not split)")
+    p.add_argument("--malformed", choices=["fail", "null", "reject"], default="fail",
+                   help="broken CSV rows: stop (default), null values, or write them "
+                        "to rejected/ and go on")
+    p.add_argument("--allow-missing", action="store_true",
+                   help="go on when a month folder lacks posts.csv or users.csv")
     p.add_argument("--months", type=_year_month, action="append", metavar="YYYY-MM",
                    help="rebuild only these months (repeatable)")
     p.add_argument("--join-first", action="store_true",
-                   help="tag analysis: join every post instead of pre-aggregating "
-                        "per owner (faster when no single owner is hot)")
+                   help="tag analysis with --one-users-table: join every post instead "
+                        "of folding posts per owner first")
+    p.add_argument("--salt", type=int, default=1, metavar="S",
+                   help="split every owner's posts S ways in the join")
     p.add_argument("--no-staging", action="store_true",
                    help="do not stage the parsed CSV as Parquet first")
     p.add_argument("--stream", action="store_true",
@@ -95,9 +102,12 @@ def job_options(args: argparse.Namespace) -> dict:
         "how": args.how,
         "join_on_month": not args.one_users_table,
         "snapshot_months": snapshot,
-        "multiline": not args.single_line,
+        "multiline": args.multi_line,
+        "malformed": args.malformed,
         "stage_inputs": not args.no_staging,
-        "pre_aggregate": not args.join_first,
+        "pre_aggregate": False if args.join_first else None,
+        "salt_buckets": args.salt,
+        **({"strict": False} if args.allow_missing else {}),
     }
 
 

@@ -36,14 +36,6 @@ def users_side(users: DataFrame, join_on_month: bool) -> DataFrame:
     return users.select(*cols)
 
 
-def join_condition(left: DataFrame, right: DataFrame, join_on_month: bool):
-    cond = left["owner_user_id"] == right["id"]
-    if join_on_month:
-        for k in SOURCE_KEYS:
-            cond = cond & (left[k] == right[f"_u_{k}"])
-    return cond
-
-
 # Null owners never match a user. In a left join they would all hash to one
 # partition; instead each gets a key below every 32-bit user id, spread by a
 # hash of the post itself (deterministic, so task retries see the same key).
@@ -69,7 +61,9 @@ def join_users(
 ) -> DataFrame:
     """Join any frame with ``owner_user_id`` (and the month keys) to users.
 
-    Adds ``id``, ``reputation``, ``display_name``. Null owners never match;
+    Adds ``id``, ``reputation``, ``display_name``. ``how="left"`` keeps rows
+    whose owner has no user row (user columns null); ``how="inner"`` drops
+    them. Null owners never match;
     in a left join they are spread over all partitions rather than sent to
     one. ``salt_buckets=S > 1`` splits every owner's rows S ways (by a hash
     of the row) and copies each user row S times, so even one owner holding
@@ -105,18 +99,3 @@ def join_users(
     if salt_buckets > 1:
         drop += ["_salt", "_u_salt"]
     return joined.drop(*drop)
-
-
-def join_posts_users(
-    posts: DataFrame,
-    users: DataFrame,
-    how: str = "left",
-    join_on_month: bool = True,
-    salt_buckets: int = 1,
-) -> DataFrame:
-    """Every post column plus ``id``, ``reputation``, ``display_name``.
-
-    ``how="left"`` keeps posts whose owner has no user row (user columns
-    null); ``how="inner"`` drops them. ``salt_buckets`` as in ``join_users``.
-    """
-    return join_users(posts, users, how, join_on_month, salt_buckets)

@@ -12,18 +12,17 @@ month come from the post's creation date. Per group:
                      (missing name counts as ""), ties to the greatest name;
                      null when no owner matched.
 
-Plan (three aggregations and one join, every input read once):
-
-1. aggregate posts per (source month, year, month, tags string, owner):
-   post count, score sum and count. The tags string is a function of the
-   post, so this needs no explode: each post crosses the first shuffle and
-   the join once, not once per tag. Partial aggregation runs before the
-   shuffle, so an owner holding a large share of all posts is folded
-   map-side to one row per (tag set, month) and task
-   (``pre_aggregate=False`` skips this step: one row per post is joined);
-2. join those rows to users on owner (and source month). The join input is
-   already shrunk to distinct (owner, tag set, month) rows, so no owner key
-   is hot;
+Plan (two aggregations and one join, every input read once; one more
+aggregation first for the join on the owner alone):
+
+1. each post is one row with its tags string, so it crosses the join once,
+   not once per tag. Where the join is on the owner alone, one very active
+   owner would be a hot key: posts are first folded per (source month, year,
+   month, tags string, owner), with partial sums before the shuffle, or the
+   join is salted (``salt_buckets``). A join on owner and source month needs
+   neither by default: an owner's posts are spread over the months, real
+   (owner, tag set) pairs are almost unique, and AQE splits what is left;
+2. join those rows to users on owner (and source month);
 3. explode the tags string and aggregate per (keys, tag, matched, name):
    hero candidates and partial sums, combined map-side, so a tag used by a
    large share of all posts is spread over names before its shuffle;
@@ -85,21 +84,11 @@ def post_tagset_rows(posts: DataFrame) -> DataFrame:
     )
 
 
-def attach_users(
-    owner_rows: DataFrame,
-    users: DataFrame,
-    how: str = "left",
-    join_on_month: bool = True,
-) -> DataFrame:
-    """Level-1 rows joined to the owner's user row."""
-    return join_users(owner_rows, users, how, join_on_month)
-
-
-def name_tag_rows(joined: DataFrame) -> DataFrame:
-    """Level 2: explode the tags, then per (TAG_KEYS, matched, name) the
-    partial sums. A tag repeated inside one post counts each time."""
+def _tag_rows(joined: DataFrame) -> DataFrame:
+    """Joined level-1 rows, one per tag. A tag repeated inside one post
+    counts each time."""
     matched = F.col("id").isNotNull()
-    per_tag = joined.select(
+    return joined.select(
         *SOURCE_KEYS,
         "year",
         "month",
@@ -112,26 +101,47 @@ def name_tag_rows(joined: DataFrame) -> DataFrame:
         matched.alias("matched"),
         F.when(matched, fill_name()).alias("name"),
     )
+
+
+def _partial_sums() -> list:
     rows = F.col("rows")
-    return per_tag.groupBy(*TAG_KEYS, "matched", "name").agg(
+    return [
         F.sum(F.when(F.col("owner_user_id").isNotNull(), rows)).alias("posts"),
-        F.sum(rows).alias("name_rows"),
         F.sum(rows * F.col("reputation")).alias("rep_sum"),
         F.sum(F.when(F.col("reputation").isNotNull(), rows)).alias("rep_n"),
         F.sum("score_sum").alias("score_sum"),
         F.sum("score_n").alias("score_n"),
+    ]
+
+
+def name_tag_rows(joined: DataFrame) -> DataFrame:
+    """Level 2: explode the tags, then per (TAG_KEYS, matched, name) the
+    partial sums."""
+    return (
+        _tag_rows(joined)
+        .groupBy(*TAG_KEYS, "matched", "name")
+        .agg(F.sum("rows").alias("name_rows"), *_partial_sums())
     )
 
 
-def _name_rows(
+def _joined_rows(
     posts: DataFrame,
     users: DataFrame,
     how: str,
     join_on_month: bool,
-    pre_aggregate: bool = True,
+    pre_aggregate: bool | None,
+    salt_buckets: int,
 ) -> DataFrame:
+    """Level-1 rows joined to the owner's user row.
+
+    By default (``pre_aggregate=None``) posts are joined as they are when the
+    source month is a join key (an owner's posts are then spread over the
+    months) or when the join is salted, and folded per owner first otherwise.
+    """
+    if pre_aggregate is None:
+        pre_aggregate = not join_on_month and salt_buckets == 1
     level1 = owner_tagset_rows(posts) if pre_aggregate else post_tagset_rows(posts)
-    return name_tag_rows(attach_users(level1, users, how, join_on_month))
+    return join_users(level1, users, how, join_on_month, salt_buckets)
 
 
 def _stat_columns() -> list:
@@ -152,11 +162,25 @@ def tag_stats(
     users: DataFrame,
     how: str = "left",
     join_on_month: bool = True,
-    pre_aggregate: bool = True,
+    pre_aggregate: bool | None = None,
+    salt_buckets: int = 1,
 ) -> DataFrame:
-    """Per tag group: posts, avg_reputation, avg_score (no hero)."""
-    return _name_rows(posts, users, how, join_on_month, pre_aggregate).groupBy(*TAG_KEYS).agg(
-        *_stat_columns()
+    """Per tag group: posts, avg_reputation, avg_score (no hero).
+
+    Names play no part, so rows are aggregated straight to the tag group;
+    map-side partial sums carry a hot tag.
+    """
+    joined = _joined_rows(posts, users, how, join_on_month, pre_aggregate, salt_buckets)
+    return (
+        _tag_rows(joined)
+        .groupBy(*TAG_KEYS)
+        .agg(*_partial_sums())
+        .select(
+            *TAG_KEYS,
+            F.coalesce("posts", F.lit(0)).cast("long").alias("posts"),
+            safe_ratio(F.col("rep_sum"), F.col("rep_n")).alias("avg_reputation"),
+            safe_ratio(F.col("score_sum"), F.col("score_n")).alias("avg_score"),
+        )
     )
 
 
@@ -165,11 +189,13 @@ def user_tag_counts(
     users: DataFrame,
     how: str = "left",
     join_on_month: bool = True,
-    pre_aggregate: bool = True,
+    pre_aggregate: bool | None = None,
+    salt_buckets: int = 1,
 ) -> DataFrame:
     """Per tag group and display name of a matched user: rows (``n_posts``)."""
+    joined = _joined_rows(posts, users, how, join_on_month, pre_aggregate, salt_buckets)
     return (
-        _name_rows(posts, users, how, join_on_month, pre_aggregate)
+        name_tag_rows(joined)
         .where(F.col("matched"))
         .select(
             *TAG_KEYS,
@@ -184,15 +210,16 @@ def tag_heroes(
     users: DataFrame,
     how: str = "left",
     join_on_month: bool = True,
-    pre_aggregate: bool = True,
+    pre_aggregate: bool | None = None,
+    salt_buckets: int = 1,
 ) -> DataFrame:
     """Per tag group: the hero and the hero's row count (``hero_posts``)."""
     candidate = F.when(F.col("matched"), F.struct("name_rows", "name"))
-    best = F.max(candidate)
+    joined = _joined_rows(posts, users, how, join_on_month, pre_aggregate, salt_buckets)
     return (
-        _name_rows(posts, users, how, join_on_month, pre_aggregate)
+        name_tag_rows(joined)
         .groupBy(*TAG_KEYS)
-        .agg(best.alias("_best"))
+        .agg(F.max(candidate).alias("_best"))
         .select(
             *TAG_KEYS,
             F.col("_best.name").alias("tag_hero"),
@@ -206,16 +233,18 @@ def compute_tag_analysis(
     users: DataFrame,
     how: str = "left",
     join_on_month: bool = True,
-    pre_aggregate: bool = True,
+    pre_aggregate: bool | None = None,
+    salt_buckets: int = 1,
 ) -> DataFrame:
     """The tag analysis table (see module doc), all months at once.
 
-    ``pre_aggregate=False`` skips level 1 and joins every post: one shuffle
-    less, for data known to have no hot owner (a hot owner's rows then cross
-    the network raw, split only by AQE's skew-join handling).
+    ``pre_aggregate`` folds posts per owner and tag set before the join; the
+    default does so only for the join on the owner alone without salting.
+    ``salt_buckets=S`` splits every owner's rows S ways in the join instead.
     """
+    joined = _joined_rows(posts, users, how, join_on_month, pre_aggregate, salt_buckets)
     return (
-        _name_rows(posts, users, how, join_on_month, pre_aggregate)
+        name_tag_rows(joined)
         .groupBy(*TAG_KEYS)
         .agg(*_stat_columns(), _hero_column())
         .select(*TAG_ANALYSIS_COLUMNS)

@@ -24,7 +24,7 @@ from postlens.operators import (
     day_histogram_long,
     explode_tags,
     filter_snapshot_users,
-    join_posts_users,
+    join_users,
     post_counts,
     posts_per_user,
     tag_heroes,
@@ -76,7 +76,8 @@ def q_scan_users(spark, d):
 def q_csv_roundtrip(spark, d):
     root = new_scratch_dir(spark, "csv-roundtrip")
     write_month_csv(_posts(spark, d), root)
-    back = read_month_csv(spark, f"{root}/*/*/*.csv", POSTS_SCHEMA)
+    # titles hold line breaks
+    back = read_month_csv(spark, f"{root}/*/*/*.csv", POSTS_SCHEMA, multiline=True)
     return back.select(*POSTS_SCHEMA.fieldNames(), *SOURCE_KEYS)
 
 
@@ -114,26 +115,26 @@ _JOIN_COLS = ["owner_user_id", "creation_date", "score", "tags", "id", "reputati
 
 
 def q_join_left(spark, d):
-    return join_posts_users(
+    return join_users(
         _posts(spark, d), _users(spark, d), how="left", join_on_month=False
     ).select(*_JOIN_COLS)
 
 
 def q_join_inner(spark, d):
-    return join_posts_users(
+    return join_users(
         _posts(spark, d), _users(spark, d), how="inner", join_on_month=False
     ).select(*_JOIN_COLS)
 
 
 def q_join_left_salted(spark, d):
     """Left join with every owner split 8 ways (users copied 8 times)."""
-    return join_posts_users(
+    return join_users(
         _posts(spark, d), _users(spark, d), how="left", join_on_month=False, salt_buckets=8
     ).select(*_JOIN_COLS)
 
 
 def q_join_by_month(spark, d):
-    return join_posts_users(
+    return join_users(
         _posts(spark, d), _users(spark, d), how="left", join_on_month=True
     ).select(*SOURCE_KEYS, *_JOIN_COLS)
 
@@ -233,61 +234,84 @@ def q_parquet_sink(spark, d):
     return read_tag_analysis(spark, path)
 
 
+def _with_histogram_text(summary: DataFrame) -> DataFrame:
+    """The histogram's entries in the map's own order, as day:posts."""
+    entry = lambda e: F.concat_ws(":", e["key"], e["value"])
+    return summary.withColumn(
+        "histogram", F.array_join(F.transform(F.map_entries("histogram"), entry), ",")
+    )
+
+
 def q_json_sink(spark, d):
-    """Summary written twice (re-run) and read back; histogram as scalars."""
+    """Summary written twice (re-run) and read back."""
     path = new_scratch_dir(spark, "summary-sink")
     users = filter_snapshot_users(_users(spark, d), SNAPSHOT)
     for _ in range(2):
         write_summary(compute_summary(_posts(spark, d), users), path)
-    back = read_summary(spark, path)
-    return back.select(
-        *[c for c in back.columns if c != "histogram"],
-        F.size("histogram").cast("long").alias("histogram_days"),
-        F.aggregate(
-            F.map_values("histogram"), F.lit(0).cast("long"), lambda a, b: a + b
-        ).alias("histogram_posts"),
-    )
+    return _with_histogram_text(read_summary(spark, path))
 
 
-def write_job_inputs(spark, d) -> tuple[str, str, str]:
-    """Adapters written as month folders of CSV: posts and users."""
+def write_job_inputs(spark, d, *, line_breaks: bool = False) -> tuple[str, str, str]:
+    """Adapters written as month folders of CSV: posts and users. Without
+    ``line_breaks`` titles are one line, as splittable reads need."""
     root = new_scratch_dir(spark, "job-inputs")
-    write_month_csv(_posts(spark, d), f"{root}/posts")
+    posts = _posts(spark, d)
+    if not line_breaks:
+        posts = posts.withColumn("title", F.translate("title", "\n", " "))
+    write_month_csv(posts, f"{root}/posts")
     write_month_csv(_users(spark, d), f"{root}/users")
     return root, f"{root}/posts/*/*/*.csv", f"{root}/users/*/*/*.csv"
 
 
-def _run_job(spark, d):
-    """The whole job once over the adapters written as CSV month folders.
-    (Re-runs are checked by the sink queries and the test suite.)"""
-    root, posts_glob, users_glob = write_job_inputs(spark, d)
-    return run_monthly_job(
-        spark,
-        root,
-        new_scratch_dir(spark, "job-outputs"),
-        snapshot_months=SNAPSHOT,
-        posts_glob=posts_glob,
-        users_glob=users_glob,
-    )
+def _run_job(spark, d, line_breaks: bool = False, rerun=None, **options):
+    """The whole job over the adapters written as CSV month folders, then
+    again for the months ``rerun`` names."""
+    root, posts_glob, users_glob = write_job_inputs(spark, d, line_breaks=line_breaks)
+    out = new_scratch_dir(spark, "job-outputs")
+    for months in (None, rerun) if rerun else (None,):
+        result = run_monthly_job(
+            spark,
+            root,
+            out,
+            snapshot_months=SNAPSHOT,
+            posts_glob=posts_glob,
+            users_glob=users_glob,
+            multiline=line_breaks,
+            months=months,
+            **options,
+        )
+    return result
 
 
 def q_job_tag_analysis(spark, d):
-    """Whole job over CSV month folders; tag analysis read back."""
-    return read_tag_analysis(spark, _run_job(spark, d).tag_analysis)
+    """Whole job over CSV month folders with line breaks in titles."""
+    return read_tag_analysis(spark, _run_job(spark, d, line_breaks=True).tag_analysis)
 
 
 def q_job_summary(spark, d):
     """Whole job over CSV month folders; summary read back."""
-    back = read_summary(spark, _run_job(spark, d).summary)
-    return back.select(
-        *[c for c in back.columns if c != "histogram"],
-        F.size("histogram").cast("long").alias("histogram_days"),
-    )
+    return _with_histogram_text(read_summary(spark, _run_job(spark, d).summary))
 
 
-def q_stream_tag_analysis(spark, d):
+RERUN_MONTHS = ((1995, 3), (1996, 7), (1998, 9))
+
+
+def q_job_partial_rerun(spark, d):
+    """Whole job with one users table for all months, then some months again:
+    their owners' user rows lie in other months' files."""
+    result = _run_job(spark, d, rerun=RERUN_MONTHS, join_on_month=False)
+    return read_tag_analysis(spark, result.tag_analysis)
+
+
+def q_job_partial_summary(spark, d):
+    """As above; summary read back."""
+    result = _run_job(spark, d, rerun=RERUN_MONTHS, join_on_month=False)
+    return _with_histogram_text(read_summary(spark, result.summary))
+
+
+def _run_stream(spark, d, **options):
     """Incremental runner: CSV month folders picked up by the file-name
-    stream (all present files, then stop); tag analysis read back."""
+    stream (all present files, then stop)."""
     from postlens.streaming import start_month_stream
 
     root, _, _ = write_job_inputs(spark, d)
@@ -301,11 +325,27 @@ def q_stream_tag_analysis(spark, d):
         watch_glob=f"{root}/*/*/*/*.csv",
         posts_glob=f"{root}/posts/*/*/*.csv",
         users_glob=f"{root}/users/*/*/*.csv",
+        **options,
     )
     query.awaitTermination()
     return read_tag_analysis(spark, f"{out}/tag_analysis")
 
 
+def q_stream_tag_analysis(spark, d):
+    return _run_stream(spark, d)
+
+
+def q_stream_one_users_table(spark, d):
+    return _run_stream(spark, d, join_on_month=False)
+
+
+def q_tag_analysis_salted(spark, d):
+    """Flagship with every owner split 8 ways instead of folded first."""
+    return compute_tag_analysis(
+        _posts(spark, d), _users(spark, d), join_on_month=False, salt_buckets=8
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_scan_posts": q_scan_posts,
     "q_scan_users": q_scan_users,
@@ -342,24 +382,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_job_tag_analysis": q_job_tag_analysis,
     "q_job_summary": q_job_summary,
     "q_stream_tag_analysis": q_stream_tag_analysis,
+    "q_stream_one_users_table": q_stream_one_users_table,
+    "q_job_partial_rerun": q_job_partial_rerun,
+    "q_job_partial_summary": q_job_partial_summary,
+    "q_tag_analysis_salted": q_tag_analysis_salted,
 }
 
 # --------------------------------------------------------------------------
 # DuckDB side
 # --------------------------------------------------------------------------
 
-POSTS_SQL = """
+_CREATED = "CAST(o_orderdate AS TIMESTAMP)"
+_FOLDER = (
+    f"(CASE WHEN o_orderkey % 23 = 0 THEN {_CREATED} + INTERVAL 40 DAY ELSE {_CREATED} END)"
+)
+POSTS_SQL = f"""
 SELECT
-  CAST(NULL AS VARCHAR) AS title,
-  CAST(NULL AS INTEGER) AS answer_count,
+  CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN concat('Say "', o_orderstatus, '", ok')
+    WHEN 2 THEN concat('two', chr(10), 'lines, ', o_orderstatus)
+    ELSE concat('How to ', o_orderkey) END AS title,
+  CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE CAST(o_orderkey % 4 AS INTEGER) END AS answer_count,
   CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_orderkey % 7 AS INTEGER) END AS comment_count,
-  CAST(o_orderdate AS TIMESTAMP) AS creation_date,
-  CAST(o_custkey AS BIGINT) AS owner_user_id,
+  CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE {_CREATED} END AS creation_date,
+  CASE WHEN o_orderkey % 17 = 0 THEN NULL
+    WHEN o_orderkey % 11 = 0 THEN CAST(o_custkey + 1000000000 AS BIGINT)
+    ELSE CAST(o_custkey AS BIGINT) END AS owner_user_id,
   CAST(floor(o_totalprice) AS INTEGER) AS score,
-  concat_ws('|', o_orderpriority, o_orderstatus) AS tags,
-  CAST(NULL AS INTEGER) AS view_count,
-  CAST(year(o_orderdate) AS INTEGER) AS src_year,
-  CAST(month(o_orderdate) AS INTEGER) AS src_month
+  CASE o_orderkey % 13 WHEN 0 THEN NULL
+    WHEN 1 THEN concat_ws('|', o_orderpriority, o_orderstatus, o_orderpriority)
+    WHEN 2 THEN concat_ws('|', o_orderpriority, o_orderstatus, 'extra')
+    ELSE concat_ws('|', o_orderpriority, o_orderstatus) END AS tags,
+  CAST(o_custkey % 1000 AS INTEGER) AS view_count,
+  CAST(year({_FOLDER}) AS INTEGER) AS src_year,
+  CAST(month({_FOLDER}) AS INTEGER) AS src_month
 FROM orders
 """
 
@@ -369,25 +424,22 @@ def _users_sql(snapshot: bool) -> str:
         "make_timestamp(CAST(1995 + c_custkey % 3 AS BIGINT), "
         "CAST(1 + c_custkey % 12 AS BIGINT), 1, 0, 0, 0)"
     )
+    year, month = f"year({created})", f"month({created})"
     if snapshot:
-        src = "CAST(1995 AS INTEGER) AS src_year, CAST(1 AS INTEGER) AS src_month"
-    else:
-        src = (
-            f"CAST(year({created}) AS INTEGER) AS src_year, "
-            f"CAST(month({created}) AS INTEGER) AS src_month"
-        )
+        year = f"CASE WHEN c_custkey % 4 < 2 THEN 1995 ELSE {year} END"
+        month = f"CASE WHEN c_custkey % 4 < 2 THEN 1 ELSE {month} END"
     return f"""
 SELECT
   CAST(c_custkey AS INTEGER) AS id,
   CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_name END AS display_name,
   {created} AS creation_date,
   CAST(floor(c_acctbal) AS INTEGER) AS reputation,
-  CAST(NULL AS VARCHAR) AS location,
-  CAST(NULL AS INTEGER) AS up_votes,
-  CAST(NULL AS INTEGER) AS down_votes,
-  {src}
+  CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE concat(c_mktsegment, ', "x"') END AS location,
+  CAST(c_custkey % 100 AS INTEGER) AS up_votes,
+  CAST(c_nationkey AS INTEGER) AS down_votes,
+  CAST({year} AS INTEGER) AS src_year,
+  CAST({month} AS INTEGER) AS src_month
 FROM customer
-WHERE c_acctbal >= 0
 """
 
 
@@ -477,7 +529,7 @@ def _tag_analysis_sql(
     )
 
 
-def _summary_sql(histogram: str = "", posts_sql: str = POSTS_SQL) -> str:
+def _summary_sql(histogram: bool = False, posts_sql: str = POSTS_SQL) -> str:
     pm = (
         "SELECT src_year, src_month, count(*) AS number_of_posts, "
         "avg(comment_count) AS average_comments_per_post, "
@@ -495,22 +547,15 @@ def _summary_sql(histogram: str = "", posts_sql: str = POSTS_SQL) -> str:
         "GROUP BY src_year, src_month"
     )
     hd = (
-        "SELECT src_year, src_month, count(DISTINCT day(creation_date)) AS histogram_days, "
-        "count(*) AS histogram_posts FROM posts WHERE creation_date IS NOT NULL "
-        "GROUP BY src_year, src_month"
+        "SELECT src_year, src_month, string_agg(day || ':' || posts, ',' ORDER BY day) AS histogram "
+        "FROM (SELECT src_year, src_month, day(creation_date) AS day, count(*) AS posts "
+        "FROM posts WHERE creation_date IS NOT NULL GROUP BY ALL) GROUP BY src_year, src_month"
     )
     keys = (
         "SELECT src_year, src_month FROM pm UNION SELECT src_year, src_month FROM um "
         "UNION SELECT src_year, src_month FROM tg"
     )
-    extra_cols = ""
-    if histogram == "days":
-        extra_cols = ", coalesce(hd.histogram_days, 0) AS histogram_days"
-    elif histogram == "days_posts":
-        extra_cols = (
-            ", coalesce(hd.histogram_days, 0) AS histogram_days"
-            ", coalesce(hd.histogram_posts, 0) AS histogram_posts"
-        )
+    extra_cols = ", coalesce(hd.histogram, '') AS histogram" if histogram else ""
     return _with(posts_sql=posts_sql, pm=pm, um=um, tg=tg, hd=hd, k=keys) + f"""
 SELECT k.src_year, k.src_month,
        coalesce(pm.number_of_posts, 0) AS number_of_posts,
@@ -608,10 +653,14 @@ ORACLE_SQL: dict[str, str] = {
     "q_summary": _summary_sql(),
     "q_summary_events": _summary_sql(posts_sql=EVENTS_POSTS_SQL),
     "q_parquet_sink": _tag_analysis_sql("left", False),
-    "q_json_sink": _summary_sql("days_posts"),
+    "q_json_sink": _summary_sql(True),
     "q_job_tag_analysis": _tag_analysis_sql("left", True),
-    "q_job_summary": _summary_sql("days"),
+    "q_job_summary": _summary_sql(True),
     "q_stream_tag_analysis": _tag_analysis_sql("left", True),
+    "q_stream_one_users_table": _tag_analysis_sql("left", False),
+    "q_job_partial_rerun": _tag_analysis_sql("left", False),
+    "q_job_partial_summary": _summary_sql(True),
+    "q_tag_analysis_salted": _tag_analysis_sql("left", False),
 }
 
 

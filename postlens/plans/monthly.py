@@ -16,7 +16,12 @@ from pyspark.sql import functions as F
 from postlens.operators.preprocess import DEFAULT_SNAPSHOT_MONTHS, filter_snapshot_users
 from postlens.operators.summary import compute_summary
 from postlens.operators.tags import compute_tag_analysis
-from postlens.plans.sinks import stage_table, write_summary, write_tag_analysis
+from postlens.plans.sinks import (
+    stage_table,
+    write_rejected,
+    write_summary,
+    write_tag_analysis,
+)
 from postlens.schemas import (
     POSTS_SCHEMA,
     POSTS_USED,
@@ -24,8 +29,8 @@ from postlens.schemas import (
     USERS_SCHEMA,
     USERS_USED,
 )
-from postlens.session import apply_job_conf
-from postlens.sources.csv_months import read_month_csv
+from postlens.session import apply_job_conf, delete_path
+from postlens.sources.csv_months import CORRUPT, missing_entries, read_month_csv
 
 
 @dataclass(frozen=True)
@@ -56,57 +61,94 @@ def run_monthly_job(
     how: str = "left",
     join_on_month: bool = True,
     snapshot_months: Iterable[tuple[int, int]] = DEFAULT_SNAPSHOT_MONTHS,
-    multiline: bool = True,
+    multiline: bool = False,
+    malformed: str = "fail",
     months: Iterable[tuple[int, int]] | None = None,
     stage_inputs: bool = True,
+    strict: bool = True,
     posts_glob: str | None = None,
     users_glob: str | None = None,
-    pre_aggregate: bool = True,
+    pre_aggregate: bool | None = None,
+    salt_buckets: int = 1,
 ) -> JobOutputs:
     """Summary and tag analysis for every month folder under ``inputs``.
 
-    ``months`` restricts the run to some (year, month) folders and switches
-    the sinks to dynamic partition overwrite. The folder filter is applied
-    on the file path before parsing, so files of other months are skipped.
+    ``months`` restricts the run to some (year, month) folders; their folders
+    in the results are replaced as a whole. The folder filter is applied on
+    the file path before parsing, so files of other months are skipped; with
+    ``join_on_month=False`` the users of all months are still read, because a
+    post's owner may be in any of them. ``strict`` stops if a month folder
+    lacks one of its two files (default layout only).
     ``posts_glob``/``users_glob`` override the default
     ``<inputs>/*/*/posts.csv`` layout (e.g. Spark-written part files).
+
+    ``malformed``: ``"fail"`` or ``"null"`` as in ``read_month_csv``, or
+    ``"reject"``: broken rows are left out of the results and written as JSON,
+    with their text and month, under ``<outputs>/rejected``.
     """
     apply_job_conf(spark)
     root = inputs.rstrip("/")
-    posts = read_month_csv(
-        spark,
-        posts_glob or f"{root}/*/*/posts.csv",
-        POSTS_SCHEMA,
-        multiline=multiline,
-        leaf=None if posts_glob else "posts.csv",
-    )
-    users = read_month_csv(
-        spark,
-        users_glob or f"{root}/*/*/users.csv",
-        USERS_SCHEMA,
-        multiline=multiline,
-        leaf=None if users_glob else "users.csv",
-    )
+    out = outputs.rstrip("/")
     subset = list(months) if months is not None else None
-    if subset is not None:
-        if not subset:
-            raise ValueError("months must name at least one (year, month)")
-        posts, users = _only_months(posts, subset), _only_months(users, subset)
-    posts = posts.select(*POSTS_USED, *SOURCE_KEYS)
-    users = users.select(*USERS_USED, *SOURCE_KEYS)
-    if stage_inputs:
-        posts = stage_table(spark, posts, "posts")
-        users = stage_table(spark, users, "users")
-    return run_on_frames(
-        posts,
-        users,
-        outputs,
-        how=how,
-        join_on_month=join_on_month,
-        snapshot_months=snapshot_months,
-        partial=subset is not None,
-        pre_aggregate=pre_aggregate,
-    )
+    if subset is not None and not subset:
+        raise ValueError("months must name at least one (year, month)")
+    if strict and not posts_glob and not users_glob:
+        missing = missing_entries(spark, root)
+        if subset is not None:
+            wanted = {(y, m) for y, m in subset}
+            missing = [f for f in missing if _month_of(f) in wanted]
+        if missing:
+            raise FileNotFoundError("month folders are incomplete: " + ", ".join(missing))
+    frames = []
+    for entry, glob, schema, used in (
+        ("posts.csv", posts_glob, POSTS_SCHEMA, POSTS_USED),
+        ("users.csv", users_glob, USERS_SCHEMA, USERS_USED),
+    ):
+        df = read_month_csv(
+            spark,
+            glob or f"{root}/*/*/{entry}",
+            schema,
+            multiline=multiline,
+            malformed="keep" if malformed == "reject" else malformed,
+            leaf=None if glob else entry,
+        )
+        # users of all months belong to a join on the owner alone
+        if subset is not None and (entry == "posts.csv" or join_on_month):
+            df = _only_months(df, subset)
+        if malformed == "reject":
+            bad = df.where(F.col(CORRUPT).isNotNull()).select(
+                *SOURCE_KEYS,
+                F.col(CORRUPT).alias("line"),
+                # Spark doesn't read the text of broken rows alone
+                F.col(schema.fieldNames()[0]).cast("string").alias("first_field"),
+            )
+            write_rejected(bad, f"{out}/rejected/{entry}", months=subset)
+            df = df.where(F.col(CORRUPT).isNull())
+        frames.append(df.select(*used, *SOURCE_KEYS))
+    staged = []
+    try:
+        if stage_inputs:
+            for i, label in enumerate(("posts", "users")):
+                frames[i], path = stage_table(spark, frames[i], label)
+                staged.append(path)
+        return run_on_frames(
+            *frames,
+            out,
+            how=how,
+            join_on_month=join_on_month,
+            snapshot_months=snapshot_months,
+            months=subset,
+            pre_aggregate=pre_aggregate,
+            salt_buckets=salt_buckets,
+        )
+    finally:
+        for path in staged:
+            delete_path(spark, path)
+
+
+def _month_of(path: str) -> tuple[int, int]:
+    year, month = path.split("/")[-3:-1]
+    return int(year), int(month)
 
 
 def run_on_frames(
@@ -117,22 +159,26 @@ def run_on_frames(
     how: str = "left",
     join_on_month: bool = True,
     snapshot_months: Iterable[tuple[int, int]] = DEFAULT_SNAPSHOT_MONTHS,
-    partial: bool = False,
-    pre_aggregate: bool = True,
+    months: Iterable[tuple[int, int]] | None = None,
+    pre_aggregate: bool | None = None,
+    salt_buckets: int = 1,
 ) -> JobOutputs:
     """The job's core on DataFrames already loaded from any source.
 
     ``posts`` and ``users`` need the input columns the analyses read
     (``schemas.POSTS_USED``, ``schemas.USERS_USED``) plus ``src_year`` and
-    ``src_month``. ``partial=True`` replaces only the written month
-    partitions (dynamic overwrite) instead of the whole result.
-    ``pre_aggregate`` is passed to ``compute_tag_analysis``.
+    ``src_month``. ``months`` names the months ``posts`` was restricted to:
+    only these are replaced in the results, and only their users count in the
+    summary, while the tag analysis sees all of ``users``.
+    ``pre_aggregate`` and ``salt_buckets`` go to ``compute_tag_analysis``.
     """
     apply_job_conf(posts.sparkSession)
+    months = None if months is None else list(months)
     users = filter_snapshot_users(users, snapshot_months)
+    counted = users if months is None else _only_months(users, months)
     out = outputs.rstrip("/")
     result = JobOutputs(f"{out}/summary", f"{out}/tag_analysis")
-    write_summary(compute_summary(posts, users), result.summary, dynamic=partial)
+    write_summary(compute_summary(posts, counted), result.summary, months=months)
     write_tag_analysis(
         compute_tag_analysis(
             posts,
@@ -140,8 +186,9 @@ def run_on_frames(
             how=how,
             join_on_month=join_on_month,
             pre_aggregate=pre_aggregate,
+            salt_buckets=salt_buckets,
         ),
         result.tag_analysis,
-        dynamic=partial,
+        months=months,
     )
     return result

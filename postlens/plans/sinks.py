@@ -4,28 +4,49 @@ Outputs are partition folders under one root per result, e.g.
 ``<out>/summary/src_year=2016/src_month=1/part-*.json`` and
 ``<out>/tag_analysis/src_year=2016/src_month=1/year=2016/month=1/*.parquet``.
 
-Re-runs: a run over all months overwrites the whole result (static mode); a
-run over some months replaces only the partitions it writes (dynamic mode),
-so re-running one month leaves the others in place.
+Re-runs: a run over all months overwrites the whole result; a run over some
+months replaces the whole folders of these months, also where the new run has
+no rows for them, and leaves the others in place.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlens.schemas import SOURCE_KEYS, SUMMARY_SCHEMA, TAG_ANALYSIS_COLUMNS
-from postlens.session import new_scratch_dir
+from postlens.session import delete_path, move_path, new_scratch_dir, path_exists
 
 
 # Rows per staged Parquet file (a few hundred MB for the staged columns).
 STAGE_MAX_RECORDS_PER_FILE = 10_000_000
 
 
-def _writer(df: DataFrame, dynamic: bool):
-    w = df.write.mode("overwrite")
-    return w.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+def _write(df: DataFrame, path: str, months, save) -> None:
+    """Writes ``df`` to ``path``: all of it, or the named months.
+
+    ``months=None`` overwrites the whole result. Otherwise every named month's
+    whole folder is replaced, also when the new run has no rows for it or
+    fewer sub-folders: the new rows are written beside the result first, then
+    the month folders are swapped one by one.
+    """
+    if months is None:
+        save(df.write.mode("overwrite"), path)
+        return
+    spark = df.sparkSession
+    fresh = f"{path.rstrip('/')}/_fresh-{uuid.uuid4().hex[:12]}"
+    try:
+        save(df.write.mode("error"), fresh)
+        for year, month in sorted(set(months)):
+            part = f"src_year={year}/src_month={month}"
+            delete_path(spark, f"{path}/{part}")
+            if path_exists(spark, f"{fresh}/{part}"):
+                move_path(spark, f"{fresh}/{part}", f"{path}/{part}")
+    finally:
+        delete_path(spark, fresh)
 
 
 def _cluster(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -45,31 +66,40 @@ def _cluster(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.repartitionByRange(n, *cols)
 
 
-def write_summary(summary: DataFrame, path: str, *, dynamic: bool = False) -> None:
+def write_summary(summary: DataFrame, path: str, *, months=None) -> None:
     """One JSON object per month; null values are written, not dropped.
 
-    One row per month, one file per month folder.
+    One row per month, one file per month folder. ``months``: see ``_write``.
     """
-    (
-        _writer(_cluster(summary, SOURCE_KEYS), dynamic)
-        .partitionBy(*SOURCE_KEYS)
-        .option("ignoreNullFields", False)
-        .json(path)
-    )
 
+    def save(writer, target):
+        writer.partitionBy(*SOURCE_KEYS).option("ignoreNullFields", False).json(target)
 
-def write_tag_analysis(tags: DataFrame, path: str, *, dynamic: bool = False) -> None:
+    _write(_cluster(summary, SOURCE_KEYS), path, months, save)
+
+
+def write_tag_analysis(tags: DataFrame, path: str, *, months=None) -> None:
     """Parquet partitioned by source month and by the posts' year and month.
 
     Rows per output folder are bounded by the number of distinct tags, so
     clustering by the four partition columns gives one file per folder
     without creating a large task, whatever the input size.
+    ``months``: see ``_write``.
     """
-    (
-        _writer(_cluster(tags, [*SOURCE_KEYS, "year", "month"]), dynamic)
-        .partitionBy(*SOURCE_KEYS, "year", "month")
-        .parquet(path)
-    )
+
+    def save(writer, target):
+        writer.partitionBy(*SOURCE_KEYS, "year", "month").parquet(target)
+
+    _write(_cluster(tags, [*SOURCE_KEYS, "year", "month"]), path, months, save)
+
+
+def write_rejected(rows: DataFrame, path: str, *, months=None) -> None:
+    """Text of broken input rows as JSON, by month folder."""
+
+    def save(writer, target):
+        writer.partitionBy(*SOURCE_KEYS).json(target)
+
+    _write(rows, path, months, save)
 
 
 def read_summary(spark: SparkSession, path: str) -> DataFrame:
@@ -95,8 +125,9 @@ def read_tag_analysis(spark: SparkSession, path: str) -> DataFrame:
 
 def stage_table(
     spark: SparkSession, df: DataFrame, label: str, *, partition_by=SOURCE_KEYS
-) -> DataFrame:
-    """Write ``df`` as Parquet under the shared scratch root and read it back.
+) -> tuple[DataFrame, str]:
+    """``df`` written as Parquet under the shared scratch root and read back,
+    and the folder, which the caller deletes.
 
     Used to parse the CSV inputs once: later stages read the columnar copy
     with column pruning and month-partition pruning instead of parsing the
@@ -113,7 +144,11 @@ def stage_table(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    try:
+        writer.parquet(path)
+    except BaseException:
+        delete_path(spark, path)
+        raise
     # The schema is known: reading with it skips the footer-reading job.
     staged = spark.read.schema(df.schema).parquet(path)
-    return staged.select(*df.columns)
+    return staged.select(*df.columns), path

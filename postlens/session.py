@@ -28,8 +28,12 @@ JOB_CONF = {
 
 
 def apply_job_conf(spark: SparkSession) -> SparkSession:
+    """Settings of the job that the caller has not made. The time zone is
+    always set, as results depend on it."""
+    given = spark.conf.getAll
     for key, value in JOB_CONF.items():
-        spark.conf.set(key, value)
+        if key == "spark.sql.session.timeZone" or key not in given:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -88,3 +92,35 @@ def scratch_root(spark: SparkSession) -> str:
 def new_scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, never reused folder under the shared scratch root."""
     return f"{scratch_root(spark)}/postlens/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of any file system Spark can reach, if it exists."""
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Renames a folder within one file system; parents are made."""
+    fs, old = _file_system(spark, source)
+    _, new = _file_system(spark, target)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match ``pattern``; bounded by the number of month folders."""
+    fs, target = _file_system(spark, pattern)
+    return [str(s.getPath()) for s in fs.globStatus(target) or []]

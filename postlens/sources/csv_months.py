@@ -9,11 +9,17 @@ The folder's year and month come from each row's file path.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from postlens.functions.columns import folder_key
 from postlens.schemas import POSTS_SCHEMA, USERS_SCHEMA
+from postlens.session import glob_paths
+
+
+CORRUPT = "_corrupt_record"
+MALFORMED = ("fail", "null", "keep")
 
 
 def read_month_csv(
@@ -21,27 +27,39 @@ def read_month_csv(
     path_glob: str,
     schema: T.StructType,
     *,
-    multiline: bool = True,
+    multiline: bool = False,
+    malformed: str = "fail",
     leaf: str | None = None,
 ) -> DataFrame:
     """Read every file matching ``path_glob`` with a fixed schema.
 
-    ``multiline=True`` accepts quoted fields with line breaks and doubled
-    quotes, as the files are written by a CSV library with those defaults.
-    It costs parallelism: a multi-line file cannot be split, so it is read by
-    one task. Files known to have no embedded line breaks should be read with
-    ``multiline=False`` so Spark splits them by ``maxPartitionBytes``.
-    Unparseable values become null (permissive mode).
+    Files are split by ``maxPartitionBytes``, so one large file is read by
+    many tasks. ``multiline=True`` also accepts quoted fields with line breaks
+    (doubled quotes are read either way); such a file can't be split and is
+    read by one task.
+
+    ``malformed`` says what a row with too few or too many fields, or with a
+    value that does not parse, does: ``"fail"`` ends the read with an error,
+    ``"keep"`` keeps the row with its text in the column ``_corrupt_record``
+    (null for good rows), ``"null"`` makes the values null. A header whose
+    names are not the schema's, in order, is an error in every mode.
 
     ``leaf`` is the entry name inside each month folder (``posts.csv``); it
     may then be a single file or a folder of part files.
     """
+    if malformed not in MALFORMED:
+        raise ValueError(f"malformed must be one of {MALFORMED}, got {malformed!r}")
+    if malformed == "keep":
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     reader = (
         spark.read.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("escape", '"')
         .option("multiLine", multiline)
-        .option("mode", "PERMISSIVE")
+        .option("mode", "FAILFAST" if malformed == "fail" else "PERMISSIVE")
+        # all fields are parsed, else a broken row can look whole
+        .option("columnPruning", False)
     )
     try:
         df = reader.csv(path_glob)
@@ -54,42 +72,60 @@ def read_month_csv(
     )
 
 
+def missing_entries(
+    spark: SparkSession, inputs: str, entries: tuple[str, ...] = ("posts.csv", "users.csv")
+) -> list[str]:
+    """Expected files that a month folder under ``inputs`` lacks."""
+    root = inputs.rstrip("/")
+    folders = [f for f in glob_paths(spark, f"{root}/*/*") if _is_month(f)]
+    found = {e: set(glob_paths(spark, f"{root}/*/*/{e}")) for e in entries}
+    return [f"{f}/{e}" for f in sorted(folders) for e in entries if f"{f}/{e}" not in found[e]]
+
+
+def _is_month(folder: str) -> bool:
+    year, month = folder.rstrip("/").split("/")[-2:]
+    return year.isdigit() and month.isdigit()
+
+
 def read_posts(
-    spark: SparkSession, inputs: str, *, multiline: bool = True
+    spark: SparkSession, inputs: str, *, multiline: bool = False, malformed: str = "fail"
 ) -> DataFrame:
     return read_month_csv(
         spark,
         f"{inputs.rstrip('/')}/*/*/posts.csv",
         POSTS_SCHEMA,
         multiline=multiline,
+        malformed=malformed,
         leaf="posts.csv",
     )
 
 
 def read_users(
-    spark: SparkSession, inputs: str, *, multiline: bool = True
+    spark: SparkSession, inputs: str, *, multiline: bool = False, malformed: str = "fail"
 ) -> DataFrame:
     return read_month_csv(
         spark,
         f"{inputs.rstrip('/')}/*/*/users.csv",
         USERS_SCHEMA,
         multiline=multiline,
+        malformed=malformed,
         leaf="users.csv",
     )
 
 
-def write_month_csv(df: DataFrame, root: str) -> None:
+def write_month_csv(df: DataFrame, root: str, *, files_per_month: int = 4) -> None:
     """Write rows with ``src_year``/``src_month`` as month folders of CSV.
 
     One write job for all months (partitioned output, one folder per month),
     readable again by ``read_month_csv(spark, f"{root}/*/*/*.csv", schema)``.
-    Rows are clustered by month first so each month folder gets one file;
-    the explicit partition count keeps AQE from folding small inputs into a
-    single writing task.
+    Rows are clustered by month and a hash bucket, so a month is written by up
+    to ``files_per_month`` tasks; the explicit partition count keeps AQE from
+    folding small inputs into a single writing task.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bucket = F.pmod(F.xxhash64(*[df[c] for c in df.columns]), F.lit(files_per_month))
     (
-        df.repartition(n, "src_year", "src_month")
+        df.repartition(max(n, files_per_month), "src_year", "src_month", bucket)
         .write.mode("overwrite")
         .partitionBy("src_year", "src_month")
         .option("header", True)

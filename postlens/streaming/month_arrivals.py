@@ -4,8 +4,9 @@ The batch job computes every month in one plan. When months land one at a
 time (a new ``<year>/<month>/posts.csv`` and ``users.csv`` each month), this
 module runs it incrementally: a file-source stream over the month folders
 reports which folders received new files, and each micro-batch re-runs the
-batch job for exactly those months, replacing only their output partitions
-(dynamic partition overwrite).
+batch job for exactly those months, replacing only their folders in the
+results. A month whose second file has not arrived yet is processed without it
+(the batch job's check for missing files is off by default here).
 
 * The stream reads file *names* only: it uses the ``binaryFile`` source and
   selects the ``path`` column, so file contents are never loaded by the
@@ -91,7 +92,8 @@ def monthly_batch_handler(
     def handle(batch: DataFrame, batch_id: int) -> None:
         months = _months_of(batch)
         if months:
-            run_monthly_job(spark, inputs, outputs, months=months, **job_options)
+            options = {"strict": False, **job_options}
+            run_monthly_job(spark, inputs, outputs, months=months, **options)
 
     return handle
 

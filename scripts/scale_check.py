@@ -44,7 +44,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from postlens.operators import (  # noqa: E402
     compute_summary,
     compute_tag_analysis,
-    join_posts_users,
+    join_users,
 )
 from postlens.plans.sinks import stage_table  # noqa: E402
 from postlens.session import build_session  # noqa: E402
@@ -143,10 +143,10 @@ def main() -> None:
     ]
     if os.environ.get("JOINS"):  # the row-level join, plain and salted
         analyses = [
-            ("join_plain", lambda: join_posts_users(posts, users, join_on_month=on_month)),
+            ("join_plain", lambda: join_users(posts, users, join_on_month=on_month)),
             (
                 "join_salted_16",
-                lambda: join_posts_users(
+                lambda: join_users(
                     posts, users, join_on_month=on_month, salt_buckets=16
                 ),
             ),

@@ -14,12 +14,12 @@ from test_sources_sinks import POSTS_HEADER, _inputs, _write
 
 def test_options():
     args = build_parser().parse_args(
-        ["in", "out", "--how", "inner", "--snapshot", "2015-12", "--single-line"]
+        ["in", "out", "--how", "inner", "--snapshot", "2015-12", "--multi-line"]
     )
     opts = job_options(args)
     assert opts["how"] == "inner"
     assert opts["snapshot_months"] == ((2015, 12),)
-    assert opts["multiline"] is False and opts["join_on_month"] is True
+    assert opts["multiline"] is True and opts["join_on_month"] is True
     assert job_options(build_parser().parse_args(["i", "o", "--no-snapshot"]))[
         "snapshot_months"
     ] == ()
@@ -29,10 +29,10 @@ def test_options():
 
 def test_cli_runs_job(spark, scratch):
     _inputs(f"{scratch}/in")
-    assert main([f"{scratch}/in", f"{scratch}/out"], spark=spark) == 0
+    assert main([f"{scratch}/in", f"{scratch}/out", "--multi-line"], spark=spark) == 0
     assert read_summary(spark, f"{scratch}/out/summary").count() == 2
     assert read_tag_analysis(spark, f"{scratch}/out/tag_analysis").count() == 4
-    assert main([f"{scratch}/in", f"{scratch}/out2", "--stream"], spark=spark) == 0
+    assert main([f"{scratch}/in", f"{scratch}/out2", "--stream", "--multi-line"], spark=spark) == 0
     assert read_summary(spark, f"{scratch}/out2/summary").count() == 2
 
 
@@ -42,7 +42,7 @@ def test_unparseable_values_become_null(spark, scratch):
         POSTS_HEADER,
         [("t", "many", 1, "not a date", "x9", 1, "a", 1)],
     )
-    (row,) = read_posts(spark, scratch).collect()
+    (row,) = read_posts(spark, scratch, malformed="null").collect()
     assert row["answer_count"] is None
     assert row["creation_date"] is None
     assert row["owner_user_id"] is None
@@ -58,7 +58,7 @@ def test_config_file(spark, scratch):
             f'OUTPUTS_FOLDER: "{scratch}/out"\n'
             'PIPELINE_CHOICE: "pyspark"\n'
         )
-    assert main(["--config", conf], spark=spark) == 0
+    assert main(["--config", conf, "--multi-line"], spark=spark) == 0
     assert read_summary(spark, f"{scratch}/out/summary").count() == 2
     with pytest.raises(SystemExit):
         main([], spark=spark)

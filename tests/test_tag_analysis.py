@@ -7,7 +7,7 @@ import pytest
 from conftest import make_posts, make_users
 from postlens.operators import (
     compute_tag_analysis,
-    join_posts_users,
+    join_users,
     tag_heroes,
     tag_stats,
     user_tag_counts,
@@ -92,7 +92,7 @@ def test_bad_join_type(feb):
     with pytest.raises(ValueError):
         compute_tag_analysis(posts, users, how="right")
     with pytest.raises(ValueError):
-        join_posts_users(posts, users, how="cross")
+        join_users(posts, users, how="cross")
 
 
 def test_numeric_hero_order(spark):
@@ -201,8 +201,8 @@ def test_same_user_id_in_two_months(spark):
 
 def test_join_keeps_unmatched_only_for_left(feb):
     posts, users = feb
-    left = join_posts_users(posts, users, how="left")
-    inner = join_posts_users(posts, users, how="inner")
+    left = join_users(posts, users, how="left")
+    inner = join_users(posts, users, how="inner")
     assert left.count() == 5
     assert inner.count() == 3
     assert "id" in left.columns and "reputation" in left.columns
@@ -215,7 +215,7 @@ def test_left_join_with_many_null_owners(spark):
     posts = make_posts(spark, rows)
     users = make_users(spark, [(1, "ann", 7)])
     for on_month in (True, False):
-        joined = join_posts_users(posts, users, how="left", join_on_month=on_month)
+        joined = join_users(posts, users, how="left", join_on_month=on_month)
         assert "_owner_key" not in joined.columns
         got = joined.collect()
         assert len(got) == 201
@@ -240,10 +240,10 @@ def test_salted_join_equals_plain_join(spark, how, on_month):
     )
     posts = make_posts(spark, rows)
     users = make_users(spark, [(1, "ann", 10), (2, None, 20), (2, "dup", 30)])
-    plain = join_posts_users(posts, users, how=how, join_on_month=on_month)
-    salted = join_posts_users(posts, users, how=how, join_on_month=on_month, salt_buckets=7)
+    plain = join_users(posts, users, how=how, join_on_month=on_month)
+    salted = join_users(posts, users, how=how, join_on_month=on_month, salt_buckets=7)
     assert salted.columns == plain.columns
     key = lambda r: repr(tuple(r))
     assert sorted(map(key, salted.collect())) == sorted(map(key, plain.collect()))
     with pytest.raises(ValueError):
-        join_posts_users(posts, users, salt_buckets=0)
+        join_users(posts, users, salt_buckets=0)
