@@ -407,9 +407,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, params: Params = PRODU
 def keep_one(spark: SparkSession, docs: DataFrame, params: Params = PRODUCTION) -> DataFrame:
     """The rows of ``docs`` without near duplicates: one per class."""
     stays = near_duplicates(spark, docs, params).where("stays").select(
-        F.col("doc_id").alias("kept_id")
+        F.col("doc_id").alias("__kept_doc_id")
     ).distinct()
-    kept = docs.join(stays, docs["doc_id"].cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
+    kept = docs.join(stays, docs["doc_id"].cast("long").eqNullSafe(F.col("__kept_doc_id")), "left_semi")
     return kept.dropDuplicates(["doc_id"])
 
 

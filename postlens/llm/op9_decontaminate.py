@@ -349,11 +349,11 @@ def drop_leaks(
     spark: SparkSession, docs: DataFrame, benchmark: DataFrame, rules: Rules = PRODUCTION
 ) -> DataFrame:
     """The rows of ``docs`` without contaminated documents."""
-    bad = find_leaks(spark, docs, benchmark, rules).select(F.col("doc_id").alias("bad_id")).distinct()
+    bad = find_leaks(spark, docs, benchmark, rules).select(F.col("doc_id").alias("__leaked_doc_id")).distinct()
     bad = checkpointed(spark, bad)
     if bad.count() <= BROADCAST_IDS:
         bad = F.broadcast(bad)
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(F.col("bad_id")), "left_anti")
+    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(F.col("__leaked_doc_id")), "left_anti")
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
