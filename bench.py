@@ -4,8 +4,8 @@ Prints one JSON line:
 {"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
 Each query is executed in full with the ``noop`` sink (every row computed,
-nothing collected to the driver); the best of $BENCH_RUNS (default 5) runs is
-reported, the job's best of 3. ``job`` is the whole monthly job over CSV
+nothing collected to the driver); the median of $BENCH_RUNS (default 5) runs is
+reported, the job's median of 3. ``job`` is the whole monthly job over CSV
 month folders (read, stage, summary JSON, tag analysis Parquet); its CSV
 inputs are written once beforehand and not timed.
 
@@ -21,6 +21,7 @@ import re
 import sys
 import tempfile
 import time
+from statistics import median
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -43,7 +44,7 @@ HEADLINE = [
 ]
 
 
-# Best of N runs per query (steady state after JIT and codegen warm-up).
+# Median of N runs per query, after a warm-up.
 QUERY_RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 JOB_RUNS = 3
 
@@ -74,15 +75,15 @@ def main() -> None:
 
     times: dict[str, float] = {}
     for name in HEADLINE:
-        best = float("inf")
+        runs = []
         for _ in range(QUERY_RUNS):
             t0 = time.perf_counter()
             _run(QUERIES[name](spark, sf_dir))
-            best = min(best, time.perf_counter() - t0)
-        times[name] = round(best, 3)
+            runs.append(time.perf_counter() - t0)
+        times[name] = round(median(runs), 3)
 
     root, posts_glob, users_glob = write_job_inputs(spark, sf_dir)
-    best = float("inf")
+    runs = []
     for _ in range(JOB_RUNS):
         out = new_scratch_dir(spark, "bench-job")
         t0 = time.perf_counter()
@@ -94,8 +95,8 @@ def main() -> None:
             posts_glob=posts_glob,
             users_glob=users_glob,
         )
-        best = min(best, time.perf_counter() - t0)
-    times["job"] = round(best, 3)
+        runs.append(time.perf_counter() - t0)
+    times["job"] = round(median(runs), 3)
 
     spark.stop()
     print(
