@@ -21,7 +21,7 @@ from postlens.llm.op4_probminhash import keep_one
 from postlens.llm.op5_secrets import redact
 from postlens.llm.op6_quality_rules import keep_clean
 from postlens.llm.op9_decontaminate import drop_leaks
-from postlens.session import new_scratch_dir
+from postlens.session import delete_path, new_scratch_dir
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,10 +63,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole documents table."""
+    """All stages over the whole documents table.
+
+    A stage's folder goes when the next one is written; the last one stays,
+    as the result is read from it.
+    """
     docs = read_table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES[:-1]:
         path = new_scratch_dir(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            delete_path(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
