@@ -20,9 +20,9 @@ with probability J_P.
    ever expanded into all pairs. Keys are counted with map-side sums; members
    meet their key's counts in a join whose hot keys Spark splits.
 3. Pairs are verified on whole texts: linked if J_P or the plain Jaccard
-   similarity of the shingle sets reaches ``threshold``. Each round takes the
-   pairs that share most keys, ``per_round`` per document, links what holds
-   and drops all pairs that are now within one class, until no pair is left.
+   similarity of the shingle sets reaches ``threshold``. First the pairs that
+   share most keys, ``per_round`` per document; what holds is linked, all pairs
+   that are now within one class need no look, and all others are verified.
 4. Classes are connected components of the links, by least-label steps with
    pointer jumping; state is kept in the shared checkpoint folder.
 
@@ -301,7 +301,6 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     both = links.select("a", "b").unionByName(
         links.select(F.col("b").alias("a"), F.col("a").alias("b"))
     )
-    both = checkpointed(spark, both.distinct())
     labels = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("class"))
     labels = checkpointed(spark, labels.select(F.col("a").alias("node"), "class"))
     while True:
@@ -358,14 +357,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, params: Params = PRODU
     # different texts under one doc_id are one node from the start
     links = spark.createDataFrame([], "a long, b long")
     labels = None
-    while not pairs.isEmpty():
-        order = Window.partitionBy("a").orderBy(F.desc("n"), "b")
-        chosen = checkpointed(
-            spark,
-            pairs.withColumn("rank", F.row_number().over(order)).where(
-                F.col("rank") <= params.per_round
-            ).select("a", "b"),
-        )
+    for last in (False, True):
+        if pairs.isEmpty():
+            break
+        chosen = pairs.select("a", "b")
+        if not last:
+            order = Window.partitionBy("a").orderBy(F.desc("n"), "b")
+            ranked = pairs.withColumn("rank", F.row_number().over(order))
+            best = ranked.where(F.col("rank") <= params.per_round)
+            chosen = checkpointed(spark, best.select("a", "b"))
         ids = chosen.select(F.col("a").alias("k")).unionByName(
             chosen.select(F.col("b").alias("k"))
         ).distinct()
@@ -374,22 +374,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, params: Params = PRODU
         second = texts.select(F.col("k").alias("b"), F.col("text").alias("text_b"))
         judged = chosen.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
         verdict = judged.mapInArrow(_verify(params), "a long, b long, linked boolean")
-        links = checkpointed(
-            spark, links.unionByName(verdict.where("linked").select("a", "b").distinct())
-        )
-        labels = components(spark, links)
-        of_a = labels.select(F.col("node").alias("a"), F.col("class").alias("class_a"))
-        of_b = labels.select(F.col("node").alias("b"), F.col("class").alias("class_b"))
-        pairs = checkpointed(
-            spark,
-            pairs.join(chosen.withColumn("done", F.lit(True)), ["a", "b"], "left")
-            .where("done is null")
-            .drop("done")
-            .join(of_a, "a", "left")
-            .join(of_b, "b", "left")
-            .where(~F.coalesce(F.col("class_a") == F.col("class_b"), F.lit(False)))
-            .select("a", "b", "n"),
-        )
+        found = checkpointed(spark, verdict.where("linked").select("a", "b").distinct())
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            labels = components(spark, links)
+        if last:
+            break
+        pairs = pairs.join(chosen, ["a", "b"], "left_anti")
+        if labels is not None:
+            of_a = labels.select(F.col("node").alias("a"), F.col("class").alias("class_a"))
+            of_b = labels.select(F.col("node").alias("b"), F.col("class").alias("class_b"))
+            pairs = (
+                pairs.join(of_a, "a", "left")
+                .join(of_b, "b", "left")
+                .where(~F.coalesce(F.col("class_a") == F.col("class_b"), F.lit(False)))
+                .select("a", "b", "n")
+            )
+        pairs = checkpointed(spark, pairs)
     members = sketched.select("k", "d1", "d2").join(firsts, ["d1", "d2"])
     if labels is not None:
         members = members.join(labels, "node", "left").withColumn(
