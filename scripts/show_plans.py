@@ -25,8 +25,7 @@ NOTES = {
         "string, owner) with a partial aggregation below the first Exchange; "
         "the join shuffles those rows by owner; `Generate explode` sits after "
         "the join; levels 3 and 4 each have a partial aggregate below their "
-        "Exchange. The orders scan reads 5 of 6 columns (`ReadSchema`), the "
-        "customer scan 3 of 5 with `c_acctbal >= 0` pushed to Parquet."
+        "Exchange. The customer scan reads 3 of 5 columns (`ReadSchema`)."
     ),
     "q_summary": (
         "Summary. Grouped aggregates on the month keys (three here, four with "
