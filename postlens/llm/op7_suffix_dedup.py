@@ -166,9 +166,15 @@ def _merge(key: np.ndarray, start: np.ndarray, n: np.ndarray):
 
 
 def _emit(h, s, doc, pk) -> pa.RecordBatch:
+    # document first: neighbours share it, which the shuffle's compression uses
     return pa.RecordBatch.from_arrays(
-        [pa.array(signed(np.ascontiguousarray(h))), pa.array(signed(np.ascontiguousarray(s))), pa.array(doc), pa.array(pk)],
-        names=["h", "s", "k", "pk"],
+        [
+            pa.array(doc),
+            pa.array(pk),
+            pa.array(signed(np.ascontiguousarray(h))),
+            pa.array(signed(np.ascontiguousarray(s))),
+        ],
+        names=["k", "pk", "h", "s"],
     )
 
 
@@ -190,7 +196,7 @@ def _sorted_out(h, s, doc, start, n) -> Iterator[pa.RecordBatch]:
     same[1:] = hs[1:] == hs[:-1]
     multi = same.copy()
     multi[:-1] |= same[1:]
-    alone = o[~multi]
+    alone = np.sort(o[~multi])  # in text order
     yield _emit(h[alone], s[alone], doc[alone], _pack(start[alone], n[alone], REP))
     m = o[multi]
     if not len(m):
@@ -416,7 +422,7 @@ def repeat_marks(docs: DataFrame, n_match: int = MATCH_BYTES) -> tuple[DataFrame
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
     )
-    schema = "h long, s long, k long, pk long"
+    schema = "k long, pk long, h long, s long"
 
     def opened(marked: DataFrame) -> DataFrame:
         """Documents with their open ranges; the exchange of texts is shared."""
