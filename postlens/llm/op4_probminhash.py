@@ -15,15 +15,24 @@ with probability J_P.
    doc_id); within a batch only the first of them is sketched.
 2. Documents that share a band key are candidates. A key of up to ``small``
    documents gives all its pairs, a larger one connects its members to two
-   hubs (the least id and one drawn per key) and passes on to longer keys
-   (two, then three bands) whose groups are treated alike, so no group is
-   ever expanded into all pairs. Keys are counted with map-side sums; members
-   meet their key's counts in a join whose hot keys Spark splits.
+   hubs (the least id and one drawn per key). Keys are counted with map-side
+   sums; members meet their key's counts in a join whose hot keys Spark splits.
 3. Pairs are verified on whole texts: linked if J_P or the plain Jaccard
    similarity of the shingle sets reaches ``threshold``. First the pairs that
    share most keys, ``per_round`` per document; what holds is linked, all pairs
    that are now within one class need no look, and all others are verified.
-4. Classes are connected components of the links, by least-label steps with
+4. Members of a large key that are not all one class by now (a family with a
+   common template, say) are split by their shingles. A shingle of up to
+   ``small`` of these documents is rare. Shingles are ordered rare first; two
+   documents that reach the threshold share a shingle ahead of the last
+   ``threshold`` of either (by number, or by weight, as J_P is at most the sum
+   of the lesser weights). If one is rare, they meet in its group, which gives
+   all its pairs. If not, they share no rare shingle at all, and the common
+   ones alone reach the threshold. Then each is also like the document with
+   the same common shingles and the fewest (or least weight of) rare ones: all
+   members are compared with that head and with the other heads of their keys,
+   unless both are of one class.
+5. Classes are connected components of the links, by least-label steps with
    pointer jumping; state is kept in the shared checkpoint folder.
 
 Nothing of this is collected: the driver sees counts only.
@@ -66,7 +75,6 @@ class Params:
     bands: int = 24
     rows: int = 5
     small: int = 16
-    depth: int = 3
     per_round: int = 4
 
 
@@ -248,49 +256,134 @@ def _in_set(ids):
     return run
 
 
-def candidates(nodes: DataFrame, params: Params) -> DataFrame:
-    """(a, b, n): candidate pairs a > b and the number of keys they share."""
-    spark = nodes.sparkSession
-    pairs = None
-    # one row per node and band; ``chain`` holds the keys of the next bands
-    members = nodes.select("node", F.posexplode("keys").alias("band", "key"), "keys")
-    members = members.select("node", "band", "key", "keys") if params.depth > 1 else members
-    rows = members.select(
-        "node",
-        "key",
-        *[
-            F.element_at("keys", (F.col("band") + d) % params.bands + 1).alias(f"next{d}")
-            for d in range(1, params.depth)
-        ],
+def candidates(nodes: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
+    """(a, b, n): candidate pairs a > b and the number of keys they share; and
+    (key, node) of the keys with more than ``small`` documents."""
+    rows = nodes.select("node", F.explode("keys").alias("key"))
+    groups = (
+        rows.groupBy("key")
+        .agg(
+            F.count("*").alias("size"),
+            F.min("node").alias("hub1"),
+            F.min_by("node", F.xxhash64("node", "key")).alias("hub2"),
+        )
+        .where("size > 1")
     )
-    for level in range(1, params.depth + 1):
-        groups = (
-            rows.groupBy("key")
-            .agg(
-                F.count("*").alias("size"),
-                F.min("node").alias("hub1"),
-                F.min_by("node", F.xxhash64("node", "key")).alias("hub2"),
+    met = checkpointed(nodes.sparkSession, rows.join(groups, "key"))
+    small = met.where(F.col("size") <= params.small).select("key", "node")
+    large = met.where(F.col("size") > params.small)
+    pairs = _in_group(small, small, "node > b")
+    for hub in ("hub1", "hub2"):
+        pairs = pairs.unionByName(
+            large.where(f"node <> {hub}").select(
+                F.greatest("node", hub).alias("a"), F.least("node", hub).alias("b")
             )
-            .where("size > 1")
         )
-        met = checkpointed(spark, rows.join(groups, "key"))
-        small = met.where(F.col("size") <= params.small).select("key", "node")
-        large = met.where(F.col("size") > params.small)
-        other = small.select("key", F.col("node").alias("b"))
-        found = [small.join(other, "key").where("node > b").select(F.col("node").alias("a"), "b")]
-        for hub in ("hub1", "hub2"):
-            found.append(
-                large.where(f"node <> {hub}").select(
-                    F.greatest("node", hub).alias("a"), F.least("node", hub).alias("b")
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("n")), large.select("key", "node")
+
+
+def _in_group(left: DataFrame, right: DataFrame, condition: str) -> DataFrame:
+    """(a, b), a > b, of the pairs of two tables (key, node, ...) that share a
+    key; ``condition`` knows the right table's columns as b, b_class, ..."""
+    names = {c: "b" if c == "node" else f"b_{c}" for c in right.columns if c != "key"}
+    other = right.select("key", *[F.col(c).alias(n) for c, n in names.items()])
+    return left.join(other, "key").where(condition).select(
+        F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")
+    )
+
+
+def _shingle_rows(params: Params):
+    """Task function: (node, class, text) to (node, class, h, n): distinct
+    shingles and how often they occur."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = HashedWords()
+        for batch in batches:
+            for rows in text_slices(batch, "text", BLOCK_BYTES):
+                words, counts = split_docs(t.lower() for t in binary_values(rows.column("text")))
+                h, d, n = weighted(*shingles(table.hash_words(words), counts, params.words))
+                at = pa.array(d, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        rows.column("node").take(at),
+                        rows.column("class").take(at),
+                        pa.array(signed(h), pa.int64()),
+                        pa.array(n.astype(np.int64), pa.int64()),
+                    ],
+                    names=["node", "class", "h", "n"],
                 )
+
+    return run
+
+
+def open_pairs(rows: DataFrame, texts: DataFrame, params: Params) -> DataFrame:
+    """(a, b): the pairs of different classes that are left to verify in large
+    groups, see step 4. ``rows``: (key, node, class), ``texts``: (node, text)."""
+    spark = rows.sparkSession
+    members = rows.select("node", "class").distinct()
+    found = texts.join(members, "node").select("node", "class", "text").mapInArrow(
+        _shingle_rows(params), "node long, class long, h long, n long"
+    )
+    rare = found.groupBy("h").agg(F.count("*").alias("df")).where(F.col("df") <= params.small)
+    marked = found.join(rare, "h", "left")
+    # rare shingles first; a pair at the threshold meets in its prefixes
+    whole = Window.partitionBy("node")
+    ahead = whole.orderBy(F.col("df").asc_nulls_last(), "h").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    at_least = params.threshold - 1e-9
+    marked = marked.select(
+        "node", "class", "h", "n", "df",
+        F.count("*").over(whole).alias("all"),
+        F.sum("n").over(whole).alias("all_n"),
+        (F.count("*").over(ahead) - 1).alias("before"),
+        (F.sum("n").over(ahead) - F.col("n")).alias("before_n"),
+    )
+    marked = marked.where(
+        (F.col("all") - F.col("before") >= at_least * F.col("all"))
+        | (F.col("all_n") - F.col("before_n") >= at_least * F.col("all_n"))
+        | F.col("df").isNull()
+    )
+    marked = checkpointed(spark, marked.where("df is null or df > 1").select(
+        F.col("h").alias("key"), "node", "class", "n", "df", "all", "all_n"
+    ))
+    prefix = marked.where("df is not null").select("key", "node", "class")
+    pairs = _in_group(prefix, prefix, "node > b and class <> b_class")
+    # no rare shingle in common: the common ones alone reach the threshold
+    common = (
+        marked.where("df is null")
+        .groupBy("node", "class", "all", "all_n")
+        .agg(
+            F.count("*").alias("c"),
+            F.sum("n").alias("c_n"),
+            F.bit_xor(F.xxhash64("key", "n")).alias("g1"),
+            F.bit_xor(F.xxhash64("n", "key")).alias("g2"),
+        )
+        .where((F.col("c") >= at_least * F.col("all")) | (F.col("c_n") >= at_least * F.col("all_n")))
+        .select("node", "class", "g1", "g2", (F.col("all") - F.col("c")).alias("r"), (F.col("all_n") - F.col("c_n")).alias("r_n"))
+    )
+    common = checkpointed(spark, common)
+    heads = common.groupBy("g1", "g2").agg(
+        F.min(F.struct("r", "node", "class")).alias("by_set"),
+        F.min(F.struct("r_n", "node", "class")).alias("by_count"),
+    )
+    led = common.join(heads, ["g1", "g2"])
+    for by in ("by_set", "by_count"):
+        pairs = pairs.unionByName(
+            led.where(F.col("class") != F.col(f"{by}.class")).select(
+                F.greatest("node", f"{by}.node").alias("a"), F.least("node", f"{by}.node").alias("b")
             )
-        for f in found:
-            pairs = f if pairs is None else pairs.unionByName(f)
-        if level == params.depth or large.isEmpty():
-            break
-        rest = [f"next{d}" for d in range(level, params.depth)]
-        rows = large.select("node", F.xxhash64("key", rest[0]).alias("key"), *rest[1:])
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
+        )
+    head = heads.select(F.explode(F.array("by_set.node", "by_count.node")).alias("node")).distinct()
+    top = rows.groupBy("key", "class").count().groupBy("key").agg(F.max_by("class", "count").alias("top"))
+    grouped = rows.join(top, "key").join(common.select("node", "g1", "g2"), "node")
+    grouped = checkpointed(spark, grouped.join(head.withColumn("head", F.lit(True)), "node", "left"))
+    minor, leads = grouped.where("class <> top"), grouped.where("head")
+    # of two classes one at least is not the largest of its group
+    unlike = "class <> b_class and (g1 <> b_g1 or g2 <> b_g2)"
+    pairs = pairs.unionByName(_in_group(minor, leads, unlike))
+    pairs = pairs.unionByName(_in_group(grouped, leads.where("class <> top"), unlike))
+    return pairs.distinct()
 
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
@@ -334,6 +427,19 @@ def _texts_of(spark: SparkSession, docs: DataFrame, ids: DataFrame) -> DataFrame
     return docs.join(ids, "k", "left_semi")
 
 
+def _open_rows(large: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(key, node, class) of the large groups that hold more than one class."""
+    if labels is None:
+        rows = large.withColumn("class", F.col("node"))
+    else:
+        rows = large.join(labels, "node", "left").select(
+            "key", "node", F.coalesce("class", "node").alias("class")
+        )
+    several = rows.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    rows = rows.join(several.where("low <> high").select("key"), "key")
+    return checkpointed(large.sparkSession, rows)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, params: Params = PRODUCTION) -> DataFrame:
     """Per row: doc_id, class_id (the class's least doc_id) and whether the
     row's document is the one of its class that stays."""
@@ -353,15 +459,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, params: Params = PRODU
         .groupBy("node")
         .agg(F.first("keys").alias("keys"))
     )
-    pairs = checkpointed(spark, candidates(nodes, params))
+    pairs, large = candidates(nodes, params)
+    pairs = checkpointed(spark, pairs)
     # different texts under one doc_id are one node from the start
     links = spark.createDataFrame([], "a long, b long")
     labels = None
-    for last in (False, True):
+    for step in ("best", "others", "open"):
+        if step == "open":
+            rows = _open_rows(large, labels)
+            if rows.isEmpty():
+                break
+            texts = _texts_of(spark, keyed, rows.select(F.col("node").alias("k")).distinct())
+            texts = texts.select(F.col("k").alias("node"), "text").dropDuplicates(["node"])
+            pairs = checkpointed(spark, open_pairs(rows, texts, params))
         if pairs.isEmpty():
-            break
+            continue
         chosen = pairs.select("a", "b")
-        if not last:
+        if step == "best":
             order = Window.partitionBy("a").orderBy(F.desc("n"), "b")
             ranked = pairs.withColumn("rank", F.row_number().over(order))
             best = ranked.where(F.col("rank") <= params.per_round)
@@ -378,8 +492,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, params: Params = PRODU
         if not found.isEmpty():
             links = links.unionByName(found)
             labels = components(spark, links)
-        if last:
-            break
+        if step != "best":
+            continue
         pairs = pairs.join(chosen, ["a", "b"], "left_anti")
         if labels is not None:
             of_a = labels.select(F.col("node").alias("a"), F.col("class").alias("class_a"))

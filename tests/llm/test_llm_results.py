@@ -215,6 +215,37 @@ def test_op4_large_group_and_chain(spark):
     assert {got[i] for i in range(120)} == {0} and {got[1000 + i] for i in range(12)} == {1000}
 
 
+def template_family(rng, pages, pairs):
+    """Pages that share 600 of 700 shingles, and pairs of them at 0.8 to 0.85."""
+    frame = [f"t{i}" for i in range(604)]
+    own = [[f"p{i}x{j}" for j in range(100)] for i in range(pages)]
+    for i in range(0, 2 * pairs, 2):
+        same = int(rng.integers(30, 50))
+        own[i + 1][:same] = own[i][:same]
+    return [(i, " ".join(frame + x)) for i, x in enumerate(own)]
+
+
+def test_op4_template_family(spark):
+    rows = template_family(np.random.default_rng(7), 400, 150)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in op4.near_duplicates(spark, docs).collect()}
+    want = exact_classes([(i, t.encode()) for i, t in rows])
+    assert len(set(want.values())) < 300
+    assert got == want
+
+
+def test_op4_common_shingles_only(spark):
+    """Pages like only through what all pages share, some with another frame."""
+    frame = [f"t{i}" for i in range(304)]
+    rows = []
+    for i in range(120):
+        w = frame[: 304 - 20 * (i % 3)] + [f"p{i}x{j}" for j in range(10 + 90 * (i % 2))]
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in op4.near_duplicates(spark, docs).collect()}
+    assert got == exact_classes([(i, t.encode()) for i, t in rows])
+
+
 def test_op4_sketch_estimates_probability_jaccard():
     rng = np.random.default_rng(0)
     a = [b"w%d" % x for x in rng.integers(0, 60, 400)]
