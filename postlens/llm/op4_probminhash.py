@@ -11,7 +11,9 @@ of the shingle, so equal shingles arrive alike everywhere. Two registers agree
 with probability J_P.
 
 1. One pass gives every document a digest of its words and ``bands`` keys of
-   ``rows`` registers each. Equal digests are one node from here on (the least
+   ``rows`` registers each; a text that repeats a shingle has as many again from
+   the process with all weights 1, whose registers agree with the probability
+   of the plain Jaccard similarity (without repeats the two are equal). Equal digests are one node from here on (the least
    doc_id); within a batch only the first of them is sketched.
 2. Documents that share a band key are candidates. A key of up to ``small``
    documents gives all its pairs, a larger one connects its members to two
@@ -178,9 +180,18 @@ def _sketch_rows(params: Params):
                     own = hashes[np.repeat(fresh, counts)]
                     n = int(fresh.sum())
                     h, d, w = weighted(*shingles(own, counts[fresh], params.words))
-                    found = band_keys(sketch(h, d, w, n, params.bands * params.rows), params)
-                    for i, row in zip(np.flatnonzero(fresh), signed(found)):
+                    found = signed(band_keys(sketch(h, d, w, n, params.bands * params.rows), params))
+                    at = np.flatnonzero(fresh)
+                    for i, row in zip(at, found):
                         keys[i] = row
+                    # with all weights 1 only texts that repeat a shingle differ
+                    again = np.unique(d[w > 1])
+                    if len(again):
+                        some = np.isin(d, again)
+                        h, d = h[some], np.searchsorted(again, d[some])
+                        plain = sketch(h, d, np.ones(len(h)), len(again), params.bands * params.rows)
+                        for i, row in zip(at[again], signed(band_keys(plain, params))):
+                            keys[i] = np.union1d(keys[i], row)
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows.column("k"),

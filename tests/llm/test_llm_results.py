@@ -246,6 +246,19 @@ def test_op4_common_shingles_only(spark):
     assert got == exact_classes([(i, t.encode()) for i, t in rows])
 
 
+def test_op4_repeated_blocks(spark):
+    """Equal sets of shingles, a block of 20 once or 20 to 40 times."""
+    rows = []
+    for i in range(40):
+        w, block = [f"d{i}x{j}" for j in range(204)], [f"b{i}x{j}" for j in range(20)]
+        rows.append((2 * i, " ".join(w + block)))
+        rows.append((2 * i + 1, " ".join(w + block * (20 + i // 2))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in op4.near_duplicates(spark, docs).collect()}
+    want = exact_classes([(i, t.encode()) for i, t in rows])
+    assert got == want and len(set(want.values())) == 40
+
+
 def test_op4_sketch_estimates_probability_jaccard():
     rng = np.random.default_rng(0)
     a = [b"w%d" % x for x in rng.integers(0, 60, 400)]
