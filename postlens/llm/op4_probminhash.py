@@ -37,7 +37,9 @@ with probability J_P.
 5. Classes are connected components of the links, by least-label steps with
    pointer jumping; state is kept in the shared checkpoint folder.
 
-Nothing of this is collected: the driver sees counts only.
+Nothing of this is collected: the driver sees only whether tables are empty. Texts
+are found by joins with the candidates, broadcast only if Spark measures them
+as small.
 
 Nulls and edge cases: a null text counts as empty, and all texts without
 words are one class; a null doc_id sorts before all others and is returned as
@@ -83,8 +85,6 @@ class Params:
 PRODUCTION = Params()
 BLOCK_BYTES = 2 << 20
 NULL_KEY = -(1 << 63)
-# Ids of candidate documents up to which their set is sent to the tasks.
-SET_LIMIT = 4_000_000
 
 
 def shingles(hashes: np.ndarray, counts: np.ndarray, k: int):
@@ -254,19 +254,6 @@ def _one(table: HashedWords, text: bytes, k: int) -> np.ndarray:
     return shingles(table.hash_words(words), np.array([len(words)]), k)[0]
 
 
-def _in_set(ids):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = ids.value
-        for batch in batches:
-            k = batch.column("k").to_numpy(zero_copy_only=False)
-            at = np.minimum(np.searchsorted(known, k), len(known) - 1)
-            hit = known[at] == k
-            if hit.any():
-                yield batch.filter(pa.array(hit))
-
-    return run
-
-
 def candidates(nodes: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
     """(a, b, n): candidate pairs a > b and the number of keys they share; and
     (key, node) of the keys with more than ``small`` documents."""
@@ -428,13 +415,8 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
             return labels
 
 
-def _texts_of(spark: SparkSession, docs: DataFrame, ids: DataFrame) -> DataFrame:
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """(k, text) of the documents in ``ids`` (k)."""
-    if ids.count() <= SET_LIMIT:
-        known = np.sort(ids.toPandas()["k"].to_numpy(np.int64))
-        if not len(known):
-            return docs.limit(0)
-        return docs.mapInArrow(_in_set(spark.sparkContext.broadcast(known)), docs.schema)
     return docs.join(ids, "k", "left_semi")
 
 
@@ -480,7 +462,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, params: Params = PRODU
             rows = _open_rows(large, labels)
             if rows.isEmpty():
                 break
-            texts = _texts_of(spark, keyed, rows.select(F.col("node").alias("k")).distinct())
+            texts = _texts_of(keyed, rows.select(F.col("node").alias("k")).distinct())
             texts = texts.select(F.col("k").alias("node"), "text").dropDuplicates(["node"])
             pairs = checkpointed(spark, open_pairs(rows, texts, params))
         if pairs.isEmpty():
@@ -494,7 +476,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, params: Params = PRODU
         ids = chosen.select(F.col("a").alias("k")).unionByName(
             chosen.select(F.col("b").alias("k"))
         ).distinct()
-        texts = _texts_of(spark, keyed, ids)
+        texts = _texts_of(keyed, ids)
         first = texts.select(F.col("k").alias("a"), F.col("text").alias("text_a"))
         second = texts.select(F.col("k").alias("b"), F.col("text").alias("text_b"))
         judged = chosen.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")

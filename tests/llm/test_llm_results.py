@@ -259,6 +259,20 @@ def test_op4_repeated_blocks(spark):
     assert got == want and len(set(want.values())) == 40
 
 
+def test_op4_collects_no_ids(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{i // 2}x{j}" for j in range(40 + i % 2))) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def refuse(*args):
+        raise AssertionError("rows collected")
+
+    with monkeypatch.context() as m:
+        m.setattr(type(docs), "toPandas", refuse)
+        m.setattr(type(docs), "collect", refuse)
+        found = op4.near_duplicates(spark, docs)
+    assert {r["doc_id"]: r["class_id"] for r in found.collect()} == {i: i // 2 * 2 for i in range(20)}
+
+
 def test_op4_sketch_estimates_probability_jaccard():
     rng = np.random.default_rng(0)
     a = [b"w%d" % x for x in rng.integers(0, 60, 400)]
