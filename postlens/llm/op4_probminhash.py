@@ -14,7 +14,7 @@ with probability J_P.
    ``rows`` registers each; a text that repeats a shingle has as many again from
    the process with all weights 1, whose registers agree with the probability
    of the plain Jaccard similarity (without repeats the two are equal). Equal digests are one node from here on (the least
-   doc_id); within a batch only the first of them is sketched.
+   row number); within a batch only the first of them is sketched.
 2. Documents that share a band key are candidates. A key of up to ``small``
    documents gives all its pairs, a larger one connects its members to two
    hubs (the least id and one drawn per key). Keys are counted with map-side
@@ -42,10 +42,12 @@ are found by joins with the candidates, broadcast only if Spark measures them
 as small.
 
 Nulls and edge cases: a null text counts as empty, and all texts without
-words are one class; a null doc_id sorts before all others and is returned as
-null; rows that share a doc_id are one document and get one class;
-equal texts share a class whatever their ids; other columns are ignored; an
-empty table gives an empty result.
+words are one class, led by the null id if one of them has it; any other class
+is named by its least doc_id that is not null (null only if it has no other);
+rows are judged by their texts, so unlike rows that share a doc_id, or have
+none, go to classes of their own and each class keeps one row; equal texts
+share a class whatever their ids; other columns are ignored; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -58,6 +60,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postlens.llm.common import (
     U64,
@@ -84,7 +87,6 @@ class Params:
 
 PRODUCTION = Params()
 BLOCK_BYTES = 2 << 20
-NULL_KEY = -(1 << 63)
 
 
 def shingles(hashes: np.ndarray, counts: np.ndarray, k: int):
@@ -155,6 +157,12 @@ def band_keys(registers: np.ndarray, params: Params) -> np.ndarray:
     return out
 
 
+def digest_of(words: list[bytes]) -> tuple[int, int]:
+    """128 bits of a text's words."""
+    digest = xxhash.xxh3_128_intdigest(b" ".join(words))
+    return (digest >> 64) - (1 << 63), (digest & (2**64 - 1)) - (1 << 63)
+
+
 def _sketch_rows(params: Params):
     """Task function: (k, text) to (k, d1, d2, keys); ``keys`` is null for
     texts without words and for repeats of a digest within the batch."""
@@ -168,9 +176,9 @@ def _sketch_rows(params: Params):
                 ends = np.cumsum(counts)
                 d1, d2, fresh = [], [], []
                 for a, z in zip((ends - counts).tolist(), ends.tolist()):
-                    digest = xxhash.xxh3_128_intdigest(b" ".join(words[a:z]))
-                    d1.append((digest >> 64) - (1 << 63))
-                    d2.append((digest & (2**64 - 1)) - (1 << 63))
+                    digest = digest_of(words[a:z])
+                    d1.append(digest[0])
+                    d2.append(digest[1])
                     fresh.append(z > a and digest not in met)
                     met.add(digest)
                 fresh = np.array(fresh, bool)
@@ -415,9 +423,28 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
             return labels
 
 
-def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(k, text) of the documents in ``ids`` (k)."""
-    return docs.join(ids, "k", "left_semi")
+def _digested(column: str, schema: T.StructType):
+    """Task function: rows with the digest of their ``column`` in front."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [digest_of(t.lower().split()) for t in binary_values(batch.column(column))]
+            d1, d2 = zip(*found) if found else ((), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), *batch.columns],
+                names=["__d1", "__d2", *schema.names],
+            )
+
+    front = T.StructType([T.StructField("__d1", T.LongType()), T.StructField("__d2", T.LongType())])
+    return run, T.StructType(front.fields + schema.fields)
+
+
+def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text), one row for each of ``nodes`` (node, d1, d2)."""
+    texts = docs.select("text")
+    texts = texts.mapInArrow(*_digested("text", texts.schema))
+    same = (F.col("__d1") == F.col("d1")) & (F.col("__d2") == F.col("d2"))
+    return texts.join(nodes, same).select("node", "text").dropDuplicates(["node"])
 
 
 def _open_rows(large: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -433,28 +460,30 @@ def _open_rows(large: DataFrame, labels: DataFrame | None) -> DataFrame:
     return checkpointed(large.sparkSession, rows)
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, params: Params = PRODUCTION) -> DataFrame:
-    """Per row: doc_id, class_id (the class's least doc_id) and whether the
-    row's document is the one of its class that stays."""
+def _judged(spark: SparkSession, docs: DataFrame, params: Params) -> DataFrame:
+    """Per row: k (its doc_id), d1 and d2 (its digest), class_id and stays."""
     keyed = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_KEY)).alias("k"),
+        F.col("doc_id").cast("long").alias("k"),
         F.col("text").cast("string").alias("text"),
     )
-    sketched = checkpointed(
-        spark, keyed.mapInArrow(_sketch_rows(params), "k long, d1 long, d2 long, keys array<long>")
+    sketched = keyed.mapInArrow(_sketch_rows(params), "k long, d1 long, d2 long, keys array<long>")
+    # the row numbers are stored with the rows, so they stay the same
+    sketched = checkpointed(spark, sketched.withColumn("row", F.monotonically_increasing_id()))
+    firsts = sketched.groupBy("d1", "d2").agg(
+        F.min("row").alias("node"),
+        F.min("k").alias("least"),
+        F.max(F.col("k").isNull()).alias("nulls"),
     )
-    firsts = sketched.groupBy("d1", "d2").agg(F.min("k").alias("node"))
+    firsts = checkpointed(spark, firsts)
     nodes = (
         sketched.where("keys is not null")
         .groupBy("d1", "d2")
-        .agg(F.min_by("keys", "k").alias("keys"))
+        .agg(F.min_by("keys", "row").alias("keys"))
         .join(firsts, ["d1", "d2"])
-        .groupBy("node")
-        .agg(F.first("keys").alias("keys"))
+        .select("node", "keys")
     )
     pairs, large = candidates(nodes, params)
     pairs = checkpointed(spark, pairs)
-    # different texts under one doc_id are one node from the start
     links = spark.createDataFrame([], "a long, b long")
     labels = None
     for step in ("best", "others", "open"):
@@ -462,9 +491,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, params: Params = PRODU
             rows = _open_rows(large, labels)
             if rows.isEmpty():
                 break
-            texts = _texts_of(keyed, rows.select(F.col("node").alias("k")).distinct())
-            texts = texts.select(F.col("k").alias("node"), "text").dropDuplicates(["node"])
-            pairs = checkpointed(spark, open_pairs(rows, texts, params))
+            members = firsts.join(rows.select("node").distinct(), "node", "left_semi")
+            pairs = checkpointed(spark, open_pairs(rows, _texts_of(keyed, members), params))
         if pairs.isEmpty():
             continue
         chosen = pairs.select("a", "b")
@@ -473,12 +501,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, params: Params = PRODU
             ranked = pairs.withColumn("rank", F.row_number().over(order))
             best = ranked.where(F.col("rank") <= params.per_round)
             chosen = checkpointed(spark, best.select("a", "b"))
-        ids = chosen.select(F.col("a").alias("k")).unionByName(
-            chosen.select(F.col("b").alias("k"))
+        ids = chosen.select(F.col("a").alias("node")).unionByName(
+            chosen.select(F.col("b").alias("node"))
         ).distinct()
-        texts = _texts_of(keyed, ids)
-        first = texts.select(F.col("k").alias("a"), F.col("text").alias("text_a"))
-        second = texts.select(F.col("k").alias("b"), F.col("text").alias("text_b"))
+        texts = _texts_of(keyed, firsts.join(ids, "node", "left_semi").select("node", "d1", "d2"))
+        first = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+        second = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
         judged = chosen.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
         verdict = judged.mapInArrow(_verify(params), "a long, b long, linked boolean")
         found = checkpointed(spark, verdict.where("linked").select("a", "b").distinct())
@@ -498,27 +526,48 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, params: Params = PRODU
                 .select("a", "b", "n")
             )
         pairs = checkpointed(spark, pairs)
-    members = sketched.select("k", "d1", "d2").join(firsts, ["d1", "d2"])
     if labels is not None:
-        members = members.join(labels, "node", "left").withColumn(
-            "class", F.coalesce("class", "node")
-        )
+        classes = firsts.join(labels, "node", "left").withColumn("class", F.coalesce("class", "node"))
     else:
-        members = members.withColumn("class", F.col("node"))
-    return members.select(
-        F.when(F.col("k") != NULL_KEY, F.col("k")).alias("doc_id"),
-        F.when(F.col("class") != NULL_KEY, F.col("class")).alias("class_id"),
-        (F.col("k") == F.col("class")).alias("stays"),
+        classes = firsts.withColumn("class", F.col("node"))
+    # the row that stays: least doc_id, null only if there is no other or no word
+    d1, d2 = digest_of([])
+    wordless = (F.col("d1") == d1) & (F.col("d2") == d2)
+    classes = classes.withColumn("least", F.when(~(wordless & F.col("nulls")), F.col("least")))
+    chosen = classes.groupBy("class").agg(
+        F.min(F.struct(F.col("least").isNull().alias("none"), "least", "node")).alias("best")
+    )
+    led = classes.join(chosen, "class").select(
+        "d1",
+        "d2",
+        F.col("best.least").alias("class_id"),
+        (F.col("node") == F.col("best.node")).alias("leads"),
+    )
+    return sketched.select("k", "d1", "d2").join(led, ["d1", "d2"]).select(
+        "k", "d1", "d2", "class_id", (F.col("leads") & F.col("k").eqNullSafe(F.col("class_id"))).alias("stays")
     )
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, params: Params = PRODUCTION) -> DataFrame:
+    """Per row: doc_id, class_id (the class's least doc_id) and whether the
+    row's document is the one of its class that stays."""
+    return _judged(spark, docs, params).select(F.col("k").alias("doc_id"), "class_id", "stays")
+
+
 def keep_one(spark: SparkSession, docs: DataFrame, params: Params = PRODUCTION) -> DataFrame:
     """The rows of ``docs`` without near duplicates: one per class."""
-    stays = near_duplicates(spark, docs, params).where("stays").select(
-        F.col("doc_id").alias("__kept_doc_id")
+    stays = _judged(spark, docs, params).where("stays").select(
+        F.col("d1").alias("__kept_d1"), F.col("d2").alias("__kept_d2"), F.col("k").alias("__kept_doc_id")
     ).distinct()
-    kept = docs.join(stays, docs["doc_id"].cast("long").eqNullSafe(F.col("__kept_doc_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    known = docs.mapInArrow(*_digested("text", docs.schema))
+    same = (
+        (F.col("__d1") == F.col("__kept_d1"))
+        & (F.col("__d2") == F.col("__kept_d2"))
+        & known["doc_id"].cast("long").eqNullSafe(F.col("__kept_doc_id"))
+    )
+    # a class's row that stays has a digest of its own
+    kept = known.join(stays, same, "left_semi").dropDuplicates(["__d1", "__d2"])
+    return kept.drop("__d1", "__d2")
 
 
 def op4_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
