@@ -5,7 +5,10 @@ sentence, but not words all in capitals) and units (after a number) are replaced
 other words are lower-cased and lose punctuation at their ends. Windows of
 ``window`` tokens are hashed on both sides and joined by hash, so a question
 with other numbers or names still meets its item. Windows with fewer than
-half plain words are no evidence and are left out.
+half plain words are no evidence there and are left out. Beside its template
+every window is hashed as it stands (lower case, no placeholders, whatever its
+words), so a word-for-word copy always meets its item, also where numbers and
+names dominate or capitals are lost; these windows are judged by themselves.
 
 Joined windows of a document and an item on one diagonal (document position
 minus item position) are put together. Slot consistency: along a diagonal,
@@ -88,20 +91,24 @@ _MARKS = np.array([0, 0x6E756D, 0x756E6974, 0x6E616D65], U64) * U64(0x9E3779B97F
 _STEP = U64(0x9FB21C651E98DF25)
 
 
-def classify(word: bytes) -> tuple[int, int, bool]:
-    """(hash of the plain form, kind, whether a sentence ends here)."""
+def classify(word: bytes) -> tuple[int, int, int, bool]:
+    """(hash of the plain form, of the literal form, kind, whether a sentence
+    ends here)."""
     text = word.decode("utf-8", "replace")
     core = _EDGE.sub("", text)
     ends = text.rstrip("\"')]»”’").endswith(_STOP)
-    if _NUMBER.match(text.strip("()[]\"'.,;:!?")):
-        return 0, NUMBER, ends
+    bare = text.strip("()[]\"'.,;:!?")
+    if _NUMBER.match(bare):
+        return 0, xxhash.xxh3_64_intdigest(bare.lower().encode()), NUMBER, ends
     plain = core.lower()
     h = xxhash.xxh3_64_intdigest(plain.encode())
+    # signs alone stand for themselves
+    own = h if plain else xxhash.xxh3_64_intdigest(text.encode())
     if plain in _UNITS:
-        return h, UNIT, ends
+        return h, own, UNIT, ends
     # all capitals is a way of writing, not a name
     named = core[:1].isupper() and core != core.upper()
-    return h, CAPITAL if named else LITERAL, ends
+    return h, own, CAPITAL if named else LITERAL, ends
 
 
 class Tokens:
@@ -113,29 +120,29 @@ class Tokens:
 
     def _reset(self) -> None:
         self.table = WordTable()
-        self.known: list[tuple[int, int, bool]] = []
+        self.known: list[tuple[int, int, int, bool]] = []
         self.arrays = None
 
     def template(self, words: list[bytes], counts: np.ndarray):
-        """(token hash, kind) of every word; kind 3 is a name here."""
+        """(token hash, literal hash, kind) of every word; kind 3 is a name here."""
         if len(self.table) > self.limit:
             self._reset()
         ids = self.table.ids(words)
         if len(self.table) > len(self.known):
             fresh = list(self.table)[len(self.known) :]
             self.known.extend(map(classify, fresh))
-            h, kind, ends = zip(*self.known)
-            self.arrays = np.array(h, U64), np.array(kind, np.int8), np.array(ends, bool)
+            h, own, kind, ends = zip(*self.known)
+            self.arrays = np.array(h, U64), np.array(own, U64), np.array(kind, np.int8), np.array(ends, bool)
         if not len(ids):
-            return np.zeros(0, U64), np.zeros(0, np.int8)
-        h, kind, ends = (a[ids] for a in self.arrays)
+            return np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, np.int8)
+        h, own, kind, ends = (a[ids] for a in self.arrays)
         begins = np.append(True, ends[:-1])
         first = np.cumsum(counts) - counts
         begins[first[counts > 0]] = True
         after_number = np.append(False, kind[:-1] == NUMBER) & ~_at(first[counts > 0], len(ids))
         kind = np.where((kind == CAPITAL) & begins, LITERAL, kind)
         kind = np.where((kind == UNIT) & ~after_number, LITERAL, kind)
-        return np.where(kind == LITERAL, h, _MARKS[kind]), kind
+        return np.where(kind == LITERAL, h, _MARKS[kind]), own, kind
 
 
 def _at(index: np.ndarray, n: int) -> np.ndarray:
@@ -167,11 +174,13 @@ def _slots(words: list[bytes], kind: np.ndarray, at: int, k: int) -> list[str]:
     return out
 
 
-_ROWS = "key long, pos int, h long, k int, slots array<string>, n_tokens int"
+_ROWS = "key long, pos int, h long, k int, slots array<string>, n_tokens int, literal boolean"
+# Keeps the hashes of literal windows apart from those of templates.
+_LITERAL_SEED = U64(0x6C69746572616C)
 
 
 def _windows(rules: Rules, lengths: list[int], wanted) -> callable:
-    """Task function: (key, text) rows to template windows.
+    """Task function: (key, text) rows to template and literal windows.
 
     ``lengths``: window lengths; an empty list means one per text, the
     benchmark's own (``window`` or the text's length if that is shorter).
@@ -185,40 +194,45 @@ def _windows(rules: Rules, lengths: list[int], wanted) -> callable:
             for rows in text_slices(batch, "text", BLOCK_BYTES):
                 keys = rows.column("key").to_pylist()
                 words, counts = split_docs(binary_values(rows.column("text")))
-                t, kind = tokens.template(words, counts)
+                t, own, kind = tokens.template(words, counts)
                 ends = np.cumsum(counts)
                 out = []
                 for k in lengths or sorted({min(rules.window, int(c)) for c in counts}):
                     if k < rules.min_item:
                         continue
-                    h, plain = window_hashes(t, kind, k)
-                    pos = np.flatnonzero(2 * plain >= k)
-                    row = np.searchsorted(ends, pos, "right")
-                    inside = pos + k <= ends[row]
-                    if not lengths:
-                        inside &= np.minimum(rules.window, counts[row]) == k
-                    pos, row = pos[inside], row[inside]
-                    if keep is not None and len(pos):
-                        at = np.minimum(np.searchsorted(keep, h[pos]), len(keep) - 1)
-                        hit = keep[at] == h[pos]
-                        pos, row = pos[hit], row[hit]
-                    start = ends - counts
-                    for p, r in zip(pos.tolist(), row.tolist()):
-                        out.append(
-                            (
-                                keys[r],
-                                p - int(start[r]),
-                                int(signed(h[p : p + 1])[0]),
-                                k,
-                                _slots(words, kind, p, k),
-                                int(counts[r]),
+                    for literal in (False, True):
+                        h, plain = window_hashes(own if literal else t, kind, k)
+                        if literal:
+                            h = h ^ _LITERAL_SEED
+                            pos = np.arange(len(h))
+                        else:
+                            pos = np.flatnonzero(2 * plain >= k)
+                        if keep is not None and len(pos):
+                            at = np.minimum(np.searchsorted(keep, h[pos]), len(keep) - 1)
+                            pos = pos[keep[at] == h[pos]]
+                        row = np.searchsorted(ends, pos, "right")
+                        inside = pos + k <= ends[row]
+                        if not lengths:
+                            inside &= np.minimum(rules.window, counts[row]) == k
+                        pos, row = pos[inside], row[inside]
+                        start = ends - counts
+                        for p, r in zip(pos.tolist(), row.tolist()):
+                            out.append(
+                                (
+                                    keys[r],
+                                    p - int(start[r]),
+                                    int(signed(h[p : p + 1])[0]),
+                                    k,
+                                    [] if literal else _slots(words, kind, p, k),
+                                    int(counts[r]),
+                                    literal,
+                                )
                             )
-                        )
-                cells = list(zip(*out)) if out else [()] * 6
-                types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.int32()]
+                cells = list(zip(*out)) if out else [()] * 7
+                types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.int32(), pa.bool_()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, x) for c, x in zip(cells, types)],
-                    names=["key", "pos", "h", "k", "slots", "n_tokens"],
+                    names=["key", "pos", "h", "k", "slots", "n_tokens", "literal"],
                 )
 
     return run
@@ -236,7 +250,7 @@ def _pairs(doc: list[str], item: list[str]) -> list[tuple[str, str, str]] | None
 
 
 def judge(rules: Rules):
-    """Group function: one (document, item, diagonal) to its verdict."""
+    """Group function: one (document, item, diagonal, form) to its verdict."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("item_pos").drop_duplicates("item_pos")
@@ -313,10 +327,14 @@ def find_leaks(
         "k",
         F.col("slots").alias("item_slots"),
         F.col("n_tokens").alias("item_tokens"),
+        "literal",
     ).dropDuplicates(["item_id", "item_pos", "h"])
-    # per item: its usable windows
-    sizes = items.groupBy("item_id").agg(F.count("*").alias("item_windows"))
-    items = items.join(sizes.withColumnRenamed("item_id", "same_id"), F.col("item_id").eqNullSafe(F.col("same_id"))).drop("same_id")
+    # per item and form: its usable windows
+    sizes = items.groupBy(F.col("item_id").alias("same_id"), F.col("literal").alias("same_form")).agg(
+        F.count("*").alias("item_windows")
+    )
+    same = F.col("item_id").eqNullSafe(F.col("same_id")) & (F.col("literal") == F.col("same_form"))
+    items = items.join(sizes, same).drop("same_id", "same_form")
     items = checkpointed(spark, items)
     hashes = items.select("h").distinct()
     lengths = sorted(r.k for r in items.select("k").distinct().collect())  # at most ``window``
@@ -333,7 +351,7 @@ def find_leaks(
     hits = hits.select(F.col("key").alias("doc_id"), "pos", "h", "slots")
     joined = hits.join(F.broadcast(items) if small else items, "h")
     joined = joined.withColumn("diagonal", F.col("pos") - F.col("item_pos")).drop("h")
-    verdicts = joined.groupBy("doc_id", "item_id", "diagonal").applyInPandas(
+    verdicts = joined.groupBy("doc_id", "item_id", "diagonal", "literal").applyInPandas(
         judge(rules), _VERDICT
     )
     best = verdicts.groupBy("doc_id", "item_id").agg(

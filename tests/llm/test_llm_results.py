@@ -359,6 +359,22 @@ def test_op8_held_out(spark):
     assert toxic.where("predicted = 1").count() >= 0.7 * toxic.count()
 
 
+def test_op9_verbatim_copies_of_placeholders_and_names(spark):
+    items = [
+        (1, "12 35 47 18 22 40 91 17 74 3 15 45 6 7 42"),
+        (2, "list: Anna Berta Carla Dora Emma Frida Gerda Hanna Irma Jana Karla Lena Marta Nora Olga"),
+        (3, "the day Anna met Berta in Rome with Carla of Paris near Dora from Berlin and Emma by Frida"),
+    ]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    around = "some words before it {} and some words after it"
+    rows = [(10 + i, around.format(t)) for i, t in items] + [(20 + i, around.format(t.lower())) for i, t in items]
+    rows.append((30, around.format("13 36 49 17 23 40 92 16 76 4 15 60 6 8 48")))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in op9.find_leaks(spark, docs, bench).collect()}
+    assert got >= {(10 + i, i) for i, _ in items} | {(20 + i, i) for i, _ in items}
+    assert {d for d, _ in got} == set(range(11, 14)) | set(range(21, 24))
+
+
 def test_op9_leaks(spark):
     """Copies of items against plain 8-word matching, without case and signs."""
     import re
