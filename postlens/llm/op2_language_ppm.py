@@ -9,8 +9,9 @@ without cost; below the empty context all byte classes are equally likely. The
 counts are frozen after training, so a text's code length in bits is an exact
 sum over its bytes, and the language with the shortest code wins.
 
-Training takes a bounded sample: ``sample_docs`` whole texts per language (of
-the ``max_langs`` most frequent ones), those with the least hash of the id.
+Every language of the corpus is learned, each from a bounded sample:
+``sample_docs`` whole texts, those with the least hash of the id. Above
+``lang_block`` languages the price tables are made and read in blocks.
 Counting runs in Spark (summed in the tasks first); the tree of an alphabet
 of byte classes is small and goes to every task as sorted tables.
 
@@ -44,7 +45,8 @@ from postlens.llm.common import binary_values, fold_of, read_table, text_slices
 class Params:
     order: int = 3
     sample_docs: int = 150
-    max_langs: int = 64
+    # languages that share one price table
+    lang_block: int = 64
 
 
 PRODUCTION = Params()
@@ -179,6 +181,22 @@ class ContextTrees:
         return out
 
 
+class TreeBlocks:
+    """Context trees of many languages, in blocks that are priced one by one."""
+
+    def __init__(self, parts: list[ContextTrees]):
+        self.parts = parts
+        self.langs = [x for part in parts for x in part.langs]
+
+
+def pricer_of(trees: ContextTrees | TreeBlocks):
+    """Bits of texts in every language; several blocks keep no price rows."""
+    if isinstance(trees, ContextTrees):
+        return Pricer(trees)
+    parts = [Pricer(part, max_cells=0) for part in trees.parts]
+    return lambda texts: np.hstack([price(texts) for price in parts])
+
+
 class Pricer:
     """Code lengths of texts; a distinct gram is priced once per task.
 
@@ -247,11 +265,11 @@ def _has_letter(text: bytes) -> bool:
     return _LETTER.search(text.decode("utf-8", "replace")) is not None
 
 
-def predict(trees: ContextTrees | None):
+def predict(trees: ContextTrees | TreeBlocks | None):
     """Task function: (doc_id, held_out, text) rows to predictions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        price = Pricer(trees) if trees is not None else None
+        price = pricer_of(trees) if trees is not None else None
         for batch in batches:
             for rows in text_slices(batch, "text", BLOCK_BYTES):
                 texts = binary_values(rows.column("text"))
@@ -279,29 +297,23 @@ def predict(trees: ContextTrees | None):
 
 def train(
     spark: SparkSession, docs: DataFrame, learn: Column, params: Params = PRODUCTION
-) -> ContextTrees | None:
-    """Context trees from a bounded sample of the rows where ``learn`` holds."""
+) -> ContextTrees | TreeBlocks | None:
+    """Context trees of every language, each from a bounded sample of its rows
+    where ``learn`` holds."""
     base = docs.where(learn & F.col("lang").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("lang").cast("string").alias("lang"),
         F.col("text").cast("string").alias("text"),
     )
-    top = [
-        r.lang
-        for r in base.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(params.max_langs).collect()
-    ]
-    if not top:
-        return None
     # ids only: the window keeps at most sample_docs rows per task and language
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = (
-        base.where(F.col("lang").isin(top))
-        .select("doc_id", "lang")
+        base.select("doc_id", "lang")
         .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= params.sample_docs)
         .select(F.col("doc_id").alias("id"), F.col("lang").alias("id_lang"))
     )
-    if params.sample_docs * len(top) <= BROADCAST_IDS:
+    if params.sample_docs * base.select("lang").distinct().count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     sample = base.join(
         ids, (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("id_lang")), "left_semi"
@@ -315,17 +327,24 @@ def train(
     if not len(counts):
         return None
     langs = sorted(counts["lang"].unique())
-    index = {x: i for i, x in enumerate(langs)}
-    return ContextTrees(
-        langs,
-        params.order,
-        counts["lang"].map(index).to_numpy(np.int64),
-        counts["gram"].to_numpy(np.int64).astype(np.uint32),
-        counts["n"].to_numpy(np.float64),
-    )
+    parts = []
+    for start in range(0, len(langs), params.lang_block):
+        block = langs[start : start + params.lang_block]
+        index = {x: i for i, x in enumerate(block)}
+        own = counts[counts["lang"].isin(block)]
+        parts.append(
+            ContextTrees(
+                block,
+                params.order,
+                own["lang"].map(index).to_numpy(np.int64),
+                own["gram"].to_numpy(np.int64).astype(np.uint32),
+                own["n"].to_numpy(np.float64),
+            )
+        )
+    return parts[0] if len(parts) == 1 else TreeBlocks(parts)
 
 
-def identify(docs: DataFrame, trees: ContextTrees | None, held_out: Column) -> DataFrame:
+def identify(docs: DataFrame, trees: ContextTrees | TreeBlocks | None, held_out: Column) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row."""
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),

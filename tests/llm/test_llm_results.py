@@ -162,6 +162,24 @@ def test_op3_shortage_goes_to_siblings_first(spark):
     assert got == {"a": 10, "b": 90, "c": 100, "d": 400}
 
 
+def test_op2_more_languages_than_a_block(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for lang in range(70):  # words of three letters each language has for itself
+        own = rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 3, replace=False)
+        for n in range(4):
+            text = " ".join("".join(rng.choice(own, 5)) + f"q{chr(97 + lang % 26)}{chr(97 + lang // 26)}z" for _ in range(40))
+            rows.append((lang * 4 + n, f"l{lang:02d}", text))
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    trees = op2.train(spark, docs, F.lit(True))
+    assert trees.langs == [f"l{x:02d}" for x in range(70)]
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in op2.identify(docs, trees, F.lit(False)).collect()}
+    assert {i: x for i, (x, _) in got.items()} == {i: lang for i, lang, _ in rows}
+    whole = op2.train(spark, docs, F.lit(True), op2.Params(lang_block=100))
+    for r in op2.identify(docs, whole, F.lit(False)).collect():
+        assert got[r["doc_id"]] == (r["lang_pred"], pytest.approx(r["score"]))
+
+
 def exact_classes(found, threshold=0.8):
     sets = {}
     for i, t in found:
