@@ -6,6 +6,7 @@ from postlens.llm import op3_mixing as op3
 from postlens.llm import op5_secrets as op5
 from postlens.llm import op6_quality_rules as op6
 from postlens.llm import op10_warc as op10
+from postlens.llm import op11_importance as op11
 from postlens.llm.op1_lm_scoring import op1_lm_scoring
 from postlens.llm.op2_language_ppm import op2_language_ppm
 from postlens.llm.op4_probminhash import op4_probminhash
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_toxicity_crf": op8_toxicity_crf,
     "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10.op10_warc,
+    "op11_importance": op11.op11_importance,
 }
 
 # The others are tested against brute force, an exact round trip or held-out
@@ -33,4 +35,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_secrets": op5.ORACLE_SQL,
     "op6_quality_rules": op6.ORACLE_SQL,
     "op10_warc": op10.ORACLE_SQL,
+    "op11_importance": op11.ORACLE_SQL,
 }
