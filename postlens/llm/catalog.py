@@ -8,6 +8,7 @@ from postlens.llm import op6_quality_rules as op6
 from postlens.llm import op10_warc as op10
 from postlens.llm import op11_importance as op11
 from postlens.llm.op1_lm_scoring import op1_lm_scoring
+from postlens.llm.op12_simhash import op12_simhash
 from postlens.llm.op2_language_ppm import op2_language_ppm
 from postlens.llm.op4_probminhash import op4_probminhash
 from postlens.llm.op7_suffix_dedup import op7_suffix_dedup
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_warc": op10.op10_warc,
     "op11_importance": op11.op11_importance,
+    "op12_simhash": op12_simhash,
 }
 
 # The others are tested against brute force, an exact round trip or held-out

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.session import scratch_root
+from postlens.session import delete_path, new_scratch_dir, scratch_root
 
 U64 = np.uint64
 # Entries kept by a word table before it starts anew (bounds a task's memory).
@@ -32,6 +32,60 @@ def checkpointed(spark: SparkSession, df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Tables:
+    """Intermediate tables of one run, as Parquet under the shared folder.
+
+    Unlike a checkpoint a table has its true size, so Spark chooses joins by
+    it, and iterations don't pile up estimates.
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark = spark
+        self.label = label
+        self.paths: dict[int, str] = {}
+
+    def store(self, df: DataFrame) -> DataFrame:
+        """``df`` computed once, written and read back."""
+        path = new_scratch_dir(self.spark, self.label)
+        df.write.parquet(path)
+        back = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(back)] = path
+        return back
+
+    def drop(self, *stored: DataFrame | None) -> None:
+        """Deletes tables that nothing reads any more."""
+        for df in stored:
+            path = self.paths.pop(id(df), None)
+            if path:
+                delete_path(self.spark, path)
+
+
+def components(tables: Tables, links: DataFrame) -> DataFrame:
+    """(node, class) of all nodes of ``links`` (a, b): the least node reached.
+
+    Each step takes the least label around a node, then the label's label.
+    """
+    both = tables.store(
+        links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    )
+    first = both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("class"))
+    labels = tables.store(first.withColumn("moved", F.lit(True)))
+    while True:
+        of_b = labels.select(F.col("node").alias("b"), F.col("class").alias("near"))
+        around = both.join(of_b, "b").groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near"))
+        stepped = labels.join(around, "node").select("node", "class", F.least("class", "near").alias("new"))
+        far = labels.select(F.col("node").alias("new"), F.col("class").alias("far"))
+        jumped = stepped.join(far, "new").select(
+            "node", F.least("new", "far").alias("class"), (F.least("new", "far") != F.col("class")).alias("moved")
+        )
+        jumped = tables.store(jumped)
+        tables.drop(labels)
+        labels = jumped
+        if labels.where("moved").isEmpty():
+            tables.drop(both)
+            return labels.select("node", "class")
+
+
 def binary_values(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a text column, nulls as empty."""
     large = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
@@ -138,9 +192,5 @@ def split_docs(texts: Iterable[bytes]) -> tuple[list[bytes], np.ndarray]:
     return words, np.array(counts, dtype=np.int64)
 
 
-def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
-
-
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
