@@ -15,18 +15,19 @@ included, hashed with XXH64, seed 42). Fingerprints that differ in at most
    parts' values the candidates of every (part, threshold) are estimated, and
    dynamic programming finds the cheapest thresholds, over several m.
 4. Probe: a node has a key for every way to leave t_i bits of part i out; two
-   nodes that differ in at most t_i bits of it share one. Groups of up to
-   ``small`` nodes compare all members, larger ones compare members with two
-   hubs.
-5. Members of a large group that are not all one class by now are split: they
-   agree on the group's bits, so what is left of 64 is cut into ``distance``
-   + 1 runs, and two linked members agree on one of these. Groups get smaller
-   or closer with each step; when at most ``distance`` bits are left, the hubs
-   reach everyone. No pair is given up, and no large group emits all its pairs.
+   nodes that differ in at most t_i bits of it share one. A group is done if
+   it is one class. If at most ``small`` members are outside its largest
+   class, all members are compared with these. If not, all are compared with
+   two hubs, one of them of the largest class.
+5. Members of the groups left are split: they agree on the group's bits, so
+   what is left of 64 is cut into ``distance`` + 1 runs, and two linked members
+   agree on one of these. Groups get smaller or closer with each step; when at
+   most ``distance`` bits are left, the hubs reach everyone. No pair is given
+   up, and no large group emits all its pairs.
 
 Every candidate is verified on the whole fingerprints (a bit count). Keys that
-hold over a 1024th of the rows are joined by broadcast of these at most 1024
-keys, so no task gets a hot key. The driver gets the bit table, the histograms
+hold over a 1024th of the rows, at most 1024, are joined by broadcast, so no
+task gets a hot key. The driver gets the bit table, the histograms
 (2^width values a part) and counts; links, labels and groups stay in the
 shared checkpoint folder.
 
@@ -68,8 +69,8 @@ class Params:
     distance: int = 4
     # numbers of parts that are tried
     parts: tuple[int, ...] = (4, 5)
-    # group size up to which all members are compared
-    small: int = 32
+    # members outside a group's largest class, up to which all are compared
+    small: int = 128
     # cost of a key, in comparisons
     key_cost: float = 8.0
 
@@ -331,14 +332,15 @@ def _first_keys(masks: list[int]):
 
 
 def _finer_keys(runs: int):
-    """Task function: (g, mask, fp) to rows that agree on one more run of the
-    bits outside ``mask``."""
+    """Task function: (g, mask, fp, class) to rows that agree on one more run
+    of the bits outside ``mask``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = _unsigned(batch)
             groups = batch.column("g").to_numpy().astype(np.int64).view(U64)
             masks = batch.column("mask").to_numpy().astype(np.int64).view(U64)
+            classes = batch.column("class").to_numpy()
             for mask in np.unique(masks).tolist():
                 at = np.flatnonzero(masks == U64(mask))
                 rest = [b for b in range(BITS) if not mask >> b & 1]
@@ -350,27 +352,36 @@ def _finer_keys(runs: int):
                             pa.array(signed(key)),
                             pa.array(np.full(len(at), _as_long(mask | sub))),
                             pa.array(signed(values[at])),
+                            pa.array(classes[at]),
                         ],
-                        names=["g", "mask", "fp"],
+                        names=["g", "mask", "fp", "class"],
                     )
 
     return run
 
 
+_ROWS = "g long, mask long, fp long, class long"
+
+
 def spread_join(rows: DataFrame, keys: DataFrame, key: str, size: str, total: int) -> DataFrame:
     """Inner join with one row of ``keys`` per ``key``; ``size`` is its number
-    of rows. Keys with a share over 1/HEAVY, at most HEAVY, are broadcast."""
+    of rows. Keys with a share over 1/HEAVY, fewer than HEAVY, are broadcast."""
     heavy = keys.where(F.col(size) * HEAVY > total)
+    names = [r[0] for r in heavy.select(key).collect()]
     light = keys.where(F.col(size) * HEAVY <= total)
-    rest = rows.join(F.broadcast(heavy.select(key)), key, "left_anti")
-    return rows.join(F.broadcast(heavy), key).unionByName(rest.join(light, key))
+    if not names:
+        return rows.join(light, key)
+    hot = F.col(key).isin(names)
+    return rows.where(hot).join(F.broadcast(heavy), key).unionByName(rows.where(~hot).join(light, key))
 
 
-def _classed(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+def _relabelled(rows: DataFrame, labels: DataFrame | None, column: str) -> DataFrame:
+    """``rows`` with the class that ``labels`` give the node in ``column``."""
     if labels is None:
-        return rows.withColumn("class", F.col("fp"))
-    named = labels.select(F.col("node").alias("fp"), "class")
-    return rows.join(named, "fp", "left").withColumn("class", F.coalesce("class", "fp"))
+        return rows.withColumn("class", F.col(column))
+    named = labels.select(F.col("node").alias(column), F.col("class").alias("__class"))
+    found = rows.join(named, column, "left")
+    return found.withColumn("class", F.coalesce("__class", column)).drop("__class")
 
 
 def _merged(tables: Tables, labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -390,58 +401,54 @@ def link_classes(
     None if there is no link."""
     tables = tables or Tables(spark, "simhash")
     masks = probe_masks(nodes, params)
-    rows = tables.store(nodes.select("fp").mapInArrow(_first_keys(masks), "g long, mask long, fp long"))
-    total = rows.count()
+    first = nodes.select("fp").mapInArrow(_first_keys(masks), "g long, mask long, fp long")
+    rows = tables.store(first.withColumn("class", F.col("fp")))
     labels: DataFrame | None = None
-    near = f"bit_count(fp ^ {{}}) <= {params.distance}"
-    while True:
-        classed = tables.store(_classed(rows, labels)) if labels is not None else _classed(rows, None)
-        order = F.xxhash64("fp", "g")
-        groups = classed.groupBy("g").agg(
-            F.count("*").alias("size"),
-            F.min("class").alias("low"),
-            F.max("class").alias("high"),
-            F.min_by(F.struct("fp", "class"), order).alias("hub1"),
-            F.max_by(F.struct("fp", "class"), order).alias("hub2"),
-        ).where("low <> high")
-        groups = tables.store(groups.drop("low", "high"))
-        met = tables.store(spread_join(classed, groups, "g", "size", total))
-        few = (
-            met.where(F.col("size") <= params.small)
-            .groupBy("g")
-            .agg(F.collect_list(F.struct("fp", "class")).alias("members"))
-            .select("members", F.explode("members").alias("a"))
-            .select("a", F.explode("members").alias("b"))
-            .where(f"a.class < b.class and bit_count(a.fp ^ b.fp) <= {params.distance}")
-            .select(F.col("a.class").alias("a"), F.col("b.class").alias("b"))
+    total = rows.count()
+    while total:
+        # a member of the largest class and one of another class
+        of_class = rows.groupBy("g", "class").agg(
+            F.count("*").alias("n"), F.min_by("fp", F.xxhash64("fp", "g")).alias("hub")
+        )
+        hub = F.struct("class", "hub", "n")
+        groups = of_class.groupBy("g").agg(
+            F.count("*").alias("classes"),
+            F.sum("n").alias("size"),
+            F.max_by(hub, F.struct("n", "class")).alias("top"),
+            F.min_by(hub, F.struct("n", F.xxhash64("class", "g"))).alias("other"),
         )
-        many = met.where(F.col("size") > params.small)
-        links = few
-        for hub in ("hub1", "hub2"):
+        groups = groups.where("classes > 1").withColumn("minor", F.expr("size - top.n"))
+        groups = tables.store(groups.drop("classes"))
+        met = tables.store(spread_join(rows, groups, "g", "size", total))
+        few = met.where(F.col("minor") <= params.small)
+        minors = few.where("class <> top.class").groupBy("g", "size").agg(
+            F.collect_list(F.struct("fp", "class")).alias("members")
+        )
+        minors = tables.store(minors)
+        near = f"bit_count(fp ^ {{0}}.{{1}}) <= {params.distance} and class <> {{0}}.class"
+        links = (
+            spread_join(few.select("g", "fp", "class"), minors, "g", "size", total)
+            .withColumn("m", F.explode("members"))
+            .where(near.format("m", "fp"))
+            .select(F.col("class").alias("a"), F.col("m.class").alias("b"))
+        )
+        many = met.where(F.col("minor") > params.small)
+        for end in ("top", "other"):
             links = links.unionByName(
-                many.where(f"class <> {hub}.class and " + near.format(f"{hub}.fp")).select(
-                    F.col("class").alias("a"), F.col(f"{hub}.class").alias("b")
+                many.where(near.format(end, "hub")).select(
+                    F.col("class").alias("a"), F.col(f"{end}.class").alias("b")
                 )
             )
         links = tables.store(links.distinct())
         if not links.isEmpty():
             labels = _merged(tables, labels, links)
-        tables.drop(rows, classed, groups, links)
-        # large groups that are still of several classes
-        still = _classed(many.select("g", "mask", "fp", "size"), labels)
-        mixed = still.groupBy("g", "size").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-        mixed = tables.store(mixed.where("low <> high").select("g", "size"))
-        open_rows = spread_join(many.select("g", "mask", "fp"), mixed, "g", "size", total)
-        rows = tables.store(
-            open_rows.select("g", "mask", "fp").mapInArrow(
-                _finer_keys(params.distance + 1), "g long, mask long, fp long"
-            )
-        )
-        tables.drop(met, mixed)
+        left = _relabelled(many.select("g", "mask", "fp", "class"), labels, "class")
+        finer = tables.store(left.mapInArrow(_finer_keys(params.distance + 1), _ROWS))
+        tables.drop(rows, groups, met, minors, links)
+        rows = finer
         total = rows.count()
-        if not total:
-            tables.drop(rows)
-            return labels
+    tables.drop(rows)
+    return labels
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, params: Params = PRODUCTION) -> DataFrame:
@@ -453,7 +460,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, params: Params = PRODU
     )
     total = found.count()
     labels = link_classes(spark, nodes, params, tables) if total else None
-    classed = _classed(nodes, labels)
+    classed = _relabelled(nodes, labels, "fp")
     names = classed.groupBy("class").agg(F.min("least").alias("component_id"), F.count("*").alias("size"))
     named = spread_join(classed, names, "class", "size", total)
     return spread_join(found, named.select("fp", "copies", "component_id"), "fp", "copies", total).select(

@@ -95,7 +95,7 @@ def balls(rng, centres, per, radius):
 
 @pytest.mark.parametrize(
     "params",
-    [op12.PRODUCTION, op12.Params(small=3, parts=(4,)), op12.Params(distance=2, small=8)],
+    [op12.PRODUCTION, op12.Params(small=3, parts=(4,))],
 )
 def test_large_groups_and_chains(spark, params):
     """Dense balls of fingerprints, far beyond ``small``, wider than a hub
