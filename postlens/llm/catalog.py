@@ -7,6 +7,7 @@ from postlens.llm import op5_secrets as op5
 from postlens.llm import op6_quality_rules as op6
 from postlens.llm import op10_warc as op10
 from postlens.llm import op11_importance as op11
+from postlens.llm import op13_prefix_trie as op13
 from postlens.llm.op1_lm_scoring import op1_lm_scoring
 from postlens.llm.op12_simhash import op12_simhash
 from postlens.llm.op2_language_ppm import op2_language_ppm
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_warc": op10.op10_warc,
     "op11_importance": op11.op11_importance,
     "op12_simhash": op12_simhash,
+    "op13_prefix_trie": op13.op13_prefix_trie,
 }
 
 # The others are tested against brute force, an exact round trip or held-out
@@ -38,4 +40,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_quality_rules": op6.ORACLE_SQL,
     "op10_warc": op10.ORACLE_SQL,
     "op11_importance": op11.ORACLE_SQL,
+    "op13_prefix_trie": op13.ORACLE_SQL,
 }

@@ -15,6 +15,8 @@ from postlens.session import delete_path, new_scratch_dir, scratch_root
 U64 = np.uint64
 # Entries kept by a word table before it starts anew (bounds a task's memory).
 WORD_TABLE_LIMIT = 400_000
+# A join key with more than this share of all rows is a heavy one.
+HEAVY = 1024
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +88,21 @@ def components(tables: Tables, links: DataFrame) -> DataFrame:
             return labels.select("node", "class")
 
 
+def spread_join(rows: DataFrame, keys: DataFrame, on: list[str], size: str, total: int) -> DataFrame:
+    """Inner join with one row of ``keys`` per key; ``size`` is the number of
+    rows with it, ``total`` that of all rows. Keys that hold over a HEAVY-th of
+    the rows, so fewer than HEAVY, are joined by broadcast: no task gets a hot
+    key."""
+    heavy = keys.where(F.col(size) * HEAVY > total)
+    names = [r[0] for r in heavy.select(on[0]).distinct().collect()]
+    if not names:
+        return rows.join(keys, on)
+    # by the first column; other keys that share its value go along
+    hot = F.col(on[0]).isin(names)
+    near = F.broadcast(keys.where(hot))
+    return rows.where(hot).join(near, on).unionByName(rows.where(~hot).join(keys.where(~hot), on))
+
+
 def binary_values(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a text column, nulls as empty."""
     large = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)

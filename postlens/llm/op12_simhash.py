@@ -52,15 +52,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm.common import U64, Tables, binary_values, components, mix, read_table, signed
+from postlens.llm.common import U64, Tables, binary_values, components, mix, read_table, signed, spread_join
 
 BITS = 64
 SEED = 42
 # Bytes of a text that are split into words at a time; shingles summed at a time.
 PIECE = 1 << 20
 BLOCK = 1 << 16
-# A key with more than this share of all rows is joined by broadcast.
-HEAVY = 1024
 
 
 @dataclass(frozen=True)
@@ -363,18 +361,6 @@ def _finer_keys(runs: int):
 _ROWS = "g long, mask long, fp long, class long"
 
 
-def spread_join(rows: DataFrame, keys: DataFrame, key: str, size: str, total: int) -> DataFrame:
-    """Inner join with one row of ``keys`` per ``key``; ``size`` is its number
-    of rows. Keys with a share over 1/HEAVY, fewer than HEAVY, are broadcast."""
-    heavy = keys.where(F.col(size) * HEAVY > total)
-    names = [r[0] for r in heavy.select(key).collect()]
-    light = keys.where(F.col(size) * HEAVY <= total)
-    if not names:
-        return rows.join(light, key)
-    hot = F.col(key).isin(names)
-    return rows.where(hot).join(F.broadcast(heavy), key).unionByName(rows.where(~hot).join(light, key))
-
-
 def _relabelled(rows: DataFrame, labels: DataFrame | None, column: str) -> DataFrame:
     """``rows`` with the class that ``labels`` give the node in ``column``."""
     if labels is None:
@@ -419,7 +405,7 @@ def link_classes(
         )
         groups = groups.where("classes > 1").withColumn("minor", F.expr("size - top.n"))
         groups = tables.store(groups.drop("classes"))
-        met = tables.store(spread_join(rows, groups, "g", "size", total))
+        met = tables.store(spread_join(rows, groups, ["g"], "size", total))
         few = met.where(F.col("minor") <= params.small)
         minors = few.where("class <> top.class").groupBy("g", "size").agg(
             F.collect_list(F.struct("fp", "class")).alias("members")
@@ -427,7 +413,7 @@ def link_classes(
         minors = tables.store(minors)
         near = f"bit_count(fp ^ {{0}}.{{1}}) <= {params.distance} and class <> {{0}}.class"
         links = (
-            spread_join(few.select("g", "fp", "class"), minors, "g", "size", total)
+            spread_join(few.select("g", "fp", "class"), minors, ["g"], "size", total)
             .withColumn("m", F.explode("members"))
             .where(near.format("m", "fp"))
             .select(F.col("class").alias("a"), F.col("m.class").alias("b"))
@@ -462,8 +448,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, params: Params = PRODU
     labels = link_classes(spark, nodes, params, tables) if total else None
     classed = _relabelled(nodes, labels, "fp")
     names = classed.groupBy("class").agg(F.min("least").alias("component_id"), F.count("*").alias("size"))
-    named = spread_join(classed, names, "class", "size", total)
-    return spread_join(found, named.select("fp", "copies", "component_id"), "fp", "copies", total).select(
+    named = spread_join(classed, names, ["class"], "size", total)
+    return spread_join(found, named.select("fp", "copies", "component_id"), ["fp"], "copies", total).select(
         "doc_id", "fp", "component_id"
     )
 
