@@ -412,11 +412,11 @@ def link_classes(
         )
         minors = tables.store(minors)
         near = f"bit_count(fp ^ {{0}}.{{1}}) <= {params.distance} and class <> {{0}}.class"
+        # compared where they are: only links become rows
+        linked = F.expr(f"transform(filter(members, m -> {near.format('m', 'fp')}), m -> m.class)")
         links = (
             spread_join(few.select("g", "fp", "class"), minors, ["g"], "size", total)
-            .withColumn("m", F.explode("members"))
-            .where(near.format("m", "fp"))
-            .select(F.col("class").alias("a"), F.col("m.class").alias("b"))
+            .select(F.col("class").alias("a"), F.explode(F.array_distinct(linked)).alias("b"))
         )
         many = met.where(F.col("minor") > params.small)
         for end in ("top", "other"):
