@@ -1,14 +1,15 @@
 """Monthly summary: one row per source month.
 
-Each measure is a grouped aggregate over the source-month keys, so all months
-are summarised by one plan. The four inputs (post measures, user measures,
-active tags, day histogram) are each at most one row per month (31 for the
-histogram before it is folded into a map), and are stacked and grouped once
-by the month keys; that last step touches only these tiny results.
-
-Distinct counts run as Spark's two-phase distinct aggregation: rows are first
-combined per (month, value) map-side, so a very active owner or a very common
-tag does not land in one task as raw rows.
+``compute_summary`` scans the posts once. Every post becomes one row per value
+that is counted: its day (which carries the comment count), its owner and each
+of its tags. These rows are combined per (month, kind, value) map-side, so a
+very active owner or a very common tag does not land in one task, and then per
+month: distinct values are rows by then. Users are measured by a second
+aggregate, and both are stacked and grouped once by the month keys.
+
+The single measures are operators of their own. ``posts_per_user`` counts
+distinct owners by bitmaps: per month and block of 32768 ids one bitmap of 4 KB,
+set map-side, so a month's shuffle is bounded by its id range, not by its posts.
 """
 
 from __future__ import annotations
@@ -35,27 +36,60 @@ def avg_comments(posts: DataFrame) -> DataFrame:
 
 def posts_per_user(posts: DataFrame) -> DataFrame:
     """Posts, distinct owners, and their ratio (null when no owner)."""
+    owner = F.col("owner_user_id").cast("long")
+    blocks = posts.groupBy(*SOURCE_KEYS, F.bitmap_bucket_number(owner).alias("block")).agg(
+        F.count(F.lit(1)).alias("posts"),
+        F.bitmap_construct_agg(F.bitmap_bit_position(owner)).alias("owners"),
+    )
+    # posts without an owner are a block of their own
+    known = F.when(F.col("block").isNotNull(), F.bitmap_count("owners")).otherwise(F.lit(0))
     return (
-        posts.groupBy(*SOURCE_KEYS)
-        .agg(
-            F.count(F.lit(1)).alias("number_of_posts"),
-            F.countDistinct("owner_user_id").alias("unique_users"),
-        )
+        blocks.groupBy(*SOURCE_KEYS)
+        .agg(F.sum("posts").alias("number_of_posts"), F.sum(known).alias("unique_users"))
         .withColumn(
             "average_posts_per_user", safe_ratio("number_of_posts", "unique_users")
         )
     )
 
 
-def post_measures(posts: DataFrame) -> DataFrame:
-    """Post count, mean comments and posts per owner in one aggregation."""
-    return posts.groupBy(*SOURCE_KEYS).agg(
-        F.count(F.lit(1)).alias("number_of_posts"),
-        F.avg("comment_count").alias("average_comments_per_post"),
-        safe_ratio(F.count(F.lit(1)), F.countDistinct("owner_user_id")).alias(
-            "average_posts_per_user"
-        ),
+# Kinds of values a post is counted by.
+_DAY, _OWNER, _TAG = 0, 1, 2
+
+
+def post_measures(posts: DataFrame, *, with_histogram: bool = True) -> DataFrame:
+    """All post measures per month from one scan (see the module)."""
+    none, day = F.lit(None), day_of()
+    value = lambda kind, number, tag: F.struct(
+        F.lit(kind).alias("kind"), number.cast("long").alias("number"), tag.cast("string").alias("tag")
+    )
+    values = F.concat(
+        F.array(value(_DAY, day, none), value(_OWNER, F.col("owner_user_id"), none)),
+        F.transform(F.coalesce(tag_array("tags"), F.array()), lambda t: value(_TAG, none, t)),
     )
+    rows = posts.select(*SOURCE_KEYS, "comment_count", F.explode(values).alias("v"))
+    comments = F.when(F.col("v.kind") == _DAY, F.col("comment_count"))
+    found = rows.groupBy(
+        *SOURCE_KEYS, F.col("v.kind").alias("kind"), F.col("v.number").alias("number"), F.col("v.tag").alias("tag")
+    ).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(comments).alias("comments"), F.count(comments).alias("counted")
+    )
+    of_day = F.col("kind") == _DAY
+    total = F.sum(F.when(of_day, F.col("n")))
+    owners = F.count_if((F.col("kind") == _OWNER) & F.col("number").isNotNull())
+    measures = [
+        total.alias("number_of_posts"),
+        safe_ratio(F.sum("comments"), F.sum("counted")).alias("average_comments_per_post"),
+        safe_ratio(total, owners).alias("average_posts_per_user"),
+        F.count_if(F.col("kind") == _TAG).alias("total_active_tags"),
+    ]
+    if with_histogram:
+        # at most 31 entries
+        entry = F.when(
+            of_day & F.col("number").isNotNull(),
+            F.struct(F.col("number").cast("int").alias("day"), F.col("n").alias("posts")),
+        )
+        measures.append(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("histogram"))
+    return found.groupBy(*SOURCE_KEYS).agg(*measures)
 
 
 def user_measures(users: DataFrame) -> DataFrame:
@@ -130,10 +164,9 @@ def compute_summary(
     posts: DataFrame, users: DataFrame, *, with_histogram: bool = True
 ) -> DataFrame:
     """The summary table: one row per source month seen in posts or users."""
-    parts = [post_measures(posts), user_measures(users), active_tags(posts)]
-    if with_histogram:
-        parts.append(day_histogram(posts))
-    combined = _combine_by_month(parts)
+    combined = _combine_by_month(
+        [post_measures(posts, with_histogram=with_histogram), user_measures(users)]
+    )
     cols = [
         *SOURCE_KEYS,
         F.coalesce("number_of_posts", F.lit(0)).cast("long").alias("number_of_posts"),

@@ -4,13 +4,23 @@ Outputs are partition folders under one root per result, e.g.
 ``<out>/summary/src_year=2016/src_month=1/part-*.json`` and
 ``<out>/tag_analysis/src_year=2016/src_month=1/year=2016/month=1/*.parquet``.
 
-Re-runs: a run over all months overwrites the whole result; a run over some
+Re-runs: a run over all months replaces the whole result; a run over some
 months replaces the whole folders of these months, also where the new run has
 no rows for them, and leaves the others in place.
+
+Publishing is safe against a kill at any step. New folders are written beside
+the result, under a hidden name. Then one small manifest is renamed into place,
+which names the folders to replace: before that the old folders count, from
+there on the new ones. Only then are folders moved, one by one; the manifest
+goes last. ``read_summary`` and ``read_tag_analysis`` read a folder that a
+manifest names from where it is, so they see the old or the new months, never
+none; the next write first completes what a killed run left. One run at a time
+may write a result.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,35 +28,99 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlens.schemas import SOURCE_KEYS, SUMMARY_SCHEMA, TAG_ANALYSIS_COLUMNS
-from postlens.session import delete_path, move_path, new_scratch_dir, path_exists
+from postlens.session import (
+    delete_path,
+    glob_paths,
+    move_path,
+    new_scratch_dir,
+    path_exists,
+    read_text,
+    write_text,
+)
 
 
 # Rows per staged Parquet file (a few hundred MB for the staged columns).
 STAGE_MAX_RECORDS_PER_FILE = 10_000_000
 
 
-def _write(df: DataFrame, path: str, months, save) -> None:
-    """Writes ``df`` to ``path``: all of it, or the named months.
+MANIFEST = "_publish.json"
 
-    ``months=None`` overwrites the whole result. Otherwise every named month's
-    whole folder is replaced, also when the new run has no rows for it or
-    fewer sub-folders: the new rows are written beside the result first, then
-    the month folders are swapped one by one.
-    """
-    if months is None:
-        save(df.write.mode("overwrite"), path)
-        return
+
+def _write(df: DataFrame, path: str, months, save) -> None:
+    """Writes ``df`` to ``path``: all of it, or the named months, whose whole
+    folders are replaced, also when the new run has no rows for them."""
     spark = df.sparkSession
-    fresh = f"{path.rstrip('/')}/_fresh-{uuid.uuid4().hex[:12]}"
+    path = path.rstrip("/")
+    finish_publish(spark, path)
+    run = uuid.uuid4().hex[:12]
+    fresh = f"{path}/_fresh-{run}"
     try:
         save(df.write.mode("error"), fresh)
-        for year, month in sorted(set(months)):
-            part = f"src_year={year}/src_month={month}"
-            delete_path(spark, f"{path}/{part}")
-            if path_exists(spark, f"{fresh}/{part}"):
-                move_path(spark, f"{fresh}/{part}", f"{path}/{part}")
-    finally:
+        if months is None:  # the folders of whole years
+            old, new = (
+                {p.rsplit("/", 1)[1] for p in glob_paths(spark, f"{root}/src_year=*")}
+                for root in (path, fresh)
+            )
+            folders = sorted(old | new)
+        else:
+            folders = [f"src_year={y}/src_month={m}" for y, m in sorted(set(months))]
+            new = {f for f in folders if path_exists(spark, f"{fresh}/{f}")}
+    except BaseException:
         delete_path(spark, fresh)
+        raise
+    plan = {"run": run, "folders": [[f, f in new] for f in folders]}
+    write_text(spark, f"{path}/{MANIFEST}", json.dumps(plan))
+    finish_publish(spark, path)
+
+
+def _manifest(spark: SparkSession, path: str) -> dict | None:
+    name = f"{path}/{MANIFEST}"
+    return json.loads(read_text(spark, name)) if path_exists(spark, name) else None
+
+
+def finish_publish(spark: SparkSession, path: str) -> None:
+    """Moves the folders a manifest names into place. Every step can be taken
+    again: a new folder that is no longer beside the result has been moved."""
+    plan = _manifest(spark, path)
+    if plan is None:
+        return
+    fresh, gone = f"{path}/_fresh-{plan['run']}", f"{path}/_old-{plan['run']}"
+    for folder, is_new in plan["folders"]:
+        target = f"{path}/{folder}"
+        if is_new and not path_exists(spark, f"{fresh}/{folder}"):
+            continue
+        if path_exists(spark, target):
+            move_path(spark, target, f"{gone}/{folder}")
+        if is_new:
+            move_path(spark, f"{fresh}/{folder}", target)
+    delete_path(spark, gone)
+    delete_path(spark, fresh)
+    delete_path(spark, f"{path}/{MANIFEST}")
+
+
+def _published(spark: SparkSession, path: str, read) -> DataFrame:
+    """The result at ``path``, as ``read(folder)`` reads it; where a run was
+    killed while it moved folders, those it has not moved yet come from beside
+    the result."""
+    path = path.rstrip("/")
+    plan = _manifest(spark, path)
+    if plan is None:
+        return read(path)
+    fresh = f"{path}/_fresh-{plan['run']}"
+    waiting = [f for f, is_new in plan["folders"] if not is_new or path_exists(spark, f"{fresh}/{f}")]
+    years = [int(f[9:]) for f in waiting if "/" not in f]
+    pairs = [f.replace("src_month=", "")[9:].split("/") for f in waiting if "/" in f]
+    keys = [int(y) * 100 + int(m) for y, m in pairs]
+    key = F.col("src_year") * 100 + F.col("src_month")
+    replaced = F.col("src_year").isin(years) | key.isin(keys)
+    parts = []
+    if glob_paths(spark, f"{path}/src_year=*/src_month=*/*"):
+        parts.append(read(path).where(~replaced))
+    if glob_paths(spark, f"{fresh}/src_year=*/src_month=*/*"):
+        parts.append(read(fresh).where(replaced))
+    if not parts:
+        return read(path)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def _cluster(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -112,7 +186,8 @@ def read_summary(spark: SparkSession, path: str) -> DataFrame:
         if f.name == "histogram":
             f = T.StructField(f.name, T.MapType(T.StringType(), T.LongType()), True)
         fields.append(T.StructField(f.name, f.dataType, True))
-    df = spark.read.schema(T.StructType(fields)).json(path)
+    schema = T.StructType(fields)
+    df = _published(spark, path, lambda root: spark.read.schema(schema).json(root))
     df = df.withColumn(
         "histogram", F.transform_keys("histogram", lambda k, _: k.cast("int"))
     )
@@ -120,7 +195,9 @@ def read_summary(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_tag_analysis(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*TAG_ANALYSIS_COLUMNS)
+    return _published(
+        spark, path, lambda root: spark.read.parquet(root).select(*TAG_ANALYSIS_COLUMNS)
+    )
 
 
 def stage_table(

@@ -120,6 +120,24 @@ def move_path(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, whole or not at all: written beside and renamed."""
+    fs, target = _file_system(spark, f"{path}.part")
+    stream = fs.create(target, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    move_path(spark, f"{path}.part", path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, target = _file_system(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match ``pattern``; bounded by the number of month folders."""
     fs, target = _file_system(spark, pattern)
