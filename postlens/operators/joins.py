@@ -8,11 +8,13 @@ Strategy is left to Spark: Catalyst broadcasts the users side only when its
 estimated size is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE
 re-plans a sort-merge join into a broadcast join when the measured size is
 under ``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise both sides
-are hash-shuffled on the keys. A posts partition swollen by one very active
-owner is split by AQE's skew-join handling (the left side of a left outer
-join can be split); posts without owner, which never match, are spread by a
-hash of the post instead of sharing one null key. The analyses in ``tags``
-avoid hot owners altogether by aggregating posts per owner before joining.
+are hash-shuffled on the keys. Then a very active owner would be one task's
+load, so the join looks for heavy owners itself: rows are counted per owner
+map-side, owners with over 1/``HEAVY_SHARE`` of all rows (so fewer than that
+many) are broadcast, and only their rows are split by a salt and only their user
+rows copied. Posts without owner, which never match, are spread by a hash of
+the post instead of sharing one null key. The analyses in ``tags`` avoid hot
+owners by aggregating posts per owner before joining.
 """
 
 from __future__ import annotations
@@ -52,12 +54,46 @@ def _spread_null_owners(posts: DataFrame) -> DataFrame:
     )
 
 
+# An owner with more than this share of the rows is heavy; ways it is split.
+HEAVY_SHARE = 256
+HEAVY_SALT = 64
+
+
+def heavy_owners(left: DataFrame, share: int = HEAVY_SHARE) -> DataFrame:
+    """(owner_user_id): owners with more than 1/``share`` of all rows, so fewer
+    than ``share``."""
+    counts = left.where(F.col("owner_user_id").isNotNull()).groupBy("owner_user_id").agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+    total = left.agg(F.count(F.lit(1)).alias("total")).scalar()
+    return counts.where(F.col("rows") * share > total).select("owner_user_id")
+
+
+def _may_broadcast(users: DataFrame) -> bool:
+    """Whether Spark joins the users side by broadcast by its own estimate."""
+    limit = users.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = users._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
+def _salted(keyed: DataFrame, right: DataFrame, row: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a salt that is 0 but for heavy owners."""
+    heavy = heavy_owners(keyed).select(F.col("owner_user_id").alias("_heavy"))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in row]), F.lit(HEAVY_SALT))
+    keyed = keyed.join(F.broadcast(heavy), F.col("owner_user_id") == F.col("_heavy"), "left")
+    keyed = keyed.withColumn("_salt", F.when(F.col("_heavy").isNotNull(), salt).otherwise(F.lit(0)))
+    copies = F.when(F.col("_heavy").isNotNull(), F.lit(HEAVY_SALT - 1)).otherwise(F.lit(0))
+    right = right.join(F.broadcast(heavy), F.col("id") == F.col("_heavy"), "left")
+    right = right.withColumn("_u_salt", F.explode(F.sequence(F.lit(0), copies)))
+    return keyed.drop("_heavy"), right.drop("_heavy")
+
+
 def join_users(
     left: DataFrame,
     users: DataFrame,
     how: str = "left",
     join_on_month: bool = True,
-    salt_buckets: int = 1,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
     """Join any frame with ``owner_user_id`` (and the month keys) to users.
 
@@ -65,13 +101,19 @@ def join_users(
     whose owner has no user row (user columns null); ``how="inner"`` drops
     them. Null owners never match;
     in a left join they are spread over all partitions rather than sent to
-    one. ``salt_buckets=S > 1`` splits every owner's rows S ways (by a hash
-    of the row) and copies each user row S times, so even one owner holding
-    a large share of the rows is joined by S tasks, whatever AQE's skew
-    thresholds; it costs S times the users side in the shuffle.
+    one.
+
+    By default (``salt_buckets=None``) heavy owners are found and split
+    ``HEAVY_SALT`` ways where the users side is not broadcast; ``left`` is then
+    read twice, the first time its owner column alone. ``salt_buckets=S > 1``
+    splits every owner's rows S ways (by a hash of the row) and copies each
+    user row S times instead; 1 splits none.
     """
     if how not in JOIN_TYPES:
         raise ValueError(f"how must be one of {JOIN_TYPES}, got {how!r}")
+    find = salt_buckets is None
+    if find:
+        salt_buckets = 1
     if salt_buckets < 1:
         raise ValueError("salt_buckets must be at least 1")
     right = users_side(users, join_on_month)
@@ -86,16 +128,21 @@ def join_users(
             "_u_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
         )
         key = keyed["_owner_key"] if how == "left" else keyed["owner_user_id"]
+    found = find and not _may_broadcast(right)
+    if found:
+        keyed, right = _salted(keyed, right, left.columns)
+        key = keyed["_owner_key"] if how == "left" else keyed["owner_user_id"]
+    salted = found or salt_buckets > 1
     cond = key == right["id"].cast("long")
     if join_on_month:
         for k in SOURCE_KEYS:
             cond = cond & (keyed[k] == right[f"_u_{k}"])
-    if salt_buckets > 1:
+    if salted:
         cond = cond & (keyed["_salt"] == right["_u_salt"])
     joined = keyed.join(right, cond, how)
     drop = [f"_u_{k}" for k in SOURCE_KEYS] if join_on_month else []
     if how == "left":
         drop.append("_owner_key")
-    if salt_buckets > 1:
+    if salted:
         drop += ["_salt", "_u_salt"]
     return joined.drop(*drop)

@@ -141,7 +141,9 @@ def _joined_rows(
     if pre_aggregate is None:
         pre_aggregate = not join_on_month and salt_buckets == 1
     level1 = owner_tagset_rows(posts) if pre_aggregate else post_tagset_rows(posts)
-    return join_users(level1, users, how, join_on_month, salt_buckets)
+    # posts joined as they are: the join finds heavy owners itself
+    salt = None if salt_buckets == 1 and not pre_aggregate else salt_buckets
+    return join_users(level1, users, how, join_on_month, salt)
 
 
 def _stat_columns() -> list:

@@ -9,7 +9,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from postlens.plans import sinks
-from postlens.schemas import SUMMARY_SCHEMA
 from conftest import make_posts, make_users
 from postlens.operators import compute_summary, compute_tag_analysis
 
@@ -86,16 +85,6 @@ def test_kill_at_every_step(spark, tmp_path, monkeypatch, months, step):
             raise AssertionError("more steps than tried")
 
 
-def test_summary_reads_posts_once(spark, tmp_path):
-    posts = make_posts(spark, [("2016-02-01 00:00:00", 1, 4, 2, "a|b")])
-    posts.write.parquet(str(tmp_path / "posts"))
-    users = make_users(spark, [(1, "ann", 10)])
-    stored = spark.read.parquet(str(tmp_path / "posts"))
-    plan = compute_summary(stored, users)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("parquet") == 1
-    assert compute_summary(stored, users).columns == SUMMARY_SCHEMA.fieldNames()
-
-
 def test_bitmap_owners(spark):
     """Owners beside block borders, zero, negative, null, repeated."""
     from postlens.operators import posts_per_user
