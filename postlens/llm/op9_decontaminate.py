@@ -18,19 +18,22 @@ mapping of the windows before them are dropped. A document is contaminated by
 an item if the consistent windows hold a run of ``min_run`` tokens (or the
 whole item, if that is shorter), or cover ``min_cover`` of the item's windows.
 
-Scale: one pass over the texts; only windows that occur in the benchmark
-leave the task. For that the set of the benchmark's window hashes is given to
-the tasks if it has at most ``set_limit`` entries (8 bytes each, checked);
-a larger benchmark is joined by a shuffle of all windows instead. A passage in
-a third of all documents gives one group per document and item, bounded by
-the item's length.
+Scale: one pass over the texts; windows of all lengths are put together from
+runs hashed by doubling, and only windows that occur in the benchmark leave the
+task. For that the set of the benchmark's window hashes is given to the tasks if
+its windows are at most ``set_limit`` rows (counted); a larger benchmark is
+joined by a shuffle of all windows instead. Groups with too few windows for any
+verdict are dropped before they are judged. A passage in a third of all
+documents gives one group per document and item, bounded by the item's length.
 
 Nulls and edge cases: null or empty texts and items match nothing; items
 shorter than ``min_item`` tokens are not used; items with fewer tokens than a
-window use one window of their own length; repeated document rows with one
-doc_id are one document (one result row), repeated items with one item_id
-likewise; a null doc_id or item_id is a key like any other; other columns are
-ignored; an empty table on either side gives an empty result.
+window use one window of their own length; exactly repeated rows are one
+document (one result row), and rows that share a doc_id, or have none, but not
+the text are judged and dropped each by itself; the same holds for items; ties
+between diagonals go to the later first token; very long texts are one row of
+windows that match, not of all; other columns are ignored; an empty table on
+either side gives an empty result.
 """
 
 from __future__ import annotations
@@ -43,7 +46,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postlens.llm.common import (
@@ -89,6 +92,7 @@ _STOP = (".", "!", "?", ":", ";")
 # Placeholder tokens; the numbers are arbitrary marks.
 _MARKS = np.array([0, 0x6E756D, 0x756E6974, 0x6E616D65], U64) * U64(0x9E3779B97F4A7C15)
 _STEP = U64(0x9FB21C651E98DF25)
+_TURN = U64(0xD6E8FEB86659FD93)
 
 
 def classify(word: bytes) -> tuple[int, int, int, bool]:
@@ -151,17 +155,54 @@ def _at(index: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def window_hashes(tokens: np.ndarray, kind: np.ndarray, k: int):
-    """(hash, plain words) of the ``k`` tokens from each position on."""
-    n = len(tokens) - k + 1
-    if n <= 0:
-        return np.zeros(0, U64), np.zeros(0, np.int64)
-    h = np.full(n, U64(k))
-    for j in range(k):
-        h = h * _STEP + tokens[j : j + n]
-        h ^= h >> U64(29)
-    plain = np.append(0, np.cumsum(kind == LITERAL))
-    return h, plain[k:] - plain[:-k]
+class Windows:
+    """Hashes of the ``k`` tokens from each position on, for any ``k``: runs of
+    1, 2, 4, ... tokens are hashed once, by doubling, and two of them make a
+    window."""
+
+    def __init__(self, tokens: np.ndarray):
+        self.runs = {1: tokens}
+
+    def _run(self, n: int) -> np.ndarray:
+        if n not in self.runs:
+            half = self._run(n // 2)
+            self.runs[n] = _pair(half[: len(half) - n // 2], half[n // 2 :])
+        return self.runs[n]
+
+    def hashes(self, k: int) -> np.ndarray:
+        if len(self.runs[1]) < k:
+            return np.zeros(0, U64)
+        n = 1 << (k.bit_length() - 1)
+        run, rest = self._run(n), k - n
+        return _pair(run[: len(run) - rest], run[rest:], k) if rest else run
+
+
+def _pair(a: np.ndarray, b: np.ndarray, salt: int = 0) -> np.ndarray:
+    h = a * _STEP + b + U64(salt)
+    h ^= h >> U64(29)
+    h *= _TURN
+    h ^= h >> U64(32)
+    return h
+
+
+class Wanted:
+    """A sorted set of hashes, with a table of bits in front that turns away
+    nearly all others."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = hashes
+        self.mask = U64((1 << max(16, (16 * len(hashes)).bit_length())) - 1)
+        self.bits = np.zeros(int(self.mask) + 1, bool)
+        self.bits[hashes & self.mask] = True
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Positions of ``h`` that are in the set."""
+        if not len(self.hashes):
+            return np.zeros(0, np.int64)
+        at = np.flatnonzero(self.bits[(h & self.mask).view(np.int64)])
+        here = h[at]
+        near = np.minimum(np.searchsorted(self.hashes, here), len(self.hashes) - 1)
+        return at[self.hashes[near] == here]
 
 
 def _slots(words: list[bytes], kind: np.ndarray, at: int, k: int) -> list[str]:
@@ -174,7 +215,9 @@ def _slots(words: list[bytes], kind: np.ndarray, at: int, k: int) -> list[str]:
     return out
 
 
-_ROWS = "key long, pos int, h long, k int, slots array<string>, n_tokens int, literal boolean"
+_ROWS = (
+    "key long, digest long, pos int, h long, k int, slots array<string>, n_tokens int, literal boolean"
+)
 # Keeps the hashes of literal windows apart from those of templates.
 _LITERAL_SEED = U64(0x6C69746572616C)
 
@@ -189,37 +232,41 @@ def _windows(rules: Rules, lengths: list[int], wanted) -> callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens()
-        keep = None if wanted is None else wanted.value
+        keep = None if wanted is None else Wanted(wanted.value)
         for batch in batches:
+            met: set[tuple] = set()
             for rows in text_slices(batch, "text", BLOCK_BYTES):
-                keys = rows.column("key").to_pylist()
+                keys = list(zip(rows.column("key").to_pylist(), rows.column("digest").to_pylist()))
+                # a repeated row of the batch says nothing new
+                fresh = [key not in met and not met.add(key) for key in keys]
+                keys = [key for key, new in zip(keys, fresh) if new]
+                rows = rows.filter(pa.array(fresh, pa.bool_()))
                 words, counts = split_docs(binary_values(rows.column("text")))
                 t, own, kind = tokens.template(words, counts)
                 ends = np.cumsum(counts)
+                start = ends - counts
+                plain = np.append(0, np.cumsum(kind == LITERAL))
+                forms = Windows(t), Windows(own)
                 out = []
                 for k in lengths or sorted({min(rules.window, int(c)) for c in counts}):
                     if k < rules.min_item:
                         continue
                     for literal in (False, True):
-                        h, plain = window_hashes(own if literal else t, kind, k)
+                        h = forms[literal].hashes(k)
                         if literal:
                             h = h ^ _LITERAL_SEED
-                            pos = np.arange(len(h))
-                        else:
-                            pos = np.flatnonzero(2 * plain >= k)
-                        if keep is not None and len(pos):
-                            at = np.minimum(np.searchsorted(keep, h[pos]), len(keep) - 1)
-                            pos = pos[keep[at] == h[pos]]
+                        pos = np.arange(len(h)) if keep is None else keep.find(h)
+                        if not literal:
+                            pos = pos[2 * (plain[pos + k] - plain[pos]) >= k]
                         row = np.searchsorted(ends, pos, "right")
                         inside = pos + k <= ends[row]
                         if not lengths:
                             inside &= np.minimum(rules.window, counts[row]) == k
                         pos, row = pos[inside], row[inside]
-                        start = ends - counts
                         for p, r in zip(pos.tolist(), row.tolist()):
                             out.append(
                                 (
-                                    keys[r],
+                                    *keys[r],
                                     p - int(start[r]),
                                     int(signed(h[p : p + 1])[0]),
                                     k,
@@ -228,11 +275,11 @@ def _windows(rules: Rules, lengths: list[int], wanted) -> callable:
                                     literal,
                                 )
                             )
-                cells = list(zip(*out)) if out else [()] * 7
-                types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.int32(), pa.bool_()]
+                cells = list(zip(*out)) if out else [()] * 8
+                types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.string()), pa.int32(), pa.bool_()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, x) for c, x in zip(cells, types)],
-                    names=["key", "pos", "h", "k", "slots", "n_tokens", "literal"],
+                    names=["key", "digest", "pos", "h", "k", "slots", "n_tokens", "literal"],
                 )
 
     return run
@@ -291,6 +338,7 @@ def judge(rules: Rules):
             [
                 (
                     first["doc_id"],
+                    first["digest"],
                     first["item_id"],
                     int(first["pos"] - first["item_pos"] + pos[0]),
                     len(pos),
@@ -307,71 +355,88 @@ def judge(rules: Rules):
 
 
 _VERDICT = (
-    "doc_id long, item_id long, first_token long, n_windows long, run_tokens long, "
+    "doc_id long, digest long, item_id long, first_token long, n_windows long, run_tokens long, "
     "cover double, n_slots long, reparameterised boolean"
 )
 _VERDICT_COLS = [x.split()[0] for x in _VERDICT.split(", ")]
 
 
-def find_leaks(
-    spark: SparkSession, docs: DataFrame, benchmark: DataFrame, rules: Rules = PRODUCTION
-) -> DataFrame:
-    """One row per contaminated document and item: the best diagonal."""
-    items = benchmark.select(
-        F.col("item_id").cast("long").alias("key"), F.col("text").cast("string").alias("text")
-    ).mapInArrow(_windows(rules, [], None), _ROWS)
-    items = items.select(
+def _texts(df: DataFrame, key: str) -> DataFrame:
+    """(key, digest, text): unlike texts under one key are told apart."""
+    text = F.col("text").cast("string")
+    return df.select(F.col(key).cast("long").alias("key"), F.xxhash64(text).alias("digest"), text.alias("text"))
+
+
+def _leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, rules: Rules) -> DataFrame:
+    """One row per contaminated text of a doc_id, and item: the best diagonal."""
+    found = _texts(benchmark, "item_id").mapInArrow(_windows(rules, [], None), _ROWS)
+    found = found.select(
         F.col("key").alias("item_id"),
+        F.col("digest").alias("item_digest"),
         F.col("pos").alias("item_pos"),
         "h",
         "k",
         F.col("slots").alias("item_slots"),
         F.col("n_tokens").alias("item_tokens"),
         "literal",
-    ).dropDuplicates(["item_id", "item_pos", "h"])
+    ).dropDuplicates(["item_id", "item_digest", "item_pos", "h"])
     # per item and form: its usable windows
-    sizes = items.groupBy(F.col("item_id").alias("same_id"), F.col("literal").alias("same_form")).agg(
-        F.count("*").alias("item_windows")
+    sizes = found.groupBy(
+        F.col("item_id").alias("same_id"), F.col("item_digest").alias("same_digest"), F.col("literal").alias("same_form")
+    ).agg(F.count("*").alias("item_windows"))
+    same = (
+        F.col("item_id").eqNullSafe(F.col("same_id"))
+        & (F.col("item_digest") == F.col("same_digest"))
+        & (F.col("literal") == F.col("same_form"))
     )
-    same = F.col("item_id").eqNullSafe(F.col("same_id")) & (F.col("literal") == F.col("same_form"))
-    items = items.join(sizes, same).drop("same_id", "same_form")
-    items = checkpointed(spark, items)
-    hashes = items.select("h").distinct()
+    items = checkpointed(spark, found.join(sizes, same).drop("same_id", "same_digest", "same_form"))
     lengths = sorted(r.k for r in items.select("k").distinct().collect())  # at most ``window``
-    small = hashes.count() <= rules.set_limit
+    # rows, not hashes alone, as they are what is broadcast
+    small = items.count() <= rules.set_limit
     wanted = None
     if small:
-        found = hashes.toPandas()["h"].to_numpy(np.int64).view(U64)
-        found = np.sort(found) if len(found) else np.zeros(1, U64)
-        wanted = spark.sparkContext.broadcast(found)
-    texts = docs.select(
-        F.col("doc_id").cast("long").alias("key"), F.col("text").cast("string").alias("text")
-    )
-    hits = texts.mapInArrow(_windows(rules, lengths or [rules.window], wanted), _ROWS)
-    hits = hits.select(F.col("key").alias("doc_id"), "pos", "h", "slots")
+        hashes = items.select("h").distinct().toPandas()["h"].to_numpy(np.int64).view(U64)
+        wanted = spark.sparkContext.broadcast(np.sort(hashes))
+    hits = _texts(docs, "doc_id").mapInArrow(_windows(rules, lengths or [rules.window], wanted), _ROWS)
+    hits = hits.select(F.col("key").alias("doc_id"), "digest", "pos", "h", "slots")
     joined = hits.join(F.broadcast(items) if small else items, "h")
     joined = joined.withColumn("diagonal", F.col("pos") - F.col("item_pos")).drop("h")
-    verdicts = joined.groupBy("doc_id", "item_id", "diagonal", "literal").applyInPandas(
-        judge(rules), _VERDICT
-    )
-    best = verdicts.groupBy("doc_id", "item_id").agg(
+    group = ["doc_id", "digest", "item_id", "item_digest", "diagonal", "literal"]
+    # windows a group has at least if it holds the run, or the cover, asked for
+    run = F.least(F.lit(rules.min_run), F.col("item_tokens")) - F.col("k") + 1
+    least = F.least(run, F.ceil(rules.min_cover * F.col("item_windows") - 1e-9))
+    enough = joined.withColumn("there", F.count("*").over(Window.partitionBy(*group))).where(F.col("there") >= least)
+    verdicts = enough.drop("there").groupBy(*group).applyInPandas(judge(rules), _VERDICT)
+    best = verdicts.groupBy("doc_id", "digest", "item_id").agg(
         F.max(F.struct("run_tokens", "n_windows", "cover", "n_slots", "reparameterised", "first_token")).alias("b")
     )
     return best.select(
-        "doc_id", "item_id", "b.first_token", "b.n_windows", "b.run_tokens", "b.cover",
+        "doc_id", "digest", "item_id", "b.first_token", "b.n_windows", "b.run_tokens", "b.cover",
         "b.n_slots", "b.reparameterised",
     )
 
 
+def find_leaks(
+    spark: SparkSession, docs: DataFrame, benchmark: DataFrame, rules: Rules = PRODUCTION
+) -> DataFrame:
+    """One row per contaminated document and item: the best diagonal."""
+    return _leaks(spark, docs, benchmark, rules).drop("digest")
+
+
 def drop_leaks(
     spark: SparkSession, docs: DataFrame, benchmark: DataFrame, rules: Rules = PRODUCTION
 ) -> DataFrame:
-    """The rows of ``docs`` without contaminated documents."""
-    bad = find_leaks(spark, docs, benchmark, rules).select(F.col("doc_id").alias("__leaked_doc_id")).distinct()
-    bad = checkpointed(spark, bad)
+    """The rows of ``docs`` without contaminated ones, told by doc_id and text."""
+    bad = _leaks(spark, docs, benchmark, rules).select(
+        F.col("doc_id").alias("__leaked_doc_id"), F.col("digest").alias("__leaked_digest")
+    )
+    bad = checkpointed(spark, bad.distinct())
     if bad.count() <= BROADCAST_IDS:
         bad = F.broadcast(bad)
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(F.col("__leaked_doc_id")), "left_anti")
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__leaked_doc_id")) & (
+        F.xxhash64(docs["text"].cast("string")) == F.col("__leaked_digest")
+    )
+    return docs.join(bad, same, "left_anti")
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
