@@ -35,10 +35,13 @@ rows as there are batches. Texts are dealt out by doc_id once (one exchange,
 used by steps 3 and 4 and by the removal).
 
 Nulls and edge cases: a null or empty text has no bytes and its row stays; a
-null doc_id sorts before all others; rows that share a doc_id are one
-document (marks belong to doc_id and byte position, and hold for each of its
-rows, clipped to its text), so exactly repeated rows give equal result rows;
-other columns are ignored; an empty table gives an empty result.
+null doc_id sorts before all others; exactly repeated rows are one document and
+give equal result rows; rows that share a doc_id, or have none, but not the
+text are documents of their own, in the order of a hash of their texts (where
+there are such rows, all documents are numbered in order by a sort, and the
+numbers take the place of the ids); other columns are ignored; an empty table
+gives an empty result. Very long texts are worked on in blocks of ``BLOCK``
+window starts.
 """
 
 from __future__ import annotations
@@ -52,6 +55,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postlens.llm.common import U64, mix, read_table, signed
+from postlens.llm.op11_importance import ranked
 
 MATCH_BYTES = 100
 ANCHOR_DEPTH = 32
@@ -413,15 +417,27 @@ def verdicts(rows: DataFrame) -> DataFrame:
     )
 
 
+def keyed_documents(docs: DataFrame) -> DataFrame:
+    """(k, doc_id, text): ``k`` tells documents apart, in the order of doc_id."""
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+    )
+    digest = (F.xxhash64("text"), F.xxhash64("text", F.lit(1)))
+    hashed = rows.select("doc_id", digest[0].alias("d1"), digest[1].alias("d2"))
+    unlike = hashed.groupBy("doc_id").agg(F.min("d1").alias("low"), F.max("d1").alias("high"))
+    if unlike.where("low <> high").isEmpty():
+        return rows.select(F.coalesce("doc_id", F.lit(NULL_KEY)).alias("k"), "doc_id", "text")
+    order = ranked(docs.sparkSession, hashed.distinct(), ["doc_id", "d1", "d2"])
+    order = order.select(F.col("doc_id").alias("__id"), "d1", "d2", F.col("rank").alias("k"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (digest[0] == F.col("d1")) & (digest[1] == F.col("d2"))
+    return rows.join(order, same).select("k", "doc_id", "text")
+
+
 def repeat_marks(docs: DataFrame, n_match: int = MATCH_BYTES) -> tuple[DataFrame, DataFrame]:
     """(keyed documents, marks): marks are rows (k, pk) of repeated windows."""
     if n_match < 2 * ANCHOR_DEPTH:
         raise ValueError(f"n_match must be at least {2 * ANCHOR_DEPTH}")
-    keyed = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_KEY)).alias("k"),
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("text").cast("string").alias("text"),
-    )
+    keyed = keyed_documents(docs)
     schema = "k long, pk long, h long, s long"
 
     def opened(marked: DataFrame) -> DataFrame:
