@@ -262,7 +262,8 @@ class Pricer:
 def _has_letter(text: bytes) -> bool:
     if _ASCII_LETTER[np.frombuffer(text[:256], np.uint8)].any():
         return True
-    return _LETTER.search(text.decode("utf-8", "replace")) is not None
+    # number signs are word characters too, but no letters
+    return any(m[0].isalpha() for m in _LETTER.finditer(text.decode("utf-8", "replace")))
 
 
 def predict(trees: ContextTrees | TreeBlocks | None):

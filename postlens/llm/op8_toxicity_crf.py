@@ -450,10 +450,12 @@ def train(
         .orderBy(F.xxhash64("id"), "id")
         .limit(params.sample_docs)
     )
-    # at most sample_docs rows of two numbers
+    # at most sample_docs rows: one per id, however often it is repeated
     sample = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         .join(F.broadcast(marks), F.col("doc_id") == F.col("id"))
+        .groupBy("id", "toxic")
+        .agg(F.min("text").alias("text"))
         .select((F.xxhash64("id") % 2 == 0).cast("int").alias("half"), "toxic", "text")
     )
     totals = marks.groupBy("toxic").count().collect()
