@@ -285,71 +285,77 @@ def _windows(rules: Rules, lengths: list[int], wanted) -> callable:
     return run
 
 
+def _slot(slot: str) -> tuple[str, str, str]:
+    """(offset, type letter, value) of a slot."""
+    at = 0
+    while slot[at].isdigit():
+        at += 1
+    return slot[:at], slot[at], slot[at + 1 :]
+
+
 def _pairs(doc: list[str], item: list[str]) -> list[tuple[str, str, str]] | None:
     """(type, item value, document value) of a window's slots."""
     out = []
-    for d, i in zip(doc, item):
-        m, n = re.match(r"(\d+)([a-zN])(.*)", d, re.S), re.match(r"(\d+)([a-zN])(.*)", i, re.S)
-        if m[1] != n[1] or m[2] != n[2]:
+    for d, i in zip(map(_slot, doc), map(_slot, item)):
+        if d[:2] != i[:2]:
             return None
-        out.append((m[2], n[3], m[3]))
+        out.append((d[1], i[2], d[2]))
     return out
 
 
+def _judge_diagonal(rules: Rules, windows: list[tuple], k: int, total: int, item_windows: int) -> tuple | None:
+    """Verdict on one diagonal and form; ``windows``: (item position, slots,
+    item slots) in order, each position once."""
+    there: dict = {}
+    back: dict = {}
+    good, new_values, slots = [], False, set()
+    for at, doc, item in windows:
+        pairs = _pairs(doc, item)
+        if pairs is None:
+            continue
+        if not all(
+            there.get((t, i), d) == d and (t != "N" or back.get(d, i) == i) for t, i, d in pairs
+        ):
+            continue
+        for t, i, d in pairs:
+            there[(t, i)] = d
+            if t == "N":
+                back[d] = i
+            new_values |= i != d
+            slots.add((t, i))
+        good.append(at)
+    if not good:
+        return None
+    run = longest = 1
+    for a, b in zip(good, good[1:]):
+        run = run + 1 if b == a + 1 else 1
+        longest = max(longest, run)
+    run_tokens = longest - 1 + k
+    cover = len(good) / item_windows
+    if run_tokens < min(rules.min_run, total) and cover < rules.min_cover:
+        return None
+    return good[0], len(good), run_tokens, cover, len(slots), new_values
+
+
 def judge(rules: Rules):
-    """Group function: one (document, item, diagonal, form) to its verdict."""
+    """Group function: the windows of one document and item to the verdicts of
+    their diagonals and forms."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("item_pos").drop_duplicates("item_pos")
-        there: dict = {}
-        back: dict = {}
-        good, new_values, slots = [], False, set()
-        for r in rows.itertuples(index=False):
-            pairs = _pairs(list(r.slots), list(r.item_slots))
-            if pairs is None:
-                continue
-            fine = all(
-                there.get((t, i), d) == d and (t != "N" or back.get(d, i) == i)
-                for t, i, d in pairs
-            )
-            if not fine:
-                continue
-            for t, i, d in pairs:
-                there[(t, i)] = d
-                if t == "N":
-                    back[d] = i
-                new_values |= i != d
-                slots.add((t, i))
-            good.append((r.item_pos, r.k))
-        if not good:
-            return pd.DataFrame(columns=_VERDICT_COLS)
-        pos = np.array([p for p, _ in good])
-        k = int(good[0][1])
-        total = int(rows["item_tokens"].iloc[0])
-        gaps = np.flatnonzero(np.diff(pos) > 1)
-        begin = np.append(0, gaps + 1)
-        stop = np.append(gaps, len(pos) - 1)
-        run_tokens = int((pos[stop] - pos[begin]).max()) + k
-        cover = len(pos) / int(rows["item_windows"].iloc[0])
-        if run_tokens < min(rules.min_run, total) and cover < rules.min_cover:
-            return pd.DataFrame(columns=_VERDICT_COLS)
-        first = rows.iloc[0]
-        return pd.DataFrame(
-            [
-                (
-                    first["doc_id"],
-                    first["digest"],
-                    first["item_id"],
-                    int(first["pos"] - first["item_pos"] + pos[0]),
-                    len(pos),
-                    run_tokens,
-                    float(cover),
-                    len(slots),
-                    bool(new_values),
-                )
-            ],
-            columns=_VERDICT_COLS,
-        )
+        key = tuple(rows[c].iloc[0] for c in ("doc_id", "digest", "item_id"))
+        diagonals: dict[tuple, dict[int, tuple]] = {}
+        known: dict[tuple, tuple] = {}
+        columns = ("diagonal", "literal", "item_pos", "slots", "item_slots", "k", "item_tokens", "item_windows")
+        for d, form, at, doc, item, k, total, n in zip(*(rows[c].tolist() for c in columns)):
+            diagonals.setdefault((d, form), {}).setdefault(at, (at, doc, item))
+            known[d, form] = k, total, n
+        out = []
+        for (d, form), windows in diagonals.items():
+            found = _judge_diagonal(rules, [windows[at] for at in sorted(windows)], *known[d, form])
+            if found:
+                first, *rest = found
+                out.append((*key, int(d + first), *rest))
+        return pd.DataFrame(out, columns=_VERDICT_COLS)
 
     return run
 
@@ -406,7 +412,9 @@ def _leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, rules: Ru
     run = F.least(F.lit(rules.min_run), F.col("item_tokens")) - F.col("k") + 1
     least = F.least(run, F.ceil(rules.min_cover * F.col("item_windows") - 1e-9))
     enough = joined.withColumn("there", F.count("*").over(Window.partitionBy(*group))).where(F.col("there") >= least)
-    verdicts = enough.drop("there").groupBy(*group).applyInPandas(judge(rules), _VERDICT)
+    needed = enough.select(*group, "item_pos", "slots", "item_slots", "k", "item_tokens", "item_windows")
+    # one group per document and item, which Python is called for once
+    verdicts = needed.groupBy(*group[:4]).applyInPandas(judge(rules), _VERDICT)
     best = verdicts.groupBy("doc_id", "digest", "item_id").agg(
         F.max(F.struct("run_tokens", "n_windows", "cover", "n_slots", "reparameterised", "first_token")).alias("b")
     )
