@@ -6,7 +6,8 @@ last return the columns of ``documents``.
 
 Nulls and edge cases are those of the operators: documents without words go
 in the first stage, as do all that fail its policy; of a class of near
-duplicates (and of repeated rows) one row stays; null ids are one document.
+duplicates (and of repeated rows) one row stays; unlike texts under one doc_id,
+or under null ids, are judged each by itself in every stage.
 """
 
 from __future__ import annotations
