@@ -51,6 +51,11 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--no-snapshot", action="store_true", help="no snapshot folder")
     p.add_argument("--multi-line", action="store_true",
                    help="CSV fields may hold line breaks (files are then not split)")
+    p.add_argument("--split-lines", action="store_true",
+                   help="CSV fields may hold line breaks, and files are split; "
+                        "reads the text once more to count quotes")
+    p.add_argument("--by-name", action="store_true",
+                   help="take CSV columns by the names in each file's header")
     p.add_argument("--malformed", choices=["fail", "null", "reject"], default="fail",
                    help="broken CSV rows: stop (default), null values, or write them "
                         "to rejected/ and go on")
@@ -102,7 +107,8 @@ def job_options(args: argparse.Namespace) -> dict:
         "how": args.how,
         "join_on_month": not args.one_users_table,
         "snapshot_months": snapshot,
-        "multiline": args.multi_line,
+        "multiline": "split" if args.split_lines else args.multi_line,
+        "by_name": args.by_name,
         "malformed": args.malformed,
         "stage_inputs": not args.no_staging,
         "pre_aggregate": False if args.join_first else None,

@@ -81,6 +81,28 @@ def q_csv_roundtrip(spark, d):
     return back.select(*POSTS_SCHEMA.fieldNames(), *SOURCE_KEYS)
 
 
+def q_csv_split_lines(spark, d):
+    """The same files, titles with line breaks included, read by many tasks."""
+    root = new_scratch_dir(spark, "csv-split-lines")
+    write_month_csv(_posts(spark, d), root)
+    back = read_month_csv(spark, f"{root}/*/*/*.csv", POSTS_SCHEMA, multiline="split")
+    return back.select(*POSTS_SCHEMA.fieldNames(), *SOURCE_KEYS)
+
+
+def q_csv_by_name(spark, d):
+    """Odd months written with their columns in another order and one more."""
+    posts = _posts(spark, d)
+    root = new_scratch_dir(spark, "csv-by-name")
+    odd = F.col("src_month") % 2 == 1
+    write_month_csv(posts.where(~F.coalesce(odd, F.lit(False))), f"{root}/a")
+    turned = [F.lit("more").alias("more"), *reversed(POSTS_SCHEMA.fieldNames()), *SOURCE_KEYS]
+    write_month_csv(posts.where(odd).select(*turned), f"{root}/b")
+    back = read_month_csv(
+        spark, f"{root}/*/*/*/*.csv", POSTS_SCHEMA, multiline="split", by_name=True
+    )
+    return back.select(*POSTS_SCHEMA.fieldNames(), *SOURCE_KEYS)
+
+
 def q_snapshot_filter(spark, d):
     return filter_snapshot_users(_users(spark, d, snapshot=True), SNAPSHOT)
 
@@ -263,10 +285,10 @@ def write_job_inputs(spark, d, *, line_breaks: bool = False) -> tuple[str, str,
     return root, f"{root}/posts/*/*/*.csv", f"{root}/users/*/*/*.csv"
 
 
-def _run_job(spark, d, line_breaks: bool = False, rerun=None, **options):
+def _run_job(spark, d, line_breaks: bool | str = False, rerun=None, **options):
     """The whole job over the adapters written as CSV month folders, then
     again for the months ``rerun`` names."""
-    root, posts_glob, users_glob = write_job_inputs(spark, d, line_breaks=line_breaks)
+    root, posts_glob, users_glob = write_job_inputs(spark, d, line_breaks=bool(line_breaks))
     out = new_scratch_dir(spark, "job-outputs")
     for months in (None, rerun) if rerun else (None,):
         result = run_monthly_job(
@@ -289,8 +311,10 @@ def q_job_tag_analysis(spark, d):
 
 
 def q_job_summary(spark, d):
-    """Whole job over CSV month folders; summary read back."""
-    return _with_histogram_text(read_summary(spark, _run_job(spark, d).summary))
+    """Whole job over split CSV files with line breaks in titles; summary read back."""
+    return _with_histogram_text(
+        read_summary(spark, _run_job(spark, d, line_breaks="split").summary)
+    )
 
 
 RERUN_MONTHS = ((1995, 3), (1996, 7), (1998, 9))
@@ -350,6 +374,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_scan_posts": q_scan_posts,
     "q_scan_users": q_scan_users,
     "q_csv_roundtrip": q_csv_roundtrip,
+    "q_csv_split_lines": q_csv_split_lines,
+    "q_csv_by_name": q_csv_by_name,
     "q_snapshot_filter": q_snapshot_filter,
     "q_date_parts": q_date_parts,
     "q_tags_per_post": q_tags_per_post,
@@ -581,6 +607,8 @@ ORACLE_SQL: dict[str, str] = {
     "q_scan_posts": _with() + f"SELECT {_POSTS_COLS} FROM posts",
     "q_scan_users": _with() + f"SELECT {_USERS_COLS} FROM users",
     "q_csv_roundtrip": _with() + f"SELECT {_POSTS_COLS} FROM posts",
+    "q_csv_split_lines": _with() + f"SELECT {_POSTS_COLS} FROM posts",
+    "q_csv_by_name": _with() + f"SELECT {_POSTS_COLS} FROM posts",
     "q_snapshot_filter": _with(users_snapshot=True)
     + f"SELECT {_USERS_COLS} FROM users WHERE {_SNAPSHOT_WHERE}",
     "q_date_parts": _with()

@@ -61,8 +61,9 @@ def run_monthly_job(
     how: str = "left",
     join_on_month: bool = True,
     snapshot_months: Iterable[tuple[int, int]] = DEFAULT_SNAPSHOT_MONTHS,
-    multiline: bool = False,
+    multiline: bool | str = False,
     malformed: str = "fail",
+    by_name: bool = False,
     months: Iterable[tuple[int, int]] | None = None,
     stage_inputs: bool = True,
     strict: bool = True,
@@ -82,9 +83,11 @@ def run_monthly_job(
     ``posts_glob``/``users_glob`` override the default
     ``<inputs>/*/*/posts.csv`` layout (e.g. Spark-written part files).
 
-    ``malformed``: ``"fail"`` or ``"null"`` as in ``read_month_csv``, or
-    ``"reject"``: broken rows are left out of the results and written as JSON,
-    with their text and month, under ``<outputs>/rejected``.
+    ``multiline`` and ``by_name`` are those of ``read_month_csv``, as are
+    ``malformed="fail"`` and ``"null"``. ``malformed="reject"``: broken rows are
+    left out of the results and written as JSON, with their text and month,
+    under ``<outputs>/rejected``; the inputs are then staged in any case, and
+    good and broken rows taken from the staged table, so the CSV is parsed once.
     """
     apply_job_conf(spark)
     root = inputs.rstrip("/")
@@ -99,38 +102,41 @@ def run_monthly_job(
             missing = [f for f in missing if _month_of(f) in wanted]
         if missing:
             raise FileNotFoundError("month folders are incomplete: " + ", ".join(missing))
-    frames = []
-    for entry, glob, schema, used in (
-        ("posts.csv", posts_glob, POSTS_SCHEMA, POSTS_USED),
-        ("users.csv", users_glob, USERS_SCHEMA, USERS_USED),
-    ):
-        df = read_month_csv(
-            spark,
-            glob or f"{root}/*/*/{entry}",
-            schema,
-            multiline=multiline,
-            malformed="keep" if malformed == "reject" else malformed,
-            leaf=None if glob else entry,
-        )
-        # users of all months belong to a join on the owner alone
-        if subset is not None and (entry == "posts.csv" or join_on_month):
-            df = _only_months(df, subset)
-        if malformed == "reject":
-            bad = df.where(F.col(CORRUPT).isNotNull()).select(
-                *SOURCE_KEYS,
-                F.col(CORRUPT).alias("line"),
-                # Spark doesn't read the text of broken rows alone
-                F.col(schema.fieldNames()[0]).cast("string").alias("first_field"),
-            )
-            write_rejected(bad, f"{out}/rejected/{entry}", months=subset)
-            df = df.where(F.col(CORRUPT).isNull())
-        frames.append(df.select(*used, *SOURCE_KEYS))
-    staged = []
+    reject = malformed == "reject"
+    frames, staged = [], []
     try:
-        if stage_inputs:
-            for i, label in enumerate(("posts", "users")):
-                frames[i], path = stage_table(spark, frames[i], label)
+        for entry, glob, schema, used in (
+            ("posts.csv", posts_glob, POSTS_SCHEMA, POSTS_USED),
+            ("users.csv", users_glob, USERS_SCHEMA, USERS_USED),
+        ):
+            df = read_month_csv(
+                spark,
+                glob or f"{root}/*/*/{entry}",
+                schema,
+                multiline=multiline,
+                malformed="keep" if reject else malformed,
+                by_name=by_name,
+                leaf=None if glob else entry,
+            )
+            # users of all months belong to a join on the owner alone
+            if subset is not None and (entry == "posts.csv" or join_on_month):
+                df = _only_months(df, subset)
+            broken = F.col(CORRUPT).isNotNull()
+            kept = []
+            if reject:
+                first = F.col(schema.fieldNames()[0]).cast("string")
+                kept = [CORRUPT, F.when(broken, first).alias("first_field")]
+            df = df.select(*used, *kept, *SOURCE_KEYS)
+            if stage_inputs or reject:
+                df, path = stage_table(spark, df, entry.removesuffix(".csv"))
                 staged.append(path)
+            if reject:
+                bad = df.where(broken).select(
+                    *SOURCE_KEYS, F.col(CORRUPT).alias("line"), "first_field"
+                )
+                write_rejected(bad, f"{out}/rejected/{entry}", months=subset)
+                df = df.where(~broken)
+            frames.append(df.select(*used, *SOURCE_KEYS))
         return run_on_frames(
             *frames,
             out,

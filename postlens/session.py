@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the results or the plan shape depend on.
 JOB_CONF = {
@@ -142,3 +142,20 @@ def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match ``pattern``; bounded by the number of month folders."""
     fs, target = _file_system(spark, pattern)
     return [str(s.getPath()) for s in fs.globStatus(target) or []]
+
+
+def read_head(spark: SparkSession, path: str, n: int = 65536) -> bytes:
+    """The first ``n`` bytes of a file."""
+    fs, target = _file_system(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readNBytes(n))
+    finally:
+        stream.close()
+
+
+def input_files(spark: SparkSession, df: DataFrame) -> list[str]:
+    """Paths of the files a DataFrame reads; Spark names them as encoded URIs."""
+    jvm = spark.sparkContext._jvm
+    path, uri = jvm.org.apache.hadoop.fs.Path, jvm.java.net.URI
+    return sorted(path(uri(f)).toString() for f in df.inputFiles())
