@@ -26,7 +26,8 @@ never is in one task.
 
 Nulls and edge cases: null language or source is the node ``''``; a null or
 empty text has no tokens and is not taken; a null doc_id is ordered as the
-text ``null``; repeated rows are each a document; other columns are ignored;
+text ``null``; very long texts are cut by one pass over their tokens, and only
+where the budget ends in them; repeated rows are each a document; other columns are ignored;
 a node without tokens gets nothing; an empty table gives an empty result.
 """
 
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from postlens.llm.common import binary_values, checkpointed, read_table
+from postlens.llm.common import Tables, binary_values, checkpointed, read_table
 
 TREE = ("domain", "lang", "source")
 LEAF_KEYS = list(TREE)
@@ -91,8 +92,17 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def token_counts(docs: DataFrame, domain: Column | None = None) -> DataFrame:
-    """(doc_id, domain, lang, source, n_tokens): one narrow row per document."""
+def _count_beside_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        (counts,) = _count_words(iter([batch]))
+        yield counts.append_column("text", batch.column("text"))
+
+
+def token_counts(
+    docs: DataFrame, domain: Column | None = None, with_text: bool = False
+) -> DataFrame:
+    """(doc_id, domain, lang, source, n_tokens): one narrow row per document,
+    with its text behind if asked for."""
     narrow = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (default_domain() if domain is None else domain).alias("domain"),
@@ -100,9 +110,10 @@ def token_counts(docs: DataFrame, domain: Column | None = None) -> DataFrame:
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
         F.col("text").cast("string").alias("text"),
     )
-    return narrow.mapInArrow(
-        _count_words, "doc_id long, domain string, lang string, source string, n_tokens long"
-    )
+    schema = "doc_id long, domain string, lang string, source string, n_tokens long"
+    if with_text:
+        return narrow.mapInArrow(_count_beside_text, f"{schema}, text string")
+    return narrow.mapInArrow(_count_words, schema)
 
 
 def _share(nodes: DataFrame, parent: list[str], name: str, budget: str) -> DataFrame:
@@ -163,7 +174,8 @@ def budgets(counts: DataFrame, mix: Mix) -> DataFrame:
 
 
 def select_prefixes(counts: DataFrame, leaves: DataFrame, mix: Mix) -> DataFrame:
-    """Per document: whole epochs and tokens of the last, begun epoch."""
+    """Per document: whole epochs and tokens of the last, begun epoch. A column
+    ``text`` of ``counts`` stays with its row."""
     spark = counts.sparkSession
     leaves = checkpointed(spark, leaves)
     small = leaves.count() <= BROADCAST_LEAVES
@@ -208,25 +220,50 @@ def select_prefixes(counts: DataFrame, leaves: DataFrame, mix: Mix) -> DataFrame
         "at", F.col("before") + F.coalesce(F.sum("n_tokens").over(order), F.lit(0))
     ).withColumn("last_tokens", F.expr("greatest(0, least(n_tokens, rest - at))"))
     cols = ["doc_id", *LEAF_KEYS, "n_tokens", "epochs", "last_tokens"]
+    cols = cols[:-1] + [c for c in ("text",) if c in counts.columns]
     both = outside.select(
-        *cols[:-1], F.coalesce("last_tokens", F.lit(0)).cast("long").alias("last_tokens")
-    ).unionByName(inside.select(*cols[:-1], F.col("last_tokens").cast("long")))
+        *cols, F.coalesce("last_tokens", F.lit(0)).cast("long").alias("last_tokens")
+    ).unionByName(inside.select(*cols, F.col("last_tokens").cast("long")))
     return both.where("n_tokens > 0").withColumn(
         "taken_tokens", F.col("epochs") * F.col("n_tokens") + F.col("last_tokens")
     )
 
 
+def _prefix(text: str, n: str) -> str:
+    """SQL of the first ``n`` tokens of ``text``, with the space between them."""
+    tokens = f"regexp_extract_all({text}, '[\\\\x20\\\\x09-\\\\x0D]*[^\\\\x20\\\\x09-\\\\x0D]+', 0)"
+    return f"array_join(slice({tokens}, 1, cast({n} AS int)), '')"
+
+
 def mix_documents(
-    spark: SparkSession, docs: DataFrame, mix: Mix = PRODUCTION, domain: Column | None = None
+    spark: SparkSession,
+    docs: DataFrame,
+    mix: Mix = PRODUCTION,
+    domain: Column | None = None,
+    with_text: bool = True,
 ) -> DataFrame:
     """Documents that are taken, with whole epochs, tokens of the last epoch
-    and all tokens taken."""
-    counts = checkpointed(spark, token_counts(docs, domain))
-    return select_prefixes(counts, budgets(counts, mix), mix).where("taken_tokens > 0")
+    and all tokens taken; ``with_text`` adds what is taken: ``text``, to be
+    read ``epochs`` times (null if none), and ``last_text``, the first
+    ``last_tokens`` tokens with the space between them (empty if none)."""
+    counts = token_counts(docs, domain, with_text)
+    if not with_text:
+        counts = checkpointed(spark, counts)
+        return select_prefixes(counts, budgets(counts, mix), mix).where("taken_tokens > 0")
+    # a table: the passes that need no text don't read it
+    counts = Tables(spark, "mixing").store(counts)
+    taken = select_prefixes(counts, budgets(counts, mix), mix).where("taken_tokens > 0")
+    last = f"""CASE WHEN last_tokens = 0 THEN '' WHEN last_tokens = n_tokens THEN text
+      ELSE {_prefix('text', 'last_tokens')} END"""
+    return taken.select(
+        *[c for c in taken.columns if c != "text"],
+        F.expr("CASE WHEN epochs > 0 THEN text END").alias("text"),
+        F.expr(last).alias("last_text"),
+    )
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_documents(spark, read_table(spark, sf_dir, "documents"))
+    return mix_documents(spark, read_table(spark, sf_dir, "documents"), with_text=False)
 
 
 def _case(name: str, table: Mapping[str, int], default: int) -> str:

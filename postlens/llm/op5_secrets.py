@@ -18,7 +18,8 @@ pieces and matches before it. A text without a match of a kind costs one
 pattern pass, and nothing leaves its row: there is no exchange.
 
 Nulls and edge cases: a null text is empty and has no spans; a null doc_id is
-kept; rows are scanned one by one, so repeated rows give equal rows; spans
+kept; very long texts are scanned whole, in time that grows with their length
+and number of matches; rows are scanned one by one, so repeated rows give equal rows; spans
 are in code points, end exclusive; equal starts are ordered by kind; other
 columns are ignored; an empty table gives an empty result.
 """
@@ -48,6 +49,9 @@ ASSIGN_LEAST = 6
 ACCESS = "AKIA[A-Z0-9]{16,}"
 HEX = "[0-9a-f]{24,}"
 
+# Elements of an array that is built step by step before it is put aside.
+BLOCK = 128
+
 WINDOW = 20
 CANDIDATE = "[A-Za-z0-9+/_=-]{%d,}" % WINDOW
 NEEDS = {
@@ -100,20 +104,47 @@ def _matches(text: str, pattern: str, kind: int, name: str) -> Column:
         f"named_struct('start', s.at + length(x.`1`), 'kind', {kind}, "
         f"'end', s.at + length(x.`1`) + length(x.`0`), 'name', '{name}', 'value', x.`0`)"
     )
+    found_all = _running(
+        f"arrays_zip({found}, {gaps})",
+        none,
+        "s.at + length(x.`1`) + length(x.`0`)",
+        f"array({span})",
+    )
     return F.expr(
-        f"""CASE WHEN NOT ({needs}) OR size({found}) = 0 THEN {none} ELSE
-          aggregate(arrays_zip({found}, {gaps}), named_struct('at', 0, 'out', {none}),
-            (s, x) -> named_struct('at', s.at + length(x.`1`) + length(x.`0`),
-                                   'out', concat(s.out, array({span}))),
-            s -> s.out)
-        END"""
+        f"CASE WHEN NOT ({needs}) OR size({found}) = 0 THEN {none} ELSE {found_all} END"
     )
 
 
+def _running(items: str, none: str, at: str, piece: str) -> str:
+    """The pieces (arrays) that a pass over ``items`` yields, joined; ``at`` is
+    the pass's running number, 0 at first. Both are written in terms of ``s.at``
+    and the item ``x``.
+
+    An array grows by copying, so items are taken in blocks of ``BLOCK``: an
+    element is copied at most ``BLOCK`` times in its block, and the blocks'
+    arrays once per block behind them.
+    """
+    block = _let(
+        f"aggregate(k, named_struct('at', t.at, 'out', {none}), (s, x) -> "
+        f"named_struct('at', {at}, 'out', concat(s.out, {piece})))",
+        "r",
+        "named_struct('at', r.at, 'out', concat(t.out, array(r.out)))",
+    )
+    blocks = (
+        f"transform(sequence(0, (size(z) - 1) div {BLOCK}), "
+        f"b -> slice(z, cast(b * {BLOCK} + 1 AS int), {BLOCK}))"
+    )
+    # zero: an array of no arrays
+    zero = f"named_struct('at', 0, 'out', slice(array({none}), 1, 0))"
+    run = f"aggregate({blocks}, {zero}, (t, k) -> {block}, t -> flatten(t.out))"
+    return _let(items, "z", f"IF(size(z) = 0, {none}, {run})")
+
+
 def _dense_windows() -> str:
     """(a, b): first and last window of enough entropy in ``x.value``, -1 if
     none; windows are counted from 0. State: ``c`` counts by symbol, ``s`` the
-    sum of their terms."""
+    sum of their terms. ``v`` holds the string's symbols by number, so a step
+    costs the same wherever it is."""
     terms = "array(" + ", ".join(f"{t}L" for t in TERMS) + ")"
     first = f"substr(x.value, 1, {WINDOW})"
     counts = (
@@ -138,16 +169,13 @@ def _dense_windows() -> str:
         's', s,
         'a', IF(s <= x.limit AND p.a < 0, i, p.a),
         'b', IF(s <= x.limit, i, p.b))"""
-    step = _let(
-        "instr(x.symbols, substr(x.value, i, 1))",
-        "o",
-        _let(f"instr(x.symbols, substr(x.value, i + {WINDOW}, 1))", "n", _let(moved, "s", state)),
-    )
+    step = _let("v[i - 1]", "o", _let(f"v[i - 1 + {WINDOW}]", "n", _let(moved, "s", state)))
     steps = (
         f"IF(length(x.value) > {WINDOW}, sequence(1, length(x.value) - {WINDOW}), "
         "cast(array() AS array<int>))"
     )
-    return f"aggregate({steps}, {begin}, (p, i) -> {step}, p -> named_struct('a', p.a, 'b', p.b))"
+    windows = f"aggregate({steps}, {begin}, (p, i) -> {step}, p -> named_struct('a', p.a, 'b', p.b))"
+    return _let("transform(split(x.value, ''), q -> instr(x.symbols, q))", "v", windows)
 
 
 def with_spans(rows: DataFrame, text: str, base: str, spans: str) -> DataFrame:
@@ -179,20 +207,24 @@ def with_spans(rows: DataFrame, text: str, base: str, spans: str) -> DataFrame:
         ).alias(strings),
     )
     none = f"cast(array() AS array<{_SPAN}>>)"
-    inside = f"exists({base}, y -> y.start <= x.start AND x.end <= y.end)"
+    dense = f"""coalesce(transform(
+        filter(
+          transform({strings}, x -> named_struct('start', x.start, 'w', {_dense_windows()})),
+          x -> x.w.a >= 0),
+        x -> named_struct('start', x.start + x.w.a, 'kind', 3,
+          'end', x.start + x.w.b + {WINDOW}, 'name', 'entropy')), {none})"""
+    # in order of starts, patterned ones first: a span is inside a patterned one
+    # if the furthest end of those so far is not before its own
+    outer = _running(
+        f"array_sort(concat({base}, {dense}))",
+        none,
+        "IF(x.kind < 3, greatest(s.at, x.end), s.at)",
+        f"IF(x.kind = 3 AND x.end <= s.at, {none}, array(x))",
+    )
     return found.select(
         *rows.columns,
         base,
-        F.expr(
-            f"""IF(size({strings}) = 0, {base}, array_sort(concat({base}, filter(
-              coalesce(transform(
-                filter(
-                  transform({strings}, x -> named_struct('start', x.start, 'w', {_dense_windows()})),
-                  x -> x.w.a >= 0),
-                x -> named_struct('start', x.start + x.w.a, 'kind', 3,
-                  'end', x.start + x.w.b + {WINDOW}, 'name', 'entropy')), {none}),
-              x -> NOT {inside}))))"""
-        ).alias(spans),
+        F.expr(f"IF(size({strings}) = 0, {base}, {outer})").alias(spans),
     )
 
 
