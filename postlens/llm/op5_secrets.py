@@ -70,6 +70,8 @@ HEX_SYMBOLS = "0123456789abcdefABCDEF"
 KEY_SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 HEX_BITS, KEY_BITS = 3.0, 3.8
 
+# Character of a count of 0.
+ZERO = 48
 TERMS = [round(c * math.log2(c) * 1_000_000) if c else 0 for c in range(WINDOW + 1)]
 
 
@@ -142,8 +144,8 @@ def _running(items: str, none: str, at: str, piece: str) -> str:
 
 def _dense_windows() -> str:
     """(a, b): first and last window of enough entropy in ``x.value``, -1 if
-    none; windows are counted from 0. State: ``c`` counts by symbol, ``s`` the
-    sum of their terms. ``v`` holds the string's symbols by number, so a step
+    none; windows are counted from 0. State: ``c`` counts by symbol, one
+    character each, ``s`` the sum of their terms. ``v`` holds the string's symbols by number, so a step
     costs the same wherever it is."""
     terms = "array(" + ", ".join(f"{t}L" for t in TERMS) + ")"
     first = f"substr(x.value, 1, {WINDOW})"
@@ -157,19 +159,20 @@ def _dense_windows() -> str:
         _let(
             f"aggregate(c, 0L, (t, n) -> t + {terms}[n])",
             "s",
-            "named_struct('c', c, 's', s, 'a', IF(s <= x.limit, 0, -1), 'b', IF(s <= x.limit, 0, -1))",
+            f"named_struct('c', array_join(transform(c, n -> chr({ZERO} + n)), ''), 's', s, "
+            "'a', IF(s <= x.limit, 0, -1), 'b', IF(s <= x.limit, 0, -1))",
         ),
     )
-    moved = (
-        f"IF(o = n, p.s, p.s - {terms}[p.c[o - 1]] + {terms}[p.c[o - 1] - 1] "
-        f"- {terms}[p.c[n - 1]] + {terms}[p.c[n - 1] + 1])"
-    )
-    state = """named_struct(
-        'c', IF(o = n, p.c, transform(p.c, (v, j) -> v + IF(j + 1 = n, 1, 0) - IF(j + 1 = o, 1, 0))),
-        's', s,
-        'a', IF(s <= x.limit AND p.a < 0, i, p.a),
-        'b', IF(s <= x.limit, i, p.b))"""
-    step = _let("v[i - 1]", "o", _let(f"v[i - 1 + {WINDOW}]", "n", _let(moved, "s", state)))
+    count = f"ascii(substr(p.c, {{}}, 1)) - {ZERO}"
+    moved = f"p.s - {terms}[co] + {terms}[co - 1] - {terms}[cn] + {terms}[cn + 1]"
+    moved = _let(count.format("o"), "co", _let(count.format("n"), "cn", f"""named_struct(
+        'c', overlay(overlay(p.c, chr({ZERO} + co - 1), o, 1), chr({ZERO} + cn + 1), n, 1),
+        's', {moved})"""))
+    moved = f"IF(o = n, named_struct('c', p.c, 's', p.s), {moved})"
+    state = """named_struct('c', m.c, 's', m.s,
+        'a', IF(m.s <= x.limit AND p.a < 0, i, p.a),
+        'b', IF(m.s <= x.limit, i, p.b))"""
+    step = _let("v[i - 1]", "o", _let(f"v[i - 1 + {WINDOW}]", "n", _let(moved, "m", state)))
     steps = (
         f"IF(length(x.value) > {WINDOW}, sequence(1, length(x.value) - {WINDOW}), "
         "cast(array() AS array<int>))"
