@@ -46,7 +46,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of the mix with their epochs and tokens taken."""
+    """Documents of the mix with their epochs, tokens and texts taken."""
     return mix_documents(spark, docs)
 
 
