@@ -32,8 +32,10 @@ with probability J_P.
    all its pairs. If not, they share no rare shingle at all, and the common
    ones alone reach the threshold. Then each is also like the document with
    the same common shingles and the fewest (or least weight of) rare ones: all
-   members are compared with that head and with the other heads of their keys,
-   unless both are of one class.
+   members are compared with that head and with those other heads of their keys,
+   of other classes, that their numbers of common and rare shingles and bit masks
+   of the common ones let them reach; these meet by size. Likewise two documents with a rare shingle in
+   common are compared only if what lies behind it in both is enough.
 5. Classes are connected components of the links, by least-label steps with
    pointer jumping; state is kept in the shared checkpoint folder.
 
@@ -58,7 +60,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,6 +89,10 @@ class Params:
 
 PRODUCTION = Params()
 BLOCK_BYTES = 2 << 20
+# Steps of size by which documents meet heads.
+SIZE_STEP = 1.05
+# 64-bit words that mark a document's common shingles.
+MASKS = 16
 
 
 def shingles(hashes: np.ndarray, counts: np.ndarray, k: int):
@@ -288,16 +294,58 @@ def candidates(nodes: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
     return pairs.groupBy("a", "b").agg(F.count("*").alias("n")), large.select("key", "node")
 
 
-def _in_group(left: DataFrame, right: DataFrame, condition: str) -> DataFrame:
+def _in_group(left: DataFrame, right: DataFrame, condition: str, on: tuple[str, ...] = ("key",)) -> DataFrame:
     """(a, b), a > b, of the pairs of two tables (key, node, ...) that share a
     key; ``condition`` knows the right table's columns as b, b_class, ..."""
-    names = {c: "b" if c == "node" else f"b_{c}" for c in right.columns if c != "key"}
-    other = right.select("key", *[F.col(c).alias(n) for c, n in names.items()])
-    return left.join(other, "key").where(condition).select(
+    names = {c: "b" if c == "node" else f"b_{c}" for c in right.columns if c not in on}
+    other = right.select(*on, *[F.col(c).alias(n) for c, n in names.items()])
+    return left.join(other, list(on)).where(condition).select(
         F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")
     )
 
 
+def _step_of(size: Column) -> Column:
+    """Sizes in geometric steps."""
+    return F.floor(F.log(size) / float(np.log(SIZE_STEP))).cast("int")
+
+
+def _with_heads(members: DataFrame, heads: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): members and heads of one key, of unlike classes and common
+    shingles, that can reach ``threshold`` without a rare shingle in common.
+
+    With c common and r rare shingles, two documents share at most the lesser c
+    of at least r + r' + the greater c. So the head's size lies between
+    ``threshold`` times the member's and c / threshold - r, and texts without
+    repeats, whose J_P is the plain similarity, meet by steps of size. Every bit
+    in which their masks of common shingles differ is a shingle of one only. Of
+    others J_P is at most C / (1 + R' C / C'), for shares C and R of the weight.
+    """
+    unlike = "class <> b_class and (g1 <> b_g1 or g2 <> b_g2)"
+    differ = " + ".join(f"bit_count(m{i} ^ b_m{i})" for i in range(MASKS))
+    most = (1 - threshold) / (1 + threshold)
+    plain = (
+        f"(least(c, b_c) >= {threshold!r} * (r + b_r + greatest(c, b_c))"
+        f" and r + b_r + {differ} <= {most!r} * (size + b_size))"
+    )
+    by_weight = (
+        f"c_share * b_c_share >= {threshold!r} * (b_c_share + (1 - b_c_share) * c_share)"
+        f" and c_share * b_c_share >= {threshold!r} * (c_share + (1 - c_share) * b_c_share)"
+    )
+    # a pair is taken at the least key that both have
+    once = "key = array_min(array_intersect(keys, b_keys))"
+    low, high = threshold * F.col("size"), F.col("c") / threshold - F.col("r")
+    steps = F.sequence(_step_of(low), _step_of(F.greatest(low, high)))
+    pairs = _in_group(
+        members.where("flat").withColumn("step", F.explode(steps)),
+        heads.where("flat").withColumn("step", _step_of(F.col("size"))),
+        f"{unlike} and {plain} and {once}",
+        ("key", "step"),
+    )
+    either = f"{unlike} and ({plain} or ({by_weight})) and {once}"
+    pairs = pairs.unionByName(_in_group(members.where("not flat"), heads, either))
+    return pairs.unionByName(_in_group(members.where("flat"), heads.where("not flat"), either))
+
+
 def _shingle_rows(params: Params):
     """Task function: (node, class, text) to (node, class, h, n): distinct
     shingles and how often they occur."""
@@ -351,11 +399,20 @@ def open_pairs(rows: DataFrame, texts: DataFrame, params: Params) -> DataFrame:
         | F.col("df").isNull()
     )
     marked = checkpointed(spark, marked.where("df is null or df > 1").select(
-        F.col("h").alias("key"), "node", "class", "n", "df", "all", "all_n"
+        F.col("h").alias("key"), "node", "class", "n", "df", "all", "all_n", "before"
     ))
-    prefix = marked.where("df is not null").select("key", "node", "class")
-    pairs = _in_group(prefix, prefix, "node > b and class <> b_class")
+    prefix = marked.where("df is not null").select(
+        "key", "node", "class", F.col("all").alias("size"), (F.col("all") - F.col("before")).alias("left"),
+        (F.col("all") == F.col("all_n")).alias("flat"),
+    )
+    # what lies behind the first shingle that both have bounds what they share
+    share = at_least / (1 + at_least)
+    reach = f"(not flat or not b_flat or least(left, b_left) >= {share!r} * (size + b_size))"
+    pairs = _in_group(prefix, prefix, f"node > b and class <> b_class and {reach}")
     # no rare shingle in common: the common ones alone reach the threshold
+    masks = [f"m{i}" for i in range(MASKS)]
+    mask = F.pmod(F.shiftright("key", 6), F.lit(MASKS))
+    bit = F.expr("shiftleft(1L, cast(key & 63 as int))")
     common = (
         marked.where("df is null")
         .groupBy("node", "class", "all", "all_n")
@@ -364,9 +421,14 @@ def open_pairs(rows: DataFrame, texts: DataFrame, params: Params) -> DataFrame:
             F.sum("n").alias("c_n"),
             F.bit_xor(F.xxhash64("key", "n")).alias("g1"),
             F.bit_xor(F.xxhash64("n", "key")).alias("g2"),
+            *[F.bit_or(F.when(mask == i, bit).otherwise(0)).alias(m) for i, m in enumerate(masks)],
         )
         .where((F.col("c") >= at_least * F.col("all")) | (F.col("c_n") >= at_least * F.col("all_n")))
-        .select("node", "class", "g1", "g2", (F.col("all") - F.col("c")).alias("r"), (F.col("all_n") - F.col("c_n")).alias("r_n"))
+        .select(
+            "node", "class", "g1", "g2", "c", (F.col("all") - F.col("c")).alias("r"),
+            (F.col("all_n") - F.col("c_n")).alias("r_n"), (F.col("c_n") / F.col("all_n")).alias("c_share"),
+            F.col("all").alias("size"), (F.col("all") == F.col("all_n")).alias("flat"), *masks,
+        )
     )
     common = checkpointed(spark, common)
     heads = common.groupBy("g1", "g2").agg(
@@ -382,13 +444,15 @@ def open_pairs(rows: DataFrame, texts: DataFrame, params: Params) -> DataFrame:
         )
     head = heads.select(F.explode(F.array("by_set.node", "by_count.node")).alias("node")).distinct()
     top = rows.groupBy("key", "class").count().groupBy("key").agg(F.max_by("class", "count").alias("top"))
-    grouped = rows.join(top, "key").join(common.select("node", "g1", "g2"), "node")
+    of = common.select("node", "g1", "g2", "c", "r", "c_share", "size", "flat", *masks)
+    # as many keys as a document has at most
+    keys = rows.groupBy("node").agg(F.collect_set("key").alias("keys"))
+    grouped = rows.join(top, "key").join(of, "node").join(keys, "node")
     grouped = checkpointed(spark, grouped.join(head.withColumn("head", F.lit(True)), "node", "left"))
-    minor, leads = grouped.where("class <> top"), grouped.where("head")
     # of two classes one at least is not the largest of its group
-    unlike = "class <> b_class and (g1 <> b_g1 or g2 <> b_g2)"
-    pairs = pairs.unionByName(_in_group(minor, leads, unlike))
-    pairs = pairs.unionByName(_in_group(grouped, leads.where("class <> top"), unlike))
+    pairs = pairs.unionByName(_with_heads(grouped.where("class <> top"), grouped.where("head"), at_least))
+    largest = grouped.where("class = top")
+    pairs = pairs.unionByName(_with_heads(largest, grouped.where("head and class <> top"), at_least))
     return pairs.distinct()
 
 
