@@ -39,9 +39,10 @@ with probability J_P.
 5. Classes are connected components of the links, by least-label steps with
    pointer jumping; state is kept in the shared checkpoint folder.
 
-Nothing of this is collected: the driver sees only whether tables are empty. Texts
-are found by joins with the candidates, broadcast only if Spark measures them
-as small.
+Nothing of this is collected: the driver sees only whether tables are empty. The
+first pass writes the rows with their numbers, digests and keys as a table; texts
+are found there by row number, so copies of a text meet nowhere, and the numbers
+are broadcast only if Spark measures them as small.
 
 Nulls and edge cases: a null text counts as empty, and all texts without
 words are one class, led by the null id if one of them has it; any other class
@@ -67,6 +68,7 @@ from pyspark.sql import types as T
 from postlens.llm.common import (
     U64,
     HashedWords,
+    Tables,
     binary_values,
     checkpointed,
     mix,
@@ -89,6 +91,8 @@ class Params:
 
 PRODUCTION = Params()
 BLOCK_BYTES = 2 << 20
+# Pairs whose texts a task takes out of a batch at once.
+PAIRS_AT_ONCE = 128
 # Steps of size by which documents meet heads.
 SIZE_STEP = 1.05
 # 64-bit words that mark a document's common shingles.
@@ -169,16 +173,16 @@ def digest_of(words: list[bytes]) -> tuple[int, int]:
     return (digest >> 64) - (1 << 63), (digest & (2**64 - 1)) - (1 << 63)
 
 
-def _sketch_rows(params: Params):
-    """Task function: (k, text) to (k, d1, d2, keys); ``keys`` is null for
-    texts without words and for repeats of a digest within the batch."""
+def _sketch_rows(params: Params, text: str):
+    """Task function: rows with d1, d2 and keys of their ``text`` behind; ``keys``
+    is null for texts without words and for repeats of a digest in the batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = HashedWords()
         for batch in batches:
             met: set[int] = set()
-            for rows in text_slices(batch, "text", BLOCK_BYTES):
-                words, counts = split_docs(t.lower() for t in binary_values(rows.column("text")))
+            for rows in text_slices(batch, text, BLOCK_BYTES):
+                words, counts = split_docs(t.lower() for t in binary_values(rows.column(text)))
                 ends = np.cumsum(counts)
                 d1, d2, fresh = [], [], []
                 for a, z in zip((ends - counts).tolist(), ends.tolist()):
@@ -208,12 +212,12 @@ def _sketch_rows(params: Params):
                             keys[i] = np.union1d(keys[i], row)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        rows.column("k"),
+                        *rows.columns,
                         pa.array(d1, pa.int64()),
                         pa.array(d2, pa.int64()),
                         pa.array(keys, pa.list_(pa.int64())),
                     ],
-                    names=["k", "d1", "d2", "keys"],
+                    names=[*rows.schema.names, "d1", "d2", "keys"],
                 )
 
     return run
@@ -250,11 +254,13 @@ def _verify(params: Params):
         for batch in batches:
             linked = []
             last, sa = None, None
-            for ta, tb in zip(binary_values(batch.column("text_a")), binary_values(batch.column("text_b"))):
-                # neighbours often share a hub
-                if sa is None or tb != last:
-                    last, sa = tb, _one(table, tb, params.words)
-                linked.append(max(similarity(_one(table, ta, params.words), sa)) >= params.threshold)
+            for at in range(0, batch.num_rows, PAIRS_AT_ONCE):
+                rows = batch.slice(at, PAIRS_AT_ONCE)
+                for ta, tb in zip(binary_values(rows.column("text_a")), binary_values(rows.column("text_b"))):
+                    # neighbours often share a hub
+                    if sa is None or tb != last:
+                        last, sa = tb, _one(table, tb, params.words)
+                    linked.append(max(similarity(_one(table, ta, params.words), sa)) >= params.threshold)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())],
                 names=["a", "b", "linked"],
@@ -487,28 +493,9 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
             return labels
 
 
-def _digested(column: str, schema: T.StructType):
-    """Task function: rows with the digest of their ``column`` in front."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [digest_of(t.lower().split()) for t in binary_values(batch.column(column))]
-            d1, d2 = zip(*found) if found else ((), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), *batch.columns],
-                names=["__d1", "__d2", *schema.names],
-            )
-
-    front = T.StructType([T.StructField("__d1", T.LongType()), T.StructField("__d2", T.LongType())])
-    return run, T.StructType(front.fields + schema.fields)
-
-
-def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, text), one row for each of ``nodes`` (node, d1, d2)."""
-    texts = docs.select("text")
-    texts = texts.mapInArrow(*_digested("text", texts.schema))
-    same = (F.col("__d1") == F.col("d1")) & (F.col("__d2") == F.col("d2"))
-    return texts.join(nodes, same).select("node", "text").dropDuplicates(["node"])
+def _texts_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) for each of ``nodes`` (node); a node is a row's number."""
+    return rows.select(F.col("row").alias("node"), "text").join(nodes, "node")
 
 
 def _open_rows(large: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -524,15 +511,23 @@ def _open_rows(large: DataFrame, labels: DataFrame | None) -> DataFrame:
     return checkpointed(large.sparkSession, rows)
 
 
-def _judged(spark: SparkSession, docs: DataFrame, params: Params) -> DataFrame:
-    """Per row: k (its doc_id), d1 and d2 (its digest), class_id and stays."""
-    keyed = docs.select(
-        F.col("doc_id").cast("long").alias("k"),
-        F.col("text").cast("string").alias("text"),
-    )
-    sketched = keyed.mapInArrow(_sketch_rows(params), "k long, d1 long, d2 long, keys array<long>")
+def _judged(tables: Tables, docs: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
+    """The rows as a table with their number, ``row``, their columns renamed
+    c0, c1, ...; and per row: row, k (its doc_id), d1 and d2 (its digest),
+    class_id and stays. ``docs`` has text as a string."""
+    spark = tables.spark
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    text, doc_id = (f"c{docs.columns.index(c)}" for c in ("text", "doc_id"))
+    renamed = docs.toDF(*names)
+    fields = [T.StructField(n, f.dataType) for n, f in zip(names, docs.schema.fields)]
+    added = [T.StructField(n, T.LongType()) for n in ("d1", "d2")]
+    added.append(T.StructField("keys", T.ArrayType(T.LongType())))
+    known = renamed.mapInArrow(_sketch_rows(params, text), T.StructType(fields + added))
     # the row numbers are stored with the rows, so they stay the same
-    sketched = checkpointed(spark, sketched.withColumn("row", F.monotonically_increasing_id()))
+    table = tables.store(known.withColumn("row", F.monotonically_increasing_id()))
+    sketched = table.select(
+        "row", F.col(doc_id).cast("long").alias("k"), F.col(text).alias("text"), "d1", "d2", "keys"
+    )
     firsts = sketched.groupBy("d1", "d2").agg(
         F.min("row").alias("node"),
         F.min("k").alias("least"),
@@ -555,8 +550,8 @@ def _judged(spark: SparkSession, docs: DataFrame, params: Params) -> DataFrame:
             rows = _open_rows(large, labels)
             if rows.isEmpty():
                 break
-            members = firsts.join(rows.select("node").distinct(), "node", "left_semi")
-            pairs = checkpointed(spark, open_pairs(rows, _texts_of(keyed, members), params))
+            members = tables.store(rows.select("node").distinct())
+            pairs = checkpointed(spark, open_pairs(rows, _texts_of(sketched, members), params))
         if pairs.isEmpty():
             continue
         chosen = pairs.select("a", "b")
@@ -568,7 +563,7 @@ def _judged(spark: SparkSession, docs: DataFrame, params: Params) -> DataFrame:
         ids = chosen.select(F.col("a").alias("node")).unionByName(
             chosen.select(F.col("b").alias("node"))
         ).distinct()
-        texts = _texts_of(keyed, firsts.join(ids, "node", "left_semi").select("node", "d1", "d2"))
+        texts = _texts_of(sketched, tables.store(ids))
         first = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
         second = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
         judged = chosen.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
@@ -607,31 +602,28 @@ def _judged(spark: SparkSession, docs: DataFrame, params: Params) -> DataFrame:
         F.col("best.least").alias("class_id"),
         (F.col("node") == F.col("best.node")).alias("leads"),
     )
-    return sketched.select("k", "d1", "d2").join(led, ["d1", "d2"]).select(
-        "k", "d1", "d2", "class_id", (F.col("leads") & F.col("k").eqNullSafe(F.col("class_id"))).alias("stays")
-    )
+    judged = sketched.select("row", "k", "d1", "d2").join(led, ["d1", "d2"])
+    stays = F.col("leads") & F.col("k").eqNullSafe(F.col("class_id"))
+    return table, judged.select("row", "k", "d1", "d2", "class_id", stays.alias("stays"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, params: Params = PRODUCTION) -> DataFrame:
     """Per row: doc_id, class_id (the class's least doc_id) and whether the
     row's document is the one of its class that stays."""
-    return _judged(spark, docs, params).select(F.col("k").alias("doc_id"), "class_id", "stays")
+    narrow = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+    )
+    _, judged = _judged(Tables(spark, "op4"), narrow, params)
+    return judged.select(F.col("k").alias("doc_id"), "class_id", "stays")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, params: Params = PRODUCTION) -> DataFrame:
     """The rows of ``docs`` without near duplicates: one per class."""
-    stays = _judged(spark, docs, params).where("stays").select(
-        F.col("d1").alias("__kept_d1"), F.col("d2").alias("__kept_d2"), F.col("k").alias("__kept_doc_id")
-    ).distinct()
-    known = docs.mapInArrow(*_digested("text", docs.schema))
-    same = (
-        (F.col("__d1") == F.col("__kept_d1"))
-        & (F.col("__d2") == F.col("__kept_d2"))
-        & known["doc_id"].cast("long").eqNullSafe(F.col("__kept_doc_id"))
-    )
+    table, judged = _judged(Tables(spark, "op4"), docs, params)
     # a class's row that stays has a digest of its own
-    kept = known.join(stays, same, "left_semi").dropDuplicates(["__d1", "__d2"])
-    return kept.drop("__d1", "__d2")
+    rows = judged.where("stays").groupBy("d1", "d2").agg(F.min("row").alias("row")).select("row")
+    kept = table.join(rows, "row", "left_semi")
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def op4_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
