@@ -56,6 +56,7 @@ gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -90,9 +91,11 @@ class Params:
 
 
 PRODUCTION = Params()
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 # Pairs whose texts a task takes out of a batch at once.
 PAIRS_AT_ONCE = 128
+# Rows in an Arrow batch: texts are long, and a batch is held several times.
+BATCH_ROWS = 1024
 # Steps of size by which documents meet heads.
 SIZE_STEP = 1.05
 # 64-bit words that mark a document's common shingles.
@@ -511,6 +514,18 @@ def _open_rows(large: DataFrame, labels: DataFrame | None) -> DataFrame:
     return checkpointed(large.sparkSession, rows)
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of BATCH_ROWS rows at most for the jobs run inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _judged(tables: Tables, docs: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
     """The rows as a table with their number, ``row``, their columns renamed
     c0, c1, ...; and per row: row, k (its doc_id), d1 and d2 (its digest),
@@ -613,13 +628,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, params: Params = PRODU
     narrow = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
-    _, judged = _judged(Tables(spark, "op4"), narrow, params)
+    with _small_batches(spark):
+        _, judged = _judged(Tables(spark, "op4"), narrow, params)
     return judged.select(F.col("k").alias("doc_id"), "class_id", "stays")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, params: Params = PRODUCTION) -> DataFrame:
     """The rows of ``docs`` without near duplicates: one per class."""
-    table, judged = _judged(Tables(spark, "op4"), docs, params)
+    with _small_batches(spark):
+        table, judged = _judged(Tables(spark, "op4"), docs, params)
     # a class's row that stays has a digest of its own
     rows = judged.where("stays").groupBy("d1", "d2").agg(F.min("row").alias("row")).select("row")
     kept = table.join(rows, "row", "left_semi")
