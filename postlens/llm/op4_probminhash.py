@@ -99,7 +99,7 @@ BATCH_ROWS = 1024
 # Steps of size by which documents meet heads.
 SIZE_STEP = 1.05
 # 64-bit words that mark a document's common shingles.
-MASKS = 16
+MASKS = 8
 
 
 def shingles(hashes: np.ndarray, counts: np.ndarray, k: int):
@@ -379,10 +379,9 @@ def _shingle_rows(params: Params):
     return run
 
 
-def open_pairs(rows: DataFrame, texts: DataFrame, params: Params) -> DataFrame:
+def open_pairs(tables: Tables, rows: DataFrame, texts: DataFrame, params: Params) -> DataFrame:
     """(a, b): the pairs of different classes that are left to verify in large
     groups, see step 4. ``rows``: (key, node, class), ``texts``: (node, text)."""
-    spark = rows.sparkSession
     members = rows.select("node", "class").distinct()
     found = texts.join(members, "node").select("node", "class", "text").mapInArrow(
         _shingle_rows(params), "node long, class long, h long, n long"
@@ -407,7 +406,7 @@ def open_pairs(rows: DataFrame, texts: DataFrame, params: Params) -> DataFrame:
         | (F.col("all_n") - F.col("before_n") >= at_least * F.col("all_n"))
         | F.col("df").isNull()
     )
-    marked = checkpointed(spark, marked.where("df is null or df > 1").select(
+    marked = tables.store(marked.where("df is null or df > 1").select(
         F.col("h").alias("key"), "node", "class", "n", "df", "all", "all_n", "before"
     ))
     prefix = marked.where("df is not null").select(
@@ -439,7 +438,7 @@ def open_pairs(rows: DataFrame, texts: DataFrame, params: Params) -> DataFrame:
             F.col("all").alias("size"), (F.col("all") == F.col("all_n")).alias("flat"), *masks,
         )
     )
-    common = checkpointed(spark, common)
+    common = tables.store(common)
     heads = common.groupBy("g1", "g2").agg(
         F.min(F.struct("r", "node", "class")).alias("by_set"),
         F.min(F.struct("r_n", "node", "class")).alias("by_count"),
@@ -457,12 +456,15 @@ def open_pairs(rows: DataFrame, texts: DataFrame, params: Params) -> DataFrame:
     # as many keys as a document has at most
     keys = rows.groupBy("node").agg(F.collect_set("key").alias("keys"))
     grouped = rows.join(top, "key").join(of, "node").join(keys, "node")
-    grouped = checkpointed(spark, grouped.join(head.withColumn("head", F.lit(True)), "node", "left"))
+    grouped = tables.store(grouped.join(head.withColumn("head", F.lit(True)), "node", "left"))
     # of two classes one at least is not the largest of its group
     pairs = pairs.unionByName(_with_heads(grouped.where("class <> top"), grouped.where("head"), at_least))
+    # the conditions hold both ways, so the heads can be the members here
     largest = grouped.where("class = top")
-    pairs = pairs.unionByName(_with_heads(largest, grouped.where("head and class <> top"), at_least))
-    return pairs.distinct()
+    pairs = pairs.unionByName(_with_heads(grouped.where("head and class <> top"), largest, at_least))
+    found = tables.store(pairs.distinct())
+    tables.drop(marked, common, grouped)
+    return found
 
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
@@ -566,7 +568,7 @@ def _judged(tables: Tables, docs: DataFrame, params: Params) -> tuple[DataFrame,
             if rows.isEmpty():
                 break
             members = tables.store(rows.select("node").distinct())
-            pairs = checkpointed(spark, open_pairs(rows, _texts_of(sketched, members), params))
+            pairs = open_pairs(tables, rows, _texts_of(sketched, members), params)
         if pairs.isEmpty():
             continue
         chosen = pairs.select("a", "b")

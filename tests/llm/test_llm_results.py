@@ -264,6 +264,33 @@ def test_op4_common_shingles_only(spark):
     assert got == exact_classes([(i, t.encode()) for i, t in rows])
 
 
+def test_op4_copies_around_one_text(spark, monkeypatch):
+    """Copies of one text on both sides of the threshold, each with words of its
+    own: nearly all are classes of one, and few pairs are left to look at."""
+    rng = np.random.default_rng(9)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 500):
+        w = list(base)
+        for j in rng.choice(150, int(rng.integers(2, 9)), replace=False):
+            w[j] = f"v{i}x{j}"
+        rows.append((i, " ".join(w)))
+    seen = []
+    plain = op4.open_pairs
+
+    def counted(*args):
+        found = plain(*args)
+        seen.append(found.count())
+        return found
+
+    monkeypatch.setattr(op4, "open_pairs", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in op4.near_duplicates(spark, docs).collect()}
+    want = exact_classes([(i, t.encode()) for i, t in rows])
+    assert got == want and len(set(want.values())) > 200
+    assert sum(seen) < 4 * len(rows)
+
+
 def test_op4_repeated_blocks(spark):
     """Equal sets of shingles, a block of 20 once or 20 to 40 times."""
     rows = []
