@@ -25,8 +25,22 @@ from postlens.llm.op9_decontaminate import drop_leaks
 from postlens.session import delete_path, new_scratch_dir
 
 
+# Rows in an Arrow batch: texts are long, and a batch is held several times.
+BATCH_ROWS = 1024
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Batches of BATCH_ROWS rows at most for the session's jobs from here on, as a
+    stage's plan runs when its result is written."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the production policy keeps."""
+    _small_batches(spark)
     return keep_clean(docs)
 
 
@@ -37,6 +51,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark question."""
+    _small_batches(spark)
     return drop_leaks(spark, docs, read_table(spark, sf_dir, "benchmark"))
 
 
@@ -47,6 +62,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of the mix with their epochs, tokens and texts taken."""
+    _small_batches(spark)
     return mix_documents(spark, docs)
 
 
