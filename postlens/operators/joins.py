@@ -107,7 +107,10 @@ def join_users(
     ``HEAVY_SALT`` ways where the users side is not broadcast; ``left`` is then
     read twice, the first time its owner column alone. ``salt_buckets=S > 1``
     splits every owner's rows S ways (by a hash of the row) and copies each
-    user row S times instead; 1 splits none.
+    user row S times instead; 1 splits none. The copies are joined by sort and
+    merge, never broadcast: Spark's size estimates leave them out, at planning
+    as at run time (a row's copies compress to little), and each task would
+    hold all of them.
     """
     if how not in JOIN_TYPES:
         raise ValueError(f"how must be one of {JOIN_TYPES}, got {how!r}")
@@ -126,7 +129,7 @@ def join_users(
         )
         right = right.withColumn(
             "_u_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
-        )
+        ).hint("merge")
         key = keyed["_owner_key"] if how == "left" else keyed["owner_user_id"]
     found = find and not _may_broadcast(right)
     if found:

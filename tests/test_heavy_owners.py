@@ -84,3 +84,22 @@ def test_analysis_is_the_same(shuffled):
         a = compute_tag_analysis(posts, users, join_on_month=on_month, pre_aggregate=False)
         b = compute_tag_analysis(posts, users, join_on_month=on_month, pre_aggregate=True)
         assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_salted_copies_are_never_broadcast(spark):
+    """Copies of a users side that Spark itself would broadcast, at planning or
+    at run time, are joined by sort and merge: same rows."""
+    posts, users = skewed(spark, 6000).cache(), all_users(spark).cache()
+    for how in ("left", "inner"):
+        for limit in ("10MB", "-1"):
+            before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            try:
+                plain = join_users(posts, users, how, False, salt_buckets=1)
+                salted = join_users(posts, users, how, False, salt_buckets=8)
+                assert sorted(map(str, salted.collect())) == sorted(map(str, plain.collect()))
+                ran = salted._jdf.queryExecution().executedPlan().toString()
+            finally:
+                spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+            assert "isFinalPlan=true" in ran
+            assert "SortMergeJoin" in ran and "BroadcastHashJoin" not in ran
