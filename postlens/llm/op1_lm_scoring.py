@@ -9,15 +9,17 @@ before a token,
     p(token | x) = p(class | x) * p(symbol | class, last symbol) * p(id | symbol)
 
 * p(class | x): one layer of causal self-attention over the symbols before,
-  trained in numpy by gradient steps; its output is added to the log
+  trained in numpy by gradient steps on all training documents; its output is added to the log
   probability of the class after the last symbol in the corpus's counts.
 * p(symbol | class, last symbol): corpus counts of symbol pairs, smoothed by
   the symbol's share in its class; p(id | rest): smoothed counts.
 
 The counts (words, subword pairs) come from all training documents, by one
-Spark aggregation that sums in the tasks first. The attention weights are
-fitted on windows of a bounded sample: ``sample_docs`` documents with the
-least hash of their id, at most ``windows_per_doc`` windows of each.
+Spark aggregation that sums in the tasks first. So do the attention weights:
+each task takes gradient steps over all windows of its training documents, from
+the same first weights on, and the mean of the tasks' weights, by windows, is
+the model. Nothing is sampled. (The shares of documents in tasks are those of
+Spark's input splits, so the weights depend on these as on the order of rows.)
 
 Scoring: a text is cut into blocks of ``stride`` tokens; a context window is a
 block and the block before it. The windows overlap, each token is scored once,
@@ -45,6 +47,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,7 +56,6 @@ from pyspark.sql import functions as F
 from postlens.llm.common import (
     U64,
     WordTable,
-    binary_values,
     checkpointed,
     fold_of,
     read_table,
@@ -68,6 +70,8 @@ class Params:
     classes: int = 64
     width: int = 16
     stride: int = 16
+    # bounds of the sample of earlier versions: without effect, as all training
+    # documents are read, once
     sample_docs: int = 1000
     windows_per_doc: int = 16
     steps: int = 400
@@ -78,6 +82,11 @@ class Params:
 
 PRODUCTION = Params()
 BLOCK_BYTES = 1 << 20
+# Windows in one gradient step, and the unit in which weights are summed.
+STEP_WINDOWS = 64
+# Words encoded at once.
+JOINED = 1024
+FIXED = 1 << 20
 # Blocks in one matrix product.
 BATCH = 96
 WORDS_KEPT = 300_000
@@ -97,8 +106,12 @@ def read_vocabulary(path: str) -> bytes:
         return f.read()
 
 
+def _ranks(vocabulary: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
+
+
 def encoder(vocabulary: bytes) -> tiktoken.Encoding:
-    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
+    ranks = _ranks(vocabulary)
     return tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
@@ -106,7 +119,11 @@ class Words:
     """Dense ids of words with their subword ids and 64-bit hashes."""
 
     def __init__(self, vocabulary: bytes):
-        self.encode = encoder(vocabulary).encode_ordinary
+        encoding = encoder(vocabulary)
+        self.encode = encoding.encode_ordinary
+        sizes = _ranks(vocabulary)
+        self.length = np.zeros(max(sizes.values()) + 1, np.int64)
+        self.length[list(sizes.values())] = [len(x) for x in sizes]
         self.reset()
 
     def reset(self) -> None:
@@ -122,15 +139,32 @@ class Words:
         if new:
             it = reversed(self.table)
             fresh = [next(it) for _ in range(new)][::-1]
-            parts = [self.encode(" " + w.decode("utf-8", "replace")) for w in fresh]
-            size = np.array([len(p) for p in parts], np.int64)
+            parts = [self._encoded(fresh[i : i + JOINED]) for i in range(0, new, JOINED)]
+            size = np.concatenate([n for _, n in parts])
             self.start = np.append(self.start, len(self.tokens) + np.cumsum(size) - size)
             self.size = np.append(self.size, size)
-            self.tokens = np.append(self.tokens, np.array([x for p in parts for x in p], np.int64))
+            self.tokens = np.concatenate([self.tokens, *(x for x, _ in parts)])
             digests = np.fromiter(map(xxhash.xxh3_64_intdigest, fresh), U64, new)
             self.hash = np.append(self.hash, digests)
         return ids
 
+    def _encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Subwords of all words, and how many each has. Words are encoded as one
+        text if none holds a space of any kind: the pattern breaks at each space."""
+        texts = [w.decode("utf-8", "replace") for w in words]
+        if "".join(texts).split() == ["".join(texts)]:
+            joined = " " + " ".join(texts)
+            tokens = np.array(self.encode(joined), np.int64)
+            size = self.length[tokens]
+            spaces = np.flatnonzero(np.frombuffer(joined.encode(), np.uint8) == ord(" "))
+            first = np.searchsorted(np.cumsum(size) - size, spaces)
+            return tokens, np.diff(first, append=len(tokens))
+        if len(words) > 1:
+            half = len(words) // 2
+            return tuple(map(np.concatenate, zip(self._encoded(words[:half]), self._encoded(words[half:]))))
+        tokens = np.array(self.encode(" " + texts[0]), np.int64)
+        return tokens, np.array([len(tokens)])
+
     def sequence(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Indexes into ``tokens`` for the words in order, and their sizes."""
         size = self.size[ids]
@@ -138,14 +172,21 @@ class Words:
         return np.arange(int(size.sum())) + np.repeat(self.start[ids] - begin, size), size
 
 
-def _split(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    words: list[bytes] = []
-    counts = []
-    for t in texts:
-        w = t.lower().split()
-        words.extend(w)
-        counts.append(len(w))
-    return words, np.array(counts, np.int64)
+def _split(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words of the texts in ASCII lower case, the place among
+    these of every word in order, and the number of words of each text."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words = parts.flatten()
+    some = pc.not_equal(pc.binary_length(words), 0)
+    size = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
+    text = np.repeat(np.arange(len(size)), size)[some.to_numpy(zero_copy_only=False)]
+    coded = words.filter(some).dictionary_encode()
+    kind = pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary()
+    return (
+        coded.dictionary.cast(kind).to_numpy(zero_copy_only=False).tolist(),
+        coded.indices.to_numpy(zero_copy_only=False),
+        np.bincount(text, minlength=len(size)),
+    )
 
 
 def _add(total: dict[int, np.ndarray], key: np.ndarray, n: np.ndarray) -> tuple:
@@ -178,9 +219,9 @@ def count_corpus(vocabulary: bytes):
         docs = 0
         for batch in batches:
             for part in text_slices(batch, "text", BLOCK_BYTES):
-                words, counts = _split(binary_values(part.column("text")))
+                words, place, counts = _split(part.column("text"))
                 docs += len(counts)
-                ids = known.ids(words)
+                ids = known.ids(words)[place]
                 grown = np.zeros(len(known.hash), np.int64)
                 grown[: len(seen)] = seen
                 seen = grown + np.bincount(ids, minlength=len(grown))
@@ -235,16 +276,11 @@ def _position_bias(pos: np.ndarray, stride: int) -> np.ndarray:
     return np.where(ahead >= 0, pos[np.maximum(ahead, 0)], -1e9).astype(np.float32)
 
 
-def fit_attention(log_class, class_of, x, y, emb, params: Params) -> dict[str, np.ndarray]:
-    """Gradient steps (Adam) on the class log loss of windows.
-
-    ``x``: (windows, length) last symbols, ``y``: the symbols that follow; -1
-    in ``y`` is no target.
-    """
+def first_weights(emb: np.ndarray, params: Params) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(params.seed)
-    d, c, length = params.width, params.classes, x.shape[1]
-    w = {
-        "emb": emb.copy(),
+    d, c = params.width, params.classes
+    return {
+        "emb": emb,
         "q": rng.normal(0, 0.3, (d, d)),
         "k": rng.normal(0, 0.3, (d, d)),
         "v": rng.normal(0, 0.3, (d, d)),
@@ -253,55 +289,88 @@ def fit_attention(log_class, class_of, x, y, emb, params: Params) -> dict[str, n
         "bias": np.zeros(c),
         "pos": -0.02 * np.arange(2 * params.stride),
     }
-    m = {k: np.zeros_like(v) for k, v in w.items()}
-    s = {k: np.zeros_like(v) for k, v in w.items()}
-    ahead = np.arange(length)[:, None] - np.arange(length)[None, :]
-    past, near = ahead >= 0, np.clip(ahead, 0, len(w["pos"]) - 1)
-    for step in range(1, params.steps + 1):
-        rows = rng.integers(0, len(x), min(len(x), 48))
-        xb, yb = x[rows], y[rows]
-        e = w["emb"][xb]
-        q, k, v = e @ w["q"] / np.sqrt(d), e @ w["k"], e @ w["v"]
-        a = q @ k.transpose(0, 2, 1) + w["pos"][near]
-        a = np.where(past, a, -1e9)
-        a = np.exp(a - a.max(axis=2, keepdims=True))
-        a /= a.sum(axis=2, keepdims=True)
+
+
+class Fit:
+    """Gradient steps (Adam) on the class log loss of windows, from the model's
+    weights on."""
+
+    def __init__(self, model: Model):
+        self.w = {k: v.astype(np.float32) for k, v in model.weights.items()}
+        self.m = {k: np.zeros_like(v) for k, v in self.w.items()}
+        self.s = {k: np.zeros_like(v) for k, v in self.w.items()}
+        self.log_class = model.log_class.astype(np.float32)
+        self.steps = self.windows = 0
+        length = 2 * model.params.stride
+        ahead = np.arange(length)[:, None] - np.arange(length)[None, :]
+        self.past, self.near = (ahead >= 0).astype(np.float32), np.maximum(ahead, 0)
+        self.ones_a = np.ones((length, 1), np.float32)
+        self.ones_z = np.ones((model.params.classes, 1), np.float32)
+
+    def gradients(self, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+        """``x``: (windows, length) last symbols, ``y``: the classes that follow;
+        -1 in ``y`` is no target."""
+        w, d = self.w, self.w["emb"].shape[1]
+        shape, sym, target = (*x.shape, d), x.reshape(-1), y.reshape(-1)
+        e = w["emb"].take(sym, axis=0)
+        to_qkv = np.concatenate([w["q"] / np.float32(np.sqrt(d)), w["k"], w["v"]], axis=1)
+        q, k, v = (t.reshape(shape) for t in np.split(e @ to_qkv, 3, axis=1))
+        a = q @ np.ascontiguousarray(k.transpose(0, 2, 1))
+        a += w["pos"][self.near]
+        np.clip(a, -60, 60, out=a)
+        np.exp(a, out=a)
+        a *= self.past
+        a /= (a.reshape(len(sym), -1) @ self.ones_a).reshape(*x.shape, 1)
         o = a @ v
-        z = o @ w["out"] + e @ w["last"] + w["bias"] + log_class[xb]
-        p = np.exp(z - z.max(axis=2, keepdims=True))
-        p /= p.sum(axis=2, keepdims=True)
-        some = yb >= 0
-        gz = p
-        at = np.where(some, class_of[np.maximum(yb, 0)], 0)
-        np.put_along_axis(gz, at[..., None], np.take_along_axis(gz, at[..., None], 2) - 1, 2)
-        gz *= some[..., None] / max(1, some.sum())
-        go = gz @ w["out"].T
-        ga = go @ v.transpose(0, 2, 1)
-        ga = a * (ga - (ga * a).sum(axis=2, keepdims=True))
-        gq, gk, gv = ga @ k / np.sqrt(d), ga.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ go
-        flat = lambda t: t.reshape(-1, t.shape[-1])
-        ge = gq @ w["q"].T + gk @ w["k"].T + gv @ w["v"].T + gz @ w["last"].T
-        g = {
-            "q": flat(e).T @ flat(gq),
-            "k": flat(e).T @ flat(gk),
-            "v": flat(e).T @ flat(gv),
-            "out": flat(o).T @ flat(gz),
-            "last": flat(e).T @ flat(gz),
-            "bias": gz.sum(axis=(0, 1)),
-            "pos": np.bincount(
-                np.broadcast_to(near, a.shape)[np.broadcast_to(past, a.shape)],
-                weights=ga[np.broadcast_to(past, a.shape)],
-                minlength=len(w["pos"]),
-            ),
-            "emb": np.zeros_like(w["emb"]),
+        seen = np.concatenate([o.reshape(-1, d), e], axis=1)
+        to_class = np.concatenate([w["out"], w["last"]])
+        p = seen @ to_class
+        p += (self.log_class + w["bias"]).take(sym, axis=0)
+        np.clip(p, -60, 60, out=p)
+        np.exp(p, out=p)
+        some = target >= 0
+        share = (some / max(1, some.sum())).astype(np.float32)
+        p *= share[:, None] / (p @ self.ones_z)
+        p[np.arange(len(p)), np.maximum(target, 0)] -= share
+        g_class = np.ascontiguousarray(seen.T) @ p
+        g_seen = p @ to_class.T
+        go = g_seen[:, :d].reshape(shape)
+        ga = go @ np.ascontiguousarray(v.transpose(0, 2, 1))
+        ga -= np.einsum("bij,bij->bi", go, o)[..., None]
+        ga *= a
+        parts = (ga @ k, ga.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ go)
+        g_qkv = np.concatenate([t.reshape(-1, d) for t in parts], axis=1)
+        ge = g_seen[:, d:] + g_qkv @ to_qkv.T
+        gq, gk, gv = np.split(e.T @ g_qkv, 3, axis=1)
+        order = np.argsort(sym.astype(np.uint16 if len(w["emb"]) <= 1 << 16 else sym.dtype), kind="stable")
+        first = np.flatnonzero(np.diff(sym[order], prepend=-1))
+        emb = np.zeros_like(w["emb"])
+        emb[sym[order[first]]] = np.add.reduceat(ge.take(order, axis=0), first, axis=0)
+        pos = np.bincount(self.near.reshape(-1), weights=ga.sum(axis=0).reshape(-1))
+        return {
+            "emb": emb,
+            "q": gq / np.float32(np.sqrt(d)),
+            "k": gk,
+            "v": gv,
+            "out": g_class[:d],
+            "last": g_class[d:],
+            "bias": np.ones(len(p), np.float32) @ p,
+            "pos": pos.astype(np.float32),
         }
-        np.add.at(g["emb"], xb, ge)
-        rate = 0.02 * min(1.0, 3 * (1 - step / (params.steps + 1)))
-        for name in w:
-            m[name] += 0.1 * (g[name] - m[name])
-            s[name] += 0.01 * (g[name] ** 2 - s[name])
-            w[name] -= rate * (m[name] / (1 - 0.9**step)) / (np.sqrt(s[name] / (1 - 0.99**step)) + 1e-8)
-    return w
+
+    def step(self, x: np.ndarray, y: np.ndarray) -> None:
+        self.steps += 1
+        self.windows += len(x)
+        rate = np.float32(0.02 / np.sqrt(1 + self.steps / 100))
+        long, short = np.float32(1 - 0.99**self.steps), np.float32(1 - 0.9**self.steps)
+        for name, g in self.gradients(x, y).items():
+            m, s = self.m[name], self.s[name]
+            m += np.float32(0.1) * (g - m)
+            s += np.float32(0.01) * (g * g - s)
+            self.w[name] -= rate * (m / short) / (np.sqrt(s / long) + np.float32(1e-8))
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([x.reshape(-1) for x in self.w.values()]).astype(np.float64)
 
 
 def _group(points: np.ndarray, weight: np.ndarray, k: int, seed: int) -> np.ndarray:
@@ -324,7 +393,7 @@ def _group(points: np.ndarray, weight: np.ndarray, k: int, seed: int) -> np.ndar
 def build_model(
     spark: SparkSession, docs: DataFrame, counts: DataFrame, vocabulary: bytes, params: Params
 ) -> Model:
-    """The model from the corpus counts and a bounded sample of ``docs``."""
+    """The model from the corpus counts and all of ``docs``."""
     pairs = counts.where(F.col("kind") == PAIR).select(
         F.shiftright("key", 20).cast("int").alias("a"),
         F.col("key").bitwiseAND((1 << 20) - 1).cast("int").alias("b"),
@@ -388,15 +457,15 @@ def build_model(
     model = Model(
         params, vocabulary, symbol_of, log_id, class_of, log_in_class, log_class, {}
     )
-    x, y = _sample_windows(spark, docs, model)
-    model.weights = fit_attention(log_class, class_of, x, y, emb, params)
+    model.weights = first_weights(emb, params)
+    model.weights = _fitted(spark, docs, model)
     return model
 
 
-def _symbols(model: Model, known: Words, words: list[bytes], counts: np.ndarray):
-    """Symbols and log p(id | symbol) of all texts' tokens with their end
-    marks, and the number of tokens of each text."""
-    ids = known.ids(words)
+def _symbols(model: Model, known: Words, words: list[bytes], place: np.ndarray, counts: np.ndarray):
+    """Word ids, symbols and log p(id | symbol) of all texts' tokens with their
+    end marks, and the number of tokens of each text; for the result of _split."""
+    ids = known.ids(words)[place]
     at, size = known.sequence(ids)
     text = np.repeat(np.arange(len(counts)), counts)
     n = np.bincount(text, weights=size, minlength=len(counts)).astype(np.int64) + 1
@@ -405,41 +474,76 @@ def _symbols(model: Model, known: Words, words: list[bytes], counts: np.ndarray)
     return ids, model.symbol_of[out], model.log_id[out], n
 
 
-def _sample_windows(spark: SparkSession, docs: DataFrame, model: Model):
-    params = model.params
-    length = 2 * params.stride
-    ids = docs.select(F.col("doc_id").alias("id")).orderBy(F.xxhash64("id"), "id").limit(params.sample_docs)
-    # one row per id, however often it is repeated
-    sample = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("id"), "left_semi")
-    sample = sample.groupBy("doc_id").agg(F.min("text").alias("text")).select("text")
-    vocabulary = model.vocabulary
+def _windows(model: Model, sym: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of all tokens, each text's from its start on: last symbols, and
+    the classes that follow (-1 behind a text's end)."""
+    length = 2 * model.params.stride
+    number = -(-n // length)
+    first = np.cumsum(n) - n
+    at = np.arange(len(sym)) + np.repeat((np.cumsum(number) - number) * length - first, n)
+    x = np.full(int(number.sum()) * length, model.params.symbols)
+    y = np.full(len(x), -1)
+    y[at] = model.class_of[sym]
+    inside = np.ones(len(sym), bool)
+    inside[first] = False
+    x[at[inside]] = sym[:-1][inside[1:]]
+    return x.reshape(-1, length), y.reshape(-1, length)
+
+
+def fit_rows(model):
+    """Task function: texts to (at, value, n): the weights after steps over all
+    windows of all its texts, in units of 1 / FIXED, times their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Words(vocabulary)
-        rng = np.random.default_rng(params.seed)
+        m = model.value
+        fit = Fit(m)
+        known = Words(m.vocabulary)
+        rng = np.random.default_rng(m.params.seed)
         for batch in batches:
             for part in text_slices(batch, "text", BLOCK_BYTES):
-                words, counts = _split(binary_values(part.column("text")))
-                _, sym, _, n = _symbols(model, known, words, counts)
-                ends = np.cumsum(n)
-                rows = []
-                for a, z in zip((ends - n).tolist(), ends.tolist()):
-                    starts = np.arange(a, z, length)
-                    if len(starts) > params.windows_per_doc:
-                        starts = rng.choice(starts, params.windows_per_doc, replace=False)
-                    for i in starts.tolist():
-                        last = params.symbols if i == a else int(sym[i - 1])
-                        rows.append([last, *sym[i : min(z, i + length)].tolist()])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows, pa.list_(pa.int32()))], names=["symbols"]
-                )
+                if len(known.table) > WORDS_KEPT:
+                    known.reset()
+                _, sym, _, n = _symbols(m, known, *_split(part.column("text")))
+                x, y = _windows(m, sym, n)
+                order = rng.permutation(len(x))
+                for lo in range(0, len(x), STEP_WINDOWS):
+                    rows = order[lo : lo + STEP_WINDOWS]
+                    fit.step(x[rows], y[rows])
+        if fit.windows:
+            value = np.rint(fit.flat() * FIXED).astype(np.int64) * fit.windows
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.arange(len(value), dtype=np.int32)),
+                    pa.array(value),
+                    pa.array(np.full(len(value), fit.windows)),
+                ],
+                names=["at", "value", "n"],
+            )
+
+    return run
 
-    rows = [r[0] for r in sample.mapInArrow(run, "symbols array<int>").collect()]
-    x = np.full((max(1, len(rows)), length), params.symbols, np.int64)
-    y = np.full_like(x, -1)
-    for i, r in enumerate(rows):
-        x[i, : len(r) - 1], y[i, : len(r) - 1] = r[:-1], r[1:]
-    return x, y
+
+def _fitted(spark: SparkSession, docs: DataFrame, model: Model) -> dict[str, np.ndarray]:
+    """The weights fitted on all of ``docs``: each task takes its steps over its
+    own windows, and the mean over the tasks, by windows, is the result."""
+    task = fit_rows(spark.sparkContext.broadcast(model))
+    # whole numbers: the mean doesn't depend on the order of the sums
+    whole = "decimal(38,0)"
+    mean = (
+        docs.select("text")
+        .mapInArrow(task, "at int, value long, n long")
+        .groupBy("at")
+        .agg(F.sum(F.col("value").cast(whole)).alias("value"), F.sum("n").alias("n"))
+        .select("at", (F.col("value").cast("double") / F.col("n") / FIXED).alias("value"))
+        .toPandas()
+    )
+    if mean.empty:
+        return model.weights
+    flat = np.zeros(len(mean))
+    flat[mean["at"].to_numpy()] = mean["value"]
+    sizes = [x.size for x in model.weights.values()]
+    parts = np.split(flat, np.cumsum(sizes)[:-1])
+    return {k: p.reshape(x.shape) for (k, x), p in zip(model.weights.items(), parts)}
 
 
 class Scorer:
@@ -482,15 +586,16 @@ class Scorer:
             ahead = np.concatenate([x[max(lo, 1) - 1 : max(lo, 1)], own])[: hi - lo]
             both = np.concatenate([ahead, own], axis=1)
             # scores are small by construction: no shift before exp
-            a = self.q[own] @ self.k[both].transpose(0, 2, 1)
+            k = np.ascontiguousarray(self.k.take(both, axis=0).transpose(0, 2, 1))
+            a = self.q.take(own, axis=0) @ k
             a += self.bias
             np.exp(a, out=a)
             a[opens[lo:hi], :, :t] = 0
-            o = a @ self.v[both]
+            o = a @ self.v.take(both, axis=0)
             o = o.reshape(-1, o.shape[2])
             o /= a.reshape(len(o), -1) @ ones_a
             z = o @ self.out
-            z += self.last[own.reshape(-1)]
+            z += self.last.take(own.reshape(-1), axis=0)
             hit = z[np.arange(len(z)), target[lo * t : hi * t]]
             np.exp(z, out=z)
             out[lo * t : hi * t] = hit - np.log((z @ ones_z)[:, 0])
@@ -521,8 +626,8 @@ def score_rows(model, frequent, end_count: int):
                 if len(known.table) > WORDS_KEPT:
                     known.reset()
                     c = c[:0]
-                words, counts = _split(binary_values(part.column("text")))
-                ids, sym, log_id, n = _symbols(m, known, words, counts)
+                words, place, counts = _split(part.column("text"))
+                ids, sym, log_id, n = _symbols(m, known, words, place, counts)
                 if len(known.hash) > len(c):
                     fresh = known.hash[len(c) :]
                     at = np.minimum(np.searchsorted(hashes, fresh), len(hashes) - 1)
