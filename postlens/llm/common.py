@@ -46,10 +46,10 @@ class Tables:
         self.label = label
         self.paths: dict[int, str] = {}
 
-    def store(self, df: DataFrame) -> DataFrame:
-        """``df`` computed once, written and read back."""
+    def store(self, df: DataFrame, **options: str | int) -> DataFrame:
+        """``df`` computed once, written (with the writer's ``options``) and read back."""
         path = new_scratch_dir(self.spark, self.label)
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(back)] = path
         return back

@@ -14,6 +14,9 @@ before a token,
 * p(symbol | class, last symbol): corpus counts of symbol pairs, smoothed by
   the symbol's share in its class; p(id | rest): smoothed counts.
 
+All texts are split and encoded once, in blocks that are stored as Parquet under
+the shared folder (``code_texts``); counting, fitting and scoring read these.
+
 The counts (words, subword pairs) come from all training documents, by one
 Spark aggregation that sums in the tasks first. So do the attention weights:
 each task takes gradient steps over all windows of its training documents, from
@@ -44,6 +47,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +59,7 @@ from pyspark.sql import functions as F
 
 from postlens.llm.common import (
     U64,
+    Tables,
     WordTable,
     checkpointed,
     fold_of,
@@ -90,6 +95,12 @@ FIXED = 1 << 20
 # Blocks in one matrix product.
 BATCH = 96
 WORDS_KEPT = 300_000
+# Rows of counts that a task keeps before it sums them up.
+ROWS_KEPT = 1 << 20
+# Rows of CODED in a row group, about a megabyte each.
+GROUP_ROWS = 4
+# Tokens in one product of a gradient step's long sums.
+SUM_ROWS = 256
 # Marks beyond all vocabulary ids, and the word that stands for a text's end
 # (no word holds a line end).
 END, START = 1 << 18, (1 << 18) + 1
@@ -106,16 +117,33 @@ def read_vocabulary(path: str) -> bytes:
         return f.read()
 
 
+@lru_cache(maxsize=1)
 def _ranks(vocabulary: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
 
 
+@lru_cache(maxsize=1)
 def encoder(vocabulary: bytes) -> tiktoken.Encoding:
     ranks = _ranks(vocabulary)
     return tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-class Words:
+class Subwords:
+    """Words by dense id: 64-bit hash, number and start of the subword ids."""
+
+    hash: np.ndarray
+    size: np.ndarray
+    start: np.ndarray
+    tokens: np.ndarray
+
+    def sequence(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Indexes into ``tokens`` for the words in order, and their sizes."""
+        size = self.size[ids]
+        begin = np.cumsum(size) - size
+        return np.arange(int(size.sum())) + np.repeat(self.start[ids] - begin, size), size
+
+
+class Words(Subwords):
     """Dense ids of words with their subword ids and 64-bit hashes."""
 
     def __init__(self, vocabulary: bytes):
@@ -165,12 +193,6 @@ class Words:
         tokens = np.array(self.encode(" " + texts[0]), np.int64)
         return tokens, np.array([len(tokens)])
 
-    def sequence(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Indexes into ``tokens`` for the words in order, and their sizes."""
-        size = self.size[ids]
-        begin = np.cumsum(size) - size
-        return np.arange(int(size.sum())) + np.repeat(self.start[ids] - begin, size), size
-
 
 def _split(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """The distinct words of the texts in ASCII lower case, the place among
@@ -189,59 +211,156 @@ def _split(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     )
 
 
-def _add(total: dict[int, np.ndarray], key: np.ndarray, n: np.ndarray) -> tuple:
-    k, at = np.unique(key, return_inverse=True)
-    return k, np.bincount(at, weights=n, minlength=len(k)).astype(np.int64)
+# Coded texts, one row per block of texts that are all learned from or all not:
+# per text uid, doc_id, held_out and its number of words; the place of every
+# word among the block's distinct words; hash, number of subwords and subwords
+# of these. Binary columns hold whole numbers, as narrow as a block allows.
+CODED = (
+    "learn boolean, uid array<long>, doc_id array<long>, held_out array<boolean>, "
+    "texts int, distinct int, words binary, place binary, hash binary, size binary, tokens binary"
+)
+WIDTHS = (np.uint8, np.uint16, np.uint32, U64)
 
 
-def count_corpus(vocabulary: bytes):
-    """Task function: texts to (kind, key, n): words, and subword pairs."""
+def _packed(numbers: np.ndarray) -> bytes:
+    most = int(numbers.max(initial=0))
+    return numbers.astype(next(x for x in WIDTHS if most <= np.iinfo(x).max)).tobytes()
 
-    def rows(kind: int, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(key), kind, np.int32)), pa.array(key.view(np.int64)), pa.array(n)],
-            names=["kind", "key", "n"],
-        )
 
-    def flush(known: Words, seen: np.ndarray) -> Iterator[pa.RecordBatch]:
-        n = seen[: len(known.hash)]
-        yield rows(WORD, known.hash, n)
-        # pairs inside of words: as often as the word
-        inner = np.arange(len(known.tokens) - 1)
-        word = np.repeat(np.arange(len(known.size)), known.size)
-        same = word[:-1] == word[1:] if len(word) else np.zeros(0, bool)
-        key = (known.tokens[:-1] << 20 | known.tokens[1:])[same] if len(inner) > 0 else word
-        yield rows(PAIR, *_add({}, key, n[word[:-1][same]] if len(word) else n[:0]))
+def _unpacked(row: pa.RecordBatch, name: str, number: int) -> np.ndarray:
+    data = row.column(name)[0].as_py()
+    width = next(x for x in WIDTHS if number * np.dtype(x).itemsize == len(data))
+    return np.frombuffer(data, width)
+
+
+class Block(Subwords):
+    """A row of CODED, or of some of its columns."""
+
+    def __init__(self, row: pa.RecordBatch):
+        self.row = row
+        texts, words = (row.column(name)[0].as_py() for name in ("texts", "distinct"))
+        self.words = _unpacked(row, "words", texts).astype(np.int64)
+        self.place = _unpacked(row, "place", int(self.words.sum())).astype(np.int64)
+        self.size = _unpacked(row, "size", words).astype(np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.tokens = _unpacked(row, "tokens", int(self.size.sum())).astype(np.int64)
+        if "hash" in row.schema.names:
+            self.hash = np.frombuffer(row.column("hash")[0].as_py(), U64)
+
+    def values(self, name: str) -> pa.Array:
+        """A column of the texts."""
+        return self.row.column(name).flatten()
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield Block(batch.slice(i, 1))
+
+
+def code_texts(vocabulary: bytes):
+    """Task function: texts, with uid, doc_id, held_out and learn if these are
+    there, to rows of CODED. Without ``learn`` all are learned from."""
+
+    def listed(part: pa.RecordBatch, name: str, kind: pa.DataType) -> pa.Array:
+        values = part.column(name) if name in part.schema.names else pa.nulls(part.num_rows, kind)
+        return pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), values)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words(vocabulary)
-        seen = np.zeros(0, np.int64)
-        docs = 0
         for batch in batches:
-            for part in text_slices(batch, "text", BLOCK_BYTES):
-                words, place, counts = _split(part.column("text"))
-                docs += len(counts)
-                ids = known.ids(words)[place]
-                grown = np.zeros(len(known.hash), np.int64)
-                grown[: len(seen)] = seen
-                seen = grown + np.bincount(ids, minlength=len(grown))
-                # pairs between words, with the text's ends
-                first = np.full(len(ids) + len(counts), END)
-                last = np.full(len(ids) + len(counts), START)
-                at = np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)
-                if len(ids):
-                    first[at] = known.tokens[known.start[ids]]
-                    last[at + 1] = known.tokens[known.start[ids] + known.size[ids] - 1]
-                begin = np.cumsum(counts + 1) - counts - 1
-                last[begin] = START
-                yield rows(PAIR, *np.unique(last << 20 | first, return_counts=True))
-                if len(known.table) > WORDS_KEPT:
-                    yield from flush(known, seen)
-                    known.reset()
-                    seen = seen[:0]
-        yield from flush(known, seen)
-        end = np.array([xxhash.xxh3_64_intdigest(END_WORD)], U64)
-        yield rows(WORD, end, np.array([docs], np.int64))
+            halves = [(True, batch)]
+            if "learn" in batch.schema.names:
+                learn = batch.column("learn")
+                halves = [(True, batch.filter(learn)), (False, batch.filter(pc.invert(learn)))]
+            for learn, half in halves:
+                for part in text_slices(half, "text", BLOCK_BYTES):
+                    if len(known.table) > WORDS_KEPT:
+                        known.reset()
+                    words, place, counts = _split(part.column("text"))
+                    ids = known.ids(words)
+                    at, size = known.sequence(ids)
+                    numbers = (counts, place, size, known.tokens[at])
+                    packed = [_packed(x) for x in numbers]
+                    packed.insert(2, known.hash[ids].tobytes())
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([learn]),
+                            listed(part, "uid", pa.int64()),
+                            listed(part, "doc_id", pa.int64()),
+                            listed(part, "held_out", pa.bool_()),
+                            pa.array([len(counts)], pa.int32()),
+                            pa.array([len(words)], pa.int32()),
+                            *(pa.array([x], pa.binary()) for x in packed),
+                        ],
+                        names=[x.split()[0] for x in CODED.split(", ")],
+                    )
+
+    return run
+
+
+def _summed(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys with their sums."""
+    rows = pa.table({"key": np.concatenate(keys).view(np.int64), "n": np.concatenate(n)})
+    total = rows.group_by("key", use_threads=False).aggregate([("n", "sum")])
+    return total.column("key").to_numpy(), total.column("n_sum").to_numpy()
+
+
+def count_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task function: coded texts to (kind, key, n): words, and subword pairs."""
+    keys: dict[int, list[np.ndarray]] = {WORD: [], PAIR: []}
+    sums: dict[int, list[np.ndarray]] = {WORD: [], PAIR: []}
+    docs = 0
+
+    def add(kind: int, key: np.ndarray, n: np.ndarray) -> None:
+        keys[kind].append(key.view(np.int64))
+        sums[kind].append(n)
+
+    def flush(most: int) -> Iterator[pa.RecordBatch]:
+        """Sums up what is kept; yields it where it is still over ``most`` rows."""
+        for kind in keys:
+            if sum(map(len, keys[kind])) <= most:
+                continue
+            key, n = _summed(keys[kind], sums[kind])
+            keys[kind], sums[kind] = [key], [n]
+            if 2 * len(key) > most:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(key), kind, np.int32)), pa.array(key), pa.array(n)],
+                    names=["kind", "key", "n"],
+                )
+                keys[kind], sums[kind] = [], []
+
+    for block in _blocks(batches):
+        counts, ids, tokens = block.words, block.place, block.tokens
+        docs += len(counts)
+        often = np.bincount(ids, minlength=len(block.hash))
+        add(WORD, block.hash, often)
+        # pairs inside of words: as often as the word
+        word = np.repeat(np.arange(len(block.size)), block.size)
+        same = np.flatnonzero(word[:-1] == word[1:])
+        add(PAIR, tokens[same] << 20 | tokens[same + 1], often[word[same]])
+        # pairs between words, with the text's ends
+        first = np.full(len(ids) + len(counts), END)
+        last = np.full(len(ids) + len(counts), START)
+        at = np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)
+        if len(ids):
+            first[at] = tokens[block.start][ids]
+            last[at + 1] = tokens[block.start + block.size - 1][ids]
+        begin = np.cumsum(counts + 1) - counts - 1
+        last[begin] = START
+        add(PAIR, last << 20 | first, np.ones(len(first), np.int64))
+        yield from flush(ROWS_KEPT)
+    end = np.array([xxhash.xxh3_64_intdigest(END_WORD)], U64)
+    add(WORD, end, np.array([docs]))
+    yield from flush(0)
+
+
+def count_corpus(vocabulary: bytes):
+    """Task function: texts to (kind, key, n): words, and subword pairs."""
+    code = code_texts(vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from count_blocks(code(batches))
 
     return run
 
@@ -296,81 +415,126 @@ class Fit:
     weights on."""
 
     def __init__(self, model: Model):
-        self.w = {k: v.astype(np.float32) for k, v in model.weights.items()}
-        self.m = {k: np.zeros_like(v) for k, v in self.w.items()}
-        self.s = {k: np.zeros_like(v) for k, v in self.w.items()}
+        # all weights in one vector, and all gradients, with views by name
+        self.all = np.concatenate([v.reshape(-1) for v in model.weights.values()]).astype(np.float32)
+        self.m, self.s, self.g, self.room = (np.zeros_like(self.all) for _ in range(4))
+        ends = np.cumsum([v.size for v in model.weights.values()])[:-1]
+        self.w, self.grad = (
+            {k: x.reshape(v.shape) for (k, v), x in zip(model.weights.items(), np.split(t, ends))}
+            for t in (self.all, self.g)
+        )
         self.log_class = model.log_class.astype(np.float32)
         self.steps = self.windows = 0
         length = 2 * model.params.stride
         ahead = np.arange(length)[:, None] - np.arange(length)[None, :]
-        self.past, self.near = (ahead >= 0).astype(np.float32), np.maximum(ahead, 0)
-        self.ones_a = np.ones((length, 1), np.float32)
-        self.ones_z = np.ones((model.params.classes, 1), np.float32)
+        self.past, self.near = ahead >= 0, np.maximum(ahead, 0)
+        self.last = np.empty_like(self.log_class)
+        self.cells = np.arange(self.w["emb"].size).reshape(self.w["emb"].shape)
 
     def gradients(self, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         """``x``: (windows, length) last symbols, ``y``: the classes that follow;
         -1 in ``y`` is no target."""
         w, d = self.w, self.w["emb"].shape[1]
-        shape, sym, target = (*x.shape, d), x.reshape(-1), y.reshape(-1)
+        sym, target = x.reshape(-1), y.reshape(-1)
         e = w["emb"].take(sym, axis=0)
         to_qkv = np.concatenate([w["q"] / np.float32(np.sqrt(d)), w["k"], w["v"]], axis=1)
-        q, k, v = (t.reshape(shape) for t in np.split(e @ to_qkv, 3, axis=1))
-        a = q @ np.ascontiguousarray(k.transpose(0, 2, 1))
-        a += w["pos"][self.near]
-        np.clip(a, -60, 60, out=a)
-        np.exp(a, out=a)
-        a *= self.past
-        a /= (a.reshape(len(sym), -1) @ self.ones_a).reshape(*x.shape, 1)
-        o = a @ v
-        seen = np.concatenate([o.reshape(-1, d), e], axis=1)
-        to_class = np.concatenate([w["out"], w["last"]])
-        p = seen @ to_class
-        p += (self.log_class + w["bias"]).take(sym, axis=0)
-        np.clip(p, -60, 60, out=p)
-        np.exp(p, out=p)
+        qkv = (e @ to_qkv).reshape(*x.shape, 3 * d)
+        q, k, v = (qkv[..., i * d : (i + 1) * d] for i in range(3))
+        k_first = np.ascontiguousarray(k.transpose(0, 2, 1))
+        a, total = _exps(lambda: q @ k_first, w["pos"][self.near], self.past)
+        a /= total
+        seen = np.empty((len(sym), 2 * d), np.float32)
+        seen[:, d:] = e
+        o = seen.reshape(*x.shape, 2 * d)[..., :d]
+        np.matmul(a, v, out=o)
+        last = np.matmul(w["emb"], w["last"], out=self.last)
+        last += w["bias"]
+        last += self.log_class
+        p, total = _exps(lambda: seen[:, :d] @ w["out"], last.take(sym, axis=0))
         some = target >= 0
-        share = (some / max(1, some.sum())).astype(np.float32)
-        p *= share[:, None] / (p @ self.ones_z)
-        p[np.arange(len(p)), np.maximum(target, 0)] -= share
-        g_class = np.ascontiguousarray(seen.T) @ p
-        g_seen = p @ to_class.T
-        go = g_seen[:, :d].reshape(shape)
+        share = some * np.float32(1 / max(1, some.sum()))
+        p *= share[:, None] / total
+        p.reshape(-1)[np.arange(len(p)) * p.shape[1] + np.maximum(target, 0)] -= share
+        g_class = _sum_of_products(seen, p)
+        g_seen = p @ np.concatenate([w["out"], w["last"]]).T
+        go = g_seen.reshape(*x.shape, 2 * d)[..., :d]
         ga = go @ np.ascontiguousarray(v.transpose(0, 2, 1))
         ga -= np.einsum("bij,bij->bi", go, o)[..., None]
         ga *= a
-        parts = (ga @ k, ga.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ go)
-        g_qkv = np.concatenate([t.reshape(-1, d) for t in parts], axis=1)
-        ge = g_seen[:, d:] + g_qkv @ to_qkv.T
-        gq, gk, gv = np.split(e.T @ g_qkv, 3, axis=1)
-        order = np.argsort(sym.astype(np.uint16 if len(w["emb"]) <= 1 << 16 else sym.dtype), kind="stable")
-        first = np.flatnonzero(np.diff(sym[order], prepend=-1))
-        emb = np.zeros_like(w["emb"])
-        emb[sym[order[first]]] = np.add.reduceat(ge.take(order, axis=0), first, axis=0)
-        pos = np.bincount(self.near.reshape(-1), weights=ga.sum(axis=0).reshape(-1))
-        return {
-            "emb": emb,
-            "q": gq / np.float32(np.sqrt(d)),
-            "k": gk,
-            "v": gv,
-            "out": g_class[:d],
-            "last": g_class[d:],
-            "bias": np.ones(len(p), np.float32) @ p,
-            "pos": pos.astype(np.float32),
-        }
+        g_qkv = np.empty_like(qkv)
+        np.matmul(ga, k, out=g_qkv[..., :d])
+        np.matmul(ga.transpose(0, 2, 1), q, out=g_qkv[..., d : 2 * d])
+        np.matmul(a.transpose(0, 2, 1), go, out=g_qkv[..., 2 * d :])
+        g_qkv = g_qkv.reshape(len(sym), 3 * d)
+        ge = g_qkv @ to_qkv.T
+        ge += g_seen[:, d:]
+        gq, gk, gv = np.split(_sum_of_products(e, g_qkv), 3, axis=1)
+        cell = self.cells.take(sym, axis=0).reshape(-1)
+        g = self.grad
+        g["emb"].reshape(-1)[:] = np.bincount(cell, weights=ge.reshape(-1), minlength=g["emb"].size)
+        np.divide(gq, np.float32(np.sqrt(d)), out=g["q"])
+        g["k"][:], g["v"][:], g["out"][:], g["last"][:] = gk, gv, g_class[:d], g_class[d:]
+        np.matmul(np.ones(len(p), np.float32), p, out=g["bias"])
+        g["pos"][:] = np.bincount(self.near.reshape(-1), weights=ga.sum(axis=0).reshape(-1))
+        return g
 
     def step(self, x: np.ndarray, y: np.ndarray) -> None:
         self.steps += 1
         self.windows += len(x)
-        rate = np.float32(0.02 / np.sqrt(1 + self.steps / 100))
-        long, short = np.float32(1 - 0.99**self.steps), np.float32(1 - 0.9**self.steps)
-        for name, g in self.gradients(x, y).items():
-            m, s = self.m[name], self.s[name]
-            m += np.float32(0.1) * (g - m)
-            s += np.float32(0.01) * (g * g - s)
-            self.w[name] -= rate * (m / short) / (np.sqrt(s / long) + np.float32(1e-8))
+        rate = 0.02 / np.sqrt(1 + self.steps / 100)
+        long, short = np.sqrt(1 - 0.99**self.steps), 1 - 0.9**self.steps
+        self.gradients(x, y)
+        g, m, s, t = self.g, self.m, self.s, self.room
+        np.subtract(g, m, out=t)
+        t *= np.float32(0.1)
+        m += t
+        g *= g
+        g -= s
+        g *= np.float32(0.01)
+        s += g
+        # rate * (m / short) / (sqrt(s) / long + 1e-8)
+        np.sqrt(s, out=t)
+        t += np.float32(1e-8 * long)
+        np.divide(m, t, out=t)
+        t *= np.float32(rate * long / short)
+        self.all -= t
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([x.reshape(-1) for x in self.w.values()]).astype(np.float64)
+        return self.all.astype(np.float64)
+
+
+def _exps(
+    scores, plus: np.ndarray, where: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """exp of ``scores()`` + ``plus`` within -60 to 60, 0 but ``where``, and the sums
+    along the last axis. The bounds are applied only if they can matter: other sums
+    lie so that no score was above them, and those below add nothing in float32."""
+    if where is not None:
+        plus = np.where(where, plus, np.float32(-1e9))
+    ones = np.ones((plus.shape[-1], 1), np.float32)
+    for bounded in (False, True):
+        z = scores()
+        z += plus
+        if bounded:
+            np.clip(z, -60, 60, out=z)
+        with np.errstate(over="ignore"):
+            np.exp(z, out=z)
+        if bounded and where is not None:
+            z *= where
+        total = (z.reshape(-1, z.shape[-1]) @ ones).reshape(*z.shape[:-1], 1)
+        if bounded or (len(total) and 1e-15 < total.min() and total.max() < 1e25):
+            break
+    return z, total
+
+
+def _sum_of_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a.T @ b`` of long, narrow matrices, SUM_ROWS rows at a time."""
+    whole = len(a) // SUM_ROWS * SUM_ROWS
+    total = a[whole:].T @ b[whole:]
+    if whole:
+        left, right = (t[:whole].reshape(-1, SUM_ROWS, t.shape[1]) for t in (a, b))
+        total += (left.transpose(0, 2, 1) @ right).sum(axis=0)
+    return total
 
 
 def _group(points: np.ndarray, weight: np.ndarray, k: int, seed: int) -> np.ndarray:
@@ -393,7 +557,7 @@ def _group(points: np.ndarray, weight: np.ndarray, k: int, seed: int) -> np.ndar
 def build_model(
     spark: SparkSession, docs: DataFrame, counts: DataFrame, vocabulary: bytes, params: Params
 ) -> Model:
-    """The model from the corpus counts and all of ``docs``."""
+    """The model from the corpus counts and all of ``docs``, texts or coded texts."""
     pairs = counts.where(F.col("kind") == PAIR).select(
         F.shiftright("key", 20).cast("int").alias("a"),
         F.col("key").bitwiseAND((1 << 20) - 1).cast("int").alias("b"),
@@ -466,14 +630,22 @@ def _symbols(model: Model, known: Words, words: list[bytes], place: np.ndarray,
     """Word ids, symbols and log p(id | symbol) of all texts' tokens with their
     end marks, and the number of tokens of each text; for the result of _split."""
     ids = known.ids(words)[place]
-    at, size = known.sequence(ids)
-    text = np.repeat(np.arange(len(counts)), counts)
-    n = np.bincount(text, weights=size, minlength=len(counts)).astype(np.int64) + 1
-    out = np.full(int(n.sum()), END)
-    out[np.arange(len(at)) + np.repeat(np.arange(len(n)), n - 1)] = known.tokens[at]
+    out, n = _tokens(known, ids, counts)
     return ids, model.symbol_of[out], model.log_id[out], n
 
 
+def _tokens(known: Subwords, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Subword ids of all texts with their end marks, and how many each text has."""
+    # the end mark as a word of its own
+    ended = Subwords()
+    ended.size, ended.start = np.append(known.size, 1), np.append(known.start, len(known.tokens))
+    words = np.full(len(ids) + len(counts), len(known.size))
+    words[np.arange(len(ids)) + np.repeat(np.arange(len(counts)), counts)] = ids
+    at, size = ended.sequence(words)
+    upto = np.cumsum(size)[np.cumsum(counts + 1) - 1]
+    return np.append(known.tokens, END)[at], np.diff(upto, prepend=0)
+
+
 def _windows(model: Model, sym: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Windows of all tokens, each text's from its start on: last symbols, and
     the classes that follow (-1 behind a text's end)."""
@@ -484,31 +656,28 @@ def _windows(model: Model, sym: np.ndarray, n: np.ndarray) -> tuple[np.ndarray,
     x = np.full(int(number.sum()) * length, model.params.symbols)
     y = np.full(len(x), -1)
     y[at] = model.class_of[sym]
-    inside = np.ones(len(sym), bool)
-    inside[first] = False
-    x[at[inside]] = sym[:-1][inside[1:]]
+    before = np.empty(len(sym), np.int64)
+    before[1:] = sym[:-1]
+    before[first] = model.params.symbols
+    x[at] = before
     return x.reshape(-1, length), y.reshape(-1, length)
 
 
 def fit_rows(model):
-    """Task function: texts to (at, value, n): the weights after steps over all
-    windows of all its texts, in units of 1 / FIXED, times their number."""
+    """Task function: coded texts to (at, value, n): the weights after steps over
+    all windows of all its texts, in units of 1 / FIXED, times their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         fit = Fit(m)
-        known = Words(m.vocabulary)
         rng = np.random.default_rng(m.params.seed)
-        for batch in batches:
-            for part in text_slices(batch, "text", BLOCK_BYTES):
-                if len(known.table) > WORDS_KEPT:
-                    known.reset()
-                _, sym, _, n = _symbols(m, known, *_split(part.column("text")))
-                x, y = _windows(m, sym, n)
-                order = rng.permutation(len(x))
-                for lo in range(0, len(x), STEP_WINDOWS):
-                    rows = order[lo : lo + STEP_WINDOWS]
-                    fit.step(x[rows], y[rows])
+        for block in _blocks(batches):
+            tokens, n = _tokens(block, block.place, block.words)
+            x, y = _windows(m, m.symbol_of[tokens], n)
+            order = rng.permutation(len(x))
+            for lo in range(0, len(x), STEP_WINDOWS):
+                rows = order[lo : lo + STEP_WINDOWS]
+                fit.step(x[rows], y[rows])
         if fit.windows:
             value = np.rint(fit.flat() * FIXED).astype(np.int64) * fit.windows
             yield pa.RecordBatch.from_arrays(
@@ -524,13 +693,16 @@ def fit_rows(model):
 
 
 def _fitted(spark: SparkSession, docs: DataFrame, model: Model) -> dict[str, np.ndarray]:
-    """The weights fitted on all of ``docs``: each task takes its steps over its
-    own windows, and the mean over the tasks, by windows, is the result."""
+    """The weights fitted on all of ``docs``, texts or coded texts: each task takes
+    its steps over its own windows, and the mean over the tasks, by windows, is the
+    result."""
+    if "text" in docs.columns:
+        docs = docs.select("text").mapInArrow(code_texts(model.vocabulary), CODED)
     task = fit_rows(spark.sparkContext.broadcast(model))
     # whole numbers: the mean doesn't depend on the order of the sums
     whole = "decimal(38,0)"
     mean = (
-        docs.select("text")
+        docs.select("texts", "distinct", "words", "place", "size", "tokens")
         .mapInArrow(task, "at int, value long, n long")
         .groupBy("at")
         .agg(F.sum(F.col("value").cast(whole)).alias("value"), F.sum("n").alias("n"))
@@ -583,15 +755,20 @@ class Scorer:
         for lo in range(0, len(x), BATCH):
             hi = min(lo + BATCH, len(x))
             own = x[lo:hi]
-            ahead = np.concatenate([x[max(lo, 1) - 1 : max(lo, 1)], own])[: hi - lo]
-            both = np.concatenate([ahead, own], axis=1)
-            # scores are small by construction: no shift before exp
+            # the blocks before and the own ones: the same but for one
+            both = np.concatenate([x[max(lo, 1) - 1 : max(lo, 1)], own])
             k = np.ascontiguousarray(self.k.take(both, axis=0).transpose(0, 2, 1))
-            a = self.q.take(own, axis=0) @ k
+            v = self.v.take(both, axis=0)
+            q = self.q.take(own, axis=0)
+            # scores are small by construction: no shift before exp
+            a = np.empty((hi - lo, t, 2 * t), np.float32)
+            np.matmul(q, k[:-1], out=a[..., :t])
+            np.matmul(q, k[1:], out=a[..., t:])
             a += self.bias
             np.exp(a, out=a)
             a[opens[lo:hi], :, :t] = 0
-            o = a @ self.v.take(both, axis=0)
+            o = a[..., :t] @ v[:-1]
+            o += a[..., t:] @ v[1:]
             o = o.reshape(-1, o.shape[2])
             o /= a.reshape(len(o), -1) @ ones_a
             z = o @ self.out
@@ -609,8 +786,8 @@ _SCORED = (
 
 
 def score_rows(model, frequent, end_count: int):
-    """Task function: (uid, doc_id, held_out, text) to one row per text and one
-    per text and word that isn't among the frequent ones.
+    """Task function: coded texts to one row per text and one per text and word
+    that isn't among the frequent ones.
 
     ``base`` sums log10(c + 0.5) of the frequent words and the end.
     """
@@ -618,60 +795,50 @@ def score_rows(model, frequent, end_count: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         scorer = Scorer(m)
-        known = Words(m.vocabulary)
         hashes, counts_of = frequent.value
-        c = np.zeros(0, np.int64)
-        for batch in batches:
-            for part in text_slices(batch, "text", BLOCK_BYTES):
-                if len(known.table) > WORDS_KEPT:
-                    known.reset()
-                    c = c[:0]
-                words, place, counts = _split(part.column("text"))
-                ids, sym, log_id, n = _symbols(m, known, words, place, counts)
-                if len(known.hash) > len(c):
-                    fresh = known.hash[len(c) :]
-                    at = np.minimum(np.searchsorted(hashes, fresh), len(hashes) - 1)
-                    c = np.append(c, np.where(hashes[at] == fresh, counts_of[at], -1))
-                text = np.repeat(np.arange(len(counts)), counts)
-                token = np.repeat(np.arange(len(n)), n)
-                log_p = np.bincount(token, weights=scorer(sym, n) + log_id, minlength=len(n))
-                often = c[ids] >= 0
-                base = np.bincount(
-                    text[often], weights=np.log10(c[ids[often]] + 0.5), minlength=len(n)
-                )
-                known_n = np.bincount(text[often], minlength=len(n))
-                uid = part.column("uid").to_numpy(zero_copy_only=False)
-                pair, tf = np.unique(
-                    text[~often] * len(known.hash) + ids[~often], return_counts=True
-                )
-                r, w = pair // max(1, len(known.hash)), pair % max(1, len(known.hash))
-                empty = lambda kind: pa.nulls(len(r), kind)
-                names = [x.split()[0] for x in _SCORED.split(", ")]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(uid),
-                        part.column("doc_id"),
-                        part.column("held_out"),
-                        pa.array(counts + 1),
-                        pa.array(known_n.astype(np.int64) + (end_count > 0)),
-                        pa.array(base + np.log10(end_count + 0.5)),
-                        pa.array(log_p / np.log(10)),
-                        # rows of texts meet no word: spread over the tasks
-                        pa.array(uid),
-                        pa.array(np.zeros(len(n), np.int64)),
-                    ],
-                    names=names,
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(uid[r]),
-                        *(empty(k) for k in (pa.int64(), pa.bool_(), pa.int64(), pa.int64())),
-                        *(empty(pa.float64()) for _ in range(2)),
-                        pa.array(known.hash[w].view(np.int64)),
-                        pa.array(tf.astype(np.int64)),
-                    ],
-                    names=names,
-                )
+        for block in _blocks(batches):
+            counts, ids = block.words, block.place
+            tokens, n = _tokens(block, ids, counts)
+            at = np.minimum(np.searchsorted(hashes, block.hash), len(hashes) - 1)
+            c = np.where(hashes[at] == block.hash, counts_of[at], -1)
+            text = np.repeat(np.arange(len(counts)), counts)
+            token = np.repeat(np.arange(len(n)), n)
+            log_p = scorer(m.symbol_of[tokens], n) + m.log_id[tokens]
+            log_p = np.bincount(token, weights=log_p, minlength=len(n))
+            often = c[ids] >= 0
+            log_c = np.log10(np.maximum(c, 0) + 0.5)
+            base = np.bincount(text[often], weights=log_c[ids[often]], minlength=len(n))
+            known_n = np.bincount(text[often], minlength=len(n))
+            pair, tf = np.unique(text[~often] * len(c) + ids[~often], return_counts=True)
+            r, w = pair // max(1, len(c)), pair % max(1, len(c))
+            uid = block.values("uid")
+            empty = lambda kind: pa.nulls(len(r), kind)
+            names = [x.split()[0] for x in _SCORED.split(", ")]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    uid,
+                    block.values("doc_id"),
+                    block.values("held_out"),
+                    pa.array(counts + 1),
+                    pa.array(known_n.astype(np.int64) + (end_count > 0)),
+                    pa.array(base + np.log10(end_count + 0.5)),
+                    pa.array(log_p / np.log(10)),
+                    # rows of texts meet no word: spread over the tasks
+                    uid,
+                    pa.array(np.zeros(len(n), np.int64)),
+                ],
+                names=names,
+            )
+            yield pa.RecordBatch.from_arrays(
+                [
+                    uid.take(pa.array(r)),
+                    *(empty(k) for k in (pa.int64(), pa.bool_(), pa.int64(), pa.int64())),
+                    *(empty(pa.float64()) for _ in range(2)),
+                    pa.array(block.hash[w].view(np.int64)),
+                    pa.array(tf.astype(np.int64)),
+                ],
+                names=names,
+            )
 
     return run
 
@@ -689,11 +856,22 @@ def score_documents(
     base = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
-    train = base.where(F.coalesce(learn, F.lit(False)))
+    # split and encoded once; the three passes below read this
+    coded = Tables(spark, "op1").store(
+        base.select(
+            F.monotonically_increasing_id().alias("uid"),
+            "doc_id",
+            F.coalesce(held_out, F.lit(False)).alias("held_out"),
+            F.coalesce(learn, F.lit(False)).alias("learn"),
+            "text",
+        ).mapInArrow(code_texts(vocabulary), CODED),
+        **{"parquet.block.row.count.limit": GROUP_ROWS},
+    )
+    train = coded.where("learn")
     counts = checkpointed(
         spark,
-        train.select("text")
-        .mapInArrow(count_corpus(vocabulary), "kind int, key long, n long")
+        train.select("texts", "distinct", "words", "place", "hash", "size", "tokens")
+        .mapInArrow(count_blocks, "kind int, key long, n long")
         .groupBy("kind", "key")
         .agg(F.sum("n").alias("n"))
         .where("n > 0"),
@@ -727,12 +905,7 @@ def score_documents(
         spark.sparkContext.broadcast(table),
         int(end_row["n"]) if end_row else 0,
     )
-    scored = base.select(
-        F.monotonically_increasing_id().alias("uid"),
-        "doc_id",
-        F.coalesce(held_out, F.lit(False)).alias("held_out"),
-        "text",
-    ).mapInArrow(task, _SCORED)
+    scored = coded.drop("learn").mapInArrow(task, _SCORED)
     rare = words.where(F.col("n") < least).select(F.col("key").alias("h"), F.col("n").alias("c"))
     seen = F.col("tf") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)
     bottom = float(np.log10(stats["n"] + 0.5 * (stats["v"] + 1)))

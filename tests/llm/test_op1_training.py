@@ -119,3 +119,55 @@ def test_split_like_bytes():
     want = [(t or "").encode().lower().split() for t in texts]
     assert [words[i] for i in place] == [w for x in want for w in x]
     assert counts.tolist() == [len(x) for x in want]
+
+
+def test_texts_are_split_and_encoded_once(spark):
+    """Counting, fitting and scoring read coded texts, not the texts once more each."""
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    docs = frame(spark, texts_of(20)).mapInArrow(seen, "doc_id long, text string")
+    fold = F.col("doc_id") % 5
+    scored = op1.score_documents(spark, docs, fold != 1, fold == 1, PARAMS)
+    assert scored.count() == 20
+    assert read.value == 20
+
+
+def test_coded_texts_hold_all_words_and_tokens():
+    texts = ["a bc\xa0d  it's", None, "", "x" * 300 + " a", "123456 a\tB", "w " * 70_000]
+    learn = [True, False, True, True, False, True]
+    ids = [7, None, 9, 9, 1, 2]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(texts), pa.array(learn), pa.array(ids)], names=["text", "learn", "doc_id"]
+    )
+    alone = op1.encoder(VOCABULARY).encode_ordinary
+    rows = list(op1.code_texts(VOCABULARY)(iter([batch])))
+    assert [r.column("learn")[0].as_py() for r in rows] == [True, False]
+    for row, flag in zip(rows, (True, False)):
+        (block,) = op1._blocks(iter([row]))
+        own = [(t or "").lower() for t, x in zip(texts, learn) if x == flag]
+        words = [t.encode().split() for t in own]
+        assert block.words.tolist() == [len(w) for w in words]
+        assert block.values("doc_id").to_pylist() == [i for i, x in zip(ids, learn) if x == flag]
+        tokens, n = op1._tokens(block, block.place, block.words)
+        want = [[z for x in w for z in alone(" " + x.decode())] + [op1.END] for w in words]
+        assert tokens.tolist() == sum(want, []) and n.tolist() == [len(w) for w in want]
+        hashes = [op1.xxhash.xxh3_64_intdigest(x) for w in words for x in w]
+        assert block.hash[block.place].tolist() == hashes
+
+
+def test_exps_within_bounds():
+    rng = np.random.default_rng(6)
+    for scale in (1, 40, 400):
+        z = rng.normal(size=(3, 4, 4)) * scale
+        plus = rng.normal(size=(4, 4))
+        for past in (None, np.tril(np.ones((4, 4), bool))):
+            got, total = op1._exps(lambda: z.astype(np.float32), plus.astype(np.float32), past)
+            want = np.exp(np.clip(z + plus, -60, 60)) * (1 if past is None else past)
+            whole = want.sum(axis=-1, keepdims=True)
+            assert got / total == pytest.approx(want / whole, rel=1e-3, abs=1e-9)
+            assert total == pytest.approx(whole, rel=1e-3)
